@@ -1,0 +1 @@
+"""Left empty on purpose: the workload is a daily batch, there is no stream operator to offer."""
