@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join where NULL keys match each other; the keys of the left side are kept."""
+    """Join where NULL keys match each other; the keys of the left side are kept.
+
+    The keys travel as one struct: a struct is never NULL itself and its fields compare NULL-safe, so the join
+    stays a plain equi-join on one hash key.
+    """
     if not keys:
         raise ValueError("keys needed")
-    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+    r = right.withColumn("_rk", F.struct(*keys)).drop(*keys)
+    return left.join(r, F.struct(*keys) == F.col("_rk"), how).drop("_rk")
 
 
 def outer_fill(frames: list[DataFrame], keys: list[str], fill: dict[str, float] | None = None) -> DataFrame:

@@ -16,10 +16,30 @@ from retail_analytics.functions.joins import join_null_safe
 BUCKETS = 32
 
 
+GROUP = "_g"   # the group key as one struct: NULL-safe in joins, and joins and windows share its partitioning
+
+
+def _keyed(df: DataFrame, by: list[str]) -> DataFrame:
+    return df.withColumn(GROUP, F.struct(*by)) if by else df
+
+
+def _keys(by: list[str]) -> list[str]:
+    return [GROUP] if by else []
+
+
 def _attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
     return join_null_safe(df, stats, by) if by else with_scalars(df, stats)
 
 
+def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Equi-join on keys that are never NULL (group struct, bucket numbers)."""
+    r = right.withColumnsRenamed({k: f"_r{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"_r{k}"))
+    return left.join(r, cond).drop(*[f"_r{k}" for k in keys])
+
+
 def _cuts(col: str, n: int) -> Column:
     return F.array_distinct(F.percentile_approx(col, [i / n for i in range(1, n)], 2000))
 
@@ -32,7 +52,8 @@ def _place(cuts: str, col: str) -> Column:
 def bucketed(df: DataFrame, value: str, by: list[str], ident: str | None, n: int = BUCKETS) -> DataFrame:
     """Add ``_k`` (bucket, ordered like the value), ``_hot`` (the bucket is one value) and ``_s`` (id bucket)."""
     stats = [_cuts(value, n).alias("_c")] + ([_cuts(ident, n).alias("_ci")] if ident else [])
-    b = _attach(df, df.groupBy(*by).agg(*stats) if by else df.agg(*stats), by)
+    d = _keyed(df, by)
+    b = _join(d, d.groupBy(GROUP).agg(*stats), [GROUP]) if by else with_scalars(d, d.agg(*stats))
     hot = F.coalesce(F.array_contains("_c", F.col(value)), F.lit(False))
     b = b.withColumn("_hot", hot).withColumn("_k", _place("_c", value) * 2 + F.col("_hot").cast("int"))
     sub = F.when(F.col("_hot"), _place("_ci", ident)).otherwise(0) if ident else F.lit(0)
@@ -47,16 +68,17 @@ def running(df: DataFrame, value: str, sums: dict[str, str], by: list[str] | Non
     ``ident`` (numeric) breaks ties; without it the value has to be unique in its group.
     """
     by = by or []
+    g = _keys(by)
     b = bucketed(df, value, by, ident)
     sign = F.col("_k") * (-1 if descending else 1)
-    cells = b.groupBy(*by, "_k", "_s").agg(*[F.sum(m).alias(f"_t_{n}") for n, m in sums.items()])
-    w = W.partitionBy(*by).orderBy(sign, "_s")      # bounded: at most a few thousand cells per group
-    cells = cells.select(*by, "_k", "_s", *[
+    cells = b.groupBy(*g, "_k", "_s").agg(*[F.sum(m).alias(f"_t_{n}") for n, m in sums.items()])
+    w = W.partitionBy(*g).orderBy(sign, "_s")      # bounded: at most a few thousand cells per group
+    cells = cells.select(*g, "_k", "_s", *[
         (F.sum(f"_t_{n}").over(w.rowsBetween(W.unboundedPreceding, 0)) - F.col(f"_t_{n}")).alias(f"_o_{n}") for n in sums],
-        *[F.sum(f"_t_{n}").over(W.partitionBy(*by)).alias(f"{n}_total") for n in sums])
-    j = join_null_safe(b, cells, [*by, "_k", "_s"])
+        *[F.sum(f"_t_{n}").over(W.partitionBy(*g)).alias(f"{n}_total") for n in sums])
+    j = _join(b, cells, [*g, "_k", "_s"])
     order = [F.col(value).desc() if descending else F.col(value).asc()] + ([F.col(ident).asc()] if ident else [])
-    inside = W.partitionBy(*by, "_k", "_s").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(*g, "_k", "_s").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return j.select(*df.columns, *[(F.col(f"_o_{n}") + F.sum(m).over(inside)).alias(n) for n, m in sums.items()],
                     *[f"{n}_total" for n in sums])
 
@@ -64,17 +86,18 @@ def running(df: DataFrame, value: str, sums: dict[str, str], by: list[str] | Non
 def average_rank(df: DataFrame, value: str, ident: str, by: list[str] | None = None, descending: bool = False) -> DataFrame:
     """Add ``rango`` (average rank, ties equal) and ``n`` (group size); NULL values take no rank."""
     by = by or []
+    g = _keys(by)
     known = df.filter(F.col(value).isNotNull())
-    b = bucketed(known, value, by, None).withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(ident), F.lit(BUCKETS))).otherwise(0))
+    b = bucketed(known, value, by, None).drop("_s")
+    b = b.withColumn("_s", F.when(F.col("_hot"), F.pmod(F.xxhash64(ident), F.lit(BUCKETS))).otherwise(0))
     sign = F.col("_k") * (-1 if descending else 1)
-    w = W.partitionBy(*by).orderBy(sign)
-    cells = b.groupBy(*by, "_k").agg(F.count(F.lit(1)).alias("_n")).select(
-        *by, "_k", "_n", (F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_o"),
-        F.sum("_n").over(W.partitionBy(*by)).alias("n"))
-    j = join_null_safe(b, cells, [*by, "_k"])
-    part = W.partitionBy(*by, "_k", "_salt")
-    order = part.orderBy(F.col(value).desc() if descending else F.col(value).asc())
-    ties = F.count(F.lit(1)).over(W.partitionBy(*by, "_k", "_salt", value))
+    w = W.partitionBy(*g).orderBy(sign)
+    cells = b.groupBy(*g, "_k").agg(F.count(F.lit(1)).alias("_n")).select(
+        *g, "_k", "_n", (F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_o"),
+        F.sum("_n").over(W.partitionBy(*g)).alias("n"))
+    j = _join(b, cells, [*g, "_k"])
+    order = W.partitionBy(*g, "_k", "_s").orderBy(F.col(value).desc() if descending else F.col(value).asc())
+    ties = F.count(F.lit(1)).over(W.partitionBy(*g, "_k", "_s", value))
     light = F.rank().over(order) + (ties - 1) / 2.0
     ranked = j.select(*known.columns, F.when(F.col("_hot"), F.col("_o") + (F.col("_n") + 1) / 2.0)
                       .otherwise(F.col("_o") + light).alias("rango"), "n")
