@@ -7,10 +7,28 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor sees: ``spark.checkpoint.dir``; a local folder only where it is unset (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root.rstrip("/") if root else tempfile.mkdtemp(prefix="retail-")
+    if root:
+        return root.rstrip("/")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="retail-"))
+    return _LOCAL[0]
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write the frame once to the shared folder and read it back.
+
+    For an aggregate that the following steps read several times (cut points, bucket totals, ranks): the scan of
+    the facts behind it runs once, and a lost executor costs a re-read of the written table only.
+    """
+    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def refresh(df: DataFrame, root: str) -> str:
