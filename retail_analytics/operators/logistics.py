@@ -75,7 +75,7 @@ def service_level(hist: DataFrame, sentinels: list[int] | None = None, min_deliv
 def worst_laggard(table: DataFrame) -> DataFrame:
     """The laggard with the largest negative gap, branch or carrier."""
     cols = ["nivel", "entidad", "brecha", "z"]
-    return table.filter(F.col("veredicto") == LAGGARD).agg(F.min_by(F.struct(*cols), F.struct("brecha", "entidad")).alias("_r")).select("_r.*")
+    return table.filter(F.col("veredicto") == LAGGARD).agg(F.min_by(F.struct(*cols), F.struct("brecha", "entidad")).alias("_r")).filter("_r is not null").select("_r.*")
 
 
 # -- rejections -----------------------------------------------------------------------------------------------------

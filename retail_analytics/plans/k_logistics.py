@@ -39,9 +39,11 @@ def _(s):
     return sla(s)
 
 
-@query("k7_worst_laggard", f="brecha z", sql=SLA + " SELECT nivel, entidad, brecha, z FROM sl WHERE veredicto='Rezagado significativo' ORDER BY brecha, entidad LIMIT 1")
+# the whole history, so that some carrier of the small data is a laggard
+@query("k7_worst_laggard", f="brecha z", sql=SLA.replace(SINCE, "1995-01-01").replace(">=12)", ">=30)") + " SELECT nivel, entidad, brecha, z FROM sl WHERE veredicto='Rezagado significativo' ORDER BY brecha, entidad LIMIT 1")
 def _(s):
-    return lg.worst_laggard(sla(s))
+    h = lg.lead_histogram(s.ventas, s.sucursal, "1995-01-01", CUT)
+    return lg.worst_laggard(lg.service_level(h, [0, 33], 30))
 
 
 @query("k7_month_alignment", f="bultos", sql="SELECT date_trunc('month',fecha_comprobante)::DATE mes, sum(cantidades_total) bultos FROM fv WHERE fecha_comprobante BETWEEN '2000-07-01' AND '2001-05-31' GROUP BY 1")
@@ -111,7 +113,7 @@ def _(s):
     return routes(s)
 
 
-@query("k6_route_table", f="bultos neto bruto lineas_x_visita mediana_bultos_visita drop_size neto_por_visita", i="visitas clientes clientes_mostrador", sql=RT + """, d AS (SELECT *, bultos/visitas drop_size, neto/visitas neto_por_visita FROM ro), e AS (SELECT *, CASE WHEN drop_size<=(SELECT quantile_cont(drop_size,0.25) FROM d) THEN 'Baja densidad (cuartil inferior)' ELSE 'Normal' END densidad, sucursal||' / '||id_ruta clave, CASE WHEN sucursal='NATION_9' THEN 'Sucursal cerrada' ELSE '' END nota FROM d)
+@query("k6_route_table", digits=3, f="bultos neto bruto lineas_x_visita mediana_bultos_visita drop_size neto_por_visita", i="visitas clientes clientes_mostrador", sql=RT + """, d AS (SELECT *, bultos/visitas drop_size, neto/visitas neto_por_visita FROM ro), e AS (SELECT *, CASE WHEN drop_size<=(SELECT quantile_cont(drop_size,0.25) FROM d) THEN 'Baja densidad (cuartil inferior)' ELSE 'Normal' END densidad, sucursal||' / '||id_ruta clave, CASE WHEN sucursal='NATION_9' THEN 'Sucursal cerrada' ELSE '' END nota FROM d)
 SELECT * FROM e UNION ALL BY NAME SELECT 'TOTAL GENERAL' clave, sum(visitas) visitas, sum(clientes) clientes, sum(bultos) bultos, sum(neto) neto, sum(bruto) bruto, sum(clientes_mostrador) clientes_mostrador, sum(bultos)/sum(visitas) drop_size, sum(neto)/sum(visitas) neto_por_visita FROM e""")
 def _(s):
     return lg.route_table(routes(s), ["NATION_9"])
