@@ -113,7 +113,7 @@ def _(s):
     return routes(s)
 
 
-@query("k6_route_table", digits=3, f="bultos neto bruto lineas_x_visita mediana_bultos_visita drop_size neto_por_visita", i="visitas clientes clientes_mostrador", sql=RT + """, d AS (SELECT *, bultos/visitas drop_size, neto/visitas neto_por_visita FROM ro), e AS (SELECT *, CASE WHEN drop_size<=(SELECT quantile_cont(drop_size,0.25) FROM d) THEN 'Baja densidad (cuartil inferior)' ELSE 'Normal' END densidad, sucursal||' / '||id_ruta clave, CASE WHEN sucursal='NATION_9' THEN 'Sucursal cerrada' ELSE '' END nota FROM d)
+@query("k6_route_table", f="bultos neto bruto lineas_x_visita mediana_bultos_visita drop_size neto_por_visita:2", i="visitas clientes clientes_mostrador", sql=RT + """, d AS (SELECT *, bultos/visitas drop_size, neto/visitas neto_por_visita FROM ro), e AS (SELECT *, CASE WHEN drop_size<=(SELECT quantile_cont(drop_size,0.25) FROM d) THEN 'Baja densidad (cuartil inferior)' ELSE 'Normal' END densidad, sucursal||' / '||id_ruta clave, CASE WHEN sucursal='NATION_9' THEN 'Sucursal cerrada' ELSE '' END nota FROM d)
 SELECT * FROM e UNION ALL BY NAME SELECT 'TOTAL GENERAL' clave, sum(visitas) visitas, sum(clientes) clientes, sum(bultos) bultos, sum(neto) neto, sum(bruto) bruto, sum(clientes_mostrador) clientes_mostrador, sum(bultos)/sum(visitas) drop_size, sum(neto)/sum(visitas) neto_por_visita FROM e""")
 def _(s):
     return lg.route_table(routes(s), ["NATION_9"])

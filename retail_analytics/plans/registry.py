@@ -14,10 +14,9 @@ class Query:
     name: str
     build: Callable[[Star], DataFrame]
     sql: str | None
-    floats: tuple[str, ...]
+    floats: dict[str, int]
     ints: tuple[str, ...]
     dates: tuple[str, ...]
-    digits: int
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         """Engines add doubles in different orders, so doubles are rounded here, at the query boundary only."""
@@ -25,7 +24,7 @@ class Query:
         cols = []
         for c in df.columns:
             if c in self.floats:
-                cols.append(F.round(F.col(f"`{c}`").cast("double"), self.digits).alias(c))
+                cols.append(F.round(F.col(f"`{c}`").cast("double"), self.floats[c]).alias(c))
             elif c in self.ints:
                 cols.append(F.col(c).cast("long").alias(c))
             elif c in self.dates:
@@ -37,7 +36,7 @@ class Query:
     def oracle(self) -> str:
         body = self.sql.strip()
         sep = "\n" if body[:6].upper() == "SELECT" else ",\n"
-        rep = [f"round({c}::DOUBLE,{self.digits})+0.0::DOUBLE AS {c}" for c in self.floats]
+        rep = [f"round({c}::DOUBLE,{n})+0.0::DOUBLE AS {c}" for c, n in self.floats.items()]
         rep += [f"{c}::BIGINT AS {c}" for c in self.ints] + [f"{c}::DATE AS {c}" for c in self.dates]
         inner = f"WITH {STAR_CTE.strip()}{sep}{body}"
         return f"SELECT * REPLACE ({', '.join(rep)}) FROM ({inner}) q" if rep else inner
@@ -47,9 +46,14 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(name: str, sql: str | None = None, f: str = "", i: str = "", d: str = "", digits: int = 4):
-    """Register ``build(star) -> DataFrame``; f/i/d list the double, integer and date columns of the result."""
+    """Register ``build(star) -> DataFrame``; f/i/d list the double, integer and date columns of the result.
+
+    ``name:2`` in ``f`` rounds that column to 2 digits (a value that ends in a 5 just behind the last digit).
+    """
+    floats = {c.partition(":")[0]: int(c.partition(":")[2] or digits) for c in f.split()}
+
     def add(build):
         assert name not in REGISTRY, name
-        REGISTRY[name] = Query(name, build, sql, tuple(f.split()), tuple(i.split()), tuple(d.split()), digits)
+        REGISTRY[name] = Query(name, build, sql, floats, tuple(i.split()), tuple(d.split()))
         return build
     return add
