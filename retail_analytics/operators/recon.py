@@ -77,15 +77,15 @@ def enrich(promo: DataFrame, branches: DataFrame, prices: DataFrame, supervisors
     d = d.withColumn("CONCAT", F.concat_ws("", "Fecha", "`Cod. Cliente`", "Artículo Distribuidora"))
     p = prices.select(F.col("fecha").alias("_f"), F.col("id_cliente").alias("_c"), F.col("id_articulo").alias("_a"), F.col("precio").alias("PRECIO FINAL"))
     d = d.join(p, ["_f", "_c", "_a"], "left")
-    dp = doc_prices.select(F.col("comprobante").alias("_k"), F.col("id_articulo").alias("_a"), F.col("precio_comprobante").alias("PRECIO COMPROBANTE"))
-    d = d.withColumn("_k", F.trim("Comprobante")).join(dp, ["_k", "_a"], "left")
+    dp = doc_prices.select(F.col("comprobante").alias("_doc"), F.col("id_articulo").alias("_a"), F.col("precio_comprobante").alias("PRECIO COMPROBANTE"))
+    d = d.withColumn("_doc", F.trim("Comprobante")).join(dp, ["_doc", "_a"], "left")
     d = fl.by_label(d, supervisors, "SUCURSAL", "clave", "zona").withColumnRenamed("zona", "ZONA")
     price, pct = F.col("PRECIO FINAL"), F.col("Descuento %")
     zero = F.lit(0.0)
     d = d.withColumn("mvb", F.coalesce(fl.promo_tier("Descripción Acción"), F.lit(fl.PROMO_DEFAULT)))
     d = d.withColumn("Total2", F.coalesce("Cantidad", zero) * price)
     d = d.withColumn("Descuento", F.col("Total2") * (F.coalesce(pct, zero) / 100.0) + F.coalesce(F.col("Cantidad Sin Cargo"), zero) * price)
-    return d.withColumn("Tipo Descuento", F.when(pct.isNull(), FREE).otherwise(DISCOUNT)).drop("_f", "_c", "_a", "_k")
+    return d.withColumn("Tipo Descuento", F.when(pct.isNull(), FREE).otherwise(DISCOUNT)).drop("_f", "_c", "_a", "_doc")
 
 
 def unresolved(enriched: DataFrame) -> DataFrame:

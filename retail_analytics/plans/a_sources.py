@@ -93,12 +93,12 @@ PROMO_CTE = """wapi AS (SELECT fecha_comprobante::VARCHAR "Fecha", id_documento|
 
 
 @query("a6_promo_lines", sql=PROMO_CTE + """SELECT * REPLACE (round("Cantidad",4)+0.0::DOUBLE AS "Cantidad",
-round("Precio Neto SF",4)+0.0::DOUBLE AS "Precio Neto SF", round("Total",4)+0.0::DOUBLE AS "Total",
+round("Precio Neto SF",8)+0.0::DOUBLE AS "Precio Neto SF", round("Total",4)+0.0::DOUBLE AS "Total",
 round("Cantidad Sin Cargo",4)+0.0::DOUBLE AS "Cantidad Sin Cargo", round("Descuento %",4)+0.0::DOUBLE AS "Descuento %",
 round("Descuento $ sobre PN SF",4)+0.0::DOUBLE AS "Descuento $ sobre PN SF", round("Monto A Acreditar",6)+0.0::DOUBLE AS "Monto A Acreditar") FROM wapi""")
 def _(s):
     return ct.promo_lines(promo_source(s)).select(*[
-        F.round(F.col(f"`{c}`"), 6 if c == "Monto A Acreditar" else 4).alias(c) if c in ct.PROMO_NUMBERS else F.col(f"`{c}`") for c in ct.PROMO_COLUMNS])
+        F.round(F.col(f"`{c}`"), {"Monto A Acreditar": 6, "Precio Neto SF": 8}.get(c, 4)).alias(c) if c in ct.PROMO_NUMBERS else F.col(f"`{c}`") for c in ct.PROMO_COLUMNS])
 
 
 @query("a7_text_repair", sql="""SELECT id_articulo, CASE id_articulo%3 WHEN 0 THEN des_articulo||' ñandú' WHEN 1 THEN

@@ -101,13 +101,13 @@ class Star:
             (k % 101 == 0).alias("anulado"),
             F.when(free, 0.0).otherwise(qty).alias("cantidades_con_cargo"),
             F.when(free, qty).otherwise(0.0).alias("cantidades_sin_cargo"),
-            qty.alias("cantidades_total"), F.col("l_quantity").alias("_q"),
-            F.round(F.col("l_extendedprice") / F.col("l_quantity"), 4).alias("precio_unitario_bruto"),
+            qty.alias("cantidades_total"),
+            (F.col("l_extendedprice") / F.col("l_quantity")).alias("precio_unitario_bruto"),
             (F.col("l_discount") * 100).alias("bonificacion"), (gross * F.col("l_discount")).alias("descuentos"),
             gross.alias("facturacion_neta"), (gross - gross * F.col("l_discount")).alias("subtotal_neto"),
             (F.col("l_extendedprice") * (1 - F.col("l_discount")) / F.col("l_quantity")).alias("precio_unitario_neto"),
             (k % 12).alias("id_fletero_carga"),
-            F.when(ret, F.col("l_quantity")).otherwise(0.0).alias("cantidades_rechazo")).drop("_q")
+            F.when(ret, F.col("l_quantity")).otherwise(0.0).alias("cantidades_rechazo"))
 
     @cached_property
     def ventas_costo(self) -> DataFrame:
@@ -214,7 +214,7 @@ fv AS (SELECT l_orderkey*10+l_linenumber id, o_orderdate::DATE fecha_comprobante
   'A' letra, l_orderkey%9+1 serie, l_orderkey nro_doc, l_orderkey%101=0 anulado,
   CASE WHEN l_linenumber=1 AND l_orderkey%13=0 THEN 0.0::DOUBLE ELSE sgn*l_quantity END cantidades_con_cargo,
   CASE WHEN l_linenumber=1 AND l_orderkey%13=0 THEN sgn*l_quantity ELSE 0.0::DOUBLE END cantidades_sin_cargo,
-  sgn*l_quantity cantidades_total, round(l_extendedprice/l_quantity,4) precio_unitario_bruto, l_discount*100 bonificacion,
+  sgn*l_quantity cantidades_total, l_extendedprice/l_quantity precio_unitario_bruto, l_discount*100 bonificacion,
   sgn*l_extendedprice*l_discount descuentos, sgn*l_extendedprice facturacion_neta,
   sgn*l_extendedprice-sgn*l_extendedprice*l_discount subtotal_neto,
   l_extendedprice*(1-l_discount)/l_quantity precio_unitario_neto, l_orderkey%12 id_fletero_carga,
