@@ -1,4 +1,4 @@
-"""Running sums, ranks and exact quantiles without a single-partition sort.
+"""Running sums, scores and exact quantiles without a single-partition sort.
 
 An order over one whole group (all clients, all SKUs) would put the group into one task.  Instead a mergeable
 percentile sketch gives cut points per group, rows are bucketed by them, bucket totals (a small table) give the
@@ -83,34 +83,38 @@ def running(df: DataFrame, value: str, sums: dict[str, str], by: list[str] | Non
                     *[f"{n}_total" for n in sums])
 
 
-def average_rank(df: DataFrame, value: str, ident: str, by: list[str] | None = None, descending: bool = False) -> DataFrame:
-    """Add ``rango`` (average rank, ties equal) and ``n`` (group size); NULL values take no rank."""
-    by = by or []
-    g = _keys(by)
-    known = df.filter(F.col(value).isNotNull())
-    b = bucketed(known, value, by, None).drop("_s")
-    b = b.withColumn("_s", F.when(F.col("_hot"), F.pmod(F.xxhash64(ident), F.lit(BUCKETS))).otherwise(0))
-    sign = F.col("_k") * (-1 if descending else 1)
-    w = W.partitionBy(*g).orderBy(sign)
-    cells = b.groupBy(*g, "_k").agg(F.count(F.lit(1)).alias("_n")).select(
-        *g, "_k", "_n", (F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_o"),
-        F.sum("_n").over(W.partitionBy(*g)).alias("n"))
-    j = _join(b, cells, [*g, "_k"])
-    order = W.partitionBy(*g, "_k", "_s").orderBy(F.col(value).desc() if descending else F.col(value).asc())
-    ties = F.count(F.lit(1)).over(W.partitionBy(*g, "_k", "_s", value))
-    light = F.rank().over(order) + (ties - 1) / 2.0
-    ranked = j.select(*known.columns, F.when(F.col("_hot"), F.col("_o") + (F.col("_n") + 1) / 2.0)
-                      .otherwise(F.col("_o") + light).alias("rango"), "n")
-    missing = df.filter(F.col(value).isNull()).select(*df.columns, F.lit(None).cast("double").alias("rango"),
-                                                      F.lit(None).cast("long").alias("n"))
-    return ranked.unionByName(missing)
-
-
-def quantile_score(df: DataFrame, value: str, ident: str, name: str, bins: int = 5, ascending: bool = True) -> DataFrame:
-    """Score 1..bins: ceil(average-rank share x bins); ``ascending=False`` gives the low values the high score."""
-    r = average_rank(df, value, ident, descending=not ascending)
-    score = F.least(F.greatest(F.ceil(F.col("rango") / F.col("n") * bins), F.lit(1)), F.lit(bins))
-    return r.withColumn(name, F.when(F.col("rango").isNotNull(), score).cast("long")).drop("rango", "n")
+def quantile_scores(df: DataFrame, specs: list[tuple[str, str, bool]], bins: int = 5) -> DataFrame:
+    """Add scores 1..bins: ceil(average-rank share x bins), ties equal, NULL without a value.
+
+    ``specs`` are (value column, score column, ascending); descending gives the low values the high score.  A score
+    only depends on the value, so ``bins - 1`` exact cut values per column suffice: they come from the counts of
+    the distinct values and the rows are scored in place, without a rank over the rows or a join back.
+    """
+    parts = [F.struct(F.lit(name).alias("_m"), F.col(v).cast("double").alias("_v")) for v, name, _ in specs]
+    vc = df.select(F.inline(F.array(*parts))).filter("_v is not null").groupBy("_m", "_v").agg(F.count(F.lit(1)).alias("_w"))
+    r = running(vc, "_v", {"_cum": "_w"}, ["_m"])
+    n = F.col("_cum_total")
+    up = F.col("_cum") - F.col("_w") + (F.col("_w") + 1) / 2.0
+    cuts = []
+    for _, name, ascending in specs:
+        rank = up if ascending else n + 1 - up
+        for k in range(1, bins):
+            hit = F.when((F.col("_m") == name) & (rank / n * bins > k), F.col("_v"))
+            cuts.append((F.min(hit) if ascending else F.max(hit)).alias(f"_{name}_{k}"))
+    out = with_scalars(df, r.agg(*cuts))
+    for v, name, ascending in specs:
+        score = F.lit(1)
+        for k in range(1, bins):
+            c = F.col(f"_{name}_{k}")
+            above = (F.col(v) >= c) if ascending else (F.col(v) <= c)
+            score = score + F.when(F.coalesce(above, F.lit(False)), 1).otherwise(0)
+        out = out.withColumn(name, F.when(F.col(v).isNotNull(), score).cast("long"))
+    return out.drop(*[f"_{name}_{k}" for _, name, _ in specs for k in range(1, bins)])
+
+
+def quantile_score(df: DataFrame, value: str, name: str, bins: int = 5, ascending: bool = True) -> DataFrame:
+    """One score column, see :func:`quantile_scores`."""
+    return quantile_scores(df, [(value, name, ascending)], bins)
 
 
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None, weight: str | None = None,
@@ -148,10 +152,3 @@ def median_mad(df: DataFrame, value: str, by: list[str] | None = None, weight: s
     dev = _attach(df, med, by).withColumn("_dev", F.abs(F.col(value) - F.col("mediana")))
     mad = quantiles(dev, "_dev", {"mad": 0.5}, by, weight)
     return join_null_safe(med, mad, by) if by else with_scalars(med, mad)
-
-
-def top_share(df: DataFrame, value: str, ident: str, name: str = "acumulado") -> DataFrame:
-    """Cumulative share of the value from the largest down, and the row number."""
-    d = df.withColumn("_one", F.lit(1))
-    r = running(d, value, {"_cum": value, "orden": "_one"}, ident=ident, descending=True)
-    return r.withColumn(name, F.try_divide("_cum", "_cum_total")).drop("_cum", "_cum_total", "_one", "orden_total")

@@ -4,8 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from retail_analytics.functions.grid import with_scalars
-from retail_analytics.functions.joins import join_null_safe
-from retail_analytics.functions.ordered import quantile_score, quantiles, running
+from retail_analytics.functions.ordered import quantile_scores, quantiles
 from retail_analytics.functions.shape import grouping_sets, ratio
 from retail_analytics.operators import filters as fl, stats
 from retail_analytics.sources.sinks import stage
@@ -73,9 +72,7 @@ def segment(r: Column, f: Column) -> Column:
 
 def rfm_score(base: DataFrame, counters: list[int]) -> DataFrame:
     """Scores 1..5 by average-rank quantiles, cell, segment and the counter-sale flag (flagged, never dropped)."""
-    b = stage(base)                     # client grain, read by every score
-    for value, name, up in (("recencia_dias", "score_r", False), ("frecuencia", "score_f", True), ("monetario_neto", "score_m", True)):
-        b = b.join(quantile_score(b.select("id_cliente", value), value, "id_cliente", name, RFM_BINS, up).select("id_cliente", name), "id_cliente")
+    b = quantile_scores(stage(base), [("recencia_dias", "score_r", False), ("frecuencia", "score_f", True), ("monetario_neto", "score_m", True)], RFM_BINS)
     return (b.withColumn("celda_rfm", F.concat("score_r", "score_f", "score_m"))
             .withColumn("segmento", segment(F.col("score_r"), F.col("score_f")))
             .withColumn("es_mostrador", F.col("id_cliente").isin(counters) if counters else F.lit(False)))

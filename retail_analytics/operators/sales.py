@@ -9,6 +9,7 @@ from retail_analytics.functions.grid import complete_grid, with_scalars
 from retail_analytics.functions.joins import join_null_safe
 from retail_analytics.functions.shape import grouping_sets, ratio, slug, wide
 from retail_analytics.operators import filters as fl
+from retail_analytics.sources.sinks import stage
 
 QTY = "cantidades_total"
 MEASURES = {"cantidad": QTY, "cantidad_htls": "cantidad_total_htls", "monto": "subtotal_neto", "descuentos": "descuentos"}
@@ -320,6 +321,7 @@ def summary_view(lines: DataFrame, cupos: DataFrame, calendar: DataFrame, as_of:
 
     agg = daily.groupBy(*keys).agg(F.sum("q").alias("total_q"), F.sum("h").alias("total_h"), day(1, "q").alias("n1_q"), day(1, "h").alias("n1_h"),
                                    day(2, "q").alias("n2_q"), day(2, "h").alias("n2_h"))
+    agg = stage(agg)                # report grain, joined with itself twice: the facts are read once
 
     def shifted(months: int, tag: str) -> DataFrame:
         return agg.select(F.add_months("periodo", months).alias("periodo"), "sucursal", "generico", "marca",

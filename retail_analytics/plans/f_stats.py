@@ -69,10 +69,7 @@ def _(s):
 @query("f7_quantile_score", sql=CB + """ SELECT id_cliente, lineas, greatest(least(ceil((rank() OVER (ORDER BY lineas)+(count(*) OVER (PARTITION BY lineas)-1)/2.0::DOUBLE)/count(*) OVER ()*5),5),1)::BIGINT puntaje,
 greatest(least(ceil((rank() OVER (ORDER BY lineas DESC)+(count(*) OVER (PARTITION BY lineas)-1)/2.0::DOUBLE)/count(*) OVER ()*5),5),1)::BIGINT puntaje_inverso FROM cb""")
 def _(s):
-    c = clients(s).select("id_cliente", "lineas")
-    a = ordered.quantile_score(c, "lineas", "id_cliente", "puntaje")
-    b = ordered.quantile_score(c, "lineas", "id_cliente", "puntaje_inverso", ascending=False)
-    return a.join(b.drop("lineas"), "id_cliente")
+    return ordered.quantile_scores(clients(s).select("id_cliente", "lineas"), [("lineas", "puntaje", True), ("lineas", "puntaje_inverso", False)])
 
 
 @query("f8_proportion_test", f="tasa_red tasa brecha z", i="x n", sql=CB + """, b AS (SELECT id_sucursal, sum(devueltas) x, sum(lineas) n FROM cb GROUP BY 1), r AS (SELECT *, (sum(x) OVER ())/(sum(n) OVER ()) tasa_red FROM b),

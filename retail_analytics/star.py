@@ -180,7 +180,13 @@ class Star:
 
 
 def enrich(ventas: DataFrame, articulo: DataFrame, sucursal: DataFrame, cliente: DataFrame) -> DataFrame:
-    """Left joins of the sales lines to the three dimensions; client on the composite (id, branch) key."""
+    """Left joins of the sales lines to the three dimensions; client on the composite (id, branch) key.
+
+    ``dropDuplicates`` on the client key states that it is unique: a client row cannot multiply a sale, and the
+    optimiser removes the whole join (and its shuffle of the facts) where no client column is used.  Where it is
+    used, the aggregate has the partitioning and order the sort-merge join needs anyway.
+    """
+    cliente = cliente.dropDuplicates(["id_cliente", "id_sucursal"])
     cli = cliente.drop("des_sucursal").withColumnsRenamed({"id_ruta_fv1": "id_ruta", "anulado": "cliente_anulado"})
     out = (ventas.join(articulo, "id_articulo", "left")
            .join(sucursal.withColumnRenamed("descripcion", "sucursal"), "id_sucursal", "left")
