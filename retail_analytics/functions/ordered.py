@@ -13,7 +13,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from retail_analytics.functions.grid import with_scalars
 from retail_analytics.functions.joins import join_null_safe
 
-BUCKETS = 32
+MIN_BUCKETS, MAX_BUCKETS = 32, 200
+
+
+def bucket_count(df: DataFrame) -> int:
+    """Buckets per group: as many as the session has shuffle partitions, within limits."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, n))
+
 
 
 GROUP = "_g"   # the group key as one struct: NULL-safe in joins, and joins and windows share its partitioning
@@ -49,8 +56,9 @@ def _place(cuts: str, col: str) -> Column:
     return F.size(F.filter(F.col(cuts), lambda c: c < F.col(col)))
 
 
-def bucketed(df: DataFrame, value: str, by: list[str], ident: str | None, n: int = BUCKETS) -> DataFrame:
+def bucketed(df: DataFrame, value: str, by: list[str], ident: str | None) -> DataFrame:
     """Add ``_k`` (bucket, ordered like the value), ``_hot`` (the bucket is one value) and ``_s`` (id bucket)."""
+    n = bucket_count(df)
     stats = [_cuts(value, n).alias("_c")] + ([_cuts(ident, n).alias("_ci")] if ident else [])
     d = _keyed(df, by)
     b = _join(d, d.groupBy(GROUP).agg(*stats), [GROUP]) if by else with_scalars(d, d.agg(*stats))
@@ -72,7 +80,7 @@ def running(df: DataFrame, value: str, sums: dict[str, str], by: list[str] | Non
     b = bucketed(df, value, by, ident)
     sign = F.col("_k") * (-1 if descending else 1)
     cells = b.groupBy(*g, "_k", "_s").agg(*[F.sum(m).alias(f"_t_{n}") for n, m in sums.items()])
-    w = W.partitionBy(*g).orderBy(sign, "_s")      # bounded: at most a few thousand cells per group
+    w = W.partitionBy(*g).orderBy(sign, "_s")      # cells only: bounded by the bucket count
     cells = cells.select(*g, "_k", "_s", *[
         (F.sum(f"_t_{n}").over(w.rowsBetween(W.unboundedPreceding, 0)) - F.col(f"_t_{n}")).alias(f"_o_{n}") for n in sums],
         *[F.sum(f"_t_{n}").over(W.partitionBy(*g)).alias(f"{n}_total") for n in sums])

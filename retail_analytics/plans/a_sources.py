@@ -82,7 +82,7 @@ def promo_source(s):
          .cast("string").alias("Artículo Distribuidora"), F.lit("x").alias("Sobrante"))
 
 
-PROMO_CTE = """wapi AS (SELECT fecha_comprobante::VARCHAR "Fecha", id_documento||letra||lpad(serie::VARCHAR,4,'0')||lpad(nro_doc::VARCHAR,8,'0') "Comprobante",
+PROMO_CTE = """prl AS (SELECT fecha_comprobante::VARCHAR "Fecha", id_documento||letra||lpad(serie::VARCHAR,4,'0')||lpad(nro_doc::VARCHAR,8,'0') "Comprobante",
   des_canal_mkt "Agrupaciones", id_cliente::VARCHAR "Cod. Cliente", razon_social "Razón Social", localidad "Dirección",
   id_articulo::VARCHAR "Artículo CMQ", des_articulo "Descripción", marca "Marca", calibre "Calibre", cantidades_con_cargo "Cantidad",
   precio_unitario_bruto "Precio Neto SF", facturacion_neta "Total", cantidades_sin_cargo "Cantidad Sin Cargo", bonificacion "Descuento %",
@@ -95,7 +95,7 @@ PROMO_CTE = """wapi AS (SELECT fecha_comprobante::VARCHAR "Fecha", id_documento|
 @query("a6_promo_lines", sql=PROMO_CTE + """SELECT * REPLACE (round("Cantidad",4)+0.0::DOUBLE AS "Cantidad",
 round("Precio Neto SF",8)+0.0::DOUBLE AS "Precio Neto SF", round("Total",4)+0.0::DOUBLE AS "Total",
 round("Cantidad Sin Cargo",4)+0.0::DOUBLE AS "Cantidad Sin Cargo", round("Descuento %",4)+0.0::DOUBLE AS "Descuento %",
-round("Descuento $ sobre PN SF",4)+0.0::DOUBLE AS "Descuento $ sobre PN SF", round("Monto A Acreditar",6)+0.0::DOUBLE AS "Monto A Acreditar") FROM wapi""")
+round("Descuento $ sobre PN SF",4)+0.0::DOUBLE AS "Descuento $ sobre PN SF", round("Monto A Acreditar",6)+0.0::DOUBLE AS "Monto A Acreditar") FROM prl""")
 def _(s):
     return ct.promo_lines(promo_source(s)).select(*[
         F.round(F.col(f"`{c}`"), {"Monto A Acreditar": 6, "Precio Neto SF": 8}.get(c, 4)).alias(c) if c in ct.PROMO_NUMBERS else F.col(f"`{c}`") for c in ct.PROMO_COLUMNS])

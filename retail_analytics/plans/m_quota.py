@@ -207,7 +207,7 @@ def _(s):
     return qt.redistribute_leavers(stage(q), alive, w)
 
 
-MAP = {"cerveza": ("CERVEZAS", "SALTA"), "agua": ("AGUAS", "AGUAS"), "vino": ("VINOS", "FINOS")}
+MAP = {"cerveza": ("CERVEZAS", "INDIVIDUAL"), "agua": ("AGUAS", "AGUAS"), "vino": ("VINOS", "FINOS")}
 
 
 def sheet(s):
@@ -220,7 +220,7 @@ def sheet(s):
     return w.unionByName(sub)
 
 
-LNG = "SELECT id_sucursal, sucursal, preventista, id_ruta, CASE generico WHEN 'PROMO' THEN 'CERVEZAS' WHEN 'SMALL' THEN 'AGUAS' ELSE 'VINOS' END generico, CASE generico WHEN 'PROMO' THEN 'SALTA' WHEN 'SMALL' THEN 'AGUAS' ELSE 'FINOS' END desagregado, cupo FROM cupos WHERE periodo='2001-06' AND generico IN ('PROMO','SMALL','LARGE')"
+LNG = "SELECT id_sucursal, sucursal, preventista, id_ruta, CASE generico WHEN 'PROMO' THEN 'CERVEZAS' WHEN 'SMALL' THEN 'AGUAS' ELSE 'VINOS' END generico, CASE generico WHEN 'PROMO' THEN 'INDIVIDUAL' WHEN 'SMALL' THEN 'AGUAS' ELSE 'FINOS' END desagregado, cupo FROM cupos WHERE periodo='2001-06' AND generico IN ('PROMO','SMALL','LARGE')"
 
 
 @query("m13_wide_to_long", f="cupo", sql=LNG + " AND cupo IS NOT NULL")

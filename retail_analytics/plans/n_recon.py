@@ -78,7 +78,7 @@ def enriched(s):
     return rc.enrich(promo(s), rc.client_branch(s.cliente.filter("id_cliente % 19 <> 0")), rc.collapse(li, rc.TERNA), sup, rc.document_price(li))
 
 
-EN = TE + ", " + DP + ", " + PROMO_CTE + """, w2 AS (SELECT * REPLACE (CASE WHEN "Cantidad Sin Cargo"=0 THEN "Descuento %" END AS "Descuento %") FROM wapi),
+EN = TE + ", " + DP + ", " + PROMO_CTE + """, w2 AS (SELECT * REPLACE (CASE WHEN "Cantidad Sin Cargo"=0 THEN "Descuento %" END AS "Descuento %") FROM prl),
 c5 AS (SELECT id_cliente, id_sucursal||' - '||des_sucursal suc FROM cli WHERE NOT anulado AND id_cliente%19<>0), sv AS (SELECT id_sucursal||' - '||descripcion lab, CASE WHEN id_sucursal%3<>0 THEN zona END zona FROM suc),
 en0 AS (SELECT w2.*, c5.suc "SUCURSAL", w2."Fecha"||"Cod. Cliente"||"Artículo Distribuidora" "CONCAT", te.precio "PRECIO FINAL", dp.precio_comprobante "PRECIO COMPROBANTE", sv.zona "ZONA",
  CASE WHEN contains("Descripción Acción",'MVB') THEN 'MVB' WHEN contains("Descripción Acción",'(ESC.)') THEN 'ESC' WHEN contains("Descripción Acción",'EXTRA TASA') THEN 'EXTRA TASA' ELSE 'OTRAS' END mvb, w2."Cantidad"*te.precio "Total2",
