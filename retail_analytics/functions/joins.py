@@ -1,8 +1,6 @@
 """Small join helpers."""
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -16,14 +14,3 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
         raise ValueError("keys needed")
     r = right.withColumn("_rk", F.struct(*keys)).drop(*keys)
     return left.join(r, F.struct(*keys) == F.col("_rk"), how).drop("_rk")
-
-
-def outer_fill(frames: list[DataFrame], keys: list[str], fill: dict[str, float] | None = None) -> DataFrame:
-    """Full outer join of several frames on NULL-safe keys, as one union and one aggregation.
-
-    Every frame has one row per key; measures are disjoint.  One shuffle instead of a chain of joins.
-    """
-    names = [c for f in frames for c in f.columns if c not in keys]
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    out = out.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names])
-    return out.fillna(fill) if fill else out

@@ -27,11 +27,6 @@ def ratio(num, den, empty: float | None = None) -> Column:
     return r if empty is None else F.coalesce(r, F.lit(float(empty)))
 
 
-def half_up(c: Column, digits: int = 0) -> Column:
-    """Half-up rounding of the decimal text of a double, as a spreadsheet does."""
-    return F.round(c, digits)
-
-
 def yoy(a, b) -> Column:
     """Change in % against b: 0/0 is 0, x/0 is 100; NULL counts as 0."""
     x, y = F.coalesce(F.col(a), F.lit(0.0)), F.coalesce(F.col(b), F.lit(0.0))

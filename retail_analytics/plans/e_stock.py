@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from retail_analytics.functions.shape import slug
-from retail_analytics.operators import calendar as cal, filters as fl, stock as st
+from retail_analytics.operators import calendar as cal, stock as st
 from retail_analytics.plans.c0_calendar import DAYS
 from retail_analytics.plans.registry import query
 from retail_analytics.plans.sqltext import names, wide as W

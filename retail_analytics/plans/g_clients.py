@@ -1,8 +1,6 @@
 """G: client base."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from retail_analytics.operators import clients as cl, filters as fl
 from retail_analytics.plans.registry import query
 from retail_analytics.sources.sinks import stage

@@ -66,6 +66,17 @@ def test_contract_errors(spark):
     assert rows(got) == [("falta", "b", 0)]
 
 
+def test_promo_reader_keeps_the_contract(spark, tmp_path):
+    head = ",".join(f'"{c}"' for c in ct.PROMO_COLUMNS)
+    body = ",".join("1.5" if c in ct.PROMO_NUMBERS else "x" for c in ct.PROMO_COLUMNS)
+    (tmp_path / "p.csv").write_text(f"{head}\n{body}\n", encoding="utf-8")
+    got = ct.read_promo_lines(spark, str(tmp_path / "p.csv"))
+    assert got.columns == ct.PROMO_COLUMNS and got.collect()[0]["Cantidad"] == 1.5
+    (tmp_path / "bad.csv").write_text(f"{head}\n{body.replace('1.5', 'abc', 1)}\n", encoding="utf-8")
+    with pytest.raises(Exception):
+        ct.read_promo_lines(spark, str(tmp_path / "bad.csv")).collect()
+
+
 def test_rejection_rate_without_sales_is_zero(spark):
     df = spark.createDataFrame([("x", -3.0), ("y", 4.0), ("y", -1.0)], "v string, cantidades_total double")
     assert rows(sl.rejections(df, ["v"], only_sold=False)) == [("x", 0.0, 3.0, 0.0), ("y", 4.0, 1.0, 0.25)]
