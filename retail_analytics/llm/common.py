@@ -121,6 +121,19 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+def groups(batches, column: str = "text", size: int = 4 << 20):
+    """(texts, their row numbers, batch) in groups of bounded size, or of one text."""
+    for b in batches:
+        texts, i = texts_of(b, column), 0
+        while i < len(texts):
+            j, n = i, 0
+            while j < len(texts) and (j == i or n + len(texts[j]) <= size):
+                n += len(texts[j])
+                j += 1
+            yield texts[i:j], np.arange(i, j), b
+            i = j
+
+
 # ---- fixed-size filters -------------------------------------------------------------------------------------------
 # Values met at least twice, or any values, as a bitmap of 2**26 bits.  Its size doesn't grow with the data; it only
 # keeps rows out of later shuffles.  A wrong "yes" costs a row that the exact step after it drops.
