@@ -34,11 +34,11 @@ def _shingles(df: DataFrame, words: str, k: int, *keep: str) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """Distinct windows (win array, n words, items): all runs of ``window`` words of an item, the whole item if it has fewer."""
+    """Distinct windows (win array, joined text, n words, items): all runs of ``window`` words of an item, the whole item if it has fewer."""
     own = pick(benchmark, item_id=id_col, text=text_col).select("item_id", _lower(words_of(F.col("text"))).alias("words")).where(F.size("words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (window - 1), F.lit(1)))
     return (own.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("words", i, window))).alias("win"))
-            .groupBy("win").agg(F.collect_set("item_id").alias("items")).withColumn("n", F.size("win")))
+            .groupBy("win").agg(F.collect_set("item_id").alias("items")).withColumn("n", F.size("win")).withColumn("joined", F.array_join("win", " ")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, id_col: str = "doc_id",
@@ -50,27 +50,30 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     A null or empty text has no words and no spans; an item without words matches nothing; items that repeat or share windows
     all count; repeated rows stay; with an empty benchmark nothing is hit; other columns are dropped.
     """
-    source = pick(docs, doc_id=id_col, text=text_col).select("doc_id", "text", words_of(F.col("text")).alias("words"))
-    windows = item_windows(benchmark, window, item_id_col, item_text_col).withColumn("win_id", F.xxhash64("win"))
+    sha = F.xxhash64("text").alias("sha")                 # tells apart rows that share a doc_id
+    source = pick(docs, doc_id=id_col, text=text_col).select("doc_id", sha, words_of(F.col("text")).alias("words"))
+    windows = item_windows(benchmark, window, item_id_col, item_text_col)
     sizes = {r["n"]: r["count"] for r in windows.groupBy("n").count().collect()}      # at most ``window`` rows
     near = F.broadcast if sum(sizes.values()) <= max_broadcast_windows else (lambda df: df)
 
     found = []
     for k in sorted({min(shingle, n) for n in sizes}):
         some = windows.where(F.col("n") >= shingle) if k == shingle else windows.where(F.col("n") == k)
-        own = _shingles(some, "win", k, "win", "n", "items")
+        own = _shingles(some, "win", k, "joined", "n", "items")
         seen = _shingles(source, "words", k).join(near(own.select("key").distinct()), "key", "left_semi").groupBy("key").agg(F.count("*").alias("df"))
-        rarest = (own.join(seen, "key").groupBy("win", "n", "items")            # a shingle that no document has: no such window
+        rarest = (own.join(seen, "key").groupBy("joined", "n", "items")         # a shingle that no document has: no such window
                   .agg(F.count(F.lit(1)).alias("present"), F.min(F.struct("df", "at", "key")).alias("first"))
                   .where(F.col("present") == F.col("n") - (k - 1))
-                  .select("win", "n", "items", F.col("first.at").alias("offset"), F.col("first.key").alias("key")))
+                  .select("joined", "n", "items", F.col("first.at").alias("offset"), F.col("first.key").alias("key")))
+        # No lambda from the explode to the last select: they stay one compiled stage, where the array of words is a
+        # reference and only the verified hits become rows.
         start = F.col("at") - F.col("offset") + 1
-        hits = (_shingles(source, "words", k, "doc_id", "text", "words").join(near(rarest), "key")
-                .where((start >= 1) & (start + F.col("n") - 1 <= F.size("words")))
-                .where(_lower(F.slice("words", F.greatest(start, F.lit(1)), F.col("n"))) == F.col("win")))
-        found.append(hits.select("doc_id", F.sha2("text", 256).alias("sha"), F.struct(start.alias("start"), "n").alias("span"), "items"))
+        place = F.translate(F.array_join(F.slice("words", F.greatest(start, F.lit(1)), F.col("n")), " "), UPPER, LOWER)
+        hits = (_shingles(source, "words", k, "doc_id", "sha", "words").join(near(rarest), "key")
+                .where((start >= 1) & (start + F.col("n") - 1 <= F.size("words")) & (place == F.col("joined"))))
+        found.append(hits.select("doc_id", "sha", start.alias("start"), "n", "items"))
 
-    base = source.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"), F.size("words").cast("long").alias("n_words"))
+    base = source.select("doc_id", "sha", F.size("words").cast("long").alias("n_words"))
     item_type = windows.schema["items"].dataType.simpleString()
     empty_spans, empty_items = F.array().cast("array<struct<start:int,n:int>>"), F.array().cast(item_type)
     if not found:
@@ -78,7 +81,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     hits = found[0]
     for more in found[1:]:
         hits = hits.unionByName(more)
-    by_doc = (hits.groupBy("doc_id", "sha").agg(F.collect_set("span").alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    by_doc = (hits.groupBy("doc_id", "sha").agg(F.collect_set(F.struct("start", "n")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
               .withColumnRenamed("doc_id", "hit_id").withColumnRenamed("sha", "hit_sha"))
     places = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1)))
     return (base.join(by_doc, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("sha") == F.col("hit_sha")), "left")
