@@ -1,15 +1,62 @@
-"""Corpus pipeline over ``documents``: quality rules, near-duplicate join, substring dedup, decontamination, byte-level BPE."""
+"""Corpus pipeline over ``documents``: quality rules, near-duplicate join, substring dedup, decontamination, byte-level BPE.
+
+Each stage takes (spark, docs, sf_dir), works on all rows of docs and returns rows with its columns; the last returns the coded
+documents.  A stage keeps other columns of docs; rows without a doc_id are never somebody's copy and never contaminated by id.
+"""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from retail_analytics.llm import bpe
+from retail_analytics.llm.common import cut
+from retail_analytics.llm.decontaminate import decontaminate
+from retail_analytics.llm.jaccard_join import jaccard_join
+from retail_analytics.llm.quality import quality
+from retail_analytics.llm.substring_dedup import substring_dedup
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the perplexity bands reject go."""
+    gone = quality(docs).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text"))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_text"]), "left_anti")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by a similarity of 0.8 on five-word shingles, the smallest doc_id stays."""
+    gone = jaccard_join(docs, shingle=5, percent=80).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The text becomes the words left, n_chars its length; no document goes."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    out = substring_dedup(docs, keep=others).withColumnRenamed("kept", "text")
+    return out.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a window of a benchmark item go."""
+    gone = (decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit > 0")
+            .select(F.col("doc_id").alias("gone_id")).distinct())
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids and of the decoded bytes."""
+    import public_tokenizers
+    return bpe.digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages),
+          ("decontamination", decontamination), ("byte_bpe", byte_bpe)]
+ORACLE_SQL = None          # the perplexity bands and the reach of links are beyond SQL; tests/llm holds a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over the whole documents table."""
+    """All stages, one after the other, over the whole documents table; what a stage kept is checkpointed for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = cut(docs)
     return docs
