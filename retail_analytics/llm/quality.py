@@ -240,7 +240,7 @@ def bands(scores: DataFrame, width: float, least: float) -> DataFrame:
 
 def quality(docs: DataFrame, order: int = ORDER, width: float = WIDTH, least_width: float = LEAST_WIDTH, id_col: str = "doc_id",
             text_col: str = "text", lang_col: str = "lang", max_grams: int = MAX_GRAMS) -> DataFrame:
-    """One row per document: doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, log_ppl
+    """One row per document: doc_id, text_hash (xxhash64), lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, log_ppl
     (natural log of the perplexity per word; null without words), low, high (its language's band), kept.
 
     base_failed: fewer than 50 words, or more than half of them in repeated 3-word windows.  Documents that pass are kept when
@@ -266,8 +266,8 @@ def quality(docs: DataFrame, order: int = ORDER, width: float = WIDTH, least_wid
         limits = F.broadcast(limits)
     kept = ~F.col("base_failed") & F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(True))
     return (scores.join(limits, F.col("lang").eqNullSafe(F.col("l")), "left")
-            .select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "log_ppl", "low", "high",
-                    kept.alias("kept")))
+            .select("doc_id", F.col("t").alias("text_hash"), "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "log_ppl", "low", "high", kept.alias("kept")))
 
 
 def _joined(source: DataFrame, counts: DataFrame, model: DataFrame, order: int) -> DataFrame:
