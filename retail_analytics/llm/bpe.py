@@ -6,12 +6,14 @@ import base64
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .common import pick
 
 CHUNK, OVERLAP = 1 << 16, 1 << 12     # characters
+SLICE = 1 << 21                       # bytes of text encoded at a time
 
 
 def load_ranks(path: str) -> dict:
@@ -28,20 +30,27 @@ def _coder(own: dict, pattern: str):
     return own["coder"][pattern]
 
 
-def _ids(rows: list[list[int]]) -> pa.Array:
-    offsets = np.zeros(len(rows) + 1, np.int32)
-    np.cumsum([len(r) for r in rows], out=offsets[1:])
-    flat = np.fromiter((x for r in rows for x in r), np.int32, int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+def _slices(batches, column: str, size: int):
+    """Batches of few rows: at most ``size`` bytes of the column together, or one row."""
+    for b in batches:
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(b.column(column)), 0)).to_numpy() if b.num_rows else np.zeros(0)
+        i = 0
+        while i < b.num_rows:
+            base = ends[i - 1] if i else 0
+            j = max(i + 1, int(np.searchsorted(ends, base + size, "right")))
+            yield b.slice(i, j - i)
+            i = j
 
 
 def _encode_with(shared, pattern: str, keep: list[str], text: str):
     """Arrow function: the columns ``keep`` and the ids of the text column."""
     def encode(batches):
-        for b in batches:
+        for b in _slices(batches, text, SLICE):
             coder = _coder(shared.value, pattern)
-            rows = [coder.encode_ordinary(t or "") for t in b.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), _ids(rows)], [*keep, "ids"])
+            rows = [np.array(coder.encode_ordinary(t or ""), np.int32) for t in b.column(text).to_pylist()]
+            offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), ids], [*keep, "ids"])
     return encode
 
 
@@ -127,9 +136,13 @@ def bpe_decode(coded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_co
 
     def decode(batches):
         of = shared.value.__getitem__
-        for b in batches:
-            raw = [b"".join(map(of, r or ())) for r in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(raw, pa.binary())], ["doc_id", "ids", "raw"])
+        for whole in batches:
+            for b in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+                ids = b.column("ids")
+                sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+                flat, ends = ids.flatten().to_numpy(), np.cumsum(sizes)
+                raw = [b"".join(map(of, flat[e - n:e].tolist())) for n, e in zip(sizes, ends)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, pa.array(raw, pa.binary())], ["doc_id", "ids", "raw"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
     return (source.mapInArrow(decode, f"doc_id {kind}, ids array<int>, raw binary")
