@@ -27,6 +27,8 @@ LABELLED = [  # the features in this order, then 1 for main text
     (1, 0, 6, 0, 8, 0, 1, 0, 1, 1), (9, 0, 0, 0, 30, 0, 1, 0, 1, 1), (1, 0, 40, 0, 25, 0, 1, 0, 0, 1), (3, 0, 2, 0, 2, 0, 1, 0, 0, 1),
     (12, 0, 9, 1, 60, 0, 1, 0, 0, 1), (55, 0.04, 70, 0, 8, 0.5, 1, 0, 0, 1), (180, 0, 20, 0, 0, 0, 1, 0, 0, 1), (4, 1, 30, 0, 45, 0, 1, 0, 0, 1),
     (25, 0.6, 14, 0, 14, 0, 1, 0, 0, 1), (7, 0, 0, 0, 0, 0, 1, 0, 0, 1), (2, 0, 1, 1, 5, 0, 1, 0, 1, 1), (30, 0, 1, 1, 7, 0, 1, 0, 0, 1),
+    (1, 0, 0, 0, 1, 1, 1, 0, 0, 1), (12, 0, 3, 0, 2, 1, 1, 0, 0, 1), (4, 1, 4, 1, 4, 1, 1, 0, 0, 1), (9, 0.7, 50, 0, 1, 1, 1, 0, 0, 1),
+    (2, 0, 0, 0, 0, 0, 1, 0, 0, 1), (3, 0, 60, 0, 3, 1, 1, 0, 1, 1), (200, 0.5, 0, 0, 6, 0.9, 1, 0, 0, 1),
     # inside menus, headers, footers, sidebars, notices, adverts, forms, comments, in an article or out of it
     (1, 1, 0, 0, 1, 1, 0, 1, 0, 0), (2, 1, 1, 1, 1, 1, 0, 1, 0, 0), (14, 0, 1, 1, 9, 0, 0, 1, 0, 0), (60, 0, 5, 0, 40, 0, 0, 1, 0, 0),
     (9, 0, 44, 0, 0, 0, 0, 1, 0, 0), (120, 0.02, 50, 0, 20, 0, 0, 1, 0, 0), (25, 0, 3, 0, 60, 0, 0, 1, 1, 0), (35, 0, 90, 0, 30, 0, 1, 1, 0, 0),
@@ -34,9 +36,9 @@ LABELLED = [  # the features in this order, then 1 for main text
     # pages without an article element: long runs of text, their headings and short lines between them
     (40, 0, 8, 0, 50, 0, 0, 0, 0, 1), (80, 0.1, 60, 0, 3, 1, 0, 0, 0, 1), (18, 0, 2, 1, 30, 0, 0, 0, 0, 1), (150, 0, 0, 0, 0, 0, 0, 0, 0, 1),
     (22, 0.05, 40, 0, 2, 0.9, 0, 0, 0, 1), (6, 0, 50, 0, 45, 0, 0, 0, 0, 1), (2, 0, 35, 0, 60, 0, 0, 0, 0, 1), (8, 0, 3, 1, 55, 0, 0, 0, 1, 1),
-    (5, 0, 0, 0, 28, 0, 0, 0, 1, 1), (12, 0, 24, 0, 11, 0, 0, 0, 0, 1), (60, 0.2, 3, 1, 18, 0, 0, 0, 0, 1), (11, 0, 18, 0, 70, 0.1, 0, 0, 0, 1),
+    (5, 0, 0, 0, 28, 0, 0, 0, 1, 1), (2, 0, 3, 1, 42, 0, 0, 0, 1, 1), (3, 0, 6, 0.5, 90, 0, 0, 0, 1, 1), (1, 0, 2, 1, 33, 0, 0, 0, 1, 1), (12, 0, 24, 0, 11, 0, 0, 0, 0, 1), (60, 0.2, 3, 1, 18, 0, 0, 0, 0, 1), (11, 0, 18, 0, 70, 0.1, 0, 0, 0, 1),
     # and what stands around it
-    (1, 1, 0, 0, 1, 1, 0, 0, 0, 0), (3, 1, 2, 1, 4, 1, 0, 0, 0, 0), (4, 0, 1, 1, 2, 1, 0, 0, 0, 0), (12, 0.9, 3, 1, 8, 0.7, 0, 0, 0, 0),
+    (1, 1, 0, 0, 1, 1, 0, 0, 0, 0), (3, 1, 2, 1, 4, 1, 0, 0, 0, 0), (2, 0, 3, 1, 3, 1, 0, 0, 1, 0), (3, 0, 30, 0, 4, 1, 0, 0, 1, 0), (4, 0, 1, 1, 2, 1, 0, 0, 0, 0), (12, 0.9, 3, 1, 8, 0.7, 0, 0, 0, 0),
     (30, 0.8, 20, 0.9, 25, 0.7, 0, 0, 0, 0), (2, 0, 0, 0, 1, 1, 0, 0, 0, 0), (3, 0, 2, 0, 3, 1, 0, 0, 0, 0), (9, 0.6, 40, 0, 5, 1, 0, 0, 0, 0),
     (7, 0, 2, 1, 3, 0, 0, 0, 0, 0), (3, 0, 3, 0, 0, 0, 0, 0, 0, 0), (5, 0.5, 60, 0, 0, 0, 0, 0, 0, 0), (18, 1, 50, 0, 40, 0, 0, 0, 0, 0),
 ]
