@@ -1,6 +1,7 @@
 """Complete grids: every row of a frame combined with every member of a small dimension."""
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -16,6 +17,14 @@ def complete_grid(df: DataFrame, dim: DataFrame) -> DataFrame:
             .select(*[df[c] for c in df.columns], *[F.col(f"_m.{c}").alias(c) for c in dim.columns]))
 
 
+def shared(df: DataFrame) -> DataFrame:
+    """An aggregate that the following steps read several times: computed on first use, on executors' memory and disk.
+
+    Nothing runs while the plan is built, the plan stays small, and a lost executor's blocks come back from the lineage.
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row aggregate to every row (uncorrelated scalar subquery, no join)."""
     packed = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()

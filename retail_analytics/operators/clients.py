@@ -3,11 +3,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from retail_analytics.functions.grid import with_scalars
-from retail_analytics.functions.ordered import quantile_scores, quantiles
+from retail_analytics.functions.grid import shared, with_scalars
+from retail_analytics.functions.ordered import quantile_scores, quantiles, running
 from retail_analytics.functions.shape import grouping_sets, ratio
 from retail_analytics.operators import filters as fl, stats
-from retail_analytics.sources.sinks import stage
 
 # -- fixed values -------------------------------------------------------------------------------------------------
 RFM_BINS = 5
@@ -72,7 +71,7 @@ def segment(r: Column, f: Column) -> Column:
 
 def rfm_score(base: DataFrame, counters: list[int]) -> DataFrame:
     """Scores 1..5 by average-rank quantiles, cell, segment and the counter-sale flag (flagged, never dropped)."""
-    b = quantile_scores(stage(base), [("recencia_dias", "score_r", False), ("frecuencia", "score_f", True), ("monetario_neto", "score_m", True)], RFM_BINS)
+    b = quantile_scores(shared(base), [("recencia_dias", "score_r", False), ("frecuencia", "score_f", True), ("monetario_neto", "score_m", True)], RFM_BINS)
     return (b.withColumn("celda_rfm", F.concat("score_r", "score_f", "score_m"))
             .withColumn("segmento", segment(F.col("score_r"), F.col("score_f")))
             .withColumn("es_mostrador", F.col("id_cliente").isin(counters) if counters else F.lit(False)))
@@ -80,7 +79,7 @@ def rfm_score(base: DataFrame, counters: list[int]) -> DataFrame:
 
 def rfm_summary(scored: DataFrame) -> DataFrame:
     """Weight of each segment with medians, and the TOTAL row from the clients."""
-    s = stage(scored.select("segmento", "id_cliente", "monetario_neto", "monetario_bruto", "descuento", "recencia_dias", "frecuencia"))
+    s = shared(scored.select("segmento", "id_cliente", "monetario_neto", "monetario_bruto", "descuento", "recencia_dias", "frecuencia"))
     both = s.withColumn("segmento", F.explode(F.array("segmento", F.lit(TOTAL))))
     t = both.groupBy("segmento").agg(F.count(F.lit(1)).alias("clientes"), F.sum("monetario_neto").alias("neto"),
                                      F.sum("monetario_bruto").alias("bruto"), F.sum("descuento").alias("descuento"))
@@ -121,7 +120,7 @@ def churn(r: DataFrame, closed: list[str], counters: list[int]) -> DataFrame:
 
 def churn_total(c: DataFrame) -> DataFrame:
     """TOTAL row: sums, medians of recency and p90, number of clients that are late."""
-    s = stage(c.select("id_cliente", "recencia_dias", "gap_p90", "neto_12m", "dias_compra_24m", "estado"))
+    s = shared(c.select("id_cliente", "recencia_dias", "gap_p90", "neto_12m", "dias_compra_24m", "estado"))
     t = s.agg(F.count(F.lit(1)).alias("clientes"), F.sum("neto_12m").alias("neto_12m"), F.sum("dias_compra_24m").alias("dias_compra_24m"),
               F.count_if(F.col("estado") != "Al dia").alias("atrasados"))
     t = with_scalars(t, quantiles(s, "gap_p90", {"gap_p90_mediano": 0.5}))
@@ -197,16 +196,16 @@ def article_base(lines: DataFrame, after: str, until: str) -> DataFrame:
         F.sum("cantidad_total_htls").alias("htls"), F.sum("cantidades_total").alias("bultos"), F.count_distinct("id_cliente").alias("clientes"))
 
 
-def top_articles(base: DataFrame, n: int = 25) -> DataFrame:
-    """First ``n`` SKUs by net with cumulative share, and the TOTAL of the whole catalogue sold."""
-    b = with_scalars(base, base.agg(F.sum("neto").alias("_t"), F.sum("bruto").alias("_b"), F.sum("htls").alias("_h"), F.count(F.lit(1)).alias("_n")))
-    head = b.orderBy(F.desc("neto"), "id_articulo").limit(n)          # top-n report
-    w = W.orderBy(F.desc("neto"), "id_articulo")                      # over the n report rows
-    head = head.withColumn("pct_neto", ratio("neto", "_t")).withColumn("pct_acumulado", F.sum(ratio("neto", "_t")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    rows = head.select("id_articulo", "articulo", "neto", "pct_neto", "pct_acumulado", "bruto", "htls", F.col("clientes").alias("n"))
+def top_articles(base: DataFrame) -> DataFrame:
+    """All SKUs by net with place and cumulative share, and the TOTAL of the whole catalogue sold."""
+    d = base.withColumn("_v", F.round(F.coalesce("neto", F.lit(0.0)), 6)).withColumn("_one", F.lit(1))
+    r = running(d, "_v", {"_c": "neto", "puesto": "_one"}, ident="id_articulo", descending=True)
+    rows = r.select("id_articulo", "articulo", "neto", ratio("neto", "_c_total").alias("pct_neto"), ratio("_c", "_c_total").alias("pct_acumulado"),
+                    "bruto", "htls", F.col("clientes").alias("n"), F.col("puesto").cast("long").alias("puesto"))
     total = base.agg(F.sum("neto").alias("neto"), F.sum("bruto").alias("bruto"), F.sum("htls").alias("htls"), F.count(F.lit(1)).alias("n"))
     return rows.unionByName(total.select(F.lit(None).cast("long").alias("id_articulo"), F.lit(TOTAL).alias("articulo"), "neto",
-                                         F.lit(1.0).alias("pct_neto"), F.lit(1.0).alias("pct_acumulado"), "bruto", "htls", "n"))
+                                         F.lit(1.0).alias("pct_neto"), F.lit(1.0).alias("pct_acumulado"), "bruto", "htls", "n",
+                                         F.lit(None).cast("long").alias("puesto")))
 
 
 def concentration_series(clients: DataFrame, articles: DataFrame) -> DataFrame:
@@ -215,7 +214,7 @@ def concentration_series(clients: DataFrame, articles: DataFrame) -> DataFrame:
         parts = F.array(F.struct(F.lit("Neto").alias("medida"), F.col(net).alias("valor")),
                         F.struct(F.lit("Hectolitros").alias("medida"), F.col("htls").alias("valor")))
         return df.select(F.lit(universe).alias("universo"), F.col(ident).alias("id"), F.inline(parts))
-    return stage(pack(clients, "Clientes", "id_cliente", "monetario_neto").unionByName(pack(articles, "Articulos", "id_articulo", "neto")))
+    return shared(pack(clients, "Clientes", "id_cliente", "monetario_neto").unionByName(pack(articles, "Articulos", "id_articulo", "neto")))
 
 
 def concentration_table(series: DataFrame) -> DataFrame:

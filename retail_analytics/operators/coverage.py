@@ -479,14 +479,13 @@ def month_matrix(df: DataFrame, years: list[int]) -> DataFrame:
     return wide(df.withColumn("_k", k), ["zona"], "_k", [f"{y}_{m:02d}" for y in years for m in range(1, 13)], {"c": "clientes"})
 
 
-def top_brands(df: DataFrame, n: int, fixed: list[str] | None = None) -> DataFrame:
-    """Brands to draw: the fixed list as far as present, else the first n by clients."""
+def top_brands(df: DataFrame, fixed: list[str] | None = None) -> DataFrame:
+    """Brands to draw, in order: the fixed list as far as present, else all by clients (the caller takes the first ones)."""
     t = df.groupBy("marca").agg(F.sum("clientes").alias("clientes"))
     if fixed:
         pos = F.array_position(F.array(*[F.lit(b) for b in fixed]), F.col("marca"))
         return t.filter(F.col("marca").isin(fixed)).withColumn("orden", pos.cast("long"))
-    top = t.orderBy(F.desc("clientes"), "marca").limit(n)       # top-n report; brands, not facts
-    return top.withColumn("orden", F.row_number().over(W.orderBy(F.desc("clientes"), "marca")).cast("long"))
+    return t.withColumn("orden", F.row_number().over(W.orderBy(F.desc("clientes"), "marca")).cast("long"))     # one row per brand
 
 
 def quarter_clients(lines: DataFrame, categories: list[str], special: str) -> DataFrame:

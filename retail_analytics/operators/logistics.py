@@ -3,11 +3,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from retail_analytics.functions.grid import with_scalars
+from retail_analytics.functions.grid import shared, with_scalars
 from retail_analytics.functions.ordered import quantiles, running
 from retail_analytics.functions.shape import append_total, grouping_sets, ratio
 from retail_analytics.operators import filters as fl, stats as st
-from retail_analytics.sources.sinks import stage
 
 # -- fixed values -------------------------------------------------------------------------------------------------
 SENTINELS = [0, 33]
@@ -52,7 +51,7 @@ def nearest_rank(hist: DataFrame, by: list[str], value: str, weight: str, probs:
 def service_level(hist: DataFrame, sentinels: list[int] | None = None, min_deliveries: int = MIN_DELIVERIES) -> DataFrame:
     """Service level by branch and by carrier with the verdict against the network, and the TOTAL.
 
-    Sentinel carriers leave before the base rate; carriers need a minimum of deliveries.
+    Sentinel carriers leave before the base rate; carriers with few deliveries keep their row, flagged and without verdict.
     """
     sent = SENTINELS if sentinels is None else sentinels
     d = hist.filter(~F.coalesce(F.col("id_fletero_carga").isin(sent), F.lit(False)))
@@ -65,8 +64,10 @@ def service_level(hist: DataFrame, sentinels: list[int] | None = None, min_deliv
     t = x.groupBy(*key).agg(F.sum("entregas").alias("entregas"), F.sum(F.when(F.col("lead_dias") <= 1, F.col("entregas")).otherwise(0)).alias("_ok"),
                             ratio(F.sum(F.col("lead_dias") * F.col("entregas")), F.sum("entregas")).alias("lead_medio"), F.sum("bultos").alias("bultos"), F.sum("neto").alias("neto"))
     t = t.join(nearest_rank(x, key, "lead_dias", "entregas", {"lead_p50": 0.5, "lead_p90": 0.9}), key)
-    t = t.filter((F.col("nivel") != "Fletero") | (F.col("entregas") >= min_deliveries))
-    t = st.verdict(t, "_ok", "entregas", GAP_SERVICE, True, LAGGARD, "Mejor que la red", ["nivel"]).withColumnRenamed("tasa", "otif")
+    t = t.withColumn("muestra_chica", (F.col("nivel") == "Fletero") & (F.col("entregas") < min_deliveries))
+    t = t.withColumn("_s", F.when(~F.col("muestra_chica"), F.col("_ok"))).withColumn("_n", F.when(~F.col("muestra_chica"), F.col("entregas")))
+    t = st.verdict(t, "_s", "_n", GAP_SERVICE, True, LAGGARD, "Mejor que la red", ["nivel"]).drop("tasa", "_s", "_n")
+    t = t.withColumn("otif", ratio("_ok", "entregas"))
     tot = F.col("nivel") == "TOTAL"
     t = t.withColumn("veredicto", F.when(tot, "Red completa").otherwise(F.col("veredicto"))).withColumn("z", F.when(~tot, F.col("z")))
     return t.withColumn("brecha", F.when(tot, 0.0).otherwise(F.col("brecha"))).drop("_ok").withColumnRenamed("suc", "sucursal")
@@ -97,7 +98,7 @@ def rejection_metrics(lines: DataFrame, cliente: DataFrame, articulo: DataFrame,
     dims = {"Sucursal": "id_sucursal", "Fletero": "id_fletero_carga", "Cliente": "id_cliente", "Articulo": "id_articulo", "Dia de semana": "dow"}
     cell = F.explode(F.array(*[F.struct(F.lit(k).alias("dimension"), F.col(c).alias("id")) for k, c in dims.items()]))
     t = fine.withColumn("_c", cell).select("_c.dimension", "_c.id", *REJ).filter((F.col("dimension") != "Fletero") | ~F.coalesce(F.col("id").isin(sent), F.lit(False)))
-    t = stage(t.groupBy("dimension", "id").agg(*[F.sum(c).alias(c) for c in REJ]))
+    t = shared(t.groupBy("dimension", "id").agg(*[F.sum(c).alias(c) for c in REJ]))
     c = cliente.groupBy("id_cliente").agg(F.max(F.when(F.col("fantasia").rlike(r"\p{Alnum}"), fl.blank_to_null("fantasia"))).alias("_f"),
                                           F.max(fl.blank_to_null("razon_social")).alias("_r"), F.max(fl.blank_to_null("des_subcanal_mkt")).alias("subcanal"))
     name = F.coalesce("_f", F.concat("_r", F.lit(" ["), "id_cliente", F.lit("]")), F.concat(F.lit("CLIENTE "), "id_cliente"))
@@ -124,11 +125,12 @@ def rejection_metrics(lines: DataFrame, cliente: DataFrame, articulo: DataFrame,
 
 
 def rejection_table(long: DataFrame, counters: list[int], closed: list[str], min_lines: int = MIN_LINES_REJECTION, top: int = TOP) -> DataFrame:
-    """Rate against the network inside each dimension, share of the rejected value, Pareto, top-n and a RESTO row.
+    """Rate against the network inside each dimension, share of the rejected value, Pareto, and a RESTO row for the tail.
 
-    Base rate, share and Pareto come from the whole dimension; small entities keep their row and lose the verdict.
+    Base rate, share and Pareto come from the whole dimension; small entities keep their row and lose the verdict.  The
+    entities after the first ``top`` keep their rows too, flagged ``cola``; the RESTO row adds them up.
     """
-    d = stage(st.verdict(long, "n_rechazo", "n_lineas", GAP_REJECTION, False, "Rechazo alto (significativo)", "Rechazo bajo (significativo)", ["dimension"]))
+    d = shared(st.verdict(long, "n_rechazo", "n_lineas", GAP_REJECTION, False, "Rechazo alto (significativo)", "Rechazo bajo (significativo)", ["dimension"]))
     long_dim = F.col("dimension").isin(LONG_DIMENSIONS)
     small = long_dim & (F.col("n_lineas") < min_lines)
     d = d.withColumn("veredicto", F.when(small, SMALL).otherwise(F.col("veredicto"))).withColumn("significativo", F.col("significativo") & ~small)
@@ -140,17 +142,17 @@ def rejection_table(long: DataFrame, counters: list[int], closed: list[str], min
     r = r.withColumn("_tail", long_dim & (F.col("_o") > top) & (F.col("_o_total") > top))
     note = (F.when((F.col("dimension") == "Sucursal") & F.col("entidad").isin(closed or [""]), "Sucursal cerrada")
             .when((F.col("dimension") == "Cliente") & F.col("id_entidad").isin([str(x) for x in counters]), "Cliente mostrador").otherwise(""))
-    cols = ["dimension", "entidad", *REJ, "tasa", "tasa_red", "brecha", "z", "significativo", "veredicto", "share", "pareto", "nota"]
-    head = r.filter(~F.col("_tail")).withColumn("nota", note).select(*cols)
+    cols = ["dimension", "entidad", *REJ, "tasa", "tasa_red", "brecha", "z", "significativo", "veredicto", "share", "pareto", "nota", "cola"]
+    head = r.withColumn("nota", note).withColumn("cola", F.col("_tail")).select(*cols)
     null = F.lit(None).cast("double")
     rest = r.filter("_tail").groupBy("dimension").agg(F.count(F.lit(1)).alias("_k"), *[F.sum(c).alias(c) for c in REJ], F.sum("share").alias("share"))
     rest = rest.select("dimension", F.concat(F.lit(f"{REST} ("), "_k", F.lit(" entidades)")).alias("entidad"), *REJ, ratio("n_rechazo", "n_lineas").alias("tasa"),
                        null.alias("tasa_red"), null.alias("brecha"), null.alias("z"), F.lit(False).alias("significativo"), F.lit("Cola agregada").alias("veredicto"),
-                       "share", F.lit(1.0).alias("pareto"), F.lit("").alias("nota"))
+                       "share", F.lit(1.0).alias("pareto"), F.lit("").alias("nota"), F.lit(False).alias("cola"))
     t = long.filter("dimension = 'Sucursal'").agg(*[F.sum(c).alias(c) for c in REJ])
     rate = ratio("n_rechazo", "n_lineas")
     t = t.select(F.lit("TOTAL").alias("dimension"), F.lit(TOTAL).alias("entidad"), *REJ, rate.alias("tasa"), rate.alias("tasa_red"), F.lit(0.0).alias("brecha"), null.alias("z"),
-                 F.lit(False).alias("significativo"), F.lit("Red completa").alias("veredicto"), F.lit(1.0).alias("share"), F.lit(1.0).alias("pareto"), F.lit("").alias("nota"))
+                 F.lit(False).alias("significativo"), F.lit("Red completa").alias("veredicto"), F.lit(1.0).alias("share"), F.lit(1.0).alias("pareto"), F.lit("").alias("nota"), F.lit(False).alias("cola"))
     return head.unionByName(rest).unionByName(t)
 
 
@@ -158,9 +160,12 @@ def rejection_table(long: DataFrame, counters: list[int], closed: list[str], min
 RET = ["bultos_bruto", "bultos_dev", "bruto_pesos", "dev_pesos"]
 
 
-def return_rates(lines: DataFrame, min_units: float = MIN_UNITS_RETURN, z_cut: float = Z_OUTLIER, top: int = TOP, closed: list[str] | None = None,
+def return_rates(lines: DataFrame, min_units: float = MIN_UNITS_RETURN, z_cut: float = Z_OUTLIER, closed: list[str] | None = None,
                  partial_month: str | None = None) -> DataFrame:
-    """Returns as a share of the own gross sale by category, brand, branch, month and SKU (with a floor and robust z)."""
+    """Returns as a share of the own gross sale by category, brand, branch, month and SKU.
+
+    SKUs from ``min_units`` on get a robust z; the others keep their row, flagged ``bajo_piso``.
+    """
     inv = F.col("id_documento") == "FCVTA"
     m = [F.sum(F.when(inv, F.col("cantidades_total"))).alias("bultos_bruto"), F.sum(F.when(~inv, F.abs("cantidades_total"))).alias("bultos_dev"),
          F.sum(F.when(inv, F.col("facturacion_neta"))).alias("bruto_pesos"), F.sum(F.when(~inv, F.abs("facturacion_neta"))).alias("dev_pesos")]
@@ -170,11 +175,17 @@ def return_rates(lines: DataFrame, min_units: float = MIN_UNITS_RETURN, z_cut: f
     sets = {"Generico": ["generico"], "Marca": ["marca"], "Sucursal": ["sucursal"], "Mes": ["mes"], "Articulo": ["articulo"], "TOTAL": []}
     g = grouping_sets(v, sets, m, label="dimension").fillna(0, subset=RET)
     g = g.select("dimension", F.coalesce("generico", "marca", "sucursal", "mes", "articulo", F.lit(TOTAL)).alias("entidad"), *RET)
-    g = stage(g.withColumn("tasa_bultos", F.when(F.col("bultos_bruto") > 0, F.col("bultos_dev") / F.col("bultos_bruto")))
-              .withColumn("tasa_valor", F.when(F.col("bruto_pesos") > 0, F.col("dev_pesos") / F.col("bruto_pesos"))))
-    art = st.robust_z(stage(g.filter((F.col("dimension") == "Articulo") & (F.col("bultos_bruto") >= min_units))), "tasa_bultos").drop("mediana")
-    art = art.withColumn("outlier", F.abs("z_robusto") >= z_cut).orderBy(F.desc("tasa_bultos"), "entidad").limit(top)   # top-n report
-    rest = g.filter("dimension <> 'Articulo'").withColumn("z_robusto", F.lit(None).cast("double")).withColumn("outlier", F.lit(False))
+    g = g.withColumn("tasa_bultos", F.when(F.col("bultos_bruto") > 0, F.col("bultos_dev") / F.col("bultos_bruto")))
+    g = shared(g.withColumn("tasa_valor", F.when(F.col("bruto_pesos") > 0, F.col("dev_pesos") / F.col("bruto_pesos"))))
+    art = g.filter("dimension = 'Articulo'").withColumn("bajo_piso", F.col("bultos_bruto") < min_units)
+    art = art.withColumn("_r", F.when(~F.col("bajo_piso"), F.col("tasa_bultos")))
+    med = art.agg(F.percentile("_r", 0.5).alias("_m"))                       # counters per distinct rate, map-side
+    mad = with_scalars(art.select("_r"), med).agg(F.percentile(F.abs(F.col("_r") - F.col("_m")), 0.5).alias("_d"))
+    art = with_scalars(with_scalars(art, med), mad)
+    scale = F.coalesce(F.col("_d"), F.lit(0.0)) * st.MAD_TO_SIGMA
+    z = F.when(~F.col("bajo_piso"), F.when(scale == 0, 0.0).otherwise((F.col("_r") - F.col("_m")) / scale))
+    art = art.withColumn("z_robusto", z).withColumn("outlier", F.coalesce(F.abs("z_robusto") >= z_cut, F.lit(False))).drop("_r", "_m", "_d")
+    rest = g.filter("dimension <> 'Articulo'").withColumn("bajo_piso", F.lit(False)).withColumn("z_robusto", F.lit(None).cast("double")).withColumn("outlier", F.lit(False))
     note = (F.when(F.col("entidad").isin(closed or [""]), "Sucursal cerrada")
             .when((F.col("dimension") == "Mes") & (F.col("entidad") == F.lit(partial_month)), "Mes incompleto").otherwise(""))
     return rest.unionByName(art).withColumn("nota", note)
@@ -182,23 +193,23 @@ def return_rates(lines: DataFrame, min_units: float = MIN_UNITS_RETURN, z_cut: f
 
 # -- routes ---------------------------------------------------------------------------------------------------------
 def routes(lines: DataFrame, counters: list[int], min_visits: int = MIN_VISITS) -> DataFrame:
-    """Visits (invoices), clients, active days, units, mean and median drop per (branch, route)."""
+    """Visits (invoices), clients, active days, units, mean and median drop per (branch, route); few visits are flagged."""
     key = ["sucursal", "id_sucursal", "id_ruta"]
     inv = lines.filter("id_ruta is not null").groupBy(*key, "id_cliente", "fecha_comprobante", "id_documento", "letra", "serie", "nro_doc").agg(
         F.sum("cantidades_total").alias("bultos"), F.sum("subtotal_neto").alias("neto"), F.sum("facturacion_neta").alias("bruto"),
         F.count(F.lit(1)).alias("lineas"), F.max("des_personal_fv1").alias("preventista"))
-    inv = stage(inv)
     t = inv.groupBy(*key).agg(F.max("preventista").alias("preventista"), F.count(F.lit(1)).alias("visitas"), F.count_distinct("id_cliente").alias("clientes"),
                               F.count_distinct("fecha_comprobante").alias("dias_activos"), F.count_distinct(F.when(F.col("id_cliente").isin(counters), F.col("id_cliente"))).alias("clientes_mostrador"),
                               F.sum("bultos").alias("bultos"), F.sum("neto").alias("neto"), F.sum("bruto").alias("bruto"), F.avg("lineas").alias("lineas_x_visita"))
-    return t.filter(F.col("visitas") >= min_visits).join(quantiles(inv, "bultos", {"mediana_bultos_visita": 0.5}, key), key)
+    t = t.withColumn("pocas_visitas", F.col("visitas") < min_visits)
+    return t.join(quantiles(inv, "bultos", {"mediana_bultos_visita": 0.5}, key), key)
 
 
 def route_table(r: DataFrame, closed: list[str]) -> DataFrame:
-    """Drop size, low-density quartile and the TOTAL with ratios of sums."""
-    d = stage(r.withColumn("drop_size", ratio("bultos", "visitas")).withColumn("neto_por_visita", ratio("neto", "visitas")))
-    d = with_scalars(d, quantiles(d, "drop_size", {"_p25": 0.25}))
-    d = d.withColumn("densidad", F.when(F.col("drop_size") <= F.col("_p25"), "Baja densidad (cuartil inferior)").otherwise("Normal")).drop("_p25")
+    """Drop size, low-density quartile of the routes with enough visits and the TOTAL with ratios of sums."""
+    d = shared(r.withColumn("drop_size", ratio("bultos", "visitas")).withColumn("neto_por_visita", ratio("neto", "visitas")))
+    d = with_scalars(d, quantiles(d.filter("not pocas_visitas"), "drop_size", {"_p25": 0.25}))
+    d = d.withColumn("densidad", F.when(F.col("pocas_visitas"), SMALL).when(F.col("drop_size") <= F.col("_p25"), "Baja densidad (cuartil inferior)").otherwise("Normal")).drop("_p25")
     d = d.withColumn("clave", F.concat("sucursal", F.lit(" / "), "id_ruta")).withColumn("nota", F.when(F.col("sucursal").isin(closed or [""]), "Sucursal cerrada").otherwise(""))
     return append_total(d, "clave", ["visitas", "clientes", "bultos", "neto", "bruto", "clientes_mostrador"],
                         {"drop_size": ratio(F.sum("bultos"), F.sum("visitas")), "neto_por_visita": ratio(F.sum("neto"), F.sum("visitas"))})

@@ -1,4 +1,4 @@
-"""Bounded lookups: one client, one SKU, one month; at most ``LIMIT`` rows come back, with a truncated flag."""
+"""Lookups of one client, one SKU, one month: all rows, with a flag when there are more than ``LIMIT``."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
@@ -9,28 +9,24 @@ from retail_analytics.operators.filters import client_name, dates
 LIMIT = 500  # fixed value of the lookup contract
 
 
-def bounded(df: DataFrame, order: list[str], limit: int = LIMIT) -> DataFrame:
-    """First ``limit`` rows in a total order, and whether there are more (the limit is the feature)."""
-    head = df.orderBy(*order).limit(limit + 1)
-    flagged = with_scalars(head, head.agg((F.count(F.lit(1)) > limit).alias("truncado")))
-    return flagged.orderBy(*order).limit(limit)
+def flagged(df: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """All rows and whether a display of ``limit`` rows would cut them; the caller cuts."""
+    return with_scalars(df, df.agg((F.count(F.lit(1)) > limit).alias("truncado")))
 
 
 def client_sales(ventas: DataFrame, articulo: DataFrame, client: int, month: str, limit: int = LIMIT) -> DataFrame:
     m = ventas.filter((F.col("id_cliente") == client) & (F.date_format("fecha_comprobante", "yyyy-MM") == month))
     out = m.join(articulo.select("id_articulo", "des_articulo"), "id_articulo", "left").select(
         "fecha_comprobante", "id", "id_articulo", "des_articulo", "cantidades_total", "subtotal_neto")
-    return bounded(out, ["fecha_comprobante", "id", "id_articulo", "cantidades_total", "subtotal_neto"], limit)
+    return flagged(out, limit)
 
 
 def branch_clients(cliente: DataFrame, branch: int, limit: int = LIMIT) -> DataFrame:
-    return bounded(cliente.filter(F.col("id_sucursal") == branch).select("id_cliente", "fantasia", "anulado"),
-                   ["id_cliente"], limit)
+    return flagged(cliente.filter(F.col("id_sucursal") == branch).select("id_cliente", "fantasia", "anulado"), limit)
 
 
 def category_articles(articulo: DataFrame, category: str, limit: int = LIMIT) -> DataFrame:
-    return bounded(articulo.filter(F.col("generico") == category).select("id_articulo", "des_articulo", "marca"),
-                   ["des_articulo", "id_articulo"], limit)
+    return flagged(articulo.filter(F.col("generico") == category).select("id_articulo", "des_articulo", "marca"), limit)
 
 
 def article_sales(ventas: DataFrame, sucursal: DataFrame, article: int, desde: str, hasta: str,
@@ -38,7 +34,7 @@ def article_sales(ventas: DataFrame, sucursal: DataFrame, article: int, desde: s
     v = dates(ventas, desde, hasta).filter(F.col("id_articulo") == article)
     out = v.join(sucursal.withColumnRenamed("descripcion", "sucursal"), "id_sucursal", "left").select(
         "fecha_comprobante", "id", "sucursal", "cantidades_total", "subtotal_neto")
-    return bounded(out, ["fecha_comprobante", "id", "sucursal", "cantidades_total", "subtotal_neto"], limit)
+    return flagged(out, limit)
 
 
 def resolve_client(cliente: DataFrame, ids: DataFrame) -> DataFrame:

@@ -3,17 +3,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from retail_analytics.functions.grid import complete_grid, with_scalars
+from retail_analytics.functions.grid import complete_grid, shared, with_scalars
 from retail_analytics.functions.ordered import quantiles, running
 from retail_analytics.functions.shape import ratio, wide
 from retail_analytics.operators import stats as st
-from retail_analytics.sources.sinks import stage
 
 # -- fixed values -------------------------------------------------------------------------------------------------
 ABC_CUTS, XYZ_CUTS, TOL = (0.80, 0.95), (0.50, 1.00), 1e-9
 MIN_BUYERS, MIN_CLIENTS, GAP_PENETRATION = 5, 20, 0.30
 TAIL_SHARE = 0.001
-BASKET_SUPPORT, BASKET_LIFT, BASKET_ITEMS, MIN_INVOICES = 0.01, 1.05, 40, 500
+BASKET_SUPPORT, BASKET_LIFT, MIN_INVOICES = 0.01, 1.05, 500
 FORCE_LABELS = {1: "FV1 - Preventa", 4: "FV4 - Autoventa", -1: "Sin fuerza de ventas asignada"}
 MONTH_DAYS = 30.4375
 # -----------------------------------------------------------------------------------------------------------------
@@ -60,12 +59,12 @@ def xyz(cv):
 
 def abc_xyz(months: DataFrame, articulo: DataFrame, cv_months: tuple[str, str]) -> DataFrame:
     """SKU table with ABC on the net of the current window and XYZ on the complete months of the long window."""
-    m = stage(months)
+    m = shared(months)
     cur = m.filter("ventana_actual").groupBy("id_articulo").agg(
         F.sum("neto").alias("neto_12m"), F.sum("bultos").alias("bultos_12m"), F.count_distinct("mes").alias("meses_con_venta_12m"))
     a, b = cv_months
     v = monthly_cv(m.filter(F.col("mes").between(F.lit(a).cast("date"), F.lit(b).cast("date"))), b)
-    t = abc(stage(cur), "neto_12m").join(v, "id_articulo", "left").fillna(0, subset=["meses_ventana", "meses_con_venta"])
+    t = abc(shared(cur), "neto_12m").join(v, "id_articulo", "left").fillna(0, subset=["meses_ventana", "meses_con_venta"])
     t = t.withColumn("clase_xyz", xyz(F.col("cv")))
     sep = F.when(F.col("clase_xyz") == "N/D", " ").otherwise("")
     return t.withColumn("celda", F.concat("clase_abc", sep, "clase_xyz")).join(
@@ -134,14 +133,17 @@ def client_category(lines: DataFrame) -> DataFrame:
 
 
 def penetration(cc: DataFrame, min_buyers: int = MIN_BUYERS, min_clients: int = MIN_CLIENTS) -> DataFrame:
-    """Penetration of each category in each channel on the complete grid, median spend of the buyers, opportunity."""
-    c = stage(cc)
-    base = c.groupBy("subcanal").agg(F.count_distinct("id_cliente").alias("clientes_activos")).filter(F.col("clientes_activos") >= min_clients)
+    """Penetration of each category in each channel on the complete grid, median spend of the buyers, opportunity.
+
+    Channels with few clients keep their rows, flagged, without a median and an opportunity.
+    """
+    c = cc
+    base = c.groupBy("subcanal").agg(F.count_distinct("id_cliente").alias("clientes_activos")).withColumn("muestra_chica", F.col("clientes_activos") < min_clients)
     cells = c.groupBy("subcanal", "generico").agg(F.count_distinct("id_cliente").alias("compradores"), F.sum("neto").alias("neto_total"))
     cells = cells.join(quantiles(c, "neto", {"neto_mediano": 0.5}, ["subcanal", "generico"]), ["subcanal", "generico"], "left")
     g = complete_grid(base, c.select("generico").distinct()).join(cells, ["subcanal", "generico"], "left").fillna(0, subset=["compradores", "neto_total"])
     g = g.withColumn("no_compradores", F.col("clientes_activos") - F.col("compradores")).withColumn("penetracion", F.col("compradores") / F.col("clientes_activos"))
-    g = g.withColumn("neto_mediano", F.when(F.col("compradores") >= min_buyers, F.col("neto_mediano")))
+    g = g.withColumn("neto_mediano", F.when((F.col("compradores") >= min_buyers) & ~F.col("muestra_chica"), F.col("neto_mediano")))
     return g.withColumn("oportunidad", F.col("no_compradores") * F.col("neto_mediano"))
 
 
@@ -171,9 +173,9 @@ def baskets(lines: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def basket_rules(b: DataFrame, item: str, level: str, min_support: float = BASKET_SUPPORT, min_lift: float = BASKET_LIFT,
-                 max_items: int = BASKET_ITEMS, min_invoices: int = MIN_INVOICES) -> DataFrame:
-    """Association rules inside each sales force with enough invoices."""
-    r = st.association_rules(b, ["id_fuerza_ventas"], "factura", item, min_support, min_lift, max_items, min_invoices)
+                 min_invoices: int = MIN_INVOICES) -> DataFrame:
+    """Association rules inside each sales force; forces with few invoices are flagged."""
+    r = st.association_rules(b, ["id_fuerza_ventas"], "factura", item, min_support, min_lift, min_invoices)
     label = F.concat(F.lit("FV"), F.col("id_fuerza_ventas"))
     for k, v in FORCE_LABELS.items():
         label = F.when(F.col("id_fuerza_ventas") == k, F.lit(v)).otherwise(label)
@@ -204,7 +206,9 @@ def ramp(months: DataFrame, cohort: DataFrame, last_month: str) -> DataFrame:
     vol = m.groupBy("mes_n").agg(F.sum("bultos").alias("bultos"), F.count_distinct("id_articulo").alias("skus_con_venta"))
     age = F.months_between(F.lit(last_month).cast("date"), "_l").cast("long")
     ages = first.groupBy(age.alias("edad")).agg(F.count(F.lit(1)).alias("_n"))          # one row per age in months
-    exposed = vol.select("mes_n").join(ages, F.col("edad") >= F.col("mes_n")).groupBy("mes_n").agg(F.sum("_n").alias("skus_expuestos"))
+    months_ = vol.select("mes_n").withColumn("_n", F.lit(0)).unionByName(ages.select(F.col("edad").alias("mes_n"), "_n"))
+    up = W.orderBy(F.desc("mes_n")).rangeBetween(W.unboundedPreceding, 0)                # one row per age: months, not SKUs
+    exposed = months_.groupBy("mes_n").agg(F.sum("_n").alias("_n")).withColumn("skus_expuestos", F.sum("_n").over(up)).drop("_n")
     t = vol.join(exposed, "mes_n", "left").fillna(0, subset=["skus_expuestos"])
     return t.withColumn("bultos_por_sku", ratio("bultos", "skus_expuestos"))
 

@@ -9,7 +9,6 @@ from retail_analytics.functions.grid import complete_grid, with_scalars
 from retail_analytics.functions.joins import join_null_safe
 from retail_analytics.functions.shape import grouping_sets, ratio, slug, wide
 from retail_analytics.operators import filters as fl
-from retail_analytics.sources.sinks import stage
 
 QTY = "cantidades_total"
 MEASURES = {"cantidad": QTY, "cantidad_htls": "cantidad_total_htls", "monto": "subtotal_neto", "descuentos": "descuentos"}
@@ -321,18 +320,22 @@ def summary_view(lines: DataFrame, cupos: DataFrame, calendar: DataFrame, as_of:
 
     agg = daily.groupBy(*keys).agg(F.sum("q").alias("total_q"), F.sum("h").alias("total_h"), day(1, "q").alias("n1_q"), day(1, "h").alias("n1_h"),
                                    day(2, "q").alias("n2_q"), day(2, "h").alias("n2_h"))
-    agg = stage(agg)                # report grain, joined with itself twice: the facts are read once
 
-    def shifted(months: int, tag: str) -> DataFrame:
-        return agg.select(F.add_months("periodo", months).alias("periodo"), "sucursal", "generico", "marca",
-                          F.col("total_q").alias(f"{tag}_q"), F.col("total_h").alias(f"{tag}_h"))
+    # every month row also stands for the next month and the same month of the next year: one more sum, no self join
+    own = ["total_q", "total_h", "n1_q", "n1_h", "n2_q", "n2_h"]
+    moved = agg.withColumn("_k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(12)))).withColumn("periodo", F.add_months("periodo", F.col("_k")))
 
+    def at(k: int, c: str) -> Column:
+        return F.sum(F.when(F.col("_k") == k, F.col(c)))
+
+    agg = (moved.groupBy(*keys).agg(*[at(0, c).alias(c) for c in own], *[at(k, f"total_{x}").alias(f"{tag}_{x}") for k, tag in ((12, "aa"), (1, "ma")) for x in "qh"],
+                                    F.count_if(F.col("_k") == 0).alias("_own")).filter("_own > 0").drop("_own"))
     branch = F.regexp_replace("sucursal", r"^\d+ - ", "")
     q = cupos.filter("generico is not null").withColumn("sucursal", branch)
     q = q.withColumn("sucursal", F.when((F.col("id_ruta") == direct_route) & (F.col("sucursal") != hq), F.lit(direct))
                      .otherwise(fl.zone_name([*zones])))
     q = q.groupBy(F.to_date(F.concat("periodo", F.lit("-01"))).alias("periodo"), "sucursal", "generico").agg(F.sum("cupo").alias("objetivo"))
-    t = (agg.join(shifted(12, "aa"), keys, "left").join(shifted(1, "ma"), keys, "left").join(q, ["periodo", "sucursal", "generico"], "left")
+    t = (agg.join(q, ["periodo", "sucursal", "generico"], "left")
          .join(calendar.withColumnRenamed("mes", "periodo"), "periodo"))
     c = W.partitionBy("periodo", "sucursal", "generico")
     mix = ratio(F.sum("total_h").over(c), F.sum("total_q").over(c))

@@ -580,15 +580,15 @@ def _(s):
 
 
 @query("c38_top_brands", i="clientes orden", sql=f"""{COBL}, b AS (SELECT marca, sum(clientes) clientes FROM {ysql('cob_sucursal_marca', 'marca')} GROUP BY 1)
-SELECT marca, clientes, row_number() OVER (ORDER BY clientes DESC, marca) orden FROM b ORDER BY clientes DESC, marca LIMIT 5""")
+SELECT marca, clientes, row_number() OVER (ORDER BY clientes DESC, marca) orden FROM b""")
 def _(s):
-    return cv.top_brands(cv.yearly(hist(s, "cob_sucursal_marca"), ["marca"], [1999, 2000, 2001], 1), 5)
+    return cv.top_brands(cv.yearly(hist(s, "cob_sucursal_marca"), ["marca"], [1999, 2000, 2001], 1))
 
 
 @query("c38_fixed_brands", i="clientes orden", sql=f"""{COBL}, b AS (SELECT marca, sum(clientes) clientes FROM {ysql('cob_sucursal_marca', 'marca')} GROUP BY 1)
 SELECT marca, clientes, CASE marca WHEN 'Brand#7' THEN 1 WHEN 'Brand#3' THEN 2 END orden FROM b WHERE marca IN ('Brand#7','Brand#3')""")
 def _(s):
-    return cv.top_brands(cv.yearly(hist(s, "cob_sucursal_marca"), ["marca"], [1999, 2000, 2001], 1), 5, ["Brand#7", "Brand#3", "NADA"])
+    return cv.top_brands(cv.yearly(hist(s, "cob_sucursal_marca"), ["marca"], [1999, 2000, 2001], 1), ["Brand#7", "Brand#3", "NADA"])
 
 
 @query("c39_year_on_year", f="variacion", i="mes actual anterior", sql=f"""{COBL}, y AS (SELECT zona, mes, coalesce(sum(clientes) FILTER (anio=2001),0) actual, coalesce(sum(clientes) FILTER (anio=2000),0) anterior

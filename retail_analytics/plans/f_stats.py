@@ -3,11 +3,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from retail_analytics.functions.grid import shared
 from retail_analytics.functions import ordered
 from retail_analytics.operators import filters as fl, stats as st
 from retail_analytics.plans.g_clients import A12, CUT, LN, lines
 from retail_analytics.plans.registry import query
-from retail_analytics.sources.sinks import stage
 
 YEAR = f"fecha_comprobante>'{A12}' AND fecha_comprobante<='{CUT}'"
 # client x branch: net, units, lines, returned lines, discount rate
@@ -16,7 +16,7 @@ CB = LN + f""", cb AS (SELECT id_sucursal, id_cliente, sum(subtotal_neto) neto,
 
 def clients(s):
     w = lines(s).filter(f"fecha_comprobante > '{A12}' and fecha_comprobante <= '{CUT}'")
-    return stage(w.groupBy("id_sucursal", "id_cliente").agg(
+    return shared(w.groupBy("id_sucursal", "id_cliente").agg(
         F.sum("subtotal_neto").alias("neto"), F.count(F.lit(1)).alias("lineas"), F.count_if(F.col("id_documento") == "DVVTA").alias("devueltas"),
         F.round(F.sum(F.abs("descuentos")) / F.sum(F.abs("facturacion_neta")), 6).alias("tasa")))
 
@@ -137,8 +137,8 @@ def _(s):
     return st.control_limits(monthly(s), ["generico"], "b")
 
 
-RULES = """bk AS (SELECT DISTINCT nro_doc basket, marca item, (id_cliente%2)::BIGINT grp FROM l WHERE id_documento='FCVTA' AND NOT anulado), it AS (SELECT grp, item, row_number() OVER (PARTITION BY grp ORDER BY count(*) DESC, item) r FROM bk GROUP BY 1,2),
-k AS (SELECT bk.* FROM bk JOIN it USING (grp, item) WHERE r<=12), nb AS (SELECT grp, count(DISTINCT basket) n FROM k GROUP BY 1), f AS (SELECT grp, item, count(*) f FROM k GROUP BY 1,2),
+RULES = """bk AS (SELECT DISTINCT nro_doc basket, marca item, (id_cliente%2)::BIGINT grp FROM l WHERE id_documento='FCVTA' AND NOT anulado), nb AS (SELECT grp, count(DISTINCT basket) n FROM bk GROUP BY 1), f AS (SELECT grp, item, count(*) f FROM bk GROUP BY 1,2),
+k AS (SELECT bk.* FROM bk JOIN f USING (grp, item) JOIN nb USING (grp) WHERE f>=0.003*n),
 pr AS (SELECT a.grp, a.item antecedente, b.item consecuente, count(*) baskets FROM k a JOIN k b ON a.grp=b.grp AND a.basket=b.basket AND a.item<>b.item GROUP BY 1,2,3),
 ru AS (SELECT pr.grp, antecedente, consecuente, baskets/n soporte, fa.f/n soporte_antecedente, fb.f/n soporte_consecuente, baskets/fa.f confianza, (baskets/fa.f)/(fb.f/n) lift, baskets/n-(fa.f/n)*(fb.f/n) leverage, CASE WHEN baskets<fa.f THEN (1-fb.f/n)/(1-baskets/fa.f) END conviccion, baskets
  FROM pr JOIN nb USING (grp) JOIN f fa ON fa.grp=pr.grp AND fa.item=antecedente JOIN f fb ON fb.grp=pr.grp AND fb.item=consecuente)"""
@@ -148,7 +148,7 @@ FRULE = "soporte soporte_antecedente soporte_consecuente confianza lift leverage
 @query("f14_association_rules", f=FRULE, digits=6, sql=RULES + " SELECT * FROM ru WHERE soporte>=0.003 AND lift>=0.9")
 def _(s):
     b = s.lineas.filter("id_documento = 'FCVTA' and not anulado").select(F.col("nro_doc").alias("basket"), F.col("marca").alias("item"), (F.col("id_cliente") % 2).alias("grp"))
-    return st.association_rules(b, ["grp"], "basket", "item", 0.003, 0.9, 12)
+    return st.association_rules(b, ["grp"], "basket", "item", 0.003, 0.9)
 
 
 MG = """mg AS (SELECT id_sucursal, greatest(-2.0,least(2.0,round((precio_unitario_neto-precio_compra_neto)/precio_unitario_neto,3)))::DOUBLE m, count(*) w FROM l WHERE id_documento='FCVTA' AND NOT anulado GROUP BY 1,2), ex AS (SELECT id_sucursal, m, unnest(range(w)) FROM mg)"""
@@ -162,18 +162,18 @@ def margins(s):
 
 @query("f15_weighted_percentiles", f="p05 p50 p95", sql=MG + " SELECT id_sucursal, quantile_cont(m,0.05) p05, quantile_cont(m,0.5) p50, quantile_cont(m,0.95) p95 FROM ex GROUP BY 1")
 def _(s):
-    return ordered.quantiles(stage(margins(s)), "m", {"p05": .05, "p50": .5, "p95": .95}, ["id_sucursal"], "w")
+    return ordered.quantiles(shared(margins(s)), "m", {"p05": .05, "p50": .5, "p95": .95}, ["id_sucursal"], "w")
 
 
 @query("f16_weighted_mad", f="mediana mad", sql=MG + ", md AS (SELECT id_sucursal, median(m) mediana FROM ex GROUP BY 1) SELECT id_sucursal, any_value(mediana) mediana, median(abs(m-mediana)) mad FROM ex JOIN md USING (id_sucursal) GROUP BY 1")
 def _(s):
-    return ordered.median_mad(stage(margins(s)), "m", ["id_sucursal"], "w")
+    return ordered.median_mad(shared(margins(s)), "m", ["id_sucursal"], "w")
 
 
 @query("f17_nearest_rank", f="p50 p90", sql="d AS (SELECT id_sucursal, date_diff('day',fecha_pedido,fecha_entrega)::DOUBLE v FROM fv) SELECT id_sucursal, quantile_disc(v,0.5) p50, quantile_disc(v,0.9) p90 FROM d GROUP BY 1")
 def _(s):
     d = s.ventas.groupBy("id_sucursal", F.datediff("fecha_entrega", "fecha_pedido").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    return ordered.quantiles(stage(d), "v", {"p50": .5, "p90": .9}, ["id_sucursal"], "w", nearest=True)
+    return ordered.quantiles(shared(d), "v", {"p50": .5, "p90": .9}, ["id_sucursal"], "w", nearest=True)
 
 
 @query("f18_seasonal_naive", f="mape", sql=MS + ", n AS (SELECT *, lag(b,12) OVER (PARTITION BY generico ORDER BY paso) p FROM mp) SELECT generico, count(*) meses, avg(abs((b-p)/b))*100 mape FROM n WHERE p IS NOT NULL AND b<>0 GROUP BY 1")

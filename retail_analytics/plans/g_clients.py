@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from retail_analytics.operators import clients as cl, filters as fl
 from retail_analytics.plans.registry import query
-from retail_analytics.sources.sinks import stage
 
 A12, A24, PREV, CUT = "2000-06-28", "1999-06-28", "1999-06-27", "2001-06-30"
 COUNTERS = [10, 20, 30]
@@ -114,7 +113,7 @@ gr AS (SELECT mes_cohorte, tamano, unnest(generate_series(0, least(date_diff('mo
 g AS (SELECT gr.mes_cohorte, gr.mes_n, tamano, coalesce(clientes,0) clientes FROM gr LEFT JOIN ed USING (mes_cohorte, mes_n))
 SELECT 'cohorte' nivel, mes_cohorte, mes_n, sum(clientes) clientes, sum(tamano) tamano, sum(clientes)/sum(tamano) retencion FROM g GROUP BY 2,3 UNION ALL SELECT 'promedio', NULL, mes_n, sum(clientes), sum(tamano), sum(clientes)/sum(tamano) FROM g GROUP BY 3""")
 def _(s):
-    return cl.retention(stage(edges(s)), CUT)
+    return cl.retention(edges(s), CUT)
 
 
 BRI = LN + f""", bb AS (SELECT id_cliente, {', '.join(f"coalesce(sum({c}) FILTER (fecha_comprobante>'{A12}'),0) {n}_actual, coalesce(sum({c}) FILTER (fecha_comprobante>'{PREV}' AND fecha_comprobante<='{A12}'),0) {n}_previo" for n, c in (('neto', 'subtotal_neto'), ('bruto', 'facturacion_neta'), ('htls', 'cantidad_total_htls')))},
@@ -147,10 +146,10 @@ def _(s):
     return articles(s)
 
 
-@query("g10_top_articles", f="neto pct_neto pct_acumulado bruto htls", sql=ART + """, t AS (SELECT id_articulo, articulo, neto, neto/sum(neto) OVER () pct_neto, bruto, htls, clientes n, row_number() OVER (ORDER BY neto DESC, id_articulo) r FROM ab)
-SELECT id_articulo, articulo, neto, pct_neto, sum(pct_neto) OVER (ORDER BY r) pct_acumulado, bruto, htls, n FROM t WHERE r<=25 UNION ALL SELECT NULL, 'TOTAL GENERAL', sum(neto), 1, 1, sum(bruto), sum(htls), count(*) FROM ab""")
+@query("g10_top_articles", f="neto pct_neto pct_acumulado bruto htls", sql=ART + """, t AS (SELECT id_articulo, articulo, neto, neto/sum(neto) OVER () pct_neto, bruto, htls, clientes n, row_number() OVER (ORDER BY round(neto,6) DESC, id_articulo) puesto FROM ab)
+SELECT id_articulo, articulo, neto, pct_neto, sum(pct_neto) OVER (ORDER BY puesto) pct_acumulado, bruto, htls, n, puesto FROM t UNION ALL SELECT NULL, 'TOTAL GENERAL', sum(neto), 1, 1, sum(bruto), sum(htls), count(*), NULL FROM ab""")
 def _(s):
-    return cl.top_articles(stage(articles(s)), 25)
+    return cl.top_articles(articles(s))
 
 
 def series(s):

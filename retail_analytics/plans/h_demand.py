@@ -3,12 +3,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from retail_analytics.functions.grid import shared
 from retail_analytics.functions.shape import slug
 from retail_analytics.operators import demand as dm, filters as fl
 from retail_analytics.plans.g_clients import A12, COUNTERS, CUT, NON
 from retail_analytics.plans.registry import query
 from retail_analytics.plans.sqltext import names
-from retail_analytics.sources.sinks import stage
 
 INV = "iv AS (SELECT * FROM l WHERE id_documento='FCVTA' AND NOT anulado AND (generico IS NULL OR generico NOT IN ('LARGE')))"
 MS = INV + ", ms AS (SELECT date_trunc('month',fecha_comprobante)::DATE mes, coalesce(trim(generico),'SIN CLASIFICAR') generico, sum(cantidades_total) bultos, sum(cantidad_total_htls) hectolitros, count(*) lineas, count(DISTINCT id_cliente) clientes FROM iv WHERE fecha_comprobante<='2001-06-30' GROUP BY 1,2)"
@@ -38,7 +38,7 @@ CATS = ["ECONOMY", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 @query("h2_wide_series", f=names(CATS, "bultos", "htl") + " bultos_total htl_total", sql=MS + f""", f AS (SELECT unnest([strftime(mes,'%Y-%m'),'TOTAL GENERAL']) fila, generico, bultos, hectolitros FROM ms)
 SELECT fila, {', '.join(f"sum(bultos) FILTER (generico='{c}') bultos_{slug(c)}, sum(hectolitros) FILTER (generico='{c}') htl_{slug(c)}" for c in CATS)}, sum(bultos) bultos_total, sum(hectolitros) htl_total FROM f GROUP BY 1""")
 def _(s):
-    return dm.wide_series(stage(series(s)), CATS)
+    return dm.wide_series(shared(series(s)), CATS)
 
 
 # brand series of one branch have gaps and late starts
@@ -49,7 +49,7 @@ c AS (SELECT gr.marca, gr.mes, bultos, date_diff('month',(SELECT a FROM sp),gr.m
 
 def brand_months(s):
     v = inv(s).filter(f"id_sucursal < 4 and fecha_comprobante <= '{CUT}'")
-    return stage(v.groupBy("marca", F.trunc("fecha_comprobante", "MM").alias("mes")).agg(F.sum("cantidades_total").alias("bultos")))
+    return v.groupBy("marca", F.trunc("fecha_comprobante", "MM").alias("mes")).agg(F.sum("cantidades_total").alias("bultos"))
 
 
 @query("h2_complete_months", f="bultos", sql=BM + " SELECT * FROM c")
@@ -75,7 +75,7 @@ FI = " ".join(f"indice_{x.lower()}" for x in dm.MONTHS) + " indice_pico indice_v
 
 
 def live(s):
-    return stage(dm.live_series(dm.with_total(series(s)), ["generico"]))
+    return shared(dm.live_series(dm.with_total(series(s)), ["generico"]))
 
 
 @query("h4_seasonality", f=FI, sql=SEA + " SELECT * FROM sx")
@@ -116,7 +116,7 @@ def _(s):
 @query("h8_days_without_invoice", sql=DL + """, sp AS (SELECT sucursal, min(fecha) a, max(fecha) b, count(*) observados FROM dd GROUP BY 1), x AS (SELECT sucursal, observados, unnest(generate_series(a,b,INTERVAL 1 DAY))::DATE fecha FROM sp),
 h AS (SELECT sucursal, observados, count(*) habiles FROM x WHERE isodow(fecha)<>7 AND fecha NOT IN (SELECT fecha FROM feriados) GROUP BY 1,2) SELECT *, greatest(habiles-observados,0) sin_factura FROM h""")
 def _(s):
-    return dm.days_without_invoice(stage(days(s)).select("fecha", "sucursal", "bultos"), s.feriados)
+    return dm.days_without_invoice(days(s).select("fecha", "sucursal", "bultos"), s.feriados)
 
 
 SPC = DL + """, lv AS (SELECT *, ln(bultos) v FROM dd), me AS (SELECT sucursal, dia_semana, dia, count(*) observaciones, median(v) c, stddev_pop(v) sd FROM lv GROUP BY 1,2,3 HAVING count(*)>=20),
@@ -127,12 +127,12 @@ bq AS (SELECT fecha, sucursal, dia, bultos, limite_inf, limite_sup, z, CASE WHEN
 
 @query("h9_anomalies", f="bultos limite_inf limite_sup z", sql=SPC + " SELECT * FROM bq")
 def _(s):
-    return dm.anomalies(stage(days(s)))[0]
+    return dm.anomalies(shared(days(s)))[0]
 
 
 @query("h9_control_limits", f="centro limite_inf limite_sup", sql=SPC + " SELECT sucursal, dia, observaciones, centro, limite_inf, limite_sup, count(*) FILTER (abs(z)>3) quiebres FROM zz GROUP BY ALL")
 def _(s):
-    return dm.anomalies(stage(days(s)))[1]
+    return dm.anomalies(shared(days(s)))[1]
 
 
 # two sigmas and two branches, so that the small data has events
@@ -142,7 +142,7 @@ SPC2 = SPC.replace("c-3*sc", "c-2*sc").replace("c+3*sc", "c+2*sc").replace("abs(
 @query("h10_company_events", f="bultos", sql=SPC2 + """ SELECT fecha, count(DISTINCT sucursal) sucursales_en_alerta, string_agg(DISTINCT sucursal, ', ' ORDER BY sucursal) sucursales, sum(bultos) bultos, count(*) FILTER (direccion='Alta') altas, count(*) FILTER (direccion='Baja') bajas,
 CASE WHEN count(*) FILTER (direccion='Alta')>=count(*) FILTER (direccion='Baja') THEN 'Alta' ELSE 'Baja' END direccion FROM bq GROUP BY 1 HAVING count(DISTINCT sucursal)>=2""")
 def _(s):
-    return dm.company_events(dm.anomalies(stage(days(s)), sigmas=2.0)[0], 2)
+    return dm.company_events(dm.anomalies(shared(days(s)), sigmas=2.0)[0], 2)
 
 
 @query("h11_counter_share", f="bultos participacion", sql=INV + ", t AS (SELECT CASE WHEN id_cliente IN (10,20,30) THEN 'Mostrador' ELSE 'Clientes' END tipo_cuenta, sum(cantidades_total) bultos FROM iv GROUP BY 1) SELECT *, bultos/sum(bultos) OVER () participacion FROM t")
@@ -166,5 +166,5 @@ def _(s):
 @query("h12_structural_breaks", f="resto_antes resto_despues", sql=MS + """, x AS (SELECT * FROM ms WHERE NOT (generico='PROMO' AND mes<'1997-03-01') AND NOT (generico='SMALL' AND mes<'1999-01-01')), b AS (SELECT generico, min(mes) inicio FROM x GROUP BY 1), g AS (SELECT b.*, (SELECT min(mes) FROM x) inicio_serie FROM b)
 SELECT g.generico, inicio, inicio_serie, sum(bultos) FILTER (x.mes<inicio) resto_antes, sum(bultos) FILTER (x.mes>=inicio) resto_despues FROM g JOIN x ON x.generico<>g.generico WHERE inicio>inicio_serie GROUP BY 1,2,3""")
 def _(s):
-    x = stage(series(s)).filter("not (generico = 'PROMO' and mes < '1997-03-01') and not (generico = 'SMALL' and mes < '1999-01-01')")
+    x = series(s).filter("not (generico = 'PROMO' and mes < '1997-03-01') and not (generico = 'SMALL' and mes < '1999-01-01')")
     return dm.structural_breaks(x)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from retail_analytics.operators import filters as fl, portfolio as pf, stats as st
 from retail_analytics.plans.f_stats import FRULE
 from retail_analytics.plans.registry import query
-from retail_analytics.sources.sinks import stage
 
 CUR, LONG, CUT, PREV = "2000-06-28", "1999-06-28", "2001-06-30", "1999-06-26"
 NON = ["LARGE"]
@@ -35,7 +34,7 @@ ac AS (SELECT *, CASE WHEN participacion_acum<=0.8+1e-9 THEN 'A' WHEN participac
 @query("i2_abc", f="neto_12m participacion participacion_acum", digits=7, sql=ABC + " SELECT id_articulo, neto_12m, participacion, participacion_acum, clase_abc FROM ac")
 def _(s):
     cur = months(s).filter("ventana_actual").groupBy("id_articulo").agg(F.sum("neto").alias("neto_12m"))
-    return pf.abc(stage(cur), "neto_12m")
+    return pf.abc(cur, "neto_12m")
 
 
 CV = """, mv AS (SELECT id_articulo, mes, sum(bultos) b FROM sm WHERE mes BETWEEN '1999-07-01' AND '2001-06-01' GROUP BY 1,2), mf AS (SELECT id_articulo, min(mes) a FROM mv GROUP BY 1),
@@ -74,7 +73,7 @@ CATS = ["ECONOMY", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def channel(s):
-    return stage(pf.channel_category(fl.dates(lines(s), CUR, CUT)))
+    return pf.channel_category(fl.dates(lines(s), CUR, CUT))
 
 
 def tail(s):
@@ -104,14 +103,14 @@ def _(s):
 
 
 PEN = LP + """, cl AS (SELECT id_cliente, coalesce(des_subcanal_mkt,'SIN SUBCANAL') subcanal, generico, sum(subtotal_neto) neto, sum(cantidades_total) bultos FROM lp WHERE fecha_comprobante BETWEEN '2000-12-28' AND '2001-06-30' GROUP BY 1,2,3 HAVING sum(cantidades_total)>0),
-ba AS (SELECT subcanal, count(DISTINCT id_cliente) clientes_activos FROM cl GROUP BY 1 HAVING count(DISTINCT id_cliente)>=20), ce AS (SELECT subcanal, generico, count(DISTINCT id_cliente) compradores, median(neto) neto_mediano, sum(neto) neto_total FROM cl GROUP BY 1,2),
-p0 AS (SELECT ba.subcanal, g.generico, clientes_activos, coalesce(compradores,0) compradores, clientes_activos-coalesce(compradores,0) no_compradores, coalesce(compradores,0)/clientes_activos penetracion, CASE WHEN compradores>=5 THEN neto_mediano END neto_mediano, coalesce(neto_total,0) neto_total
+ba AS (SELECT subcanal, count(DISTINCT id_cliente) clientes_activos, count(DISTINCT id_cliente)<20 muestra_chica FROM cl GROUP BY 1), ce AS (SELECT subcanal, generico, count(DISTINCT id_cliente) compradores, median(neto) neto_mediano, sum(neto) neto_total FROM cl GROUP BY 1,2),
+p0 AS (SELECT ba.subcanal, g.generico, clientes_activos, muestra_chica, coalesce(compradores,0) compradores, clientes_activos-coalesce(compradores,0) no_compradores, coalesce(compradores,0)/clientes_activos penetracion, CASE WHEN compradores>=5 AND NOT muestra_chica THEN neto_mediano END neto_mediano, coalesce(neto_total,0) neto_total
  FROM ba CROSS JOIN (SELECT DISTINCT generico FROM cl) g LEFT JOIN ce ON ce.subcanal=ba.subcanal AND ce.generico=g.generico), pe AS (SELECT *, no_compradores*neto_mediano oportunidad FROM p0)"""
 FP = "penetracion neto_mediano neto_total oportunidad"
 
 
 def cc(s):
-    return stage(pf.client_category(fl.dates(lines(s), "2000-12-28", CUT)))
+    return pf.client_category(fl.dates(lines(s), "2000-12-28", CUT))
 
 
 @query("i7_penetration", digits=6, f=FP, sql=PEN + " SELECT * FROM pe")
@@ -121,7 +120,7 @@ def _(s):
 
 @query("i7_white_space", digits=6, f=FP, sql=PEN + " SELECT *, row_number() OVER (ORDER BY neto_mediano DESC, subcanal, generico) rank_conversion, rank() OVER (ORDER BY oportunidad DESC) rank_oportunidad FROM pe WHERE oportunidad>0 AND no_compradores>0")
 def _(s):
-    return pf.white_space(stage(pf.penetration(cc(s))))
+    return pf.white_space(pf.penetration(cc(s)))
 
 
 @query("i8_client_gaps", digits=6, f="penetracion valor_estimado", sql=PEN + """ SELECT c.id_cliente, c.subcanal, pe.generico, penetracion, neto_mediano valor_estimado FROM (SELECT DISTINCT id_cliente, subcanal FROM cl) c JOIN pe ON pe.subcanal=c.subcanal
@@ -133,10 +132,10 @@ def _(s):
 
 def _rules(item, level, sup, lift):
     return f"""bs AS (SELECT DISTINCT l.id_sucursal||'|'||id_documento||'|'||letra||'|'||serie||'|'||nro_doc factura, coalesce(v.id_fuerza_ventas,-1) fv, {item} item FROM l LEFT JOIN ven v ON v.id_vendedor=l.id_vendedor AND v.id_sucursal=l.id_sucursal
- WHERE NOT anulado AND id_documento='FCVTA' AND generico IS NOT NULL AND generico<>'LARGE'), nb AS (SELECT fv, count(DISTINCT factura) n FROM bs GROUP BY 1 HAVING count(DISTINCT factura)>=500), it AS (SELECT fv, item, row_number() OVER (PARTITION BY fv ORDER BY count(*) DESC, item) r FROM bs GROUP BY 1,2),
-k AS (SELECT bs.* FROM bs JOIN it USING (fv, item) JOIN nb USING (fv) WHERE r<=40), nk AS (SELECT fv, count(DISTINCT factura) n FROM k GROUP BY 1), f AS (SELECT fv, item, count(*) f FROM k GROUP BY 1,2), pr AS (SELECT a.fv, a.item antecedente, b.item consecuente, count(*) baskets FROM k a JOIN k b ON a.fv=b.fv AND a.factura=b.factura AND a.item<>b.item GROUP BY 1,2,3),
+ WHERE NOT anulado AND id_documento='FCVTA' AND generico IS NOT NULL AND generico<>'LARGE'), nb AS (SELECT fv, count(DISTINCT factura) n FROM bs GROUP BY 1), nk AS (SELECT * FROM nb), f AS (SELECT fv, item, count(*) f FROM bs GROUP BY 1,2),
+k AS (SELECT bs.* FROM bs JOIN f USING (fv, item) JOIN nb USING (fv) WHERE f>={sup}*n), pr AS (SELECT a.fv, a.item antecedente, b.item consecuente, count(*) baskets FROM k a JOIN k b ON a.fv=b.fv AND a.factura=b.factura AND a.item<>b.item GROUP BY 1,2,3),
 ru AS (SELECT CASE pr.fv WHEN 1 THEN 'FV1 - Preventa' WHEN 4 THEN 'FV4 - Autoventa' ELSE 'Sin fuerza de ventas asignada' END fuerza, '{level}' nivel, antecedente, consecuente, baskets/nk.n soporte, fa.f/nk.n soporte_antecedente, fb.f/nk.n soporte_consecuente, baskets/fa.f confianza, (baskets/fa.f)/(fb.f/nk.n) lift,
- baskets/nk.n-(fa.f/nk.n)*(fb.f/nk.n) leverage, CASE WHEN baskets<fa.f THEN (1-fb.f/nk.n)/(1-baskets/fa.f) END conviccion, baskets, nb.n facturas_fuerza FROM pr JOIN nk USING (fv) JOIN nb USING (fv) JOIN f fa ON fa.fv=pr.fv AND fa.item=antecedente JOIN f fb ON fb.fv=pr.fv AND fb.item=consecuente)
+ baskets/nk.n-(fa.f/nk.n)*(fb.f/nk.n) leverage, CASE WHEN baskets<fa.f THEN (1-fb.f/nk.n)/(1-baskets/fa.f) END conviccion, baskets, nb.n facturas_fuerza, nb.n<500 muestra_chica FROM pr JOIN nk USING (fv) JOIN nb USING (fv) JOIN f fa ON fa.fv=pr.fv AND fa.item=antecedente JOIN f fb ON fb.fv=pr.fv AND fb.item=consecuente)
 SELECT * FROM ru WHERE soporte>={sup} AND lift>={lift}"""
 
 
@@ -180,7 +179,7 @@ v AS (SELECT date_diff('month',x,mes) mes_n, sum(b) bultos, count(DISTINCT id_ar
 bultos/(SELECT count(*) FROM r WHERE date_diff('month',x,DATE '1996-06-01')>=mes_n) bultos_por_sku FROM v""")
 def _(s):
     m = lines(s).filter("fecha_comprobante <= '1996-06-30'").groupBy("id_articulo", F.trunc("fecha_comprobante", "MM").alias("mes")).agg(F.sum("cantidades_total").alias("bultos"))
-    return pf.ramp(m, stage(pf.launches(life(s), s.articulo, "1995-12-31", NON, 4)), "1996-06-01")
+    return pf.ramp(m, pf.launches(life(s), s.articulo, "1995-12-31", NON, 4), "1996-06-01")
 
 
 @query("i11_channel_category", f="bultos neto", sql=CC0 + " SELECT * FROM cg")

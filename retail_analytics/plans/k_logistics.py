@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from retail_analytics.operators import filters as fl, logistics as lg
 from retail_analytics.plans.g_clients import COUNTERS, NON
 from retail_analytics.plans.registry import query
-from retail_analytics.sources.sinks import stage
 
 SINCE, CUT = "2000-06-28", "2001-05-31"
 HI = f"""en AS (SELECT id_sucursal, id_fletero_carga, date_diff('day',min(fecha_pedido),min(fecha_entrega)) lead_dias, sum(subtotal_neto) neto, sum(cantidades_total) bultos FROM fv WHERE id_documento='FCVTA' AND NOT anulado AND fecha_comprobante BETWEEN '{SINCE}' AND '{CUT}'
@@ -24,9 +23,9 @@ def _(s):
 
 SLA = HI + """, d AS (SELECT * FROM hi WHERE id_fletero_carga NOT IN (0,33)), x AS (SELECT 'Sucursal' nivel, sucursal entidad, sucursal, lead_dias, entregas, bultos, neto FROM d UNION ALL SELECT 'Fletero', 'Fletero '||id_fletero_carga, sucursal, lead_dias, entregas, bultos, neto FROM d
  UNION ALL SELECT 'TOTAL','TOTAL GENERAL','TOTAL GENERAL',lead_dias,entregas,bultos,neto FROM d), ex AS (SELECT nivel, entidad, sucursal, lead_dias l, unnest(range(entregas)) FROM x), q AS (SELECT nivel, entidad, sucursal, quantile_disc(l,0.5)::DOUBLE lead_p50, quantile_disc(l,0.9)::DOUBLE lead_p90 FROM ex GROUP BY 1,2,3),
-t AS (SELECT nivel, entidad, sucursal, sum(entregas) entregas, sum(CASE WHEN lead_dias<=1 THEN entregas ELSE 0 END) ok, sum(lead_dias*entregas)/sum(entregas) lead_medio, sum(bultos) bultos, sum(neto) neto FROM x GROUP BY 1,2,3 HAVING nivel<>'Fletero' OR sum(entregas)>=12),
-u AS (SELECT *, ok/entregas otif, sum(ok) OVER (PARTITION BY nivel)/sum(entregas) OVER (PARTITION BY nivel) tasa_red FROM t), v AS (SELECT *, otif-tasa_red br, (otif-tasa_red)/sqrt(tasa_red*(1-tasa_red)/entregas) zz FROM u),
-sl AS (SELECT nivel, entidad, sucursal, entregas, otif, lead_medio, bultos, neto, tasa_red, CASE WHEN nivel='TOTAL' THEN 0 ELSE br END brecha, CASE WHEN nivel<>'TOTAL' THEN zz END z, abs(zz)>1.959963985 significativo, CASE WHEN nivel='TOTAL' THEN 'Red completa' WHEN abs(zz)<=1.959963985 THEN 'Sin evidencia (muestra chica)' WHEN abs(br)<0.05 THEN 'Significativo pero sin impacto practico'
+t AS (SELECT nivel, entidad, sucursal, sum(entregas) entregas, sum(CASE WHEN lead_dias<=1 THEN entregas ELSE 0 END) ok, sum(lead_dias*entregas)/sum(entregas) lead_medio, sum(bultos) bultos, sum(neto) neto, nivel='Fletero' AND sum(entregas)<12 muestra_chica FROM x GROUP BY 1,2,3),
+u AS (SELECT *, ok/entregas otif, sum(ok) FILTER (NOT muestra_chica) OVER (PARTITION BY nivel)/sum(entregas) FILTER (NOT muestra_chica) OVER (PARTITION BY nivel) tasa_red FROM t), v AS (SELECT *, CASE WHEN NOT muestra_chica THEN otif-tasa_red END br, CASE WHEN NOT muestra_chica THEN (otif-tasa_red)/sqrt(tasa_red*(1-tasa_red)/entregas) END zz FROM u),
+sl AS (SELECT nivel, entidad, sucursal, entregas, otif, lead_medio, bultos, neto, muestra_chica, tasa_red, CASE WHEN nivel='TOTAL' THEN 0 ELSE br END brecha, CASE WHEN nivel<>'TOTAL' THEN zz END z, coalesce(abs(zz)>1.959963985,false) significativo, CASE WHEN nivel='TOTAL' THEN 'Red completa' WHEN muestra_chica OR abs(zz)<=1.959963985 THEN 'Sin evidencia (muestra chica)' WHEN abs(br)<0.05 THEN 'Significativo pero sin impacto practico'
  WHEN br<0 THEN 'Rezagado significativo' ELSE 'Mejor que la red' END veredicto FROM v)"""
 
 
@@ -40,7 +39,7 @@ def _(s):
 
 
 # the whole history, so that some carrier of the small data is a laggard
-@query("k7_worst_laggard", f="brecha z", sql=SLA.replace(SINCE, "1995-01-01").replace(">=12)", ">=30)") + " SELECT nivel, entidad, brecha, z FROM sl WHERE veredicto='Rezagado significativo' ORDER BY brecha, entidad LIMIT 1")
+@query("k7_worst_laggard", f="brecha z", sql=SLA.replace(SINCE, "1995-01-01").replace("sum(entregas)<12", "sum(entregas)<30") + " SELECT nivel, entidad, brecha, z FROM sl WHERE veredicto='Rezagado significativo' ORDER BY brecha, entidad LIMIT 1")
 def _(s):
     h = lg.lead_histogram(s.ventas, s.sucursal, "1995-01-01", CUT)
     return lg.worst_laggard(lg.service_level(h, [0, 33], 30))
@@ -79,10 +78,10 @@ def _(s):
 h AS (SELECT dimension, entidad, n_lineas, n_rechazo, bultos_rechazo, valor_rechazo, neto_facturado, tasa, tasa_red, brecha, z, abs(z)>1.959963985 AND NOT (lo AND n_lineas<20) significativo, CASE WHEN lo AND n_lineas<20 THEN 'Sin evidencia (muestra chica)' WHEN abs(z)<=1.959963985 THEN 'Sin evidencia (muestra chica)'
  WHEN abs(brecha)<0.02 THEN 'Significativo pero sin impacto practico' WHEN brecha>=0 THEN 'Rechazo alto (significativo)' ELSE 'Rechazo bajo (significativo)' END veredicto, valor_rechazo/t share, CASE WHEN dimension<>'Dia de semana' THEN cu/t END pareto,
  CASE WHEN dimension='Sucursal' AND entidad='NATION_9' THEN 'Sucursal cerrada' WHEN dimension='Cliente' AND id_entidad IN ('10','20','30') THEN 'Cliente mostrador' ELSE '' END nota, lo AND o>40 tail FROM z)
-SELECT * EXCLUDE (tail) FROM h WHERE NOT tail UNION ALL SELECT dimension, 'RESTO ('||count(*)||' entidades)', sum(n_lineas), sum(n_rechazo), sum(bultos_rechazo), sum(valor_rechazo), sum(neto_facturado), sum(n_rechazo)/sum(n_lineas), NULL, NULL, NULL, false, 'Cola agregada', sum(share), 1, '' FROM h WHERE tail GROUP BY 1
-UNION ALL SELECT 'TOTAL','TOTAL GENERAL',sum(n_lineas),sum(n_rechazo),sum(bultos_rechazo),sum(valor_rechazo),sum(neto_facturado),sum(n_rechazo)/sum(n_lineas),sum(n_rechazo)/sum(n_lineas),0,NULL,false,'Red completa',1,1,'' FROM rm WHERE dimension='Sucursal'""")
+SELECT * EXCLUDE (tail), tail cola FROM h UNION ALL SELECT dimension, 'RESTO ('||count(*)||' entidades)', sum(n_lineas), sum(n_rechazo), sum(bultos_rechazo), sum(valor_rechazo), sum(neto_facturado), sum(n_rechazo)/sum(n_lineas), NULL, NULL, NULL, false, 'Cola agregada', sum(share), 1, '', false FROM h WHERE tail GROUP BY 1
+UNION ALL SELECT 'TOTAL','TOTAL GENERAL',sum(n_lineas),sum(n_rechazo),sum(bultos_rechazo),sum(valor_rechazo),sum(neto_facturado),sum(n_rechazo)/sum(n_lineas),sum(n_rechazo)/sum(n_lineas),0,NULL,false,'Red completa',1,1,'',false FROM rm WHERE dimension='Sucursal'""")
 def _(s):
-    return lg.rejection_table(stage(metrics(s)), COUNTERS, ["NATION_9"], 20)
+    return lg.rejection_table(metrics(s), COUNTERS, ["NATION_9"], 20)
 
 
 M4 = "coalesce(sum(cantidades_total) FILTER (id_documento='FCVTA'),0) bultos_bruto, coalesce(sum(abs(cantidades_total)) FILTER (id_documento='DVVTA'),0) bultos_dev, coalesce(sum(facturacion_neta) FILTER (id_documento='FCVTA'),0) bruto_pesos, coalesce(sum(abs(facturacion_neta)) FILTER (id_documento='DVVTA'),0) dev_pesos"
@@ -90,9 +89,9 @@ M4 = "coalesce(sum(cantidades_total) FILTER (id_documento='FCVTA'),0) bultos_bru
 
 @query("k5_return_rates", f="bultos_bruto bultos_dev bruto_pesos dev_pesos tasa_bultos tasa_valor z_robusto", sql=LB + f""", d AS (SELECT 'Generico' dimension, generico entidad, {M4} FROM lb GROUP BY 2 UNION ALL SELECT 'Marca', marca, {M4} FROM lb GROUP BY 2 UNION ALL SELECT 'Sucursal', sucursal, {M4} FROM lb GROUP BY 2
  UNION ALL SELECT 'Mes', strftime(fecha_comprobante,'%Y-%m'), {M4} FROM lb GROUP BY 2 UNION ALL SELECT 'TOTAL','TOTAL GENERAL',{M4} FROM lb UNION ALL SELECT 'Articulo', des_articulo||' ['||marca||']', {M4} FROM lb GROUP BY 2),
-r AS (SELECT *, CASE WHEN bultos_bruto>0 THEN bultos_dev/bultos_bruto END tasa_bultos, CASE WHEN bruto_pesos>0 THEN dev_pesos/bruto_pesos END tasa_valor FROM d), a AS (SELECT * FROM r WHERE dimension='Articulo' AND bultos_bruto>=50), md AS (SELECT median(tasa_bultos) m FROM a), ma AS (SELECT median(abs(tasa_bultos-m))*1.4826 k FROM a, md),
-z AS (SELECT a.*, CASE WHEN k=0 THEN 0 ELSE (tasa_bultos-m)/k END z_robusto FROM a, md, ma), zt AS (SELECT * FROM z ORDER BY tasa_bultos DESC, entidad LIMIT 40)
-SELECT *, abs(z_robusto)>=3.5 outlier, '' nota FROM zt UNION ALL SELECT r.*, NULL, false, CASE WHEN entidad='NATION_9' THEN 'Sucursal cerrada' WHEN dimension='Mes' AND entidad='2000-06' THEN 'Mes incompleto' ELSE '' END FROM r WHERE dimension<>'Articulo'""")
+r AS (SELECT *, CASE WHEN bultos_bruto>0 THEN bultos_dev/bultos_bruto END tasa_bultos, CASE WHEN bruto_pesos>0 THEN dev_pesos/bruto_pesos END tasa_valor FROM d), a AS (SELECT *, bultos_bruto<50 bajo_piso FROM r WHERE dimension='Articulo'), md AS (SELECT median(tasa_bultos) m FROM a WHERE NOT bajo_piso), ma AS (SELECT median(abs(tasa_bultos-m))*1.4826 k FROM a, md WHERE NOT bajo_piso),
+z AS (SELECT a.*, CASE WHEN NOT bajo_piso THEN CASE WHEN k=0 THEN 0 ELSE (tasa_bultos-m)/k END END z_robusto FROM a, md, ma)
+SELECT *, coalesce(abs(z_robusto)>=3.5,false) outlier, '' nota FROM z UNION ALL SELECT r.*, false, NULL, false, CASE WHEN entidad='NATION_9' THEN 'Sucursal cerrada' WHEN dimension='Mes' AND entidad='2000-06' THEN 'Mes incompleto' ELSE '' END FROM r WHERE dimension<>'Articulo'""")
 def _(s):
     v = fl.dates(fl.working_lines(s.lineas, NON, keep_null_category=False), SINCE, CUT)
     return lg.return_rates(v, 50, closed=["NATION_9"], partial_month="2000-06")
@@ -100,7 +99,7 @@ def _(s):
 
 RT = f"""fa AS (SELECT sucursal, id_sucursal, id_ruta, id_cliente, fecha_comprobante, nro_doc, sum(cantidades_total) bultos, sum(subtotal_neto) neto, sum(facturacion_neta) bruto, count(*) lineas, max(des_personal_fv1) p FROM l WHERE NOT anulado AND id_documento='FCVTA' AND generico IS NOT NULL AND generico<>'LARGE' AND fecha_comprobante BETWEEN '{SINCE}' AND '{CUT}' AND id_ruta IS NOT NULL
  GROUP BY sucursal, id_sucursal, id_ruta, id_cliente, fecha_comprobante, id_documento, letra, serie, nro_doc), ro AS (SELECT sucursal, id_sucursal, id_ruta, max(p) preventista, count(*) visitas, count(DISTINCT id_cliente) clientes, count(DISTINCT fecha_comprobante) dias_activos, count(DISTINCT CASE WHEN id_cliente IN (10,20,30) THEN id_cliente END) clientes_mostrador,
- sum(bultos) bultos, sum(neto) neto, sum(bruto) bruto, avg(lineas) lineas_x_visita, median(bultos) mediana_bultos_visita FROM fa GROUP BY 1,2,3 HAVING count(*)>=5)"""
+ sum(bultos) bultos, sum(neto) neto, sum(bruto) bruto, avg(lineas) lineas_x_visita, median(bultos) mediana_bultos_visita, count(*)<5 pocas_visitas FROM fa GROUP BY 1,2,3)"""
 
 
 def routes(s):
@@ -113,7 +112,7 @@ def _(s):
     return routes(s)
 
 
-@query("k6_route_table", f="bultos neto bruto lineas_x_visita mediana_bultos_visita drop_size neto_por_visita:2", i="visitas clientes clientes_mostrador", sql=RT + """, d AS (SELECT *, bultos/visitas drop_size, neto/visitas neto_por_visita FROM ro), e AS (SELECT *, CASE WHEN drop_size<=(SELECT quantile_cont(drop_size,0.25) FROM d) THEN 'Baja densidad (cuartil inferior)' ELSE 'Normal' END densidad, sucursal||' / '||id_ruta clave, CASE WHEN sucursal='NATION_9' THEN 'Sucursal cerrada' ELSE '' END nota FROM d)
+@query("k6_route_table", f="bultos neto bruto lineas_x_visita mediana_bultos_visita drop_size neto_por_visita:2", i="visitas clientes clientes_mostrador", sql=RT + """, d AS (SELECT *, bultos/visitas drop_size, neto/visitas neto_por_visita FROM ro), e AS (SELECT *, CASE WHEN pocas_visitas THEN 'Sin evidencia (muestra chica)' WHEN drop_size<=(SELECT quantile_cont(drop_size,0.25) FROM d WHERE NOT pocas_visitas) THEN 'Baja densidad (cuartil inferior)' ELSE 'Normal' END densidad, sucursal||' / '||id_ruta clave, CASE WHEN sucursal='NATION_9' THEN 'Sucursal cerrada' ELSE '' END nota FROM d)
 SELECT * FROM e UNION ALL BY NAME SELECT 'TOTAL GENERAL' clave, sum(visitas) visitas, sum(clientes) clientes, sum(bultos) bultos, sum(neto) neto, sum(bruto) bruto, sum(clientes_mostrador) clientes_mostrador, sum(bultos)/sum(visitas) drop_size, sum(neto)/sum(visitas) neto_por_visita FROM e""")
 def _(s):
     return lg.route_table(routes(s), ["NATION_9"])

@@ -7,7 +7,6 @@ from retail_analytics.functions.shape import ratio
 from retail_analytics.operators import clients as cl, demand as dm, totals as tt
 from retail_analytics.plans import g_clients as g, h_demand as h
 from retail_analytics.plans.registry import query
-from retail_analytics.sources.sinks import stage
 
 SUM = "t AS (SELECT sucursal, sum(cantidades_total) bultos, sum(subtotal_neto) neto, count(DISTINCT id_cliente) clientes FROM l WHERE fecha_comprobante BETWEEN '2001-06-01' AND '2001-06-30' GROUP BY 1), r AS (SELECT *, neto/bultos precio_medio FROM t)"
 
@@ -24,8 +23,8 @@ def _(s):
 UNION ALL SELECT 'critica','Sucursal cerrada con clientes perdidos', sucursal||': '||count(*)||' clientes', sum(neto_12m), 1 FROM cz WHERE sucursal_cerrada AND estado='Perdido' GROUP BY sucursal
 UNION ALL SELECT 'media','Quiebre simultaneo en varias sucursales', strftime(fecha,'%Y-%m-%d')||': '||count(DISTINCT sucursal)||' sucursales', sum(bultos), 3 FROM bq GROUP BY fecha HAVING count(DISTINCT sucursal)>=2""")
 def _(s):
-    c = stage(g.churn(s))
-    ev = dm.company_events(dm.anomalies(stage(h.days(s)), sigmas=2.0)[0], 2)
+    c = g.churn(s)
+    ev = dm.company_events(dm.anomalies(h.days(s), sigmas=2.0)[0], 2)
     lost = c.filter("sucursal_cerrada and estado = 'Perdido'").groupBy("sucursal").agg(F.count(F.lit(1)).alias("n"), F.sum("neto_12m").alias("neto"))
     return tt.alerts([
         tt.alert(c, (F.col("estado") == "Recuperable") & F.col("accionable") & (F.col("neto_12m") > 200000), "alta", "Cliente recuperable de alto valor",

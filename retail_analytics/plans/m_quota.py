@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from retail_analytics.operators import coverage as cv, filters as fl, quota as qt
 from retail_analytics.plans.registry import query
 from retail_analytics.plans.sqltext import cov
-from retail_analytics.sources.sinks import stage
 
 MAY = "fecha_comprobante BETWEEN '2001-05-01' AND '2001-05-31' AND NOT anulado AND id_ruta IS NOT NULL"
 # route x category with the branch total of the quota and the May sale as weight
@@ -132,7 +131,7 @@ def coverage_quota(s):
 
 @query("m7_coverage_quotas", f="total peso cupo", sql=CQ + f", fx AS (SELECT *, greatest(total-count(*) OVER (PARTITION BY id_sucursal, generico),0) xs FROM cb WHERE generico IN ('PROMO','SMALL')), nf AS (SELECT * FROM cb WHERE generico NOT IN ('PROMO','SMALL')) SELECT * EXCLUDE (xs, y), round(y+1.0::DOUBLE,4) cupo FROM {large_sql('fx', 'id_sucursal, generico', ['id_ruta'], 'xs', 'peso', 4, 'y')} UNION ALL BY NAME SELECT * FROM {large_sql('nf', 'id_sucursal, generico', ['id_ruta'], 'total', 'peso', 4)}")
 def _(s):
-    b = stage(coverage_quota(s))
+    b = coverage_quota(s)
     by = ["id_sucursal", "generico"]
     with_floor = qt.split_floor(b.filter("generico in ('PROMO','SMALL')"), by, "total", "peso", ["id_ruta"], 1.0)
     return with_floor.unionByName(qt.split_largest(b.filter("generico not in ('PROMO','SMALL')"), by, "total", "peso", ["id_ruta"], digits=4))
@@ -184,7 +183,7 @@ mv AS (SELECT zona, ruta, sum(d) d FROM (SELECT zona, ruta, -d d FROM {large_sql
 SELECT zv.* REPLACE (round(cupo+CASE WHEN categoria='Brand#1' THEN coalesce(d,0) ELSE 0 END,2) AS cupo) FROM zv LEFT JOIN mv ON mv.zona=zv.zona AND mv.ruta=zv.ruta""")
 def _(s):
     v, q, h = zone_values(s)
-    return qt.redistribute(stage(v), stage(h), q, "P2", "Brand#2", "Brand#1")
+    return qt.redistribute(v, h, q, "P2", "Brand#2", "Brand#1")
 
 
 @query("m11_closure", f="esperado suma diferencia", sql=REP + """, s AS (SELECT id_vendedor, id_sucursal, categoria, sum(cupo) suma FROM rd WHERE id_ruta IS NULL OR id_ruta<>7 GROUP BY 1,2,3)
@@ -204,7 +203,7 @@ def _(s):
     q = s.cupos.filter("periodo = '2001-06'").groupBy("id_sucursal", "preventista", F.col("generico").alias("categoria")).agg(F.sum(F.coalesce("cupo", F.lit(0.0))).alias("cupo"))
     alive = s.cliente.filter("not anulado and id_ruta_fv1 is not null and id_personal_fv1 % 3 <> 0 and id_sucursal <> 5").select("id_sucursal", F.col("des_personal_fv1").alias("preventista")).distinct()
     w = may(s).groupBy("id_sucursal", F.col("des_personal_fv1").alias("preventista"), F.col("generico").alias("categoria")).agg(F.sum("cantidades_total").alias("qty"))
-    return qt.redistribute_leavers(stage(q), alive, w)
+    return qt.redistribute_leavers(q, alive, w)
 
 
 MAP = {"cerveza": ("CERVEZAS", "INDIVIDUAL"), "agua": ("AGUAS", "AGUAS"), "vino": ("VINOS", "FINOS")}

@@ -8,7 +8,6 @@ from retail_analytics.plans.a_sources import PROMO_CTE, promo_source
 from retail_analytics.plans.registry import query
 from retail_analytics.plans.sqltext import wide as W
 from retail_analytics.sources import contracts as ct
-from retail_analytics.sources.sinks import stage
 
 M0, M1 = "2001-06-01", "2001-06-30"
 KEY = "id_documento||letra||lpad(serie::VARCHAR,4,'0')||lpad(nro_doc::VARCHAR,8,'0')"
@@ -72,7 +71,7 @@ def promo(s):
 
 
 def enriched(s):
-    li = stage(lines(s))
+    li = lines(s)
     sup = s.sucursal.filter("id_sucursal % 3 <> 0").select(F.when(F.col("id_sucursal") % 2 == 0, F.concat("id_sucursal", F.lit(" - "), "descripcion"))
                                                           .otherwise(F.col("descripcion")).alias("clave"), "zona")
     return rc.enrich(promo(s), rc.client_branch(s.cliente.filter("id_cliente % 19 <> 0")), rc.collapse(li, rc.TERNA), sup, rc.document_price(li))
@@ -134,7 +133,7 @@ d9 AS (SELECT * FROM df WHERE abs(delta)>0.01), dc AS (SELECT *, CASE WHEN id_cl
 
 
 def diff(s):
-    a = stage(lines(s).groupBy("sucursal", "id_cliente", "fecha").agg(F.sum("facturacion").alias("facturacion"), F.sum("descuentos").alias("descuentos")))
+    a = lines(s).groupBy("sucursal", "id_cliente", "fecha").agg(F.sum("facturacion").alias("facturacion"), F.sum("descuentos").alias("descuentos"))
     c = F.col("id_cliente")
     b = a.filter(c % 11 != 0).select(F.when(c % 31 == 0, "OTRA").otherwise(F.col("sucursal")).alias("sucursal"), "id_cliente", "fecha",
                                      (F.col("facturacion") * F.when(c % 7 == 0, 1.01).otherwise(1.0)).alias("facturacion"), "descuentos")
@@ -162,7 +161,7 @@ vp AS (SELECT te.fecha, te.id_cliente, te.id_articulo, precio, bonific, ref_prec
 
 
 def mismatches(s):
-    t = stage(ternas(s))
+    t = ternas(s)
     a = F.col("id_articulo")
     ref = t.filter(a % 13 != 0).select(*rc.TERNA, (F.col("precio") * F.when(a % 5 == 0, 1.1).otherwise(1.0)).alias("precio"), (F.col("bonific") + F.when(a % 5 == 1, 0.02).otherwise(0.0)).alias("bonific"))
     return rc.validate_prices(t, ref, 0.01)

@@ -1,34 +1,21 @@
 """Materialised results and per-branch outputs."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-_LOCAL: list[str] = []
-
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor sees: ``spark.checkpoint.dir``; a local folder only where it is unset (tests)."""
+    """Folder every executor sees: ``spark.checkpoint.dir``.  Where it is unset a temporary folder serves a local session (tests);
+    a cluster has to name one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="retail-"))
-    return _LOCAL[0]
-
-
-def stage(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write the frame once to the shared folder and read it back.
-
-    For an aggregate that the following steps read several times (cut points, bucket totals, ranks): the scan of
-    the facts behind it runs once, and a lost executor costs a re-read of the written table only.
-    """
-    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir names no shared folder")
+    return tempfile.mkdtemp(prefix="retail-")
 
 
 def refresh(df: DataFrame, root: str) -> str:
@@ -46,7 +33,8 @@ def publish_view(spark: SparkSession, name: str, path: str) -> None:
     spark.read.parquet(path).createOrReplaceTempView(name)
 
 
-def split_output(df: DataFrame, key: str, path: str, max_records_per_file: int = 5_000_000) -> str:
-    """One folder per value of ``key``, written from the tasks as they are: no shuffle, so no hot branch."""
-    (df.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file).partitionBy(key).parquet(path))
+def split_output(df: DataFrame, key: str, path: str, files_per_key: int = 4, max_records_per_file: int = 5_000_000) -> str:
+    """One folder per value of ``key``, in a few files: rows go to (key, salt), so a hot branch is not one task."""
+    salted = df.repartition(F.col(key), F.pmod(F.xxhash64(*df.columns), F.lit(files_per_key)))
+    salted.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file).partitionBy(key).parquet(path)
     return path
