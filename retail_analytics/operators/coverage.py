@@ -105,6 +105,19 @@ def rep_coverage(cob: DataFrame, reps: DataFrame, level: str, force: int = 1) ->
                     "clientes_compradores", "volumen_total"))
 
 
+def dump(cob: DataFrame, since: str, until: str, force: int, branches: list[str] | None = None) -> DataFrame:
+    """Rows of a coverage table as they are: a range of periods, one sales force and, on request, branches by name."""
+    d = cob.filter(F.col("periodo").between(F.lit(since).cast("date"), F.lit(until).cast("date")) & (F.col("id_fuerza_ventas") == force))
+    return d.filter(F.col("ds_sucursal").isin(branches)) if branches is not None else d
+
+
+def coverage_quotas(quotas: DataFrame, sucursal: DataFrame, period: str) -> DataFrame:
+    """Coverage quota by branch, route and concept (category or brand, whichever of the swapped columns is filled)."""
+    q = quotas.withColumn("concepto", F.coalesce("marca", "generico")).filter((F.col("periodo") == period) & F.col("concepto").isNotNull())
+    return (q.groupBy("id_sucursal", "id_ruta", "concepto").agg(F.sum("cupo").alias("cupo"))
+            .join(sucursal.select("id_sucursal", F.col("descripcion").alias("sucursal")), "id_sucursal").select("sucursal", "id_ruta", "concepto", "cupo"))
+
+
 def roll_up(cob: DataFrame, keys: list[str]) -> DataFrame:
     """Add coverage up over reps and routes (the additive axis)."""
     return cob.groupBy(*keys).agg(F.sum("clientes_compradores").alias("clientes_compradores"),

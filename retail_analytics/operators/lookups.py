@@ -37,6 +37,15 @@ def article_sales(ventas: DataFrame, sucursal: DataFrame, article: int, desde: s
     return flagged(out, limit)
 
 
+def month_coverage(cob: DataFrame, month: str, branches: list[str] | None = None, limit: int = LIMIT) -> DataFrame:
+    """Buying clients and volume of a month (``YYYY-MM``) by branch and category, optionally of some branches."""
+    c = cob.filter(F.date_format("periodo", "yyyy-MM") == month)
+    c = c.filter(F.col("ds_sucursal").isin(branches)) if branches is not None else c
+    out = c.groupBy("periodo", F.col("ds_sucursal").alias("sucursal"), "generico").agg(
+        F.sum("clientes_compradores").alias("clientes_compradores"), F.sum("volumen_total").alias("volumen_total"))
+    return flagged(out, limit)
+
+
 def resolve_client(cliente: DataFrame, ids: DataFrame) -> DataFrame:
     """Requested clients (id_cliente, id_sucursal or NULL) with name and state: ok, ambiguo or no existe."""
     c = cliente.select(F.col("id_cliente").alias("_c"), F.col("id_sucursal").alias("_s"),

@@ -126,7 +126,8 @@ lp AS (SELECT * FROM lp0 UNION ALL SELECT * FROM lp0 WHERE TRY_CAST(id AS BIGINT
 
 
 @query("a8_price_list", f="precio_base precio_final", sql=PRICE_CTE + """
-SELECT TRY_CAST(id AS BIGINT) id_articulo, coalesce(TRY_CAST(base AS DOUBLE),0) precio_base, coalesce(TRY_CAST(final AS DOUBLE),0) precio_final FROM lp""")
+SELECT TRY_CAST(id AS BIGINT) id_articulo, coalesce(max(TRY_CAST(base AS DOUBLE)),0) precio_base, coalesce(max(TRY_CAST(final AS DOUBLE)),0) precio_final FROM lp WHERE TRY_CAST(id AS BIGINT) IS NOT NULL
+GROUP BY 1 HAVING count(*)=1 AND bool_and((base IS NULL OR base='' OR TRY_CAST(base AS DOUBLE) IS NOT NULL) AND (final IS NULL OR final='' OR TRY_CAST(final AS DOUBLE) IS NOT NULL))""")
 def _(s):
     return ct.price_list(raw_prices(s))
 
@@ -139,9 +140,9 @@ def _(s):
     return ct.price_list_problems(raw_prices(s))
 
 
-@query("a9_source_freshness")
+@query("a9_source_freshness", sql="SELECT greatest(date_diff('day', max(l_shipdate)::DATE, DATE '2001-08-15'),0) dias, greatest(date_diff('day', max(l_shipdate)::DATE, DATE '2001-08-15'),0)>30 vencida FROM lineitem", i="dias")
 def _(s):
-    return ct.freshness(s.raw("lineitem"), "2026-12-31").select("dias", "vencida")
+    return ct.freshness(s.raw("lineitem"), "2001-08-15", loaded="l_shipdate").select("dias", "vencida")
 
 
 @query("a10_latest_sale", sql="SELECT max(fecha_comprobante) fecha FROM fv WHERE NOT anulado")

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from retail_analytics.operators import coverage as cv, filters as fl
+from retail_analytics.operators import coverage as cv, filters as fl, lookups
 from retail_analytics.functions.shape import slug, wide, yoy
 from retail_analytics.plans.registry import query
 from retail_analytics.plans.sqltext import COBL, JUNE, M0, M1, cov, names, wide as W
@@ -55,6 +55,44 @@ def _(s):
     return cv.group_coverage(s.lineas, g, "marca", "subdivision", ["periodo", "id_fuerza_ventas", "id_sucursal"])
 
 
+SKUS = [(i, "SKUS A" if i % 2 else "SKUS B") for i in range(1, 60)] + [(7, "SKUS C"), (8, "SKUS C")]
+SKU_CTE = "gsk AS (SELECT * FROM (VALUES " + ",".join(f"({i},'{n}')" for i, n in SKUS) + ") g(id_articulo,grupo))"
+
+
+@query("c1_article_group_coverage", f="volumen_total", sql=f"""{COBL}, {SKU_CTE} SELECT * RENAME (clientes AS {CC}, volumen AS volumen_total) FROM
+{cov('periodo, id_fuerza_ventas, id_sucursal, grupo', '(SELECT * FROM cobl JOIN gsk USING (id_articulo))')}""")
+def _(s):
+    g = s.spark.createDataFrame(SKUS, "id_articulo long, grupo string")
+    return cv.group_coverage(s.lineas, g, "id_articulo", "grupo", ["periodo", "id_fuerza_ventas", "id_sucursal"])
+
+
+def _dump_sql(level: str) -> str:
+    where = "periodo BETWEEN '2001-05-01' AND '2001-06-01' AND id_fuerza_ventas=1"
+    return f"{COBL} SELECT * FROM {cob_sql(f'cob_preventista_{level}', where)} WHERE ds_sucursal IN ('NATION_1','NATION_7')"
+
+
+@query("a4_category_coverage_dump", f="volumen_total", sql=_dump_sql("generico"))
+def _(s):
+    return cv.dump(cob(s, "cob_preventista_generico", "2001-05-01"), "2001-05-01", "2001-06-01", 1, ["NATION_1", "NATION_7"])
+
+
+@query("a4_brand_coverage_dump", f="volumen_total", sql=_dump_sql("marca"))
+def _(s):
+    return cv.dump(cob(s, "cob_preventista_marca", "2001-05-01"), "2001-05-01", "2001-06-01", 1, ["NATION_1", "NATION_7"])
+
+
+@query("a14_month_coverage", f="volumen_total", sql=f"""{COBL}, c AS (SELECT periodo, ds_sucursal sucursal, generico, sum({CC}) {CC}, sum(volumen_total) volumen_total FROM {cob_sql('cob_sucursal_generico', JUN_P)}
+ WHERE ds_sucursal IN ('NATION_2','NATION_3') GROUP BY 1,2,3) SELECT *, (SELECT count(*)>500 FROM c) truncado FROM c""", i=CC)
+def _(s):
+    return lookups.month_coverage(cob(s, "cob_sucursal_generico"), "2001-06", ["NATION_2", "NATION_3"])
+
+
+@query("d25_coverage_quotas", f="cupo", sql="""SELECT descripcion sucursal, id_ruta, coalesce(marca,generico) concepto, sum(cupo) cupo FROM cupos_cob JOIN suc USING (id_sucursal)
+WHERE periodo='2001-06' AND coalesce(marca,generico) IS NOT NULL GROUP BY 1,2,3""")
+def _(s):
+    return cv.coverage_quotas(s.cupos_cobertura, s.sucursal, "2001-06")
+
+
 @query("c2_rep_category_coverage", f="volumen_total", sql=f"""{COBL} SELECT c.periodo, c.ds_sucursal sucursal, c.id_vendedor, v.des_vendedor vendedor, c.id_ruta, c.generico, c.{CC}, c.volumen_total
 FROM {cob_sql('cob_preventista_generico', JUN_P + ' AND id_fuerza_ventas=1')} c LEFT JOIN ven v ON c.id_vendedor=v.id_vendedor AND c.id_sucursal=v.id_sucursal""")
 def _(s):
@@ -436,7 +474,7 @@ def _(s):
 def rep_clients(s, brands):
     from retail_analytics.plans.b_filters import supervisor_map
     v = s.vendedor.select("id_vendedor", "id_sucursal", F.col("des_vendedor").alias("vendedor"))
-    df = fl.dates(s.lineas, "2001-05-01", M1).filter(F.col("marca").isin(brands) & F.col("id_sucursal").isin(1, 2, 3))
+    df = fl.dates(s.lineas, "2001-05-01", M1).filter(F.col("marca").isin(brands))
     df = df.join(v, ["id_vendedor", "id_sucursal"]).withColumn("periodo", F.date_format("fecha_comprobante", "yyyyMM"))
     df = df.groupBy("vendedor", "id_cliente", "periodo").agg(F.sum("cantidades_total").alias("bultos"))
     return fl.with_supervisor(df, supervisor_map(s))
@@ -448,7 +486,7 @@ def _c29():
 
     def src(brands):
         return f"""(SELECT supervisor, des_vendedor vendedor, id_cliente, strftime(fecha_comprobante,'%Y%m') periodo, sum(cantidades_total) bultos FROM l
- JOIN sup USING (id_vendedor, id_sucursal) WHERE fecha_comprobante BETWEEN '2001-05-01' AND '2001-06-30' AND marca IN ({brands}) AND id_sucursal IN (1,2,3) GROUP BY ALL)"""
+ JOIN sup USING (id_vendedor, id_sucursal) WHERE fecha_comprobante BETWEEN '2001-05-01' AND '2001-06-30' AND marca IN ({brands}) GROUP BY ALL)"""
 
     def lv(cte):
         return " UNION ALL ".join(f"SELECT '{n}' nivel, {k} periodo, sum(bultos) bultos, count(DISTINCT CASE WHEN bultos>0 THEN id_cliente END) cobertura FROM {cte} GROUP BY ALL"

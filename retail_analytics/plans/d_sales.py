@@ -553,6 +553,11 @@ def _(s):
     return sl.period_columns(s.lineas.filter("generico = 'PROMO'"), W41, ["id_cliente", "id_sucursal", "id_articulo", "des_articulo", "marca"])
 
 
+@query("d41_period_comparison_brands", f=F41, sql=_d41("id_cliente, id_sucursal, marca"))
+def _(s):
+    return sl.period_columns(s.lineas.filter("generico = 'PROMO'"), W41, ["id_cliente", "id_sucursal", "marca"])
+
+
 @query("d41_period_totals", f="bultos bonif", sql="c AS (" + _d41("id_cliente, id_sucursal") + ") " + " UNION ALL ".join(
     f"SELECT '{p}' periodo, sum(bultos_{p}) bultos, sum(bonif_{p}) bonif, count(*) FILTER (bultos_{p}<>0) clientes FROM c" for p in W41).replace("SELECT 'p1'", "SELECT 'p1'", 1))
 def _(s):

@@ -180,6 +180,13 @@ def _(s):
     return st.listed_snapshot(s.stock, s.articulo.filter("generico = 'PROMO'"), dep, [d for d, _ in DEP])
 
 
+@query("e14_all_articles_snapshot", f=names([d for d, _ in DEP], "d"), sql=f"""x AS (SELECT id_articulo, c, cant_bultos FROM stock JOIN (VALUES ('central',0),('norte',5),('sur',105)) d(c,id_deposito) USING (id_deposito)
+ WHERE date_stock=(SELECT max(date_stock) FROM stock) AND id_articulo IN (SELECT id_articulo FROM art)) SELECT id_articulo, {W('c', [d for d, _ in DEP], {'d': 'cant_bultos'})} FROM x GROUP BY 1""")
+def _(s):
+    dep = s.spark.createDataFrame([(i, n) for n, i in DEP], "id_deposito long, columna string")
+    return st.listed_snapshot(s.stock, s.articulo, dep, [d for d, _ in DEP])
+
+
 # supplier list derived from the SKUs: same text, extended, foreign words, reordered words
 def supplier(s):
     k, n = F.col("p_partkey"), F.col("p_name")

@@ -8,6 +8,7 @@ from retail_analytics.functions import ordered
 from retail_analytics.operators import filters as fl, stats as st
 from retail_analytics.plans.g_clients import A12, CUT, LN, lines
 from retail_analytics.plans.registry import query
+from retail_analytics.plans.sqltext import erf_sql, smoothed_sql
 
 YEAR = f"fecha_comprobante>'{A12}' AND fecha_comprobante<='{CUT}'"
 # client x branch: net, units, lines, returned lines, discount rate
@@ -21,19 +22,14 @@ def clients(s):
         F.round(F.sum(F.abs("descuentos")) / F.sum(F.abs("facturacion_neta")), 6).alias("tasa")))
 
 
-@query("f1_p_values")
+@query("f1_p_values", f="z p_valor", sql=CB + """, b AS (SELECT id_sucursal, sum(devueltas) x, sum(lineas) n FROM cb GROUP BY 1), r AS (SELECT *, (sum(x) OVER ())/(sum(n) OVER ()) p FROM b), z AS (SELECT id_sucursal, (x/n-p)/sqrt(p*(1-p)/n) z FROM r)
+SELECT id_sucursal, z, 2*(1-0.5*(1+""" + erf_sql("abs(z)/sqrt(2)") + """)) p_valor FROM z""")
 def _(s):
     b = clients(s).groupBy("id_sucursal").agg(F.sum("devueltas").alias("x"), F.sum("lineas").alias("n"))
     v = st.verdict(b, "x", "n", 0.02, False, "alto", "bajo")
     return v.select("id_sucursal", "z", st.two_sided_p(F.col("z")).alias("p_valor"))
 
 
-@query("f1_chi_square_tail")
-def _(s):
-    r = st.chi_square(fl.dates(s.lineas, "2000-07-01", CUT), "des_canal_mkt", "generico", "cantidades_total")
-    return st.chi_square_test(r, "des_canal_mkt", "generico")
-
-
 @query("f2_robust_z", digits=6, f="tasa mediana z_robusto", sql=CB + """, m AS (SELECT id_sucursal, median(tasa) mediana FROM cb GROUP BY 1), d AS (SELECT id_sucursal, median(abs(tasa-mediana)) mad FROM cb JOIN m USING (id_sucursal) GROUP BY 1)
 SELECT id_sucursal, id_cliente, tasa, mediana, CASE WHEN mad=0 THEN 0 ELSE (tasa-mediana)/(1.4826*mad) END z_robusto FROM cb JOIN m USING (id_sucursal) JOIN d USING (id_sucursal)""")
 def _(s):
@@ -85,6 +81,13 @@ cc AS (SELECT generico, sum(o) c FROM o GROUP BY 1 HAVING sum(o)>0), q AS (SELEC
 x AS (SELECT *, (observado-esperado)/sqrt(esperado) residuo FROM q)"""
 
 
+@query("f1_chi_square_tail", f="estadistico v_cramer p_valor", i="gl", sql=CHI + """, c AS (SELECT sum(residuo*residuo) estadistico, (count(DISTINCT des_canal_mkt)-1)*(count(DISTINCT generico)-1) gl, sqrt(sum(residuo*residuo)/(sum(observado)*(least(count(DISTINCT des_canal_mkt),count(DISTINCT generico))-1))) v_cramer FROM x),
+h AS (SELECT *, (pow(estadistico/gl,1/3.0::DOUBLE)-(1-2.0::DOUBLE/(9*gl)))/sqrt(2.0::DOUBLE/(9*gl)) w FROM c) SELECT estadistico, gl, v_cramer, 1-(0.5+0.5*sign(w)*""" + erf_sql("abs(w)/sqrt(2)") + """) p_valor FROM h""")
+def _(s):
+    r = st.chi_square(fl.dates(s.lineas, "2000-07-01", CUT), "des_canal_mkt", "generico", "cantidades_total")
+    return st.chi_square_test(r, "des_canal_mkt", "generico")
+
+
 @query("f9_chi_square_residuals", f="observado esperado residuo", sql=CHI + " SELECT * FROM x")
 def _(s):
     return st.chi_square(fl.dates(s.lineas, "2000-07-01", CUT), "des_canal_mkt", "generico", "cantidades_total")
@@ -126,7 +129,9 @@ def _(s):
     return st.seasonal_strength(st.seasonal_decompose(monthly(s), ["generico"], "paso", "b"), ["generico"])
 
 
-@query("f12_holt_winters")
+@query("f12_holt_winters", f="pronostico inferior superior alpha beta gamma sse:-3 mape", i="paso", sql=MS + """, sr AS (SELECT generico k, list(b ORDER BY paso) y FROM mp GROUP BY 1) SELECT * FROM (WITH RECURSIVE """ + smoothed_sql("sr", 5) + """,
+p AS (SELECT *, unnest(range(1,7)) h, sqrt(sse/greatest(len(y)-15,1)) sd FROM best), v AS (SELECT *, lev+h*tr+sea[(h-1)%12+1] f, 1.96*sd*sqrt(1+coalesce(list_sum(list_transform(range(1,h), lambda j: pow(a*(1+j*b),2))),0)) w FROM p)
+SELECT k generico, h paso, f pronostico, f-w inferior, f+w superior, a alpha, b beta, g gamma, sse, pct/hits*100 mape FROM v)""")
 def _(s):
     return st.holt_winters_by(monthly(s), "generico", "paso", "b")
 

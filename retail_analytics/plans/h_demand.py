@@ -8,7 +8,7 @@ from retail_analytics.functions.shape import slug
 from retail_analytics.operators import demand as dm, filters as fl
 from retail_analytics.plans.g_clients import A12, COUNTERS, CUT, NON
 from retail_analytics.plans.registry import query
-from retail_analytics.plans.sqltext import names
+from retail_analytics.plans.sqltext import names, smoothed_sql
 
 INV = "iv AS (SELECT * FROM l WHERE id_documento='FCVTA' AND NOT anulado AND (generico IS NULL OR generico NOT IN ('LARGE')))"
 MS = INV + ", ms AS (SELECT date_trunc('month',fecha_comprobante)::DATE mes, coalesce(trim(generico),'SIN CLASIFICAR') generico, sum(cantidades_total) bultos, sum(cantidad_total_htls) hectolitros, count(*) lineas, count(DISTINCT id_cliente) clientes FROM iv WHERE fecha_comprobante<='2001-06-30' GROUP BY 1,2)"
@@ -41,14 +41,13 @@ def _(s):
     return dm.wide_series(shared(series(s)), CATS)
 
 
-# brand series of one branch have gaps and late starts
-BM = INV + """, bm AS (SELECT marca, date_trunc('month',fecha_comprobante)::DATE mes, sum(cantidades_total) bultos FROM iv WHERE id_sucursal<4 AND fecha_comprobante<='2001-06-30' GROUP BY 1,2),
+BM = INV + """, bm AS (SELECT marca, date_trunc('month',fecha_comprobante)::DATE mes, sum(cantidades_total) bultos FROM iv WHERE fecha_comprobante<='2001-06-30' GROUP BY 1,2),
 sp AS (SELECT min(mes) a, max(mes) b FROM bm), gr AS (SELECT marca, unnest(generate_series((SELECT a FROM sp),(SELECT b FROM sp),INTERVAL 1 MONTH))::DATE mes FROM (SELECT DISTINCT marca FROM bm)),
 c AS (SELECT gr.marca, gr.mes, bultos, date_diff('month',(SELECT a FROM sp),gr.mes) paso FROM gr LEFT JOIN bm USING (marca, mes))"""
 
 
 def brand_months(s):
-    v = inv(s).filter(f"id_sucursal < 4 and fecha_comprobante <= '{CUT}'")
+    v = inv(s).filter(f"fecha_comprobante <= '{CUT}'")
     return v.groupBy("marca", F.trunc("fecha_comprobante", "MM").alias("mes")).agg(F.sum("cantidades_total").alias("bultos"))
 
 
@@ -91,7 +90,18 @@ def _(s):
     return dm.season_alert(dm.seasonality(v), 6, v.filter("mes = '2001-06-01'").select("generico", "bultos"))
 
 
-@query("h6_forecast")
+@query("h6_forecast", f="bultos limite_inferior limite_superior mape_hw mape_naive", digits=3, sql=MS + """, tt AS (SELECT mes, generico, bultos FROM ms UNION ALL SELECT mes, 'TOTAL GENERAL', sum(bultos) FROM ms GROUP BY 1),
+s0 AS (SELECT generico, list(bultos ORDER BY mes) y, list(mes ORDER BY mes) ms, len(list(bultos)) n, sum(bultos) tot FROM tt GROUP BY 1), s1 AS (SELECT *, CASE WHEN n<29 THEN 'pocos meses utiles' WHEN tot<50000 THEN 'volumen bajo el piso' END why FROM s0),
+ct AS (SELECT generico, unnest(range(greatest(25,n-12),n+1)) t, y full_y, n FROM s1 WHERE why IS NULL), sr AS (SELECT {'c': generico, 't': t} k, full_y[1:t] y FROM ct)
+SELECT * FROM (WITH RECURSIVE """ + smoothed_sql("sr", 3) + """, o AS (SELECT ct.*, full_y[t+1] act, full_y[t-11] nv, lev, tr, sea FROM ct JOIN best ON best.k.c=ct.generico AND best.k.t=ct.t),
+e AS (SELECT generico, avg(abs((act-(lev+tr+sea[1]))/act)) FILTER (act<>0)*100 mape_hw, avg(abs((act-nv)/act)) FILTER (act<>0)*100 mape_naive, stddev_samp(act-(lev+tr+sea[1])) sh, stddev_samp(act-nv) sn FROM o WHERE t<n GROUP BY 1),
+f AS (SELECT s1.*, e.* EXCLUDE (generico), l.lev, l.tr, l.sea, coalesce(mape_hw<mape_naive, mape_hw IS NOT NULL) hw FROM s1 LEFT JOIN e USING (generico) LEFT JOIN (SELECT * FROM o WHERE t=n) l USING (generico)),
+g AS (SELECT * REPLACE (coalesce(why, CASE WHEN CASE WHEN hw THEN mape_hw ELSE mape_naive END>40 OR CASE WHEN hw THEN mape_hw ELSE mape_naive END IS NULL THEN 'serie no pronosticable' END) AS why) FROM f),
+p AS (SELECT *, unnest(range(1,7)) h FROM g WHERE why IS NULL), q AS (SELECT *, greatest(CASE WHEN hw THEN lev+h*tr+sea[(h-1)%12+1] ELSE y[n-12+h] END,0) pt, 1.96*nullif(CASE WHEN hw THEN sh ELSE sn END,0)*sqrt(h) w FROM p),
+r AS (SELECT generico, ms[n] m0, h, pt bultos, CASE WHEN w IS NOT NULL THEN greatest(pt-w,0) END limite_inferior, pt+w limite_superior, hw, mape_hw, mape_naive FROM q)
+SELECT generico, CASE WHEN hw THEN 'Holt-Winters' ELSE 'Naive estacional' END modelo, mape_hw, mape_naive, NULL::VARCHAR descarte, (m0 + to_months(h::INTEGER))::DATE mes, 'Pronostico' tipo, bultos, limite_inferior, limite_superior FROM r
+UNION ALL SELECT generico, CASE WHEN hw THEN 'Holt-Winters' ELSE 'Naive estacional' END, mape_hw, mape_naive, NULL, unnest(ms), 'Historico', unnest(y), NULL, NULL FROM g WHERE why IS NULL
+UNION ALL SELECT generico, NULL, NULL, NULL, why, NULL, 'Descarte', NULL, NULL, NULL FROM g WHERE why IS NOT NULL)""", d="mes")
 def _(s):
     return dm.forecast(live(s))
 

@@ -72,14 +72,28 @@ def repair_all_text(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def price_list(df: DataFrame, ident: str = "id", base: str = "base", final: str = "final") -> DataFrame:
-    """Clean price list: numeric ids, both prices, an empty price counts as 0."""
+def price_list(df: DataFrame, ident: str = "id", base: str = "base", final: str = "final", strict: bool = False) -> DataFrame:
+    """Clean price list: numeric ids listed once, both prices numeric, an empty price counts as 0.
+
+    Rows with a bad id or price and all rows of a repeated id are left out (:func:`price_list_problems` has them), or fail the
+    read when ``strict``.  One pass and one shuffle by id.
+    """
     missing = [c for c in (ident, base, final) if c not in df.columns]
     if missing:
         raise ValueError(f"price list lacks {missing}")
-    return df.select(F.col(ident).cast("string").try_cast("long").alias("id_articulo"),
-                     *[F.coalesce(F.col(c).cast("string").try_cast("double"), F.lit(0.0)).alias(n)
-                       for c, n in ((base, "precio_base"), (final, "precio_final"))])
+    key = F.col(ident).cast("string").try_cast("long")
+    prices = {n: (F.trim(F.col(c).cast("string")), n) for c, n in ((base, "precio_base"), (final, "precio_final"))}
+    good = F.lit(True)
+    for text, _ in prices.values():
+        good = good & (text.isNull() | (text == "") | text.try_cast("double").isNotNull())
+    rows = df.select(key.alias("id_articulo"), *[F.coalesce(t.try_cast("double"), F.lit(0.0)).alias(n) for t, n in prices.values()],
+                     good.alias("_good"), F.col(ident).cast("string").alias("_id"))
+    t = rows.groupBy("id_articulo", F.when(F.col("id_articulo").isNull(), F.col("_id")).alias("_id")).agg(
+        F.max("precio_base").alias("precio_base"), F.max("precio_final").alias("precio_final"), F.count(F.lit(1)).alias("_n"), F.bool_and("_good").alias("_good"))
+    ok = F.col("id_articulo").isNotNull() & F.col("_good") & (F.col("_n") == 1)
+    if strict:
+        ok = F.when(ok, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("bad or repeated price list row: "), F.coalesce(F.col("id_articulo").cast("string"), F.col("_id"), F.lit("no id")))).cast("boolean"))
+    return t.filter(ok).select("id_articulo", "precio_base", "precio_final")
 
 
 def price_list_problems(df: DataFrame, ident: str = "id", base: str = "base", final: str = "final") -> DataFrame:
@@ -97,11 +111,15 @@ def price_list_problems(df: DataFrame, ident: str = "id", base: str = "base", fi
     return ids.union(bad(base)).union(bad(final)).union(twice)
 
 
-def freshness(source: DataFrame, now: str, max_days: int = 30) -> DataFrame:
-    """Age in days of the newest file behind a file source, and whether it is over the limit."""
+def file_times(source: DataFrame) -> DataFrame:
+    """Change time of the files behind a file source, as the column ``cargada``."""
+    return source.select(F.col("_metadata.file_modification_time").alias("cargada"))
+
+
+def freshness(source: DataFrame, now: str, max_days: int = 30, loaded: str = "cargada") -> DataFrame:
+    """Age in days of the newest load time of a source, and whether it is over the limit."""
     age = F.greatest(F.datediff(F.lit(now).cast("date"), F.col("actualizada").cast("date")), F.lit(0))
-    return (source.select(F.col("_metadata.file_modification_time").alias("t")).agg(F.max("t").alias("actualizada"))
-            .withColumn("dias", age.cast("long")).withColumn("vencida", F.col("dias") > max_days))
+    return source.agg(F.max(loaded).alias("actualizada")).withColumn("dias", age.cast("long")).withColumn("vencida", F.col("dias") > max_days)
 
 
 def latest_date(df: DataFrame, col: str, void: str | None = None) -> DataFrame:

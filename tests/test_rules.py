@@ -133,7 +133,7 @@ def test_collapse_keeps_the_whole_winning_row(spark):
     assert (r["id_linea"], r["precio"], r["bonific"], r["sucursal"], r["cantidad"], r["precios"]) == (1, 10.0, 0.1, None, 14.0, 3)
 
 
-def test_holt_winters_matches_a_plain_recursion():
+def test_holt_winters_matches_a_plain_recursion(spark):
     rng = np.random.default_rng(3)
     y = 100 + np.arange(40) + 10 * np.sin(np.arange(40) * np.pi / 6) + rng.normal(0, 1, 40)
     best = None
@@ -151,15 +151,46 @@ def test_holt_winters_matches_a_plain_recursion():
                     se[t % 12] = g * (v - lv) + (1 - g) * s
                 if best is None or err < best[0]:
                     best = (err, [lv + h * tr + se[(40 + h - 1) % 12] for h in (1, 2, 3)])
-    point, _, _, sse = st.holt_winters(y, 3, 12, 3)
-    assert abs(sse - best[0]) < 1e-6 and np.allclose(point, best[1])
-    assert st.holt_winters(y[:24], 3) is None
+    rows_ = [("A", i, float(v)) for i, v in enumerate(y)] + [("B", i, 1.0) for i in range(24)]
+    got = st.holt_winters_by(spark.createDataFrame(rows_, "k string, i int, v double"), "k", "i", "v", 3, 12, 3).orderBy("paso").collect()
+    assert [r["k"] for r in got] == ["A"] * 3                       # two periods are too short
+    assert abs(got[0]["sse"] - best[0]) < 1e-6 and np.allclose([r["pronostico"] for r in got], best[1])
 
 
 def test_forecast_says_why_it_has_none(spark):
-    import pandas as pd
-    short = pd.DataFrame({"generico": "A", "mes": pd.date_range("2000-01-01", periods=10, freq="MS"), "paso": range(10), "bultos": 1.0})
-    assert dm.forecast_one(short)["descarte"].tolist() == ["pocos meses utiles"]
+    live = [("A", date(2000, 1 + i, 1), i, 1.0) for i in range(10)] + [("B", date(2000 + i // 12, 1 + i % 12, 1), i, 1.0) for i in range(40)]
+    got = dm.forecast(spark.createDataFrame(live, "generico string, mes date, paso int, bultos double")).collect()
+    assert {(r["generico"], r["tipo"], r["descarte"]) for r in got} == {("A", "Descarte", "pocos meses utiles"), ("B", "Descarte", "volumen bajo el piso")}
+
+
+def test_forecast_keeps_the_whole_history(spark):
+    live = [("A", date(2000 + i // 12, 1 + i % 12, 1), i, 5000.0 + 100 * (i % 12)) for i in range(40)]
+    got = dm.forecast(spark.createDataFrame(live, "generico string, mes date, paso int, bultos double")).collect()
+    assert sum(r["tipo"] == "Historico" for r in got) == 40
+    ahead = sorted((r["mes"], r["bultos"]) for r in got if r["tipo"] == "Pronostico")
+    assert ahead[0][0] == date(2003, 5, 1) and all(abs(v - (5000.0 + 100 * ((40 + k) % 12))) < 1.0 for k, (_, v) in enumerate(ahead))
+
+
+def test_price_list_rejects(spark):
+    raw = spark.createDataFrame([("1", "5", "6"), ("2", "", None), ("3", "n/d", "1"), ("4", "1", "1"), ("4", "2", "2"), ("x", "1", "1"), (None, "1", "1")],
+                                "id string, base string, final string")
+    assert rows(ct.price_list(raw)) == [(1, 5.0, 6.0), (2, 0.0, 0.0)]
+    with pytest.raises(Exception, match="bad or repeated"):
+        ct.price_list(raw, strict=True).collect()
+    assert ct.price_list(raw.filter("id in ('1', '2')"), strict=True).count() == 2
+
+
+def test_rules_count_all_baskets_and_flag_small_groups(spark):
+    b = [(i, x, g) for g in (0, 1) for i in range(20 if g else 4) for x in (("a", "b") if i % 2 else ("c",) if i % 4 else ("d",))]
+    got = st.association_rules(spark.createDataFrame(b, "k int, item string, g int"), ["g"], "k", "item", 0.1, 0.0, 10).collect()
+    by = {(r["g"], r["antecedente"]): r for r in got}
+    assert by[(1, "a")]["soporte"] == 0.5 and not by[(1, "a")]["muestra_chica"] and by[(0, "a")]["muestra_chica"]
+
+
+def test_structural_breaks(spark):
+    s = [("A", date(2000, m, 1), 10.0) for m in range(1, 7)] + [("B", date(2000, m, 1), 1.0) for m in range(4, 7)]
+    got = dm.structural_breaks(spark.createDataFrame(s, "generico string, mes date, bultos double")).collect()
+    assert [tuple(r) for r in got] == [("B", date(2000, 4, 1), date(2000, 1, 1), 30.0, 30.0)]
 
 
 def test_normal_tail(spark):
