@@ -116,12 +116,28 @@ class Words:
         return _mix((total[k:] - total[:n]) * down[:n] + _U(k))
 
 
+def sliding_min(a: np.ndarray, span: int) -> np.ndarray:
+    """Smallest of each ``span`` consecutive values, by doubling."""
+    if len(a) < span:
+        return a[:0]
+    size = 1
+    while 2 * size <= span:
+        a = np.minimum(a[:-size], a[size:])
+        size *= 2
+    return a if size == span else np.minimum(a[:len(a) - (span - size)], a[span - size:])
+
+
+def owners(first: np.ndarray) -> np.ndarray:
+    """Text number of each word, from the ranges that ``Words.texts`` returns."""
+    return np.repeat(np.arange(len(first) - 1), np.diff(first))
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
-def groups(batches, column: str = "text", size: int = 4 << 20):
+def groups(batches, column: str = "text", size: int = 1 << 20):
     """(texts, their row numbers, batch) in groups of bounded size, or of one text."""
     for b in batches:
         texts, i = texts_of(b, column), 0

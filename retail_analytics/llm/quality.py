@@ -1,8 +1,7 @@
 """Quality rules: counts per text and a modified Kneser-Ney n-gram model whose language-specific perplexity bands reject documents.
 
 The model's n-grams are the characters of words with their ends, so its tables follow the spelling of a language and not the
-number of documents.  Spark counts the words of all documents, from them the n-grams; the probabilities travel as sorted arrays
-of hashes.
+number of documents.  Spark counts the n-grams of all documents; the probabilities travel as sorted arrays of hashes.
 """
 from __future__ import annotations
 
@@ -12,9 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import Words, cut, pick, texts_of
+from .common import Words, cut, groups, pick, texts_of
 
-ORDER = 5
+ORDER = 4
 MIN_WORDS, MAX_REPEAT = 50, 50          # words; percent of words inside repeated 3-word windows
 WIDTH, LEAST_WIDTH = 8.0, 1.5           # half a band: so many robust deviations of the log perplexity, at least so much
 BIN = 1000                              # log perplexities are ranked in thousandths
@@ -25,8 +24,21 @@ SYMBOLS = b"#*$%&|<>"
 
 # ---- the model ----------------------------------------------------------------------------------------------------
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, n) of all texts; a null language is its own."""
+def spelled(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of every n-gram of the words, padded with order - 1 starts and one end, a row each; n-grams per word."""
+    pad, texts = START * (order - 1), [w.decode("utf-8") for w in words]
+    points = code_points("".join(pad + t + END for t in texts))
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    ends = np.cumsum(sizes + order - 1)
+    last = np.ones(len(points), bool)
+    for j in range(order - 1):
+        last[ends - sizes - order + 1 + j] = False
+    return np.lib.stride_tricks.sliding_window_view(points, order)[np.flatnonzero(last) - order + 1], sizes
+
+
+def gram_counts(docs: DataFrame, order: int) -> DataFrame:
+    """(lang, gram, c) over the words of all texts; a null language is its own.  Equal words and n-grams of a batch are added up
+    before the shuffle."""
     def count(batches):
         for b in batches:
             found: dict[str | None, Counter] = {}
@@ -34,19 +46,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 found.setdefault(lang, Counter()).update(text.split())
             for lang, words in found.items():
                 keys = list(words)
-                for i in range(0, len(keys), 50_000):
-                    part = keys[i:i + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part, pa.binary()).cast(pa.string()),
-                                                      pa.array([words[w] for w in part], pa.int64())], ["lang", "word", "n"])
+                for part in (keys[i:i + 200_000] for i in range(0, len(keys), 200_000)):
+                    rows, sizes = spelled(part, order)
+                    weight = np.repeat(np.array([words[w] for w in part], np.int64), sizes)
+                    _, at, which = np.unique(gram_hash(rows, 0), return_index=True, return_inverse=True)
+                    total = np.bincount(which, weights=weight, minlength=len(at)).astype(np.int64)
+                    text = rows[at].astype(np.uint32).tobytes().decode("utf-32-le")
+                    grams = [text[i:i + order] for i in range(0, len(text), order)]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(grams, pa.string()), pa.array(total)],
+                                                     ["lang", "gram", "c"])
 
-    return docs.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-
-
-def gram_counts(words: DataFrame, order: int) -> DataFrame:
-    """(lang, gram, c): every word padded with order - 1 starts and one end."""
-    padded = F.concat(F.lit(START * (order - 1)), F.col("word"), F.lit(END))
-    grams = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: padded.substr(i, F.lit(order)))
-    return words.select("lang", "n", F.explode(grams).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("c"))
+    return docs.select("lang", "text").mapInArrow(count, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
 def kneser_ney(top: DataFrame, order: int) -> DataFrame:
@@ -64,7 +74,7 @@ def kneser_ney(top: DataFrame, order: int) -> DataFrame:
     for m in range(1, order + 1):
         rows = levels[m].withColumn("ctx", F.expr(f"substring(gram, 1, {m - 1})"))
         seen = rows.groupBy("lang").agg(*(n[i].alias(f"n{i}") for i in n))
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0.0))
 
         def discount(i: int, a: str, b: str) -> Column:
             return F.greatest(F.lit(0.1), F.least(F.lit(i - 0.1), F.coalesce(i - (i + 1) * y * F.nullif(F.col(b), F.lit(0.0)) / F.nullif(F.col(a), F.lit(0.0)),
@@ -118,19 +128,31 @@ class Model:
         self.arrays, self.order = arrays, order
 
     @staticmethod
-    def pack(table: pa.Table, order: int) -> dict:
+    def pack(model: DataFrame, order: int) -> dict:
+        """The arrays, from keys and values that the executors make of the grams."""
+        def keyed(batches):
+            for b in batches:
+                lang, m = b.column("lang").to_pylist(), b.column("m").to_numpy()
+                points, ends = code_points("".join(b.column("gram").to_pylist())), np.cumsum(m)
+                keys = np.zeros(len(m), np.uint64)
+                for k in np.unique(m):
+                    at = np.flatnonzero(m == k)
+                    rows = points[(ends[at] - k)[:, None] + np.arange(k)] if k else np.zeros((len(at), 0), np.uint32)
+                    keys[at] = gram_hash(rows, 0) ^ np.array([lang_seed(lang[i]) for i in at], np.uint64)
+                logp, gamma = (b.column(c).to_numpy(zero_copy_only=False) for c in ("logp", "gamma"))
+                slot = m * 2 + np.isnan(logp.astype(np.float64))
+                value = np.where(slot % 2 == 1, gamma, logp).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(value)], ["slot", "key", "value"])
+
+        table = model.mapInArrow(keyed, "slot int, key long, value float").toArrow()
+        slot, keys, value = (table.column(c).to_numpy() for c in ("slot", "key", "value"))
         arrays = {}
-        lang, m = table.column("lang").to_pylist(), table.column("m").to_numpy()
-        for kind in ("logp", "gamma"):
-            value = table.column(kind).to_numpy()
+        for kind in (0, 1):
             for k in range(order + 1):
-                at = np.flatnonzero((m == k) & ~np.isnan(value))
-                grams = table.column("gram").take(pa.array(at)).to_pylist()
-                points = code_points("".join(grams)).reshape(len(at), k)
-                names = np.array([lang_seed(lang[i]) for i in at], np.uint64)
-                keys = gram_hash(points, 0) ^ names
-                first = np.argsort(keys, kind="stable")
-                arrays[kind, k] = keys[first], value[at][first].astype(np.float32)
+                at = np.flatnonzero(slot == 2 * k + kind)
+                own = keys[at].view(np.uint64)
+                by = np.argsort(own, kind="stable")
+                arrays["gamma" if kind else "logp", k] = own[by], value[at][by]
         return arrays
 
     def find(self, kind: str, k: int, keys: np.ndarray) -> np.ndarray:
@@ -156,14 +178,7 @@ class Model:
 
     def words(self, words: list[bytes], lang: str | None) -> np.ndarray:
         """Log probability of each word: the sum over its characters and its end."""
-        pad, texts = START * (self.order - 1), [w.decode("utf-8") for w in words]
-        points = code_points("".join(pad + t + END for t in texts))
-        sizes = np.array([len(t) + 1 for t in texts], np.int64)
-        ends = np.cumsum(sizes + self.order - 1)
-        last = np.ones(len(points), bool)
-        for j in range(self.order - 1):
-            last[ends - sizes - self.order + 1 + j] = False
-        rows = np.lib.stride_tricks.sliding_window_view(points, self.order)[np.flatnonzero(last) - self.order + 1]
+        rows, sizes = spelled(words, self.order)
         logp = self.logp(rows, lang, self.order).astype(np.float64)
         return np.add.reduceat(logp, np.cumsum(sizes) - sizes)
 
@@ -199,7 +214,7 @@ def _measure(shared, order: int):
             logp = np.zeros(len(texts))
             for lang in set(langs) if model else ():
                 own = [i for i, x in enumerate(langs) if x == lang]
-                for part in (own[j:j + 2000] for j in range(0, len(own), 2000)):
+                for part in (own[j:j + 5000] for j in range(0, len(own), 5000)):
                     place: dict[bytes, int] = {}
                     rows = [[place.setdefault(w, len(place)) for w in texts[i].split()] for i in part]
                     if place:
@@ -207,11 +222,13 @@ def _measure(shared, order: int):
                         for i, r in zip(part, rows):
                             logp[i] = each[r].sum()
             counts = []
-            for t in texts:
-                h, _ = tool.texts([t])
-                data = np.frombuffer(t, np.uint8)
-                points = int(((data & 0xC0) != 0x80).sum() - tool.space[data].sum())
-                counts.append((len(h), points, int(symbol[data].sum()), duplicate_lines(t), repeated(tool.grams(h, 3), 3)))
+            for some, _, _ in groups([b]):
+                h, first = tool.texts(some)
+                grams = tool.grams(h, 3)
+                for t, a, z in zip(some, first[:-1], first[1:]):
+                    data = np.frombuffer(t, np.uint8)
+                    points = int(((data & 0xC0) != 0x80).sum() - tool.space[data].sum())
+                    counts.append((int(z - a), points, int(symbol[data].sum()), duplicate_lines(t), repeated(grams[a:max(a, z - 2)], 3)))
             cols = [pa.array([c[k] for c in counts], pa.int64()) for k in range(5)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), b.column("t"), *cols, pa.array(logp)],
                                              ["doc_id", "lang", "t", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "logp"])
@@ -250,10 +267,10 @@ def quality(docs: DataFrame, order: int = ORDER, width: float = WIDTH, least_wid
     """
     source = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).withColumn("t", F.xxhash64("text"))
     spark = docs.sparkSession
-    top = cut(gram_counts(word_counts(source), order))
+    top = cut(gram_counts(source, order))
     model = cut(kneser_ney(top, order))
     small = model.count() <= max_grams
-    shared = spark.sparkContext.broadcast(Model.pack(model.toArrow(), order)) if small else None
+    shared = spark.sparkContext.broadcast(Model.pack(model, order)) if small else None
     kind = source.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"{c} long" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
     scores = source.mapInArrow(_measure(shared, order), f"doc_id {kind}, lang string, t long, {counts}, logp double")
