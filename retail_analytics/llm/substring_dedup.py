@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLOB_SCHEMA, Words, among, bitmap, blob_batches, cut, loose, pick, texts_of
+from .common import BLOB_SCHEMA, Words, among, bitmap, blob_batches, cut, groups, loose, owners, pick, sliding_min
 
 WINDOW = 20
 ANCHOR = 10                    # words of the runs that are counted first
@@ -22,25 +22,15 @@ SEED = 4                       # words of the phrases in the automata
 SHARD_BYTES = 4 << 20          # text of one shard: bounds an automaton and a task, not the result
 
 
-def picks(grams: np.ndarray, span: int) -> np.ndarray:
-    """For each window the position of the smallest of its ``span`` gram hashes (the first of equal ones)."""
-    if len(grams) < span:
-        return np.zeros(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(grams, span)
-    return view.argmin(axis=1) + np.arange(len(view))
+def inside(h: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window start of a group of texts whether the window stays in one text, and the text of each word."""
+    owner = owners(first)
+    return owner[window - 1:] == owner[:len(owner) - window + 1] if len(h) >= window else np.zeros(0, bool), owner
 
 
-def _groups(batches, size: int = 4 << 20):
-    """(texts, their row numbers, batch) in groups of bounded size."""
-    for b in batches:
-        texts, i = texts_of(b), 0
-        while i < len(texts):
-            j, n = i, 0
-            while j < len(texts) and (j == i or n + len(texts[j]) <= size):
-                n += len(texts[j])
-                j += 1
-            yield texts[i:j], np.arange(i, j), b
-            i = j
+def picks(tool: Words, h: np.ndarray, window: int, run: int) -> np.ndarray:
+    """The pick of each window: the smallest hash of its runs of ``run`` words."""
+    return sliding_min(tool.grams(h, run), window - run + 1)
 
 
 def _anchors(window: int):
@@ -48,15 +38,18 @@ def _anchors(window: int):
         tool = Words()
 
         def found():
-            for texts, _, _ in _groups(batches):
+            for texts, _, _ in groups(batches):
                 h, first = tool.texts(texts)
-                own = []
-                for a, z in zip(first[:-1], first[1:]):
-                    if z - a >= window:
-                        g = tool.grams(h[a:z], ANCHOR)
-                        own.append(np.unique(g[np.unique(picks(g, window - ANCHOR + 1))]))
-                if own:
-                    yield np.concatenate(own)
+                whole, owner = inside(h, first, window)
+                pick_, text = picks(tool, h, window, ANCHOR)[whole], owner[:len(whole)][whole]
+                if len(pick_):
+                    new = np.ones(len(pick_), bool)               # neighbours mostly share a pick
+                    new[1:] = (pick_[1:] != pick_[:-1]) | (text[1:] != text[:-1])
+                    pick_, text = pick_[new], text[new]
+                    by = np.lexsort((pick_, text))
+                    once = np.ones(len(by), bool)
+                    once[1:] = (pick_[by][1:] != pick_[by][:-1]) | (text[by][1:] != text[by][:-1])
+                    yield pick_[by][once]
         yield from blob_batches(found())
     return run
 
@@ -65,21 +58,18 @@ def _candidates(shared, window: int):
     """Arrow function: (w, doc_id), each distinct window of a document whose pick may recur."""
     def run(batches):
         tool = Words()
-        for texts, rows, b in _groups(batches):
+        for texts, rows, b in groups(batches):
             h, first = tool.texts(texts)
-            hashes, owners = [], []
-            for row, a, z in zip(rows, first[:-1], first[1:]):
-                if z - a < window:
-                    continue
-                g = tool.grams(h[a:z], ANCHOR)
-                yes = among(shared.value, g)[picks(g, window - ANCHOR + 1)]
-                if yes.any():
-                    own = np.unique(tool.grams(h[a:z], window)[yes])
-                    hashes.append(own)
-                    owners.append(np.full(len(own), row))
-            if hashes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), b.column("doc_id").take(pa.array(np.concatenate(owners)))],
-                                                 ["w", "doc_id"])
+            whole, owner = inside(h, first, window)
+            if not whole.any():
+                continue
+            at = np.flatnonzero(whole & among(shared.value, picks(tool, h, window, ANCHOR)))
+            w, text = tool.grams(h, window)[at], owner[at]
+            by = np.lexsort((w, text))
+            w, text = w[by], text[by]
+            once = np.ones(len(w), bool)
+            once[1:] = (w[1:] != w[:-1]) | (text[1:] != text[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(w[once].view(np.int64)), b.column("doc_id").take(pa.array(rows[text[once]]))], ["w", "doc_id"])
     return run
 
 
@@ -116,8 +106,8 @@ class Shard:
         self.finder, hashes, owner, place = ahocorasick.Automaton(), [], [], []
         for n, p in enumerate(self.passages):
             h, start, end = tool.split(p)
-            g = tool.grams(h, SEED)
-            for q in np.unique(picks(g, window - SEED + 1)):
+            seeds, least = tool.grams(h, SEED), picks(tool, h, window, SEED)
+            for q in np.flatnonzero(np.isin(seeds, least)):
                 phrase = p[start[q] - 1:end[q + SEED - 1] + 1].decode("latin-1")
                 self.finder.add_word(phrase, len(phrase))
             w = tool.grams(h, window)
@@ -130,49 +120,65 @@ class Shard:
             by = np.argsort(w, kind="stable")
             self.w, self.owner, self.place = w[by], np.concatenate(owner)[by], np.concatenate(place)[by]
 
-    def covered(self, doc, text: bytes) -> tuple[list[bytes], np.ndarray]:
-        """Words of a text, and which of them a window covers that also starts earlier."""
-        window, words = self.window, text.split()
-        n = len(words) - window + 1
-        if n <= 0:
-            return words, np.zeros(len(words), bool)
-        data = b" " + b" ".join(words) + b" "
-        h, start, end = self.tool.split(data)
-        w = self.tool.grams(h, window)
-        kept_first = np.unique(w, return_index=True)[1]
-        later = np.ones(n, bool)
-        later[kept_first] = False
-        if self.passages:
-            ends = [(at - size + 2) for at, size in self.finder.iter(data.decode("latin-1"))]      # byte where the phrase's first word starts
-            if ends:
-                q = np.searchsorted(start, np.array(ends))
-                near = np.zeros(n + len(words) + 1, np.int64)
-                np.add.at(near, np.maximum(q - (window - SEED), 0), 1)
-                np.add.at(near, q + 1, -1)
-                at = np.flatnonzero(np.cumsum(near)[:n] > 0)
-                k = np.minimum(np.searchsorted(self.w, w[at]), len(self.w) - 1)
-                for i, j in zip(at[self.w[k] == w[at]], k[self.w[k] == w[at]]):
-                    if not later[i]:
-                        first, there = self.firsts[self.owner[j]], self.place[j]
-                        size = end[i + window - 1] - start[i] + 2
-                        earlier = first is not None and (doc is None or first < doc)
-                        later[i] = earlier and self.passages[self.owner[j]][there - 1:there - 1 + size] == data[start[i] - 1:start[i] - 1 + size]
-        edge = np.zeros(len(words) + 1, np.int64)
-        at = np.flatnonzero(later)
-        np.add.at(edge, at, 1)
-        np.add.at(edge, at + window, -1)
-        return words, np.cumsum(edge)[:-1] > 0
+    def later(self, docs: list, data: bytes, w: np.ndarray, whole: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """For each window of some texts in one piece of bytes whether its words also start earlier: found by the automaton, looked
+        up by hash, and compared with the passage word for word."""
+        n, window = len(w), self.window
+        by = np.lexsort((np.arange(n), w, text[:n]))
+        again = np.zeros(n, bool)
+        again[by[1:]] = (w[by[1:]] == w[by[:-1]]) & (text[by[1:]] == text[by[:-1]])
+        again &= whole
+        if not self.passages:
+            return again
+        seeds = np.fromiter((at - size + 2 for at, size in self.finder.iter(data.decode("latin-1"))), np.int64)   # first byte of the first word
+        if not len(seeds):
+            return again
+        q = np.searchsorted(start, seeds)
+        near = np.zeros(len(start) + 2, np.int32)
+        np.add.at(near, np.maximum(q - (window - SEED), 0), 1)
+        np.add.at(near, q + 1, -1)
+        at = np.flatnonzero((np.cumsum(near)[:n] > 0) & whole)
+        k = np.minimum(np.searchsorted(self.w, w[at]), len(self.w) - 1)
+        same = self.w[k] == w[at]
+        at, k = at[same], k[same]
+        if not len(at):
+            return again
+        # neighbouring windows that lie side by side in one passage are compared at once
+        shift = self.place[k] - start[at]
+        edge = np.flatnonzero((np.diff(at) != 1) | (np.diff(self.owner[k]) != 0) | (np.diff(shift) != 0) | (np.diff(text[at]) != 0)) + 1
+        for a, z in zip([0, *edge.tolist()], [*edge.tolist(), len(at)]):
+            first, doc, i, j = self.firsts[self.owner[k[a]]], docs[text[at[a]]], at[a], at[z - 1] + window - 1
+            if first is not None and (doc is None or first < doc):
+                from_, size = start[i] - 1, end[j] - start[i] + 2
+                there = self.place[k[a]] - 1
+                if self.passages[self.owner[k[a]]][there:there + size] == data[from_:from_ + size]:
+                    again[i:i + z - a] = True
+        return again
 
 
 def _locate(window: int, keep: Sequence[str], schema: pa.Schema):
     def run(docs: pa.Table, passages: pa.Table) -> pa.Table:
-        shard = Shard(passages.column("first").to_pylist(), passages.column("passage").to_pylist(), window, Words())
+        tool = Words()
+        shard = Shard(passages.column("first").to_pylist(), passages.column("passage").to_pylist(), window, tool)
         n_words, removed, kept = [], [], []
-        for doc, text in zip(docs.column("doc_id").to_pylist(), docs.column("text").cast(pa.binary()).to_pylist()):
-            words, gone = shard.covered(doc, text or b"")
-            n_words.append(len(words))
-            removed.append(int(gone.sum()))
-            kept.append(b" ".join([x for x, y in zip(words, gone.tolist()) if not y] if gone.any() else words))
+        ids = docs.column("doc_id").to_pylist()
+        batch = pa.RecordBatch.from_arrays([docs.column("text").combine_chunks()], ["text"])
+        for texts, rows, _ in groups([batch]):
+            words = [t.split() for t in texts]
+            data = b"".join(b" " + b" ".join(x) + b" " for x in words)       # two spaces between texts: no phrase crosses them
+            h, start, end = tool.split(data)
+            first = np.cumsum([0, *map(len, words)])
+            whole, text = inside(h, first, window)
+            gone = np.zeros(len(h) + 1, np.int32)
+            if whole.any():
+                at = np.flatnonzero(shard.later([ids[r] for r in rows], data, tool.grams(h, window), whole, start, end, text))
+                np.add.at(gone, at, 1)
+                np.add.at(gone, at + window, -1)
+            gone = np.cumsum(gone)[:-1] > 0
+            for x, a, z in zip(words, first[:-1], first[1:]):
+                n_words.append(len(x))
+                removed.append(int(gone[a:z].sum()))
+                kept.append(b" ".join([y for y, g in zip(x, gone[a:z].tolist()) if not g] if removed[-1] else x))
         cols = [docs.column(c) for c in ("doc_id", *keep)]
         return pa.Table.from_arrays([*cols, pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], schema=schema)
     return run
