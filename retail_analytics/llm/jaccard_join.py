@@ -181,8 +181,8 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 
     Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; the set holds the distinct ``shingle``-word runs, the whole sequence if
     there are fewer words.  Two documents link when 100 * intersection >= percent * union.  Null and empty texts have an empty
-    set and no link.  Ids are integers; rows that share one are one document that has the links of all of them; rows without
-    an id join classes but are nobody's component.  An empty table gives an empty result; other columns are dropped.
+    set and no link.  Ids are integers; rows that share one are judged each by its own text, and sets with the same smallest id
+    count as one; rows without an id have the component of their set but name none.  An empty table gives an empty result; other columns are dropped.
     """
     source = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     levels = sketch(source, shingle)

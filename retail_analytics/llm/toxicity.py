@@ -153,9 +153,12 @@ def learn_lexicon(train: DataFrame, max_entries: int = MAX_ENTRIES) -> tuple[dic
     entry needs PRECISION and a log likelihood ratio that chance would not bring among so many tokens.
     """
     def tokens(batches):
-        tool = Words()
+        tool, rows = Words(), []
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int32()))],
+                                              ["token", "sign", "toxic"])
         for b in batches:
-            rows = []
             for text, toxic in zip(texts_of(b), b.column("toxic").to_pylist()):
                 h, _ = tool.texts([text])
                 grams = tool.grams(h, 3)
@@ -163,8 +166,11 @@ def learn_lexicon(train: DataFrame, max_entries: int = MAX_ENTRIES) -> tuple[dic
                 words = {w for w in _WORD.findall(text.decode("utf-8").lower()) if len(w) > 2}
                 rows += [(w, sign, toxic) for w in words]
                 rows += [(w, sign, toxic) for w in {f"{x[:k]}*" for x in words for k in PREFIXES if len(x) >= k}]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int32()))],
-                                             ["token", "sign", "toxic"])
+                if len(rows) > 100_000:
+                    yield flush()
+                    rows = []
+        if rows:
+            yield flush()
 
     seen = train.mapInArrow(tokens, "token string, sign long, toxic int").groupBy("token", "sign").agg(F.max("toxic").alias("toxic"))
     counts = seen.groupBy("token").agg(F.sum("toxic").alias("pos"), F.count("*").alias("n"))
