@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 _U = np.uint64
 _BASE, _GRAM = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F | 1     # odd, so they have inverses modulo 2**64
 _BLOCK = 1 << 18
-_FOLD = 26                                                    # a filter has 2**26 bits (8 MB), whatever the data size
 
 
 def pick(df: DataFrame, **cols: str) -> DataFrame:
@@ -151,8 +150,25 @@ def groups(batches, column: str = "text", size: int = 1 << 20):
 
 
 # ---- fixed-size filters -------------------------------------------------------------------------------------------
-# Values met at least twice, or any values, as a bitmap of 2**26 bits.  Its size doesn't grow with the data; it only
-# keeps rows out of later shuffles.  A wrong "yes" costs a row that the exact step after it drops.
+# Values met at least twice, or any values, as a bitmap of 2**26 or 2**28 bits.  Its size doesn't grow with the data; it
+# only keeps rows out of later shuffles.  A wrong "yes" costs a row that the exact step after it drops.
+
+_SKIP = 65535
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Sorted integers as 16-bit gaps; a gap of 65535 or more starts with marks that each stand for 65535."""
+    gaps = np.diff(values.astype(np.int64), prepend=0)
+    skips = gaps // _SKIP
+    out = np.full(len(gaps) + int(skips.sum()), _SKIP, np.uint16)
+    out[np.cumsum(skips + 1) - 1] = gaps % _SKIP
+    return out.tobytes()
+
+
+def _unpack(blob: bytes) -> np.ndarray:
+    gaps = np.frombuffer(blob, np.uint16)
+    return np.cumsum(gaps, dtype=np.int64)[gaps != _SKIP]
+
 
 def _blobs(values: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """Sorted 32-bit prefixes of hashes, cut into 256 ranges."""
@@ -160,7 +176,7 @@ def _blobs(values: np.ndarray) -> Iterator[tuple[int, bytes]]:
     edges = np.searchsorted(v, np.arange(257, dtype=np.uint64) << _U(24))
     for b in range(256):
         if edges[b] < edges[b + 1]:
-            yield b, v[edges[b]:edges[b + 1]].tobytes()
+            yield b, _pack(v[edges[b]:edges[b + 1]] & np.uint32(0xFFFFFF))
 
 
 def blob_batches(parts: Iterator[np.ndarray], size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
@@ -183,47 +199,71 @@ def _blob_batch(held: list[np.ndarray]) -> pa.RecordBatch:
 
 
 BLOB_SCHEMA = "bucket int, blob binary"
+LEVELS = 21                        # counters of the frequency sketch: 2**21
 
 
-def _fold(least: int):
+def _set(bitmap_: np.ndarray, at: np.ndarray) -> None:
+    np.bitwise_or.at(bitmap_, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+
+
+def _fold(least: int, bits: int):
+    """Arrow function over rows sorted by bucket: per bucket the bitmap, and for each sketch counter the power of two of its count.
+    Repeats are found at 32 bits and marked at ``bits``; one bucket is held at a time."""
     def one(batches):
-        marks: dict[int, tuple[np.ndarray, np.ndarray | None]] = {}
-        bits = 24
+        now, marked, counts, once = None, None, None, None
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([marked.tobytes()], pa.binary()),
+                                               pa.array([np.log2(counts + 1.0).astype(np.uint8).tobytes()], pa.binary())], ["bucket", "blob", "levels"])
         for batch in batches:
-            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if bucket not in marks:
-                    marks[bucket] = np.zeros(1 << (bits - 3), np.uint8), np.zeros(1 << (bits - 3), np.uint8) if least > 1 else None
-                once, twice = marks[bucket]
-                v = np.frombuffer(blob, np.uint32) & np.uint32((1 << bits) - 1)
-                u, again = np.unique(v, return_counts=True) if least > 1 else (v, None)
-                byte, bit = u >> np.uint32(3), np.left_shift(1, u & np.uint32(7)).astype(np.uint8)
+            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if bucket != now:
+                    if now is not None:
+                        yield done()
+                    now, marked, counts = bucket, np.zeros(1 << (bits - 11), np.uint8), np.zeros(1 << (LEVELS - 8), np.int64)
+                    once = np.zeros(1 << 21 if least > 1 else 1, np.uint8)
+                v = _unpack(blob.as_buffer())
+                counts += np.bincount(v >> (32 - LEVELS), minlength=len(counts))
                 if least > 1:
-                    old = (once[byte] & bit) > 0
-                    np.bitwise_or.at(twice, byte[old | (again > 1)], bit[old | (again > 1)])
-                np.bitwise_or.at(once, byte, bit)
-        for bucket, (once, twice) in marks.items():
-            full = np.unpackbits(twice if least > 1 else once, bitorder="little")
-            folded = np.packbits(full.reshape(-1, 1 << (32 - _FOLD)).any(axis=1), bitorder="little")
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([folded.tobytes()], pa.binary())], ["bucket", "blob"])
+                    new = np.ones(len(v), bool)
+                    new[1:] = v[1:] != v[:-1]
+                    u = v[new]
+                    again = (once[u >> 3] >> (u & 7).astype(np.uint8)) & 1 > 0
+                    again |= np.diff(np.append(np.flatnonzero(new), len(v))) > 1
+                    _set(once, u)
+                    v = u[again]
+                _set(marked, v >> (32 - bits))
+        if now is not None:
+            yield done()
     return one
 
 
-def bitmap(blobs: DataFrame, least: int):
-    """Broadcast filter of the hashes met at least ``least`` (1 or 2) times, from rows (bucket, blob); 8 MB pass the driver."""
+def bitmap(blobs: DataFrame, least: int, bits: int = 26, levels: bool = False):
+    """Broadcast filter of the hashes met at least ``least`` (1 or 2) times, from rows (bucket, blob); 2**bits bits pass the
+    driver.  With ``levels`` the pair (filter, sketch): the sketch has a byte for each of 2**21 ranges of hashes, the power of
+    two of the number of values in it."""
     spark = blobs.sparkSession
-    rows = blobs.repartition("bucket").mapInArrow(_fold(least), BLOB_SCHEMA).toArrow()
-    whole = np.zeros((256, 1 << (_FOLD - 8 - 3)), np.uint8)
-    for bucket, blob in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-        whole[bucket] = np.frombuffer(blob, np.uint8)
-    return spark.sparkContext.broadcast(whole.reshape(-1))
+    rows = blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_fold(least, bits), "bucket int, blob binary, levels binary")
+    table = (rows if levels else rows.drop("levels")).toArrow()
+    whole = np.zeros((256, 1 << (bits - 8 - 3)), np.uint8)
+    sketch = np.zeros((256, 1 << (LEVELS - 8)), np.uint8)
+    for i, bucket in enumerate(table.column(0).to_pylist()):
+        whole[bucket] = np.frombuffer(table.column(1)[i].as_buffer(), np.uint8)
+        if levels:
+            sketch[bucket] = np.frombuffer(table.column(2)[i].as_buffer(), np.uint8)
+    return spark.sparkContext.broadcast((whole.reshape(-1), sketch.reshape(-1)) if levels else whole.reshape(-1))
 
 
 def among(mask: np.ndarray, values: np.ndarray) -> np.ndarray:
     """For each hash whether the filter has it."""
-    at = (values >> _U(64 - _FOLD)).astype(np.int64)
+    at = (values >> _U(64 - (len(mask) * 8).bit_length() + 1)).astype(np.int64)
     return (mask[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
+def level(sketch: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return sketch[(values >> _U(64 - LEVELS)).astype(np.int64)]
+
+
 def ids_hash(ids: np.ndarray) -> np.ndarray:
     return _mix(ids.astype(np.int64).view(_U) + _U(0x51))
 

@@ -1,8 +1,8 @@
 """N-gram Jaccard join by filters under several global token orders, and the classes its links form.
 
 A token is a hashed shingle.  Under any global order two linked sets share a token of their prefixes, so a candidate pair must
-share one under every order, and the intersection is verified.  All orders put rare tokens first, by a frequency sketch of fixed
-size, and differ in the hash behind it.
+share one under every order, and the intersection is verified.  All orders put tokens first that only one set has, then rare
+ones, by a filter and a sketch of fixed size, and differ in the hash behind that.
 
 Large groups never become all pairs: equal sets are one node; a first round links every node with one hub per prefix token;
 a second takes, for each prefix token, the pairs across the components that are left, which is exact, since a pair inside a
@@ -14,110 +14,75 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLOB_SCHEMA, Words, _mix, among, bitmap, blob_batches, cut, groups, ids_filter, ids_hash, loose, pick
+from .common import BLOB_SCHEMA, Words, _mix, among, bitmap, blob_batches, cut, groups, ids_filter, ids_hash, level, loose, pick
 
 SHINGLE, PERCENT = 3, 90
 SEEDS = (0x51A3, 0xC0FFEE11)        # one global order each
-SKETCH = 21                         # the sketch has 2**21 counters
-
-
-def shingles(words: np.ndarray, k: int, tool: Words) -> np.ndarray:
-    """Sorted distinct hashed shingles; the whole sequence is one if it has fewer than k words."""
-    return np.unique(tool.grams(words, min(k, len(words)))) if len(words) else np.zeros(0, np.uint64)
 
 
 def sets_of(batches, k: int, column: str = "text"):
-    """(row number, set, batch) of each document."""
+    """(row number, sorted distinct hashed shingles, batch) of each document; the whole sequence is one shingle if it has fewer
+    than k words."""
     tool = Words()
     for texts, rows, b in groups(batches, column):
         h, first = tool.texts([t.lower() for t in texts])       # bytes.lower() folds A-Z alone
-        for row, a, z in zip(rows, first[:-1], first[1:]):
-            yield int(row), shingles(h[a:z], k, tool), b
+        grams = tool.grams(h, k)
+        for row, a, z in zip(rows.tolist(), first[:-1].tolist(), first[1:].tolist()):
+            yield row, np.unique(grams[a:z - k + 1] if z - a >= k else tool.grams(h[a:z], z - a) if z > a else h[:0]), b
 
 
 def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _at(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(64 - SKETCH)).astype(np.int64)
-
-
-def sketch(docs: DataFrame, k: int):
-    """Broadcast table of 2**21 bytes: for the counter of a token the power of two of its count over all sets.  Collisions only
-    move tokens back in the order, which stays one order for all."""
-    width = 1 << (SKETCH - 8)
-
-    def count(batches):
-        total, held, n = np.zeros(1 << SKETCH, np.int64), [], 0
-        for _, s, _ in sets_of(batches, k):
-            held.append(_at(s))
-            n += len(s)
-            if n > 1 << 21:
-                total += np.bincount(np.concatenate(held), minlength=1 << SKETCH)
-                held, n = [], 0
-        if held:
-            total += np.bincount(np.concatenate(held), minlength=1 << SKETCH)
-        small = np.minimum(total, 65535).astype(np.uint16).reshape(256, width)
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(256), pa.int32()), pa.array([x.tobytes() for x in small], pa.binary())], ["bucket", "blob"])
-
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            for bucket, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                sums[bucket] = sums.get(bucket, 0) + np.frombuffer(blob, np.uint16).astype(np.int64)
-        for bucket, s in sums.items():
-            level = np.log2(s + 1.0).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["bucket", "blob"])
-
-    rows = docs.mapInArrow(count, BLOB_SCHEMA).repartition("bucket").mapInArrow(add, BLOB_SCHEMA).toArrow()
-    levels = np.zeros((256, width), np.uint8)
-    for bucket, blob in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-        levels[bucket] = np.frombuffer(blob, np.uint8)
-    return docs.sparkSession.sparkContext.broadcast(levels.reshape(-1))
-
-
-def prefix(tokens: np.ndarray, levels: np.ndarray, seed: int, percent: int) -> np.ndarray:
-    """The first tokens under one order, in it, marked with the order's seed."""
-    size = prefix_size(len(tokens), percent)
-    own = _mix(tokens + np.uint64(seed))
-    rank = levels[_at(tokens)].astype(np.uint64) << np.uint64(58) | own >> np.uint64(6)
-    first = np.argpartition(rank, size - 1)[:size]
-    return own[first[np.argsort(rank[first])]]
-
-
-def _prefix_blobs(levels, k: int, percent: int):
+def _all_blobs(k: int):
     def run(batches):
-        yield from blob_batches(np.concatenate([prefix(s, levels.value, seed, percent) for seed in SEEDS]) for _, s, _ in sets_of(batches, k) if len(s))
+        yield from blob_batches(s for _, s, _ in sets_of(batches, k))
     return run
 
 
-def _nodes(levels, shared, k: int, percent: int):
+def prefix(tokens: np.ndarray, again: np.ndarray, levels: np.ndarray, seed: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of the prefix that other sets may have, marked with the order's seed, and their places.
+
+    The order: tokens that only one set has, then by the level of the sketch, then by a hash of the seed.
+    """
+    size = prefix_size(len(tokens), percent)
+    alone = len(tokens) - int(again.sum())
+    left = size - alone
+    if left <= 0:
+        return tokens[:0], np.zeros(0, np.int64)
+    some = tokens[again]
+    own = _mix(some + np.uint64(seed))
+    rank = level(levels, some).astype(np.uint64) << np.uint64(57) | own >> np.uint64(7)
+    first = np.argpartition(rank, left - 1)[:left]
+    return own[first[np.argsort(rank[first])]], alone + np.arange(left)
+
+
+def _nodes(shared, k: int, percent: int):
     """Arrow function: size and signature of each set, and its prefix tokens that may occur elsewhere, by order."""
     def run(batches):
-        ids, rows = [], []
+        mask, levels = shared.value
+        ids, heads, tokens, places = [], [], [[] for _ in SEEDS], [[] for _ in SEEDS]
+        def lists(parts: list[np.ndarray]) -> pa.Array:
+            offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts)))
 
         def flush():
-            cols = list(zip(*rows))
-            return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(ids), *(pa.array(c, pa.int64()) for c in cols[:3]),
-                 *(pa.array(c, pa.list_(pa.int64())) for c in cols[3:])], ["doc_id", "n", "s1", "s2", *(f"t{i}" for i in range(len(SEEDS))),
-                                                                         *(f"p{i}" for i in range(len(SEEDS)))])
+            cols = [pa.concat_arrays(ids), *(pa.array(c, pa.int64()) for c in zip(*heads)), *map(lists, tokens), *map(lists, places)]
+            ids.clear(), heads.clear(), [x.clear() for x in tokens + places]
+            return pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "s1", "s2", *(f"{c}{i}" for c in "tp" for i in range(len(SEEDS)))])
+
         for row, s, b in sets_of(batches, k):
             ids.append(b.column("doc_id").slice(row, 1))
-            tokens, places = [], []
-            for seed in SEEDS if len(s) else ():
-                t = prefix(s, levels.value, seed, percent)
-                yes = np.flatnonzero(among(shared.value, t))
-                tokens.append(t[yes].view(np.int64))
-                places.append(yes)
-            signs = [int((_mix(s ^ np.uint64(c)).sum() if len(s) else np.uint64(0)).view(np.int64)) for c in (0x5DEECE66D, 0xABCDEF123457)]
-            rows.append((len(s), *signs, *(tokens or [[]] * len(SEEDS)), *(places or [[]] * len(SEEDS))))
-            if len(rows) >= 2000:
+            again = among(mask, s)
+            for i, seed in enumerate(SEEDS):
+                t, at = prefix(s, again, levels, seed, percent)
+                tokens[i].append(t.view(np.int64))
+                places[i].append(at)
+            heads.append((len(s), *(int(_mix(s ^ np.uint64(c)).sum().astype(np.uint64).view(np.int64)) for c in (0x5DEECE66D, 0xABCDEF123457))))
+            if len(heads) >= 2000:
                 yield flush()
-                ids, rows = [], []
-        if rows:
+        if heads:
             yield flush()
     return run
 
@@ -185,10 +150,9 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     count as one; rows without an id have the component of their set but name none.  An empty table gives an empty result; other columns are dropped.
     """
     source = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    levels = sketch(source, shingle)
-    shared = bitmap(source.mapInArrow(_prefix_blobs(levels, shingle, percent), BLOB_SCHEMA), 2)
+    shared = bitmap(source.mapInArrow(_all_blobs(shingle), BLOB_SCHEMA), 2, bits=28, levels=True)
     lists = ", ".join(f"{c}{i} array<long>" for c in "tp" for i in range(len(SEEDS)))
-    rows = cut(source.mapInArrow(_nodes(levels, shared, shingle, percent), f"doc_id long, n long, s1 long, s2 long, {lists}"))
+    rows = cut(source.mapInArrow(_nodes(shared, shingle, percent), f"doc_id long, n long, s1 long, s2 long, {lists}"))
 
     full = rows.where("n > 0")
     classes = cut(full.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id")))

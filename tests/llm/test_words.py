@@ -3,7 +3,7 @@ import re
 import numpy as np
 from hypothesis import given, strategies as st
 
-from retail_analytics.llm.common import Words, among, _blobs, _fold
+from retail_analytics.llm.common import LEVELS, Words, _blobs, _fold, _pack, _unpack, among, level, sliding_min
 
 TOOL = Words()
 
@@ -35,8 +35,23 @@ def test_filter_of_repeated_values():
     values = rnd.integers(0, 2**63, 4000).astype(np.uint64) * np.uint64(2)
     parts = [np.unique(values[:3000]), np.unique(values[2000:])]
     batches = [pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([x], pa.binary())], ["bucket", "blob"]) for p in parts for b, x in _blobs(p)]
-    for least, own, other in ((2, values[2000:3000], values[:1500]), (1, values, rnd.integers(0, 2**63, 1000).astype(np.uint64))):
-        mask = np.zeros((256, 1 << 15), np.uint8)
-        for out in _fold(least)(iter(batches)):
+    batches.sort(key=lambda b: b.column(0)[0].as_py())
+    for least, bits, own, other in ((2, 26, values[2000:3000], values[:1500]), (1, 28, values, rnd.integers(0, 2**63, 1000).astype(np.uint64))):
+        mask, sketch = np.zeros((256, 1 << (bits - 11)), np.uint8), np.zeros((256, 1 << (LEVELS - 8)), np.uint8)
+        for out in _fold(least, bits)(iter(batches)):
             mask[out.column(0)[0].as_py()] = np.frombuffer(out.column(1)[0].as_py(), np.uint8)
+            sketch[out.column(0)[0].as_py()] = np.frombuffer(out.column(2)[0].as_py(), np.uint8)
         assert among(mask.reshape(-1), own).all() and among(mask.reshape(-1), other).mean() < 0.02
+        assert (level(sketch.reshape(-1), values) >= 1).all() and sketch.astype(bool).sum() <= 4000
+
+
+@given(st.lists(st.integers(0, 2**24 - 1), max_size=50))
+def test_packed_gaps(values):
+    v = np.sort(np.array(values + [0, 65534, 65535, 65536, 2**24 - 1], np.uint32))
+    assert (_unpack(_pack(v)) == v).all()
+
+
+@given(st.lists(st.integers(0, 9), max_size=40), st.integers(1, 12))
+def test_sliding_min(values, span):
+    a = np.array(values, np.uint64)
+    assert sliding_min(a, span).tolist() == [min(values[i:i + span]) for i in range(len(values) - span + 1)]
