@@ -29,9 +29,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The text becomes the words left, n_chars its length; no document goes."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    out = substring_dedup(docs, keep=others).withColumnRenamed("kept", "text")
-    return out.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    others = {f"other_{i}": c for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}       # names that can't clash
+    out = substring_dedup(docs.select("doc_id", "text", *(docs[c].alias(k) for k, c in others.items())), keep=list(others))
+    now = {"doc_id": F.col("doc_id"), "text": F.col("kept")} | {c: F.col(k) for k, c in others.items()}
+    if "n_chars" in now:
+        now["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(now[c].alias(c) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
