@@ -46,7 +46,7 @@ def gram_counts(docs: DataFrame, order: int) -> DataFrame:
                 found.setdefault(lang, Counter()).update(text.split())
             for lang, words in found.items():
                 keys = list(words)
-                for part in (keys[i:i + 200_000] for i in range(0, len(keys), 200_000)):
+                for part in (keys[i:i + 50_000] for i in range(0, len(keys), 50_000)):
                     rows, sizes = spelled(part, order)
                     weight = np.repeat(np.array([words[w] for w in part], np.int64), sizes)
                     _, at, which = np.unique(gram_hash(rows, 0), return_index=True, return_inverse=True)
@@ -214,7 +214,7 @@ def _measure(shared, order: int):
             logp = np.zeros(len(texts))
             for lang in set(langs) if model else ():
                 own = [i for i, x in enumerate(langs) if x == lang]
-                for part in (own[j:j + 5000] for j in range(0, len(own), 5000)):
+                for part in (own[j:j + 1000] for j in range(0, len(own), 1000)):
                     place: dict[bytes, int] = {}
                     rows = [[place.setdefault(w, len(place)) for w in texts[i].split()] for i in part]
                     if place:
