@@ -15,16 +15,30 @@ from retail_analytics.llm.quality import quality
 from retail_analytics.llm.substring_dedup import substring_dedup
 
 
+MAX_BROADCAST_ROWS = 200_000          # rows to remove that are broadcast (at most 24 bytes each); more are shuffled
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of docs that meet none of ``gone``; the list is checkpointed and counted to choose the join."""
+    gone = cut(gone)
+    if gone.count() <= MAX_BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    on = docs["doc_id"].eqNullSafe(F.col("gone_id"))
+    if "gone_text" in gone.columns:
+        on &= F.xxhash64(docs["text"]) == F.col("gone_text")
+    return docs.join(gone, on, "left_anti")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the perplexity bands reject go."""
     gone = quality(docs).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_text"]), "left_anti")
+    return without(docs, gone)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by a similarity of 0.8 on five-word shingles, the smallest doc_id stays."""
-    gone = jaccard_join(docs, shingle=5, percent=80).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    gone = jaccard_join(docs, shingle=5, percent=80).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).where("gone_id is not null").distinct()
+    return without(docs, gone)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +54,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
     gone = (decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit > 0")
-            .select(F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+            .select(F.col("doc_id").alias("gone_id")).where("gone_id is not null").distinct())
+    return without(docs, gone)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
