@@ -11,13 +11,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import Words, cut, groups, pick, texts_of
+from .common import Words, cut, groups, pick
 
 ORDER = 4
 MIN_WORDS, MAX_REPEAT = 50, 50          # words; percent of words inside repeated 3-word windows
 WIDTH, LEAST_WIDTH = 8.0, 1.5           # half a band: so many robust deviations of the log perplexity, at least so much
 BIN = 1000                              # log perplexities are ranked in thousandths
 MAX_GRAMS = 8_000_000                   # a larger model (12 bytes a gram) is joined instead of broadcast
+HELD_WORDS = 100_000                    # distinct words of a language that a task holds before it emits their n-grams
 START, END = "\x02", "\x03"
 SYMBOLS = b"#*$%&|<>"
 
@@ -39,22 +40,27 @@ def spelled(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 def gram_counts(docs: DataFrame, order: int) -> DataFrame:
     """(lang, gram, c) over the words of all texts; a null language is its own.  Equal words and n-grams of a batch are added up
     before the shuffle."""
+    def rows_of(lang: str | None, words: Counter) -> pa.RecordBatch:
+        keys = list(words)
+        rows, sizes = spelled(keys, order)
+        weight = np.repeat(np.array([words[w] for w in keys], np.int64), sizes)
+        _, at, which = np.unique(gram_hash(rows, 0), return_index=True, return_inverse=True)
+        total = np.bincount(which, weights=weight, minlength=len(at)).astype(np.int64)
+        text = rows[at].astype(np.uint32).tobytes().decode("utf-32-le")
+        grams = [text[i:i + order] for i in range(0, len(text), order)]
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(grams, pa.string()), pa.array(total)], ["lang", "gram", "c"])
+
     def count(batches):
-        for b in batches:
-            found: dict[str | None, Counter] = {}
-            for lang, text in zip(b.column("lang").to_pylist(), texts_of(b)):
-                found.setdefault(lang, Counter()).update(text.split())
-            for lang, words in found.items():
-                keys = list(words)
-                for part in (keys[i:i + 50_000] for i in range(0, len(keys), 50_000)):
-                    rows, sizes = spelled(part, order)
-                    weight = np.repeat(np.array([words[w] for w in part], np.int64), sizes)
-                    _, at, which = np.unique(gram_hash(rows, 0), return_index=True, return_inverse=True)
-                    total = np.bincount(which, weights=weight, minlength=len(at)).astype(np.int64)
-                    text = rows[at].astype(np.uint32).tobytes().decode("utf-32-le")
-                    grams = [text[i:i + order] for i in range(0, len(text), order)]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(grams, pa.string()), pa.array(total)],
-                                                     ["lang", "gram", "c"])
+        found: dict[str | None, Counter] = {}
+        for texts, rows, b in groups(batches):
+            for lang, text in zip(b.column("lang").slice(rows[0], len(rows)).to_pylist(), texts):
+                words = found.setdefault(lang, Counter())
+                words.update(text.split())
+                if len(words) > HELD_WORDS:
+                    yield rows_of(lang, found.pop(lang))
+        for lang, words in found.items():
+            if words:
+                yield rows_of(lang, words)
 
     return docs.select("lang", "text").mapInArrow(count, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
@@ -210,22 +216,20 @@ def _measure(shared, order: int):
     def run(batches):
         tool, model = Words(), Model(shared.value, order) if shared is not None else None
         for b in batches:
-            texts, langs = texts_of(b), b.column("lang").to_pylist()
-            logp = np.zeros(len(texts))
-            for lang in set(langs) if model else ():
-                own = [i for i, x in enumerate(langs) if x == lang]
-                for part in (own[j:j + 1000] for j in range(0, len(own), 1000)):
+            logp, counts = np.zeros(b.num_rows), []
+            for texts, rows, _ in groups([b]):
+                langs = b.column("lang").slice(rows[0], len(rows)).to_pylist()
+                for lang in set(langs) if model else ():
+                    own = [i for i, x in enumerate(langs) if x == lang]
                     place: dict[bytes, int] = {}
-                    rows = [[place.setdefault(w, len(place)) for w in texts[i].split()] for i in part]
+                    words = [[place.setdefault(w, len(place)) for w in texts[i].split()] for i in own]
                     if place:
                         each = model.words(list(place), lang)
-                        for i, r in zip(part, rows):
-                            logp[i] = each[r].sum()
-            counts = []
-            for some, _, _ in groups([b]):
-                h, first = tool.texts(some)
+                        for i, r in zip(own, words):
+                            logp[rows[i]] = each[r].sum()
+                h, first = tool.texts(texts)
                 grams = tool.grams(h, 3)
-                for t, a, z in zip(some, first[:-1], first[1:]):
+                for t, a, z in zip(texts, first[:-1], first[1:]):
                     data = np.frombuffer(t, np.uint8)
                     points = int(((data & 0xC0) != 0x80).sum() - tool.space[data].sum())
                     counts.append((int(z - a), points, int(symbol[data].sum()), duplicate_lines(t), repeated(grams[a:max(a, z - 2)], 3)))
