@@ -145,7 +145,7 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
-def groups(batches, column: str = "text", size: int = 1 << 20):
+def groups(batches, column: str = "text", size: int = 1 << 18):
     """(texts, their row numbers, batch) in groups of bounded size, or of one text; only a group is held as Python objects."""
     for b in batches:
         if not b.num_rows:
@@ -188,7 +188,7 @@ def _blobs(values: np.ndarray) -> Iterator[tuple[int, bytes]]:
             yield b, _pack(v[edges[b]:edges[b + 1]] & np.uint32(0xFFFFFF))
 
 
-def blob_batches(parts: Iterator[np.ndarray], size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def blob_batches(parts: Iterator[np.ndarray], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow rows (bucket, blob) of hash arrays, gathered up to ``size`` values."""
     held, n = [], 0
     for p in parts:
