@@ -67,6 +67,8 @@ def cut_long(long: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFra
     Each chunk sees ``overlap`` characters of the next one.  Scanning depends only on the text after a boundary, so where a
     boundary of chunk i is one of chunk i + 1 too, both scans agree from there on.  The first such place in the overlap ends
     the piece of chunk i.  Where none is (a word longer than the overlap) nothing after it is proven: the rest is one piece.
+    A piece is matched again without the text after it, and white space splits by the character behind it, so no piece ends in
+    white space.
     The seam after the last chunk is never met and ends the list.
     """
     n = F.ceil(F.length("text") / F.lit(chunk)).cast("int")
@@ -81,7 +83,7 @@ def cut_long(long: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFra
             for last, i, part in zip(b.column("n_chunks").to_pylist(), b.column("i").to_pylist(), b.column("part").to_pylist()):
                 at = boundaries(part, words, i + 1 == last)
                 heads.append([i * chunk + x for x in at if i and x < overlap])
-                tails.append([i * chunk + x for x in at if i + 1 < last and x >= chunk] if i + 1 < last else None)
+                tails.append([i * chunk + x for x in at if x >= chunk and not part[x - 1].isspace()] if i + 1 < last else None)
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("i"), pa.array(heads, pa.list_(pa.int32())),
                                               pa.array(tails, pa.list_(pa.int32()))], ["key", "i", "head", "tail"])
 

@@ -56,6 +56,14 @@ def test_chunks_are_stitched_as_one_scan(spark, coder):
         assert got == Counter((i, tuple(coder.encode_ordinary(t or ""))) for i, t, _ in rows)
 
 
+def test_seams_after_white_space(spark, coder):
+    runs = ["\n\n", "  ", " \n", "\n ", "\t\t\t", "\r\n\r\n", "\u3000\n", "\xa0 ", "\x1c\n\n", "\x85\n"]
+    rows = [(100 * k + n, "x" * n + f"{run}Next{run}1{run}!" * 12) for k, run in enumerate(runs) for n in range(1, 25)]     # a seam after each run
+    got = {r.doc_id: r.ids for r in bpe.bpe_encode(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, public_tokenizers.PATTERN,
+                                                   chunk=24, overlap=16).collect()}
+    assert got == {i: coder.encode_ordinary(t) for i, t in rows}
+
+
 def test_round_trip(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = bpe.bpe_decode(bpe.bpe_encode(docs, RANKS, public_tokenizers.PATTERN, chunk=512, overlap=128), RANKS)
