@@ -293,15 +293,25 @@ def quality(docs: DataFrame, order: int = ORDER, width: float = WIDTH, least_wid
 
 def _joined(source: DataFrame, counts: DataFrame, model: DataFrame, order: int) -> DataFrame:
     """Log probabilities by a join of the documents' grams with the model, for models too large to broadcast.  Every gram of the
-    documents is in the model, which was counted on them."""
+    documents is in the model, which was counted on them.  Rows with the same id, language and text are added up together, so
+    their sum is divided by their number."""
     padded = F.concat(F.lit(START * (order - 1)), F.col("word"), F.lit(END))
     grams = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: padded.substr(i, F.lit(order)))
     keyed = source.select("doc_id", "lang", "t", F.explode(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")).alias("word"))
     each = keyed.where("word <> ''").select("doc_id", "lang", "t", F.explode(grams).alias("gram")).groupBy("doc_id", "lang", "t", "gram").agg(F.count("*").alias("n"))
     top = model.where((F.col("m") == order) & F.col("logp").isNotNull()).select(F.col("lang").alias("l"), F.col("gram").alias("g"), F.col("logp").alias("lp"))
     sums = (each.join(top, F.col("lang").eqNullSafe(F.col("l")) & (F.col("gram") == F.col("g")))
-            .groupBy(F.col("doc_id").alias("id"), F.col("t").alias("u")).agg(F.sum(F.col("n") * F.col("lp")).alias("logp")))
-    return counts.drop("logp").join(sums, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("t") == F.col("u")), "left").drop("id", "u")
+            .groupBy("doc_id", "lang", "t").agg(F.sum(F.col("n") * F.col("lp")).alias("sum")))
+
+    def same(a: str, b: str) -> Column:
+        return F.col("doc_id").eqNullSafe(F.col(f"id{b}")) & F.col("lang").eqNullSafe(F.col(f"lang{b}")) & (F.col(a) == F.col(f"t{b}"))
+
+    def keys(b: str) -> list[Column]:
+        return [F.col(c).alias(f"{k}{b}") for k, c in (("id", "doc_id"), ("lang", "lang"), ("t", "t"))]
+
+    copies = source.groupBy("doc_id", "lang", "t").agg(F.count("*").alias("copies"))
+    each_row = sums.join(copies.select(*keys("2"), "copies"), same("t", "2")).select(*keys("1"), (F.col("sum") / F.col("copies")).alias("logp"))
+    return counts.drop("logp").join(each_row, same("t", "1"), "left").drop("id1", "lang1", "t1")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -96,6 +96,17 @@ def test_joined_model_gives_the_same(spark):
     assert got[0] == got[1]
 
 
+def test_joined_model_with_repeated_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).select("doc_id", "text", "lang")
+    few = docs.orderBy("doc_id").limit(6)
+    rows = docs.union(few).union(few).union(few.withColumn("lang", F.lit("xx"))).union(few.withColumn("lang", F.lit(None).cast("string")))
+    null_ids = few.withColumn("doc_id", F.lit(None).cast("long"))
+    rows = q.cut(rows.union(null_ids).union(null_ids))
+    got = [Counter((r.doc_id, r.text_hash, r.lang, r.kept, None if r.log_ppl is None else round(r.log_ppl, 3)) for r in q.quality(rows, max_grams=m).collect())
+           for m in (10**9, 0)]
+    assert got[0] == got[1] and max(got[0].values()) == 3
+
+
 def test_empty_table(spark):
     assert q.quality(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
     assert q.quality(spark.createDataFrame([(1, None, None)], "doc_id long, text string, lang string")).select(F.col("kept")).first()[0] is False
