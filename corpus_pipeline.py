@@ -1,11 +1,11 @@
 """Corpus pipeline over ``documents``: quality rules, near-duplicate join, substring dedup, decontamination, byte-level BPE.
 
 Each stage takes (spark, docs, sf_dir), works on all rows of docs and returns rows with its columns; the last returns the coded
-documents.  A stage keeps other columns of docs; rows without a doc_id are never somebody's copy and never contaminated by id.
+documents.  A stage keeps other columns of docs.  Rows are judged each by its own text, also those that share a doc_id or have none.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retail_analytics.llm import bpe
 from retail_analytics.llm.common import cut
@@ -19,14 +19,32 @@ MAX_BROADCAST_ROWS = 200_000          # rows to remove that are broadcast (at mo
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of docs that meet none of ``gone``; the list is checkpointed and counted to choose the join."""
+    """The rows of docs that meet none of ``gone`` (row keys, or ids with hashes of the text); the list is checkpointed and counted
+    to choose the join."""
     gone = cut(gone)
     if gone.count() <= MAX_BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    on = docs["doc_id"].eqNullSafe(F.col("gone_id"))
-    if "gone_text" in gone.columns:
-        on &= F.xxhash64(docs["text"]) == F.col("gone_text")
-    return docs.join(gone, on, "left_anti")
+    if "gone_key" in gone.columns:
+        return docs.join(gone, row_key(docs) == F.col("gone_key"), "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"]) == F.col("gone_text")), "left_anti")
+
+
+def row_key(docs: DataFrame) -> Column:
+    """Hash of the doc_id, null or not, and the text: one for exact copies of a row only."""
+    return F.xxhash64(docs["doc_id"].isNull(), docs["doc_id"], docs["text"])
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of rows with words that share doc_id and text, the one whose other columns are smallest."""
+    some = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    again = cut(some.groupBy(row_key(docs).alias("gone_key")).agg(F.count("*").alias("n")).where("n > 1").select("gone_key"))
+    copies = again.count()
+    if not copies:
+        return docs
+    near = F.broadcast(again) if copies <= MAX_BROADCAST_ROWS else again
+    one = (docs.join(near, row_key(docs) == F.col("gone_key"), "left_semi").groupBy(row_key(docs))
+           .agg(F.min(F.struct(*(docs[c] for c in docs.columns))).alias("row")).select("row.*"))
+    return without(docs, again).unionByName(one)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +54,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by a similarity of 0.8 on five-word shingles, the smallest doc_id stays."""
-    gone = jaccard_join(docs, shingle=5, percent=80).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).where("gone_id is not null").distinct()
-    return without(docs, gone)
+    """Of each group of documents linked by a similarity of 0.8 on five-word shingles, exact copies among them, one row stays: that
+    of the smallest doc_id, a null one last, and then of the smallest key.  Texts without words have no links and stay."""
+    docs = one_of_each(docs)
+    keyed = docs.select(row_key(docs).alias("key"), "doc_id", "text")
+    linked = cut(jaccard_join(keyed, shingle=5, percent=80, id_col="key").where("doc_id <> component_id")
+                 .select(F.col("doc_id").alias("gone_key"), F.col("component_id").alias("component")))
+    members = linked.union(linked.select("component", "component").distinct())
+    first = (members.join(keyed.select("key", "doc_id"), F.col("gone_key") == F.col("key")).groupBy("component")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")).select(F.col("first.key").alias("gone_key")))
+    return without(docs, members.select("gone_key").join(first, "gone_key", "left_anti"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +78,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
-    gone = (decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit > 0")
-            .select(F.col("doc_id").alias("gone_id")).where("gone_id is not null").distinct())
-    return without(docs, gone)
+    found = decontaminate(docs.select(row_key(docs).alias("key"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="key")
+    return without(docs, found.where("n_hit > 0").select(F.col("doc_id").alias("gone_key")).distinct())
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

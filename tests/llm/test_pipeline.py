@@ -54,6 +54,26 @@ def _chain(spark):
     return docs
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    item = max((r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()), key=len)
+    words = [f"{c}{k}" for c in "abcdefgh" for k in range(60)]
+    text = [" ".join(words[60 * i:60 * i + 60]) for i in range(8)]
+    a, b, c, d, e = text[:5]
+
+    def kept(stage, rows):
+        df = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], docs.schema).repartition(3)
+        return sorted(((r.doc_id, r.text, r.source) for r in stage(spark, df, SF).collect()), key=str)
+
+    rows = [(5, a, "y"), (5, b, "x"), (3, b, "x"), (9, f"{a} z", "x"), (5, c, "x"), (5, a, "x"), (5, a, "y"), (None, b, "x"), (None, d, "x"), (None, d, "x"),
+            (None, f"{d} z", "x"), (7, f"{e} z", "x"), (None, e, "x"), (8, "", "x"), (8, "", "x")]
+    got = kept(cp.near_duplicates, rows)
+    assert [r for r in got if r[0] is not None] == [(3, b, "x"), (5, a, "x"), (5, c, "x"), (7, f"{e} z", "x"), (8, "", "x"), (8, "", "x")]
+    assert [r[1] in (d, f"{d} z") for r in got if r[0] is None] == [True]
+    rows = [(5, a, "x"), (5, f"{b} {item}", "x"), (None, c, "x"), (None, f"{d} {item}", "x"), (6, e, "x")]
+    assert kept(cp.decontamination, rows) == sorted([(5, a, "x"), (6, e, "x"), (None, c, "x")], key=str)
+
+
 def test_nulls_and_empty_tables(spark):
     schema = spark.read.parquet(f"{SF}/documents.parquet").schema
     for rows in ([], [(None,) * 5, (1, None, None, None, None), (1, "", "en", "s", 0), (2, "a b", None, None, None)]):
