@@ -2,12 +2,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _U = np.uint64
 _BASE, _GRAM = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F | 1     # odd, so they have inverses modulo 2**64
@@ -27,14 +28,32 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return df.select([df[src].alias(dst) for dst, src in cols.items()])
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint in the cluster's shared folder; a temporary one only where the session names none (tests)."""
-    sc = df.sparkSession.sparkContext
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder.  Where the session names none, a temporary one if all runs on this machine (tests); a cluster
+    without one is an error, as its executors share no other folder."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc._jsc.isLocal():
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint in the shared folder."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a compressed table in the shared folder, read again; for rows too wide for a checkpoint."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def loose(df: DataFrame) -> DataFrame:
     """Forget how the rows are partitioned, so that a later join shuffles this side anew and AQE may split hot keys."""
     return df.coalesce(1 << 20)
