@@ -29,6 +29,11 @@ def encoded(*values: Column) -> Column:
     return F.concat(*(F.when(p.isNull(), "-").otherwise(F.concat(F.octet_length(p).cast("string"), F.lit(":"), p)) for p in parts))
 
 
+def digest(joined: Column) -> Column:
+    """SHA-256 of the lowercase hex text of joined digests, as 32 bytes."""
+    return F.unhex(F.sha2(F.lower(F.hex(joined)), 256))
+
+
 def numbered(df: DataFrame, tree: str, order: list[str]) -> DataFrame:
     """Adds ``idx``, from 0, in the order of ``order`` inside each value of ``tree`` (null is one), ``n``, the rows of the tree,
     and ``tree_no``, from 0, in the order of the trees.  Rows that tie in all of ``order`` are numbered in any way."""
@@ -67,13 +72,15 @@ def numbered(df: DataFrame, tree: str, order: list[str]) -> DataFrame:
 
 @dataclass
 class Manifest:
-    """Paths of the written tables: ``leaves`` (tree, n, idx, leaf, claim, the order's columns and the parent's link), ``trees``
-    (tree, subroot) and ``nodes``, one a level, none if a lone leaf is the root; and the digest ``root``."""
+    """Paths of the written tables: ``leaves`` (tree, n, idx, leaf, claim and the order's columns), ``trees``
+    (tree, subroot) and ``nodes``, one a level, none if a lone leaf is the root; and the root's digest in hex."""
     spark: SparkSession
     leaves: str
     trees: str
     nodes: list[str]
     root: str
+    n_trees: int
+    n_leaves: int
 
 
 def _linked(level: DataFrame, k: int, trees: int, total: int) -> DataFrame:
@@ -96,9 +103,9 @@ def _levels(level: DataFrame, most: int, trees: int, total: int, base: str) -> l
     while most > 1:
         k += 1
         most = -(-most // FAN)
-        run = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("idx", "digest"))), lambda x: x["digest"]), "")
+        run = F.aggregate(F.sort_array(F.collect_list(F.struct("idx", "digest"))), F.lit(b""), lambda done, x: F.concat(done, x["digest"]))
         level = (level.where("m > 1").groupBy("tree", "n", F.expr(f"idx div {FAN}").alias("idx"), F.expr(f"(m + {FAN - 1}) div {FAN}").alias("m"))
-                 .agg(run.alias("run")).withColumn("digest", F.sha2("run", 256)).withColumn("run", F.unhex("run")).withColumn("level", F.lit(k)))
+                 .agg(run.alias("run")).withColumn("digest", digest(F.col("run"))).withColumn("level", F.lit(k)))
         paths.append(f"{base}-{k}")
         _linked(level, k, trees, total).write.parquet(paths[-1])
         level = level.sparkSession.read.parquet(paths[-1])
@@ -106,7 +113,7 @@ def _levels(level: DataFrame, most: int, trees: int, total: int, base: str) -> l
 
 
 def manifest(rows: DataFrame, tree: str, order: list[str]) -> Manifest:
-    """The trees over ``rows``, which have the columns ``leaf`` and ``claim`` (lowercase hex digests), ``tree`` and those of ``order``.
+    """The trees over ``rows``, which have the columns ``leaf`` and ``claim`` (digests of 32 bytes), ``tree`` and those of ``order``.
 
     Per value of ``tree`` (null is one of them, first) leaves ascend by ``order``; while more than one node remains, each run of
     eight consecutive ones becomes the digest of their joined digests.  The roots, in the order of ``tree``, make a tree likewise.
@@ -114,12 +121,11 @@ def manifest(rows: DataFrame, tree: str, order: list[str]) -> Manifest:
     """
     spark = rows.sparkSession
     base = f"{checkpoint_dir(spark)}/merkle-{uuid.uuid4().hex}"
-    placed = cut(numbered(rows, tree, order).withColumnRenamed(tree, f"own_{tree}").withColumnRenamed("tree_no", "tree").withColumn("m", F.col("n")))
-    total, trees, most = placed.agg(F.count("*"), F.max("tree") + 1, F.max("n")).first()
+    numbered(rows, tree, order).drop(tree).withColumnRenamed("tree_no", "tree").withColumn("m", F.col("n")).write.parquet(f"{base}-leaves")
+    leaves = spark.read.parquet(f"{base}-leaves")
+    total, trees, most = leaves.agg(F.count("*"), F.max("tree") + 1, F.max("n")).first()
     if not total:
         raise ValueError("no rows, no manifest")
-    _linked(placed, 0, trees, total).write.parquet(f"{base}-leaves")
-    leaves = spark.read.parquet(f"{base}-leaves")
     paths = _levels(leaves.select("tree", "n", "idx", "m", F.col("leaf").alias("digest")), most, trees, total, f"{base}-node")
     roots = leaves.where("m = 1").select("tree", F.col("leaf").alias("subroot"))
     for p in paths:
@@ -131,12 +137,12 @@ def manifest(rows: DataFrame, tree: str, order: list[str]) -> Manifest:
                              F.col("subroot").alias("digest"))
         tops = _levels(level, trees, trees, total, f"{base}-top")
     root = spark.read.parquet(tops[-1]).first()["digest"] if tops else roots.first()["subroot"]
-    return Manifest(spark, f"{base}-leaves", f"{base}-trees", paths + tops, root)
+    return Manifest(spark, f"{base}-leaves", f"{base}-trees", paths + tops, root.hex(), trees, total)
 
 
 CLIMB = """
 WITH RECURSIVE climb (tree, idx, up_tree, up_level, up_idx, up_copy, pos, step, folded, siblings) AS (
-  SELECT tree, idx, up_tree, up_level, up_idx, idx % up_copies, pos, 0, unhex(claim), X'' FROM leaves
+  SELECT tree, idx, up_tree, up_level, up_idx, idx % up_copies, pos, 0, claim, X'' FROM leaves
   UNION ALL
   SELECT c.tree, c.idx, n.up_tree, n.up_level, n.up_idx, c.idx % n.up_copies, n.pos, c.step + 1,
     unhex(sha2(lower(hex(concat(substring(n.run, 1, 32 * c.pos), c.folded, substring(n.run, 32 * c.pos + 33)))), 256)),
@@ -159,26 +165,32 @@ def climb(made: Manifest) -> DataFrame:
     """For each leaf (tree, idx): ``proof``, the siblings' digests level by level up to the root, and ``folded``, the root that its
     claim leads to, both lowercase hex.  The rows come from a session of their own, see :func:`unlimited`."""
     spark = unlimited(made.spark)
-    spark.read.parquet(made.leaves).createOrReplaceTempView("leaves")
+    leaves = spark.read.parquet(made.leaves)
     if not made.nodes:                                  # a lone leaf
-        return spark.table("leaves").select("tree", "idx", F.lit("").alias("proof"), F.col("claim").alias("folded"))
-    nodes = spark.read.parquet(*made.nodes)
+        return leaves.select("tree", "idx", F.lit("").alias("proof"), F.lower(F.hex("claim")).alias("folded"))
+    _linked(leaves, 0, made.n_trees, made.n_leaves).createOrReplaceTempView("leaves")
     below = F.when(F.col("tree") == TOP, F.col("n")).otherwise(F.least("n", F.pow(F.lit(FAN), F.col("level")).cast("long")))
     copy = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(below / SPREAD) - 1))
-    nodes.withColumn("copy", copy).createOrReplaceTempView("nodes")
+    nodes = spark.read.parquet(*made.nodes).select("tree", "level", "idx", copy.alias("copy"), "run", "pos", "up_tree", "up_level", "up_idx", "up_copies")
+    # Dealt out by the join's keys once, so the steps of the recursion shuffle only the climbing rows.  A checkpoint remembers how
+    # its rows are dealt out if the plan was fixed beforehand.
+    parts, adaptive = (spark.conf.get(f"spark.sql.{x}") for x in ("shuffle.partitions", "adaptive.enabled"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    cut(nodes.repartition(int(parts), "tree", "level", "idx", "copy")).createOrReplaceTempView("nodes")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     steps = F.transform(F.sort_array(F.collect_list(F.struct("step", "siblings"))), lambda s: F.hex(s["siblings"]))
     return (spark.sql(CLIMB).groupBy("tree", "idx")
             .agg(F.lower(F.array_join(steps, "")).alias("proof"), F.lower(F.hex(F.max_by("folded", "step"))).alias("folded")))
 
 
 def leaf_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, leaf and claim: the digest of the row as it is and of what is claimed it to be.  Where 3 divides the unsigned
+    """doc_id, lang, leaf and claim: the digest of the row as it is and of what is claimed it to be, 32 bytes each.  Where 3 divides the unsigned
     crc32 of the decimal doc_id the claim has the text's A-Z lower-cased; a null doc_id claims the truth."""
     own = pick(docs, doc_id="doc_id", source="source", lang="lang", n_chars="n_chars", text="text")
     tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
     text = F.when(tampered, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
     head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
-    return own.select("doc_id", "lang", F.sha2(encoded(*head, F.col("text")), 256).alias("leaf"), F.sha2(encoded(*head, text), 256).alias("claim"))
+    return own.select("doc_id", "lang", *(F.unhex(F.sha2(encoded(*head, t), 256)).alias(name) for name, t in (("leaf", F.col("text")), ("claim", text))))
 
 
 def verified(rows: DataFrame, tree: str = "lang", order: str = "doc_id") -> DataFrame:
@@ -198,7 +210,7 @@ def verified(rows: DataFrame, tree: str = "lang", order: str = "doc_id") -> Data
     trees = spark.read.parquet(made.trees)
     trees = F.broadcast(trees) if trees.count() <= MAX_BROADCAST_TREES else trees
     return (spark.read.parquet(made.leaves).join(climbed, ["tree", "idx"]).join(trees, "tree")
-            .select(order, "leaf", "subroot", F.lit(made.root).alias("root"), F.sha2("proof", 256).alias("proof_sha256"),
+            .select(order, F.lower(F.hex("leaf")).alias("leaf"), F.lower(F.hex("subroot")).alias("subroot"), F.lit(made.root).alias("root"), F.sha2("proof", 256).alias("proof_sha256"),
                     F.col("folded").alias("folded_root"), (F.col("folded") == made.root).alias("verified")))
 
 

@@ -75,3 +75,79 @@ def contamination(rows, items, window=10):
                     names |= wins[key]
         out[i] = len(w), len(hit), sorted(names)
     return out
+
+
+def merkle(rows):
+    """Rows (doc_id, source, lang, n_chars, text) to (doc_id, leaf, subroot, root, proof, folded root, verified)."""
+    import hashlib
+    import zlib
+
+    def h(*parts):
+        return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+    def leaf(i, source, lang, n, text):
+        return h(*("-" if x is None else f"{len(str(x).encode())}:{x}" for x in (i, source, lang, n, text)))
+
+    def climb(nodes, at, claim):
+        proof = []
+        while len(nodes) > 1:
+            run = list(range(at // 8 * 8, min(at // 8 * 8 + 8, len(nodes))))
+            proof += [nodes[r] for r in run if r != at]
+            claim = h(*(claim if r == at else nodes[r] for r in run))
+            nodes, at = [h(*nodes[r:r + 8]) for r in range(0, len(nodes), 8)], at // 8
+        return nodes[0], proof, claim
+
+    trees = {}
+    for r in rows:
+        bad = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0
+        claim = leaf(*r[:4], low(r[4]) if bad and r[4] is not None else r[4])
+        trees.setdefault(r[2], []).append((r[0], leaf(*r), claim))
+    langs = sorted(trees, key=lambda x: (x is not None, (x or "").encode()))
+    for x in langs:
+        trees[x].sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    subroots = [climb([r[1] for r in trees[x]], 0, "")[0] for x in langs]
+    out = []
+    for t, x in enumerate(langs):
+        nodes = [r[1] for r in trees[x]]
+        for at, (i, own, claim) in enumerate(trees[x]):
+            subroot, low_proof, folded = climb(nodes, at, claim)
+            root, top_proof, folded = climb(subroots, t, folded)
+            out.append((i, own, subroot, root, h(*low_proof, *top_proof), folded, folded == root))
+    return out
+
+
+def aligned(rows, tokens):
+    """Rows (doc_id, text) to (doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups); ``tokens(text)`` gives both sides'
+    (id, bytes) lists."""
+    per, count = [], Counter()
+    for _, t in rows:
+        sides = tokens(t) if t else None
+        if sides is None or any(b"".join(b for _, b in s) != (" " + t).encode() for s in sides):
+            per.append(None)
+            continue
+        spans = []
+        for s in sides:
+            end, own = 0, []
+            for i, b in s:
+                own.append((i, end, end + len(b)))
+                end += len(b)
+            spans.append(own)
+        links, j = [], 0
+        for a, s, e in spans[0]:
+            while spans[1][j][2] <= s:
+                j += 1
+            k = j
+            while k < len(spans[1]) and spans[1][k][1] < e:
+                links.append((a, spans[1][k][0]))
+                k += 1
+        groups, last = [], 0
+        for cut in sorted({x[2] for x in spans[0]} & {x[2] for x in spans[1]}):
+            groups.append("|".join(",".join(str(i) for i, s, _ in own if last <= s < cut) for own in spans))
+            last = cut
+        per.append((len(sides[0]), len(sides[1]), len(groups), links, ";".join(groups)))
+        count.update(set(links))
+    highest = {}
+    for (a, _), n in count.items():
+        highest[a] = max(n, highest.get(a, 0))
+    return [(i, 0, 0, 0, 0, 0, 0, "") if p is None else (i, *p[:3], len(p[3]), sum(count[x] == highest[x[0]] for x in p[3]), sum(count[x] for x in p[3]), p[4])
+            for (i, _), p in zip(rows, per)]
