@@ -1,6 +1,10 @@
 """Complete grids: every row of a frame combined with every member of a small dimension."""
 from __future__ import annotations
 
+import weakref
+from collections.abc import Callable
+from contextvars import ContextVar
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,12 +21,37 @@ def complete_grid(df: DataFrame, dim: DataFrame) -> DataFrame:
             .select(*[df[c] for c in df.columns], *[F.col(f"_m.{c}").alias(c) for c in dim.columns]))
 
 
+_HELD: ContextVar[list | None] = ContextVar("held", default=None)
+
+
 def shared(df: DataFrame) -> DataFrame:
     """An aggregate that the following steps read several times: computed on first use, on executors' memory and disk.
 
     Nothing runs while the plan is built, the plan stays small, and a lost executor's blocks come back from the lineage.
     """
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if (held := _HELD.get()) is not None:
+        held.append(df)
+    return df
+
+
+def released(build: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that ``build`` makes; what it shares leaves the storage when the caller lets go of the frame."""
+    token = _HELD.set([])
+    try:
+        out = build()
+        held = _HELD.get()
+    finally:
+        _HELD.reset(token)
+    if held:
+        weakref.finalize(out, _release, held).atexit = False
+    return out
+
+
+def _release(held: list[DataFrame]) -> None:
+    for df in held:
+        if df.sparkSession.sparkContext._jsc is not None:           # the session may have ended first
+            df.unpersist()
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

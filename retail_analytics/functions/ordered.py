@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from retail_analytics.functions.grid import with_scalars
-from retail_analytics.functions.joins import join_null_safe
+from retail_analytics.functions.grid import shared, with_scalars
 
 MIN_BUCKETS, MAX_BUCKETS = 32, 200
 
@@ -34,10 +33,6 @@ def _keys(by: list[str]) -> list[str]:
     return [GROUP] if by else []
 
 
-def _attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
-    return join_null_safe(df, stats, by) if by else with_scalars(df, stats)
-
-
 def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Equi-join on keys that are never NULL (group struct, bucket numbers)."""
     r = right.withColumnsRenamed({k: f"_r{k}" for k in keys})
@@ -125,38 +120,104 @@ def quantile_score(df: DataFrame, value: str, name: str, bins: int = 5, ascendin
     return quantile_scores(df, [(value, name, ascending)], bins)
 
 
-def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None, weight: str | None = None,
-              nearest: bool = False) -> DataFrame:
-    """Exact quantiles per group as one row: linear interpolation (or nearest rank) on (value, weight).
+def order_stats(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None, weight: str | None = None,
+                nearest: bool = False, deviation: str | None = None) -> DataFrame:
+    """Exact quantiles per group as one row, and with ``deviation`` the median absolute deviation under that name.
 
-    Equal values are added up first, so the work follows the number of distinct values and no group is gathered.
+    Selection on one count table (group, value, weight), computed once.  Cut points split each group into cells; the weights
+    and bounds of the cells, a bounded array per group, say which cells hold the wanted ranks, and only the rows of those cells are
+    gathered.  For the deviation the cells are merged outwards from the median's: those surely nearer than it only count, those
+    surely farther fall away, and the few between are gathered along.  So the count table, its cells and the gathered rows are
+    the only shuffles, whatever the number of quantiles.
     """
     by = by or []
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    known = df.filter(F.col(value).isNotNull() & (w > 0))
-    vc = known.groupBy(*by, F.col(value).alias("_v")).agg(F.sum(w).alias("_w"))
-    r = running(vc, "_v", {"_cum": "_w"}, by)
-    total = F.col("_cum_total")
-
-    def at(index: Column) -> Column:   # value of the expanded, sorted data at a 0-based index
-        return F.min(F.when(F.col("_cum") > index, F.col("_v")))
-
-    aggs = []
+    known = _keyed(df, by).filter(F.col(value).isNotNull() & (w > 0))
+    g = _keys(by)
+    table = shared(known.groupBy(*g, F.col(value).cast("double").alias("_v")).agg(F.sum(w).alias("_w")))
+
+    def attach(left: DataFrame, stats: DataFrame) -> DataFrame:
+        return _join(left, stats, [GROUP]) if by else with_scalars(left, stats)
+
+    cuts = table.groupBy(*g).agg(_cuts("_v", bucket_count(df)).alias("_c"))
+    placed = attach(table, cuts)
+    placed = placed.withColumn("_k", _place("_c", "_v") * 2 + F.array_contains("_c", F.col("_v")).cast("int")).drop("_c")
+    cells = placed.groupBy(*g, "_k").agg(F.sum("_w").alias("w"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    cells = cells.groupBy(*g).agg(F.array_sort(F.collect_list(F.struct(F.col("_k").alias("k"), "w", "lo", "hi"))).alias("_cells"), F.sum("w").alias("_n"))
+
+    def reach(index: Column, strict: bool):
+        """The first cell at which the running weight passes the index, as struct(k, before, lo, hi)."""
+        step = F.aggregate("_cells", F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("struct<k:int,before:double,lo:double,hi:double>").alias("at")), lambda s, c: F.struct(
+            (s["sum"] + c["w"]).alias("sum"),
+            F.when(s["at"].isNull() & ((s["sum"] + c["w"] > index) if strict else (s["sum"] + c["w"] >= index)),
+                   F.struct(c["k"].alias("k"), s["sum"].alias("before"), c["lo"].alias("lo"), c["hi"].alias("hi"))).otherwise(s["at"]).alias("at")))
+        return step["at"]
+
+    n = F.col("_n")
+    wanted: dict[str, tuple[Column, bool]] = {}             # ranks, as the index into the expanded and sorted data
     for name, p in probs.items():
         if nearest:
-            aggs.append(F.min(F.when(F.col("_cum") >= total * p, F.col("_v"))).alias(name))
+            wanted[name] = (n * p, False)
         else:
-            pos = (total - 1) * p
-            lo, hi = at(F.floor(pos)), at(F.ceil(pos))
-            frac = F.max(pos - F.floor(pos))
-            aggs.append((lo + (hi - lo) * frac).alias(name))
-    return r.groupBy(*by).agg(*aggs) if by else r.agg(*aggs)
+            wanted |= {f"{name}.lo": (F.floor((n - 1) * p), True), f"{name}.hi": (F.ceil((n - 1) * p), True)}
+    if deviation:
+        wanted |= {"_m.lo": (F.floor((n - 1) * 0.5), True), "_m.hi": (F.ceil((n - 1) * 0.5), True)}
+    ranks = {r: f"_r{i}" for i, r in enumerate(wanted)}
+    cells = cells.withColumns({ranks[r]: reach(index, strict) for r, (index, strict) in wanted.items()})
+    need = F.array(*[F.col(ranks[r])["k"] for r in wanted])
+    if deviation:
+        low, high = F.col(ranks["_m.lo"])["lo"], F.col(ranks["_m.hi"])["hi"]        # the median lies between them
+
+        def passes(at: str, index: Column) -> Column:
+            """The smallest distance at which the weight of the cells up to it, ordered by ``at``, passes the index."""
+            order = F.array_sort(F.transform("_ring", lambda c: F.struct(c[at].alias("d"), c["w"].alias("w"))))
+            step = F.aggregate(order, F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("double").alias("d")), lambda s, c: F.struct(
+                (s["sum"] + c["w"]).alias("sum"), F.when(s["d"].isNull() & (s["sum"] + c["w"] > index), c["d"]).otherwise(s["d"]).alias("d")))
+            return step["d"]
+
+        ring = F.transform("_cells", lambda c: F.struct(c["k"].alias("k"), c["w"].alias("w"), F.greatest(high - c["lo"], c["hi"] - low, F.lit(0.0)).alias("far"),
+                                                        F.greatest(c["lo"] - high, low - c["hi"], F.lit(0.0)).alias("near")))
+        cells = cells.withColumn("_ring", ring)
+        cells = cells.withColumn("_from", passes("near", F.floor((n - 1) * 0.5))).withColumn("_to", passes("far", F.ceil((n - 1) * 0.5)))
+        cells = (cells.withColumn("_inner", F.aggregate(F.filter("_ring", lambda c: c["far"] < F.col("_from")), F.lit(0.0), lambda s, c: s + c["w"]))
+                 .withColumn("_among", F.transform(F.filter("_ring", lambda c: (c["far"] >= F.col("_from")) & (c["near"] <= F.col("_to"))), lambda c: c["k"])))
+        need = F.concat(need, F.col("_among"))
+    cells = cells.withColumn("_need", F.array_distinct(need)).drop("_cells", "_ring", "_from", "_to")
+    some = attach(placed, cells.select(*g, "_need")).filter(F.array_contains("_need", F.col("_k")))
+    some = some.groupBy(*g).agg(F.array_sort(F.collect_list(F.struct(F.col("_v").alias("v"), F.col("_w").alias("w"), F.col("_k").alias("k")))).alias("_some"))
+    rows = _join(cells, some, [GROUP]) if by else with_scalars(cells, some)
+
+    def value_at(rank: str) -> Column:
+        index, strict = wanted[rank]
+        cell = F.col(ranks[rank])
+        step = F.aggregate(F.filter("_some", lambda x: x["k"] == cell["k"]), F.struct(cell["before"].alias("sum"), F.lit(None).cast("double").alias("v")), lambda s, x: F.struct(
+            (s["sum"] + x["w"]).alias("sum"),
+            F.when(s["v"].isNull() & ((s["sum"] + x["w"] > index) if strict else (s["sum"] + x["w"] >= index)), x["v"]).otherwise(s["v"]).alias("v")))
+        return step["v"]
+
+    def between(lo: Column, hi: Column, p: float) -> Column:
+        return lo + (hi - lo) * ((n - 1) * p - F.floor((n - 1) * p))
+
+    out = {name: value_at(name) if nearest else between(value_at(f"{name}.lo"), value_at(f"{name}.hi"), p) for name, p in probs.items()}
+    if deviation:
+        rows = rows.withColumn("_med", between(value_at("_m.lo"), value_at("_m.hi"), 0.5))
+        away = F.array_sort(F.transform(F.filter("_some", lambda x: F.array_contains("_among", x["k"])), lambda x: F.struct(F.abs(x["v"] - F.col("_med")).alias("v"), x["w"].alias("w"))))
+        rows = rows.withColumn("_away", away)
+
+        def away_at(index: Column) -> Column:
+            step = F.aggregate("_away", F.struct(F.col("_inner").alias("sum"), F.lit(None).cast("double").alias("v")), lambda s, x: F.struct(
+                (s["sum"] + x["w"]).alias("sum"), F.when(s["v"].isNull() & (s["sum"] + x["w"] > index), x["v"]).otherwise(s["v"]).alias("v")))
+            return step["v"]
+        out[deviation] = between(away_at(F.floor((n - 1) * 0.5)), away_at(F.ceil((n - 1) * 0.5)), 0.5)
+    return rows.select(*[F.col(f"{GROUP}.{c}").alias(c) for c in by], *[c.alias(name) for name, c in out.items()])
+
+
+def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None, weight: str | None = None,
+              nearest: bool = False) -> DataFrame:
+    """Exact quantiles per group as one row: linear interpolation (or nearest rank) on (value, weight)."""
+    return order_stats(df, value, probs, by, weight, nearest)
 
 
 def median_mad(df: DataFrame, value: str, by: list[str] | None = None, weight: str | None = None) -> DataFrame:
     """``mediana`` and ``mad`` (unscaled median absolute deviation) per group."""
-    by = by or []
-    med = quantiles(df, value, {"mediana": 0.5}, by, weight)
-    dev = _attach(df, med, by).withColumn("_dev", F.abs(F.col(value) - F.col("mediana")))
-    mad = quantiles(dev, "_dev", {"mad": 0.5}, by, weight)
-    return join_null_safe(med, mad, by) if by else with_scalars(med, mad)
+    return order_stats(df, value, {"mediana": 0.5}, by, weight, deviation="mad")

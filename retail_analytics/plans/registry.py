@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from retail_analytics.functions.grid import released
 from retail_analytics.star import STAR_CTE, Star
 
 
@@ -20,7 +21,9 @@ class Query:
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         """Engines add doubles in different orders, so doubles are rounded here, at the query boundary only."""
-        df = self.build(Star(spark, sf_dir))
+        return released(lambda: self._rounded(self.build(Star(spark, sf_dir))))
+
+    def _rounded(self, df: DataFrame) -> DataFrame:
         cols = []
         for c in df.columns:
             if c in self.floats:
