@@ -4,10 +4,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from retail_analytics.operators import filters as fl, lookups
 from retail_analytics.plans.registry import query
-from retail_analytics.sources import contracts as ct, sinks
+from retail_analytics.sources import checked, contracts as ct, incremental, quarantine, sinks
 
 M0, M1 = "2001-06-01", "2001-06-30"
 
@@ -224,3 +225,70 @@ def _(s):
     ids = s.cliente.select((F.col("id_cliente") + F.when(F.col("id_cliente") % 10 == 0, 100000000).otherwise(0))
                            .alias("id_cliente"), F.when(F.col("id_cliente") % 2 == 0, F.col("id_sucursal")).alias("id_sucursal"))
     return lookups.resolve_client(c, ids)
+
+
+def monthly_source(s, root: str, extra: bool) -> str:
+    """The sales lines as a table partitioned by month; the lines of odd documents of June 2001 come with a later load."""
+    path = f"{root}/lineas"
+    v = s.lineas.select("sucursal", "generico", F.date_format("fecha_comprobante", "yyyy-MM").alias("mes"), "cantidades_total", "subtotal_neto", "nro_doc")
+    late = (F.col("mes") == "2001-06") & (F.col("nro_doc") % 2 == 1)
+    v.filter(late if extra else ~late).repartition("mes").write.mode("append").partitionBy("mes").parquet(path)
+    return path
+
+
+@query("a12_incremental_summary", f="cantidad monto", sql="""SELECT sucursal, generico, strftime(fecha_comprobante,'%Y-%m') mes,
+sum(cantidades_total) cantidad, sum(subtotal_neto) monto FROM l GROUP BY 1,2,3""")
+def _(s):
+    """Built over all months, then refreshed after a late load: only the month it touched is computed again."""
+    root = f"{sinks.shared_dir(s.spark)}/incremental-{uuid.uuid4().hex}"
+    table = incremental.MonthlyTable(s.spark, f"{root}/resumen", lambda v: v.groupBy("sucursal", "generico", "mes").agg(
+        F.sum("cantidades_total").alias("cantidad"), F.sum("subtotal_neto").alias("monto")))
+    table.refresh(monthly_source(s, root, extra=False))
+    table.refresh(monthly_source(s, root, extra=True))
+    return table.read()
+
+
+PRICES = StructType([StructField("id_articulo", LongType()), StructField("precio_base", DoubleType()), StructField("precio_final", DoubleType())])
+
+
+def price_files(s) -> str:
+    """The price list as delimited files, with short and long lines, a header again, words for numbers and missing prices."""
+    k = F.col("p_partkey")
+    base, final = F.round("p_retailprice", 2).cast("string"), F.round(F.col("p_retailprice") + 10, 2).cast("string")
+    line = (F.when(k % 31 == 0, F.concat_ws(",", k, base)).when(k % 37 == 0, F.concat_ws(",", k, base, final, F.lit("x")))
+            .when(k % 41 == 0, F.concat_ws(",", k, F.lit("consultar"), final)).when(k % 43 == 0, F.concat_ws(",", k, F.lit(""), final))
+            .when(k % 47 == 0, "id_articulo,precio_base,precio_final").when(k % 53 == 0, F.concat_ws(",", k, F.lit("-1.0"), final))
+            .otherwise(F.concat_ws(",", k, base, final)))
+    path = f"{sinks.shared_dir(s.spark)}/precios-{uuid.uuid4().hex}"
+    # every file starts with the header
+    rows = s.raw("part").select(line.alias("value"), F.pmod(F.xxhash64("p_partkey"), F.lit(4)).alias("parte"), F.lit(1).alias("orden"))
+    head = s.spark.range(4).select(F.lit(",".join(PRICES.names)).alias("value"), F.col("id").alias("parte"), F.lit(0).alias("orden"))
+    rows.unionByName(head).repartition(4, "parte").sortWithinPartitions("parte", "orden").drop("orden").write.partitionBy("parte").text(path)
+    return f"{path}/parte=*"
+
+
+@query("a8_price_quarantine", f="precio_base:2 precio_final:2", sql="""p AS (SELECT p_partkey k, round(p_retailprice,2) b, round(p_retailprice+10,2) f FROM part),
+r AS (SELECT *, CASE WHEN k%31=0 THEN 'faltan columnas' WHEN k%37=0 THEN 'sobran columnas' WHEN k%41=0 THEN 'tipo invalido: precio_base' WHEN k%43=0 THEN 'falta precio_base' WHEN k%47=0 THEN 'encabezado repetido' WHEN k%53=0 THEN 'precio no positivo' END motivo FROM p)
+SELECT CASE WHEN k%47=0 AND motivo='encabezado repetido' THEN NULL ELSE k END id_articulo, CASE WHEN motivo IN ('tipo invalido: precio_base','falta precio_base','encabezado repetido') THEN NULL WHEN motivo='precio no positivo' THEN -1.0 ELSE b END precio_base,
+ CASE WHEN motivo IN ('faltan columnas','encabezado repetido') THEN NULL ELSE f END precio_final, motivo FROM r""")
+def _(s):
+    fine = (F.col("precio_base") > 0) & (F.col("precio_final") > 0)
+    rows = quarantine.read_all(s.spark, price_files(s), PRICES, ["precio_base"], checks={"precio no positivo": fine})
+    good, bad = quarantine.split(rows, f"{sinks.shared_dir(s.spark)}/precios-{uuid.uuid4().hex}")
+    return good.withColumn("motivo", F.lit(None).cast("string")).unionByName(bad.drop(quarantine.RAW))
+
+
+@query("a5_contract_on_write", f="valor:2", sql="""SELECT unnest(['filas','sin_cupo','sin_generico']) metrica, unnest([count(*), count(*) FILTER (cupo IS NULL), count(*) FILTER (generico IS NULL)])::DOUBLE valor FROM cupos WHERE periodo='2001-06'""")
+def _(s):
+    found = checked.write_checked(s.cupos.filter("periodo = '2001-06'"), f"{sinks.shared_dir(s.spark)}/cupos-{uuid.uuid4().hex}",
+                                  checked.contract_metrics(["cupo", "generico"]), {"con filas": lambda m: m["filas"] > 0})
+    return checked.as_rows(s.spark, found)
+
+
+@query("l3_reconciliation_on_write", f="valor:2", sql="""x AS (SELECT id_sucursal, sum(facturacion_neta-descuentos) a, sum(subtotal_neto) b FROM fv GROUP BY 1)
+SELECT unnest(['total_a','total_b','diferencia']) metrica, unnest([sum(a), sum(b), round(sum(a)-sum(b),2)]) valor FROM x""")
+def _(s):
+    df = s.ventas.groupBy("id_sucursal").agg(F.sum(F.col("facturacion_neta") - F.col("descuentos")).alias("por_partes"), F.sum("subtotal_neto").alias("neto"))
+    found = checked.write_checked(df, f"{sinks.shared_dir(s.spark)}/conciliacion-{uuid.uuid4().hex}", checked.reconcile_metrics("por_partes", "neto"),
+                                  {"concilia": lambda m: abs(m["diferencia"]) < 1.0})
+    return checked.as_rows(s.spark, found)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from retail_analytics.operators import coverage as cv, filters as fl, lookups
 from retail_analytics.functions.shape import slug, wide, yoy
 from retail_analytics.plans.registry import query
+from retail_analytics.star import enrich
 from retail_analytics.plans.sqltext import COBL, JUNE, M0, M1, cov, names, wide as W
 
 CC = "clientes_compradores"
@@ -13,11 +14,11 @@ T = (CC, "volumen_total")
 
 
 def june(s):
-    return fl.dates(s.lineas, M0, M1)
+    return fl.dates(s.lineas_cliente, M0, M1)
 
 
 def cob(s, name, a=M0, b=M1):
-    return cv.coverage_table(fl.dates(s.lineas, a, b), name)
+    return cv.coverage_table(fl.dates(s.lineas_cliente, a, b), name)
 
 
 def cob_sql(name: str, where: str) -> str:
@@ -41,7 +42,7 @@ def _c1():
 
 @query("c1_coverage_tables", f="volumen_total", sql=_c1())
 def _(s):
-    return cv.coverage_tables(s.lineas)
+    return cv.coverage_tables(s.lineas_cliente)
 
 
 GROUPS = [("Brand#1", "SABORIZADAS"), ("Brand#2", "SABORIZADAS"), ("Brand#2", "MINERAL"), ("Brand#3", "MINERAL")]
@@ -52,7 +53,7 @@ GRP_CTE = "grp AS (SELECT * FROM (VALUES ('Brand#1','SABORIZADAS'),('Brand#2','S
 {cov('periodo, id_fuerza_ventas, id_sucursal, subdivision', '(SELECT * FROM cobl JOIN grp USING (marca))')}""")
 def _(s):
     g = s.spark.createDataFrame(GROUPS, "marca string, subdivision string")
-    return cv.group_coverage(s.lineas, g, "marca", "subdivision", ["periodo", "id_fuerza_ventas", "id_sucursal"])
+    return cv.group_coverage(s.lineas_cliente, g, "marca", "subdivision", ["periodo", "id_fuerza_ventas", "id_sucursal"])
 
 
 SKUS = [(i, "SKUS A" if i % 2 else "SKUS B") for i in range(1, 60)] + [(7, "SKUS C"), (8, "SKUS C")]
@@ -63,7 +64,7 @@ SKU_CTE = "gsk AS (SELECT * FROM (VALUES " + ",".join(f"({i},'{n}')" for i, n in
 {cov('periodo, id_fuerza_ventas, id_sucursal, grupo', '(SELECT * FROM cobl JOIN gsk USING (id_articulo))')}""")
 def _(s):
     g = s.spark.createDataFrame(SKUS, "id_articulo long, grupo string")
-    return cv.group_coverage(s.lineas, g, "id_articulo", "grupo", ["periodo", "id_fuerza_ventas", "id_sucursal"])
+    return cv.group_coverage(s.lineas_cliente, g, "id_articulo", "grupo", ["periodo", "id_fuerza_ventas", "id_sucursal"])
 
 
 def _dump_sql(level: str) -> str:
@@ -169,7 +170,7 @@ YEAR = "fecha_comprobante BETWEEN '2000-07-01' AND '2001-06-30'"
 v AS (SELECT {CUT}, id_cliente, sum(q) q FROM m GROUP BY ALL HAVING count(DISTINCT marca)=2)
 SELECT {CUT}, count(*) {CC}, sum(q) volumen_total FROM v GROUP BY ALL""")
 def _(s):
-    return cv.custom_coverage(fl.dates(s.lineas, "2000-03-01", "2000-03-31"), "2000-03-01", ["Brand#1", "Brand#2"], all_brands=True)
+    return cv.custom_coverage(fl.dates(s.lineas_cliente, "2000-03-01", "2000-03-31"), "2000-03-01", ["Brand#1", "Brand#2"], all_brands=True)
 
 
 @query("c9_union_coverage", sql=f"""n AS (SELECT id_cliente, id_sucursal, sucursal, id_ruta ruta, des_personal_fv1 vendedor, sum(cantidades_total) q FROM l
@@ -235,7 +236,7 @@ MA = [*MONTHS, "acum"]
 
 
 def q2(s, keys=("marca",)):
-    return cv.client_month(fl.dates(s.lineas, "2001-04-01", M1), s.vendedor, keys=keys)
+    return cv.client_month(fl.dates(s.lineas_cliente, "2001-04-01", M1), s.vendedor, keys=keys)
 
 
 CONCEPTS = [("Brand#1", "B1", "marca"), ("Brand#2", "B2", "marca"), ("Brand#3", "B3", "marca"), ("Brand#1", "GRUPO", "grupo"),
@@ -329,7 +330,7 @@ SIZES = ["300", "473", "1000", "2250"]
 def sizes(s, a=M0, b=M1):
     n = F.col("calibre").cast("int")
     cal = F.when(n <= 10, "300").when(n <= 20, "473").when(n <= 30, "1000").when(n <= 40, "2250").otherwise("OTRO")
-    return fl.dates(s.lineas, a, b).filter("not anulado").withColumn("calibre", cal).withColumnRenamed("cantidades_total", "bultos")
+    return fl.dates(s.lineas_cliente, a, b).filter("not anulado").withColumn("calibre", cal).withColumnRenamed("cantidades_total", "bultos")
 
 
 SZ = f"sz AS (SELECT * REPLACE ({SIZE} AS calibre), cantidades_total bultos FROM l WHERE {JUNE} AND NOT anulado)"
@@ -474,7 +475,7 @@ def _(s):
 def rep_clients(s, brands):
     from retail_analytics.plans.b_filters import supervisor_map
     v = s.vendedor.select("id_vendedor", "id_sucursal", F.col("des_vendedor").alias("vendedor"))
-    df = fl.dates(s.lineas, "2001-05-01", M1).filter(F.col("marca").isin(brands))
+    df = fl.dates(s.lineas_cliente, "2001-05-01", M1).filter(F.col("marca").isin(brands))
     df = df.join(v, ["id_vendedor", "id_sucursal"]).withColumn("periodo", F.date_format("fecha_comprobante", "yyyyMM"))
     df = df.groupBy("vendedor", "id_cliente", "periodo").agg(F.sum("cantidades_total").alias("bultos"))
     return fl.with_supervisor(df, supervisor_map(s))
@@ -510,7 +511,7 @@ c AS (SELECT marca, strftime(periodo,'%Y%m') periodo, {CC} cobertura FROM {cob_s
 b AS (SELECT marca, periodo, bultos, NULL::BIGINT cobertura FROM v UNION ALL SELECT marca, periodo, NULL, cobertura FROM c)
 SELECT marca, {W('periodo', ['200105', '200106'], {'bultos': 'bultos', 'cobertura': 'cobertura'})} FROM b GROUP BY 1""")
 def _(s):
-    v = fl.dates(s.lineas, "2001-05-01", M1).filter("generico = 'PROMO' and id_sucursal = 1").groupBy(
+    v = fl.dates(s.lineas_cliente, "2001-05-01", M1).filter("generico = 'PROMO' and id_sucursal = 1").groupBy(
         "marca", F.date_format("fecha_comprobante", "yyyyMM").alias("periodo")).agg(F.sum("cantidades_total").alias("bultos"))
     c = cob(s, "cob_sucursal_marca", "2001-05-01").filter("id_fuerza_ventas = 1 and id_sucursal = 1")
     c = cv.category_brand_coverage(c, s.articulo, "PROMO").select("marca", F.date_format("periodo", "yyyyMM").alias("periodo"), F.col(CC).alias("cobertura"))
@@ -534,7 +535,7 @@ def _(s):
 
 
 def hist(s, name):
-    return cv.coverage_table(fl.dates(s.lineas, "1999-01-01", "2001-12-31"), name)
+    return cv.coverage_table(fl.dates(s.lineas_cliente, "1999-01-01", "2001-12-31"), name)
 
 
 H3 = "year(periodo) IN (1999,2000,2001)"
@@ -558,7 +559,7 @@ def _(s):
 SELECT year(periodo) anio, month(periodo) mes, id_sucursal, subdivision, sum(clientes) clientes FROM c WHERE id_fuerza_ventas=1 AND {H3} GROUP BY ALL""")
 def _(s):
     g = s.spark.createDataFrame(GROUPS, "marca string, subdivision string")
-    c = cv.group_coverage(s.lineas, g, "marca", "subdivision", ["periodo", "id_fuerza_ventas", "id_sucursal"])
+    c = cv.group_coverage(s.lineas_cliente, g, "marca", "subdivision", ["periodo", "id_fuerza_ventas", "id_sucursal"])
     return cv.yearly(c, ["id_sucursal", "subdivision"], [1999, 2000, 2001], 1)
 
 
@@ -646,7 +647,7 @@ Q40 = """q40 AS (SELECT sucursal, year(fecha_comprobante) anio, quarter(fecha_co
 
 
 def q40(s):
-    df = fl.dates(s.lineas, "2000-07-01", M1)
+    df = fl.dates(s.lineas_cliente, "2000-07-01", M1)
     return cv.quarter_clients(df, ["PROMO", "SMALL", "LARGE"], "SMALL")
 
 
@@ -729,3 +730,14 @@ def _(s):
     sv = s.vendedor.join(s.sucursal, "id_sucursal").select(F.col("des_vendedor").alias("vendedor"), F.col("zona").alias("supervisor"))
     goals = c.select("vendedor", "objetivo_label", (1 + F.length("vendedor") % 3 + F.ascii("objetivo_label") % 2).cast("double").alias("meta"))
     return cv.attainment(c.join(sv, "vendedor"), goals)
+
+
+# half of all lines belong to one client, as with counter sales: its lines meet the client table by broadcast, the others by shuffle
+@query("c1_coverage_heavy_client", f="volumen", sql="""hv AS (SELECT cantidades_total q, id_cliente, id_sucursal FROM fv UNION ALL SELECT cantidades_total, 14, (SELECT id_sucursal FROM cli WHERE id_cliente=14) FROM fv)
+SELECT des_canal_mkt, id_lista_precio, count(DISTINCT hv.id_cliente) clientes, count(*) lineas, sum(q) volumen FROM hv LEFT JOIN cli ON cli.id_cliente=hv.id_cliente AND cli.id_sucursal=hv.id_sucursal GROUP BY 1,2""")
+def _(s):
+    one = s.cliente.filter("id_cliente = 14").agg(F.max("id_sucursal")).scalar()
+    more = s.ventas.withColumns({"id_cliente": F.lit(14).cast("long"), "id_sucursal": one})
+    lines = enrich(s.ventas.unionByName(more), s.articulo, s.sucursal, s.cliente, heavy=True)
+    by_client = lines.groupBy("des_canal_mkt", "id_lista_precio", "id_cliente").agg(F.count(F.lit(1)).alias("lineas"), F.sum("cantidades_total").alias("volumen"))
+    return by_client.groupBy("des_canal_mkt", "id_lista_precio").agg(F.count("id_cliente").alias("clientes"), F.sum("lineas").alias("lineas"), F.sum("volumen").alias("volumen"))

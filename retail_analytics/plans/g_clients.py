@@ -1,7 +1,8 @@
 """G: client base."""
 from __future__ import annotations
 
-from retail_analytics.operators import clients as cl, filters as fl
+from retail_analytics.functions.grid import shared
+from retail_analytics.operators import clients as cl, cohorts, filters as fl
 from retail_analytics.plans.registry import query
 
 A12, A24, PREV, CUT = "2000-06-28", "1999-06-28", "1999-06-27", "2001-06-30"
@@ -113,7 +114,7 @@ gr AS (SELECT mes_cohorte, tamano, unnest(generate_series(0, least(date_diff('mo
 g AS (SELECT gr.mes_cohorte, gr.mes_n, tamano, coalesce(clientes,0) clientes FROM gr LEFT JOIN ed USING (mes_cohorte, mes_n))
 SELECT 'cohorte' nivel, mes_cohorte, mes_n, sum(clientes) clientes, sum(tamano) tamano, sum(clientes)/sum(tamano) retencion FROM g GROUP BY 2,3 UNION ALL SELECT 'promedio', NULL, mes_n, sum(clientes), sum(tamano), sum(clientes)/sum(tamano) FROM g GROUP BY 3""")
 def _(s):
-    return cl.retention(edges(s), CUT)
+    return cl.retention(shared(cohorts.retention_counts(lines(s), CUT, "1995-06-01")), CUT)
 
 
 BRI = LN + f""", bb AS (SELECT id_cliente, {', '.join(f"coalesce(sum({c}) FILTER (fecha_comprobante>'{A12}'),0) {n}_actual, coalesce(sum({c}) FILTER (fecha_comprobante>'{PREV}' AND fecha_comprobante<='{A12}'),0) {n}_previo" for n, c in (('neto', 'subtotal_neto'), ('bruto', 'facturacion_neta'), ('htls', 'cantidad_total_htls')))},

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retail_analytics.functions.grid import complete_grid
+from retail_analytics.functions.skew import fits_broadcast, join_heavy
 
 
 class Star:
@@ -178,19 +179,29 @@ class Star:
         """Sales lines left-joined to article, branch and client (composite key); unused columns are pruned."""
         return enrich(self.ventas, self.articulo, self.sucursal, self.cliente)
 
+    @cached_property
+    def lineas_cliente(self) -> DataFrame:
+        """``lineas`` for reports that use client columns: where the client table is too large to be broadcast, counter-sale
+        clients, which hold a large share of the lines, don't go to one task."""
+        if fits_broadcast(self.raw("customer")):
+            return self.lineas
+        return enrich(self.ventas, self.articulo, self.sucursal, self.cliente, heavy=True)
+
 
-def enrich(ventas: DataFrame, articulo: DataFrame, sucursal: DataFrame, cliente: DataFrame) -> DataFrame:
+def enrich(ventas: DataFrame, articulo: DataFrame, sucursal: DataFrame, cliente: DataFrame, heavy: bool = False) -> DataFrame:
     """Left joins of the sales lines to the three dimensions; client on the composite (id, branch) key.
 
     ``dropDuplicates`` on the client key states that it is unique: a client row cannot multiply a sale, and the
     optimiser removes the whole join (and its shuffle of the facts) where no client column is used.  Where it is
-    used, the aggregate has the partitioning and order the sort-merge join needs anyway.
+    used, the aggregate has the partitioning and order the sort-merge join needs anyway.  With ``heavy`` the lines of
+    clients that hold a large share of them are not shuffled for it.
     """
     cliente = cliente.dropDuplicates(["id_cliente", "id_sucursal"])
     cli = cliente.drop("des_sucursal").withColumnsRenamed({"id_ruta_fv1": "id_ruta", "anulado": "cliente_anulado"})
     out = (ventas.join(articulo, "id_articulo", "left")
-           .join(sucursal.withColumnRenamed("descripcion", "sucursal"), "id_sucursal", "left")
-           .join(cli, ["id_cliente", "id_sucursal"], "left"))
+           .join(sucursal.withColumnRenamed("descripcion", "sucursal"), "id_sucursal", "left"))
+    key = ["id_cliente", "id_sucursal"]
+    out = join_heavy(out, cli, key) if heavy else out.join(cli, key, "left")
     return out.withColumn("cantidad_total_htls", F.col("cantidades_total") * F.col("factor_hectolitros"))
 
 
