@@ -67,7 +67,7 @@ SEA = MS + """, tt AS (SELECT mes, generico, bultos FROM ms UNION ALL SELECT mes
 t AS (SELECT *, CASE WHEN paso>=6 AND paso<=n-7 THEN (avg(bultos) OVER (PARTITION BY generico ORDER BY paso ROWS BETWEEN 6 PRECEDING AND 5 FOLLOWING)+avg(bultos) OVER (PARTITION BY generico ORDER BY paso ROWS BETWEEN 5 PRECEDING AND 6 FOLLOWING))/2 END tr FROM mp),
 k AS (SELECT generico, month(mes) m, avg(bultos/tr) x FROM t GROUP BY 1,2), e AS (SELECT generico, m, x/avg(x) OVER (PARTITION BY generico) i FROM k), r AS (SELECT t.generico, bultos/(tr*i) res, i FROM t JOIN e ON e.generico=t.generico AND e.m=month(mes) WHERE tr IS NOT NULL),
 sg AS (SELECT generico, greatest(least(1-var_pop(res)/var_pop(res+i),1),0) fuerza_estacional, stddev_pop(res) desvio_residual FROM r GROUP BY 1),
-se AS (SELECT e.generico, (SELECT max(n) FROM t WHERE t.generico=e.generico) meses, """ + ", ".join(f"max(i) FILTER (m={k + 1}) indice_{x.lower()}" for k, x in enumerate(dm.MONTHS)) + f""", max(i) indice_pico, min(i) indice_valle, max(i)/min(i) amplitud,
+se AS (SELECT e.generico, (SELECT max(n) FROM t WHERE t.generico=e.generico) meses, (SELECT max(n) FROM t WHERE t.generico=e.generico)<24 serie_corta, """ + ", ".join(f"max(i) FILTER (m={k + 1}) indice_{x.lower()}" for k, x in enumerate(dm.MONTHS)) + f""", max(i) indice_pico, min(i) indice_valle, max(i)/min(i) amplitud,
  ({dm.MONTHS})[arg_max(m,i)] mes_pico, ({dm.MONTHS})[arg_min(m,i)] mes_valle FROM e GROUP BY 1),
 sx AS (SELECT se.*, fuerza_estacional, desvio_residual, CASE WHEN desvio_residual>0.35 THEN 'No: ruido residual' ELSE 'Si' END legible FROM se JOIN sg USING (generico))"""
 FI = " ".join(f"indice_{x.lower()}" for x in dm.MONTHS) + " indice_pico indice_valle amplitud fuerza_estacional desvio_residual"
@@ -87,7 +87,7 @@ v AS (SELECT *, indice/ir-1 variacion FROM n) SELECT generico, ir indice_referen
  WHEN variacion>=0.20 THEN 'Pico: reforzar stock y cobranza' WHEN variacion>=0.05 THEN 'Sube' WHEN variacion<=-0.20 THEN 'Valle: bajar compra' WHEN variacion<=-0.05 THEN 'Baja' ELSE 'Estable' END lectura FROM v""")
 def _(s):
     v = live(s)
-    return dm.season_alert(dm.seasonality(v), 6, v.filter("mes = '2001-06-01'").select("generico", "bultos"))
+    return dm.season_alert(dm.seasonality(v).filter("not serie_corta"), 6, v.filter("mes = '2001-06-01'").select("generico", "bultos"))
 
 
 @query("h6_forecast", f="bultos limite_inferior limite_superior mape_hw mape_naive", digits=3, sql=MS + """, tt AS (SELECT mes, generico, bultos FROM ms UNION ALL SELECT mes, 'TOTAL GENERAL', sum(bultos) FROM ms GROUP BY 1),
@@ -129,9 +129,9 @@ def _(s):
     return dm.days_without_invoice(days(s).select("fecha", "sucursal", "bultos"), s.feriados)
 
 
-SPC = DL + """, lv AS (SELECT *, ln(bultos) v FROM dd), me AS (SELECT sucursal, dia_semana, dia, count(*) observaciones, median(v) c, stddev_pop(v) sd FROM lv GROUP BY 1,2,3 HAVING count(*)>=20),
-ma AS (SELECT sucursal, dia_semana, median(abs(v-c))*1.4826 e FROM lv JOIN me USING (sucursal, dia_semana) GROUP BY 1,2), lm AS (SELECT me.*, CASE WHEN e>0 THEN e ELSE sd END sc FROM me JOIN ma USING (sucursal, dia_semana) WHERE CASE WHEN e>0 THEN e ELSE sd END>0),
-zz AS (SELECT lv.fecha, lv.sucursal, lv.dia, bultos, observaciones, exp(c) centro, exp(c-3*sc) limite_inf, exp(c+3*sc) limite_sup, (v-c)/sc z FROM lv JOIN lm USING (sucursal, dia_semana)),
+SPC = DL + """, lv AS (SELECT *, ln(bultos) v FROM dd), me AS (SELECT sucursal, dia_semana, dia, count(*) observaciones, count(*)<20 muestra_chica, CASE WHEN count(*)>=20 THEN median(v) END c, CASE WHEN count(*)>=20 THEN stddev_pop(v) END sd FROM lv GROUP BY 1,2,3),
+ma AS (SELECT sucursal, dia_semana, median(abs(v-c))*1.4826 e FROM lv JOIN me USING (sucursal, dia_semana) GROUP BY 1,2), lm AS (SELECT me.*, CASE WHEN e>0 THEN e ELSE sd END sc FROM me JOIN ma USING (sucursal, dia_semana)),
+zz AS (SELECT lv.fecha, lv.sucursal, lv.dia, bultos, observaciones, muestra_chica, exp(c) centro, exp(c-3*sc) limite_inf, exp(c+3*sc) limite_sup, CASE WHEN sc>0 THEN (v-c)/sc END z FROM lv JOIN lm USING (sucursal, dia_semana)),
 bq AS (SELECT fecha, sucursal, dia, bultos, limite_inf, limite_sup, z, CASE WHEN z>0 THEN 'Alta' ELSE 'Baja' END direccion FROM zz WHERE abs(z)>3)"""
 
 
@@ -140,7 +140,7 @@ def _(s):
     return dm.anomalies(shared(days(s)))[0]
 
 
-@query("h9_control_limits", f="centro limite_inf limite_sup", sql=SPC + " SELECT sucursal, dia, observaciones, centro, limite_inf, limite_sup, count(*) FILTER (abs(z)>3) quiebres FROM zz GROUP BY ALL")
+@query("h9_control_limits", f="centro limite_inf limite_sup", sql=SPC + " SELECT sucursal, dia, observaciones, muestra_chica, centro, limite_inf, limite_sup, count(*) FILTER (abs(z)>3) quiebres FROM zz GROUP BY ALL")
 def _(s):
     return dm.anomalies(shared(days(s)))[1]
 
