@@ -61,6 +61,11 @@ def daily_article(ventas: DataFrame, article: int, branch: int) -> DataFrame:
     return v.groupBy(F.col("fecha_comprobante").alias("fecha")).agg(F.sum(QTY).alias("bultos"))
 
 
+def daily_articles(ventas: DataFrame) -> DataFrame:
+    """Daily units of every SKU in every branch: the series that :func:`daily_article` takes one of."""
+    return ventas.groupBy("id_articulo", "id_sucursal", F.col("fecha_comprobante").alias("fecha")).agg(F.sum(QTY).alias("bultos"))
+
+
 def daily_report(series: DataFrame, days: DataFrame) -> DataFrame:
     """One row per calendar day with its units (blank when not positive), plus the TOTAL row with the days sold."""
     s = days.select("fecha").join(series, "fecha", "left").withColumn("bultos", F.when(F.col("bultos") > 0, F.col("bultos")))

@@ -59,10 +59,12 @@ def _(s):
     return universe(s)
 
 
-@query("e4_unmatched_sales", sql=SNAP + ", " + SALES + """ SELECT count(*) sin_stock, count(*) FILTER (sucursal IS NULL) sin_sucursal FROM vm
-WHERE NOT EXISTS (SELECT 1 FROM sn WHERE sn.sucursal=vm.sucursal AND sn.id_articulo=vm.id_articulo AND sn.id_articulo%7<>0)""")
+@query("e4_unmatched_sales", sql=SNAP + ", " + SALES + """, v2 AS (SELECT sucursal, id_articulo FROM vm UNION ALL SELECT CASE WHEN id_articulo%3<>0 THEN sucursal END, id_articulo+1000000 FROM vm WHERE id_articulo%7=0)
+SELECT count(*) sin_stock, count(*) FILTER (sucursal IS NULL) sin_sucursal FROM v2 WHERE NOT EXISTS (SELECT 1 FROM sn WHERE sn.sucursal=v2.sucursal AND sn.id_articulo=v2.id_articulo)""")
 def _(s):
-    return st.unmatched_sales(snap(s).filter("id_articulo % 7 <> 0"), sales(s))
+    v = sales(s)           # sales of SKUs that the stock doesn't know, some of unknown branches, are added
+    more = v.filter("id_articulo % 7 = 0").withColumns({"sucursal": F.when(F.col("id_articulo") % 3 != 0, F.col("sucursal")), "id_articulo": F.col("id_articulo") + 1_000_000})
+    return st.unmatched_sales(snap(s), v.unionByName(more))
 
 
 B3 = ["NATION_1", "NATION_2", "NATION_3"]
@@ -260,19 +262,23 @@ def _(s):
     return st.cover_summary(cover(s))
 
 
-DEAD = """as0 AS (SELECT id_articulo, sum(cant_bultos) stock_bultos, count(DISTINCT CASE WHEN cant_bultos>0 THEN id_deposito END) depositos FROM stock WHERE date_stock=(SELECT max(date_stock) FROM stock) GROUP BY 1 HAVING sum(cant_bultos)>0),
-lf AS (SELECT id_articulo, max(fecha_comprobante) ultima_venta FROM fv WHERE NOT anulado AND id_documento IN ('FCVTA','DVVTA') AND fecha_comprobante<='2001-06-30' AND id_articulo%50<>0 GROUP BY 1),
+# SKUs that were never sold are added to the stock, with known attributes
+DEAD = """st2 AS (SELECT * FROM stock UNION ALL SELECT date_stock, id_deposito, id_articulo+1000000, cant_bultos, cantidad_total_htls FROM stock WHERE id_articulo%50=0), ar2 AS (SELECT id_articulo, des_articulo, generico, marca FROM art UNION ALL SELECT id_articulo+1000000, des_articulo, generico, marca FROM art WHERE id_articulo%50=0),
+as0 AS (SELECT id_articulo, sum(cant_bultos) stock_bultos, count(DISTINCT CASE WHEN cant_bultos>0 THEN id_deposito END) depositos FROM st2 WHERE date_stock=(SELECT max(date_stock) FROM stock) GROUP BY 1 HAVING sum(cant_bultos)>0),
+lf AS (SELECT id_articulo, max(fecha_comprobante) ultima_venta FROM fv WHERE NOT anulado AND id_documento IN ('FCVTA','DVVTA') AND fecha_comprobante<='2001-06-30' GROUP BY 1),
 pp AS (SELECT id_articulo, sum(subtotal_neto)/nullif(sum(cantidades_total),0) precio_neto_medio FROM fv WHERE NOT anulado AND id_documento='FCVTA' GROUP BY 1),
 dj AS (SELECT s.*, a.des_articulo, a.generico, a.marca, ultima_venta, date_diff('day',ultima_venta,DATE '2001-06-30') dias_sin_venta, precio_neto_medio, stock_bultos*precio_neto_medio valor_neto, CASE WHEN ultima_venta IS NULL THEN 'Nunca vendido' ELSE 'Sin rotacion' END estado
- FROM as0 s LEFT JOIN art a USING (id_articulo) LEFT JOIN lf USING (id_articulo) LEFT JOIN pp USING (id_articulo) WHERE ultima_venta IS NULL OR date_diff('day',ultima_venta,DATE '2001-06-30')>90)"""
+ FROM as0 s LEFT JOIN ar2 a USING (id_articulo) LEFT JOIN lf USING (id_articulo) LEFT JOIN pp USING (id_articulo) WHERE ultima_venta IS NULL OR date_diff('day',ultima_venta,DATE '2001-06-30')>90)"""
 
 
 def dead(s, filtered):
     live = s.ventas.filter("not anulado")
-    life = live.filter("id_documento in ('FCVTA','DVVTA') and fecha_comprobante <= '2001-06-30' and id_articulo % 50 <> 0").groupBy("id_articulo").agg(F.max("fecha_comprobante").alias("ultima_venta"))
+    life = live.filter("id_documento in ('FCVTA','DVVTA') and fecha_comprobante <= '2001-06-30'").groupBy("id_articulo").agg(F.max("fecha_comprobante").alias("ultima_venta"))
     price = live.filter("id_documento = 'FCVTA'").groupBy("id_articulo").agg(
         F.try_divide(F.sum("subtotal_neto"), F.sum("cantidades_total")).alias("precio_neto_medio"))
-    return st.dead_stock(st.article_stock(s.stock), life, s.articulo, price, "2001-06-30", ["LARGE"], filtered=filtered)
+    def with_unsold(df):
+        return df.unionByName(df.filter("id_articulo % 50 = 0").withColumn("id_articulo", F.col("id_articulo") + 1_000_000))
+    return st.dead_stock(st.article_stock(with_unsold(s.stock)), life, with_unsold(s.articulo), price, "2001-06-30", ["LARGE"], filtered=filtered)
 
 
 @query("e18_dead_stock", f="stock_bultos precio_neto_medio valor_neto", sql=DEAD + " SELECT * FROM dj WHERE generico IS NOT NULL AND generico<>'LARGE'")

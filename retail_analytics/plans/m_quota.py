@@ -70,9 +70,9 @@ def _(s):
     return qt.split_floor(cov_base(s), ["id_sucursal"], "total", "peso", ["id_ruta"], 3.0)
 
 
-# route x brand of two branches; blocks are halves of the brands
-BLK = f"""rt AS (SELECT DISTINCT id_sucursal zona, id_ruta ruta FROM rutas WHERE id_sucursal IN (1,2)), lb AS (SELECT DISTINCT CASE WHEN length(marca)=7 THEN 'CORTO' ELSE 'LARGO' END bloque, marca etiqueta FROM art UNION ALL SELECT 'LARGO','MARCA NUEVA' UNION ALL SELECT 'NUEVO','X1' UNION ALL SELECT 'NUEVO','X2'),
-hi AS (SELECT id_sucursal zona, id_ruta ruta, marca etiqueta, sum(cantidades_total) qty FROM l WHERE {MAY} GROUP BY 1,2,3), qb AS (SELECT zona, bloque, 1000.0::DOUBLE+zona*10 cupo_bloque FROM (SELECT DISTINCT zona FROM rt) CROSS JOIN (SELECT DISTINCT bloque FROM lb)),
+# route x brand of all branches; blocks are halves of the brands
+BLK = f"""rt AS (SELECT DISTINCT id_sucursal zona, id_ruta ruta FROM rutas), lb AS (SELECT DISTINCT CASE WHEN length(marca)=7 THEN 'CORTO' ELSE 'LARGO' END bloque, marca etiqueta FROM art UNION ALL SELECT 'LARGO','MARCA NUEVA' UNION ALL SELECT 'NUEVO','X1' UNION ALL SELECT 'NUEVO','X2'),
+hi AS (SELECT id_sucursal zona, id_ruta ruta, marca etiqueta, sum(cantidades_total) qty FROM l WHERE {MAY} GROUP BY 1,2,3), qb AS (SELECT zona, bloque, 1001.01::DOUBLE+zona*3.37::DOUBLE cupo_bloque FROM (SELECT DISTINCT zona FROM rt) CROSS JOIN (SELECT DISTINCT bloque FROM lb)),
 g AS (SELECT rt.zona, rt.ruta, lb.bloque, lb.etiqueta, cupo_bloque, coalesce(qty,0) qty FROM rt CROSS JOIN lb JOIN qb ON qb.zona=rt.zona AND qb.bloque=lb.bloque LEFT JOIN hi ON hi.zona=rt.zona AND hi.ruta=rt.ruta AND hi.etiqueta=lb.etiqueta),
 v AS (SELECT zona, bloque, etiqueta, sum(qty)>0 viva FROM g GROUP BY 1,2,3), mm AS (SELECT zona, bloque, count(*) n, count(*) FILTER (NOT viva) m FROM v GROUP BY 1,2),
 p AS (SELECT g.*, viva, m, n, CASE WHEN m=n OR m=0 THEN 0 WHEN round(cupo_bloque*0.0015,2)*m>cupo_bloque*0.25 THEN round(cupo_bloque*0.25/m,2) ELSE round(cupo_bloque*0.0015,2) END piso, sum(CASE WHEN viva THEN qty ELSE 0 END) OVER (PARTITION BY zona, bloque, ruta) pr FROM g JOIN v USING (zona, bloque, etiqueta) JOIN mm USING (zona, bloque)),
@@ -80,11 +80,11 @@ pl AS (SELECT *, round(cupo_bloque-piso*m,2) resto, CASE WHEN m=n THEN 0 ELSE qt
 
 
 def blocks(s):
-    r = s.cliente.filter("id_ruta_fv1 is not null and id_sucursal in (1, 2)").select(F.col("id_sucursal").alias("zona"), F.col("id_ruta_fv1").alias("ruta")).distinct()
+    r = s.cliente.filter("id_ruta_fv1 is not null").select(F.col("id_sucursal").alias("zona"), F.col("id_ruta_fv1").alias("ruta")).distinct()
     lab = s.articulo.select(F.when(F.length("marca") == 7, "CORTO").otherwise("LARGO").alias("bloque"), F.col("marca").alias("etiqueta")).distinct()
     lab = lab.unionByName(s.spark.createDataFrame([("LARGO", "MARCA NUEVA"), ("NUEVO", "X1"), ("NUEVO", "X2")], "bloque string, etiqueta string"))
     h = may(s).groupBy(F.col("id_sucursal").alias("zona"), F.col("id_ruta").alias("ruta"), F.col("marca").alias("etiqueta")).agg(F.sum("cantidades_total").alias("qty"))
-    q = r.select("zona").distinct().withColumn("bloque", F.explode(F.array(F.lit("CORTO"), F.lit("LARGO"), F.lit("NUEVO")))).withColumn("cupo_bloque", 1000.0 + F.col("zona") * 10)
+    q = r.select("zona").distinct().withColumn("bloque", F.explode(F.array(F.lit("CORTO"), F.lit("LARGO"), F.lit("NUEVO")))).withColumn("cupo_bloque", 1001.01 + F.col("zona") * 3.37)
     return qt.split_block(r, lab, h, q)
 
 
@@ -193,7 +193,9 @@ def _(s):
     return qt.closure(rows, rep_quotas(s), ["id_vendedor", "id_sucursal", "categoria"], "cupo", "cupo_vendedor")
 
 
-LEA = f"""le AS (SELECT id_sucursal, preventista, generico categoria, sum(coalesce(cupo,0)) cupo FROM cupos WHERE periodo='2001-06' GROUP BY 1,2,3), al AS (SELECT DISTINCT id_sucursal, des_personal_fv1 preventista FROM cli WHERE NOT anulado AND id_ruta_fv1 IS NOT NULL AND id_personal_fv1%3<>0 AND id_sucursal<>5),
+# each branch gets a rep who left, and one branch has only such reps
+LEA = f"""l0 AS (SELECT id_sucursal, preventista, generico categoria, sum(coalesce(cupo,0)) cupo FROM cupos WHERE periodo='2001-06' GROUP BY 1,2,3), le AS (SELECT * FROM l0 UNION ALL SELECT id_sucursal, 'BAJA '||id_sucursal, categoria, 0.1*sum(cupo) FROM l0 GROUP BY 1,3 UNION ALL SELECT 999, preventista, categoria, cupo FROM l0 WHERE id_sucursal=5),
+al AS (SELECT DISTINCT id_sucursal, des_personal_fv1 preventista FROM cli WHERE NOT anulado AND id_ruta_fv1 IS NOT NULL),
 we AS (SELECT id_sucursal, des_personal_fv1 preventista, generico categoria, sum(cantidades_total) qty FROM l WHERE {MAY} GROUP BY 1,2,3), lt AS (SELECT id_sucursal, categoria, round(sum(cupo),2) t FROM le GROUP BY 1,2),
 lj AS (SELECT al.id_sucursal, al.preventista, lt.categoria, t, coalesce(qty,0) qty FROM al JOIN lt USING (id_sucursal) LEFT JOIN we ON we.id_sucursal=al.id_sucursal AND we.preventista=al.preventista AND we.categoria=lt.categoria)"""
 
@@ -201,7 +203,9 @@ lj AS (SELECT al.id_sucursal, al.preventista, lt.categoria, t, coalesce(qty,0) q
 @query("m12_redistribute_leavers", f="cupo", sql=LEA + f" SELECT id_sucursal, preventista, categoria, cupo FROM {large_sql('lj', 'id_sucursal, categoria', ['preventista'], 't')} UNION ALL SELECT id_sucursal, preventista, categoria, cupo FROM le WHERE id_sucursal NOT IN (SELECT id_sucursal FROM al)")
 def _(s):
     q = s.cupos.filter("periodo = '2001-06'").groupBy("id_sucursal", "preventista", F.col("generico").alias("categoria")).agg(F.sum(F.coalesce("cupo", F.lit(0.0))).alias("cupo"))
-    alive = s.cliente.filter("not anulado and id_ruta_fv1 is not null and id_personal_fv1 % 3 <> 0 and id_sucursal <> 5").select("id_sucursal", F.col("des_personal_fv1").alias("preventista")).distinct()
+    left = q.groupBy("id_sucursal", F.concat(F.lit("BAJA "), "id_sucursal").alias("preventista"), "categoria").agg((F.sum("cupo") * 0.1).alias("cupo"))
+    q = q.unionByName(left).unionByName(q.filter("id_sucursal = 5").withColumn("id_sucursal", F.lit(999).cast("long")))
+    alive = s.cliente.filter("not anulado and id_ruta_fv1 is not null").select("id_sucursal", F.col("des_personal_fv1").alias("preventista")).distinct()
     w = may(s).groupBy("id_sucursal", F.col("des_personal_fv1").alias("preventista"), F.col("generico").alias("categoria")).agg(F.sum("cantidades_total").alias("qty"))
     return qt.redistribute_leavers(q, alive, w)
 

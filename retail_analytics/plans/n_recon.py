@@ -71,14 +71,16 @@ def promo(s):
 
 
 def enriched(s):
-    li = lines(s)
-    sup = s.sucursal.filter("id_sucursal % 3 <> 0").select(F.when(F.col("id_sucursal") % 2 == 0, F.concat("id_sucursal", F.lit(" - "), "descripcion"))
+    """Lines of clients that no branch knows are added to the promo lines."""
+    li, p = lines(s), promo(s)
+    unknown = p.filter(F.col("`Cod. Cliente`").cast("long") % 19 == 0).withColumn("Cod. Cliente", (F.col("`Cod. Cliente`").cast("long") + 10_000_000).cast("string"))
+    sup = s.sucursal.select(F.when(F.col("id_sucursal") % 2 == 0, F.concat("id_sucursal", F.lit(" - "), "descripcion"))
                                                           .otherwise(F.col("descripcion")).alias("clave"), "zona")
-    return rc.enrich(promo(s), rc.client_branch(s.cliente.filter("id_cliente % 19 <> 0")), rc.collapse(li, rc.TERNA), sup, rc.document_price(li))
+    return rc.enrich(p.unionByName(unknown), rc.client_branch(s.cliente), rc.collapse(li, rc.TERNA), sup, rc.document_price(li))
 
 
-EN = TE + ", " + DP + ", " + PROMO_CTE + """, w2 AS (SELECT * REPLACE (CASE WHEN "Cantidad Sin Cargo"=0 THEN "Descuento %" END AS "Descuento %") FROM prl),
-c5 AS (SELECT id_cliente, id_sucursal||' - '||des_sucursal suc FROM cli WHERE NOT anulado AND id_cliente%19<>0), sv AS (SELECT id_sucursal||' - '||descripcion lab, CASE WHEN id_sucursal%3<>0 THEN zona END zona FROM suc),
+EN = TE + ", " + DP + ", " + PROMO_CTE + """, w1 AS (SELECT * FROM prl UNION ALL SELECT * REPLACE (("Cod. Cliente"::BIGINT+10000000)::VARCHAR AS "Cod. Cliente") FROM prl WHERE "Cod. Cliente"::BIGINT%19=0), w2 AS (SELECT * REPLACE (CASE WHEN "Cantidad Sin Cargo"=0 THEN "Descuento %" END AS "Descuento %") FROM w1),
+c5 AS (SELECT id_cliente, id_sucursal||' - '||des_sucursal suc FROM cli WHERE NOT anulado), sv AS (SELECT id_sucursal||' - '||descripcion lab, zona FROM suc),
 en0 AS (SELECT w2.*, c5.suc "SUCURSAL", w2."Fecha"||"Cod. Cliente"||"Artículo Distribuidora" "CONCAT", te.precio "PRECIO FINAL", dp.precio_comprobante "PRECIO COMPROBANTE", sv.zona "ZONA",
  CASE WHEN contains("Descripción Acción",'MVB') THEN 'MVB' WHEN contains("Descripción Acción",'(ESC.)') THEN 'ESC' WHEN contains("Descripción Acción",'EXTRA TASA') THEN 'EXTRA TASA' ELSE 'OTRAS' END mvb, w2."Cantidad"*te.precio "Total2",
  w2."Cantidad"*te.precio*(coalesce(w2."Descuento %",0)/100.0::DOUBLE)+w2."Cantidad Sin Cargo"*te.precio "Descuento", CASE WHEN w2."Descuento %" IS NULL THEN 'SIN CARGO' ELSE 'Descuentos' END "Tipo Descuento"
