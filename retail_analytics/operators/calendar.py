@@ -9,6 +9,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from retail_analytics.functions.grid import complete_grid
+
 
 def days(spark: SparkSession, desde: str, hasta: str, holidays: DataFrame) -> DataFrame:
     """One row per day of the range with the working-day flag (Monday to Saturday, no holiday)."""
@@ -26,13 +28,50 @@ def month_calendar(spark: SparkSession, desde: str, hasta: str, holidays: DataFr
                  F.count_if(F.col("habil") & (F.col("fecha") <= F.lit(as_of).cast("date"))).alias("dias_transcurridos")))
 
 
+def working_ranks(spark: SparkSession, desde: str, hasta: str, holidays: DataFrame, places: DataFrame | None = None, key: str = "id_sucursal") -> DataFrame:
+    """(inicio, rangos), or one such row per ``key`` of ``places``: ``rangos[i]`` is the number of working days up to day i after
+    ``inicio``, the day before ``desde``, so the working days between two dates are two lookups.
+
+    ``holidays`` has the days of everybody, and days of one place where it has the column ``key`` with a value.  The arrays
+    are bounded by the calendar and the places; they travel with the rows instead of a join with the days.
+    """
+    one = spark.sql(f"SELECT explode(sequence(DATE'{desde}', DATE'{hasta}')) AS fecha")
+    own = key in holidays.columns
+    common = (holidays.filter(F.col(key).isNull()) if own else holidays).select("fecha").distinct().withColumn("_f", F.lit(True))
+    d = one.join(common, "fecha", "left").withColumn("_w", (F.dayofweek("fecha") != 1) & F.col("_f").isNull())
+    by = []
+    if places is not None:
+        by = [key]
+        d = complete_grid(places.select(key).distinct(), d.select("fecha", "_w"))
+        if own:
+            d = d.join(holidays.filter(F.col(key).isNotNull()).select(key, "fecha").distinct().withColumn("_h", F.lit(True)), [key, "fecha"], "left")
+            d = d.withColumn("_w", F.col("_w") & F.col("_h").isNull())
+    flags = d.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("fecha", "_w"))), lambda x: x["_w"].cast("int")).alias("_d"))
+    sums = F.aggregate("_d", F.array(F.lit(0)), lambda s, w: F.concat(s, F.array(F.element_at(s, -1) + w)))
+    return flags.select(*by, F.date_sub(F.lit(desde).cast("date"), 1).alias("inicio"), sums.alias("rangos"))
+
+
+def rank_of(day: Column) -> Column:
+    """Working days up to ``day``, from the columns of :func:`working_ranks`; days outside count as its ends."""
+    i = F.datediff(day, F.col("inicio"))
+    return F.get("rangos", F.greatest(F.least(i, F.size("rangos") - 1), F.lit(0)))
+
+
+def working_days_between(a: Column, b: Column) -> Column:
+    """Working days after ``a`` up to ``b`` inclusive; negative when ``b`` is before ``a``."""
+    return rank_of(b) - rank_of(a)
+
+
 def run_rate(spark: SparkSession, desde: str, hasta: str, holidays: DataFrame, as_of: str) -> DataFrame:
     """One row: working days of the month of ``hasta``, elapsed inside the window, missing, and the factor."""
     m0, m1 = whole_month(date.fromisoformat(hasta))
-    cut = min(as_of, hasta)
-    seen = F.col("habil") & F.col("fecha").between(F.lit(desde).cast("date"), F.lit(cut).cast("date"))
-    return (days(spark, str(m0), str(m1), holidays)
-            .agg(F.count_if("habil").alias("dias_habiles"), F.count_if(seen).alias("dias_transcurridos"))
+
+    def before(d: date) -> Column:
+        return F.lit(str(d - timedelta(days=1))).cast("date")
+    first = max(date.fromisoformat(desde), m0)
+    seen = working_days_between(before(first), F.greatest(F.lit(min(as_of, hasta)).cast("date"), before(first)))
+    return (working_ranks(spark, str(m0), str(m1), holidays)
+            .select(working_days_between(before(m0), F.lit(str(m1)).cast("date")).cast("long").alias("dias_habiles"), seen.cast("long").alias("dias_transcurridos"))
             .withColumn("dias_faltantes", F.col("dias_habiles") - F.col("dias_transcurridos"))
             .withColumn("factor", F.coalesce(F.try_divide(F.col("dias_habiles").cast("double"),
                                                           F.col("dias_transcurridos").cast("double")), F.lit(1.0))))

@@ -117,3 +117,17 @@ def _(s):
     days = cal.display_days(date(2001, 6, 1), date(2001, 6, 30), date(2001, 6, 18))
     return (s.ventas.filter(F.col("fecha_comprobante").isin(list(days)))
             .groupBy(F.col("fecha_comprobante").alias("fecha")).agg(F.sum("cantidades_total").alias("cantidad")))
+
+
+# branches of a fifth have a holiday of their own; the gap of a line is the working days from its order to its delivery
+@query("c0b_delivery_gaps", i="dias lineas", sql="""b AS (SELECT id_sucursal, unnest(generate_series(DATE '1994-12-01', DATE '2002-03-01', INTERVAL 1 DAY))::DATE fecha FROM suc),
+w AS (SELECT * FROM b WHERE dayofweek(fecha)<>0 AND fecha NOT IN (SELECT fecha FROM feriados) AND NOT (id_sucursal%5=0 AND fecha=DATE '2001-06-21')),
+r AS (SELECT b.*, count(w.fecha) OVER (PARTITION BY b.id_sucursal ORDER BY b.fecha) n FROM b LEFT JOIN w USING (id_sucursal, fecha))
+SELECT f.id_sucursal, e.n-p.n dias, count(*) lineas FROM fv f JOIN r p ON p.id_sucursal=f.id_sucursal AND p.fecha=f.fecha_pedido JOIN r e ON e.id_sucursal=f.id_sucursal AND e.fecha=f.fecha_entrega GROUP BY 1,2""")
+def _(s):
+    own = s.sucursal.filter("id_sucursal % 5 = 0").select("id_sucursal", F.lit("2001-06-21").cast("date").alias("fecha"))
+    holidays = s.feriados.select(F.lit(None).cast("long").alias("id_sucursal"), "fecha").unionByName(own)
+    ranks = cal.working_ranks(s.spark, "1994-12-01", "2002-03-01", holidays, s.sucursal)
+    # one row per branch: a dimension
+    gaps = s.ventas.select("id_sucursal", "fecha_pedido", "fecha_entrega").join(F.broadcast(ranks), "id_sucursal")
+    return gaps.groupBy("id_sucursal", cal.working_days_between(F.col("fecha_pedido"), F.col("fecha_entrega")).alias("dias")).agg(F.count(F.lit(1)).alias("lineas"))

@@ -164,3 +164,38 @@ def test_order_stats_against_numpy(spark):
     e = np.repeat([r[1] for r in rows], [r[2] for r in rows])
     all_ = ordered.order_stats(df, "v", {"p1": .01, "p99": .99}, weight="w", deviation="mad").first()
     assert abs(all_.p1 - np.percentile(e, 1)) < 1e-9 and abs(all_.mad - np.median(np.abs(e - np.median(e)))) < 1e-9
+
+
+def test_pairs_are_counted_vertically(spark, monkeypatch):
+    from itertools import permutations
+    from retail_analytics.operators import stats
+    rnd = random.Random(6)
+    rows = [(g, b, f"i{rnd.randint(0, 12)}") for g in ("x", None) for b in range(400) for _ in range(rnd.randint(1, 6))]
+    df = spark.createDataFrame(rows, "g string, b long, item string").distinct()
+    want = {}
+    for g, b in {r[:2] for r in rows}:
+        for p in permutations(sorted({r[2] for r in rows if r[:2] == (g, b)}), 2):
+            want[(g, *p)] = want.get((g, *p), 0) + 1
+    for fit in (20_000, 30):                              # one bucket, then many
+        monkeypatch.setattr(stats, "BASKETS", fit)
+        assert {(r.g, r.a, r.b): r.baskets for r in stats.pair_supports(df, ["g"], "b", "item").collect()} == want
+    # one basket of 5,000 items: bits, not 25 million pairs
+    big = spark.range(5000).select(F.lit("x").alias("g"), F.lit(-1).cast("long").alias("b"), F.concat(F.lit("r"), "id").alias("item"))
+    rules = stats.association_rules(df.filter("g = 'x'").unionByName(big), ["g"], "b", "item", 0.05, 0.0)
+    assert rules.count() == len([k for k, n in want.items() if k[0] == "x" and n >= 0.05 * 401])
+
+
+def test_working_day_ranks(spark):
+    from retail_analytics.operators import calendar as cal
+    holidays = spark.sql("SELECT CAST(NULL AS BIGINT) id_sucursal, DATE'2001-06-20' fecha UNION ALL SELECT 2, DATE'2001-06-21'")
+    ranks = cal.working_ranks(spark, "2001-06-01", "2001-06-30", holidays, spark.range(1, 3).select(F.col("id").alias("id_sucursal")))
+    pairs = [("2001-05-31", "2001-06-30"), ("2001-06-19", "2001-06-22"), ("2001-06-22", "2001-06-19"), ("2001-06-16", "2001-06-17"), ("2001-01-01", "2002-01-01")]
+    d = ranks.join(spark.createDataFrame(pairs, "a string, b string"))
+    got = {(r.id_sucursal, r.a, r.b): r.n for r in d.withColumn("n", cal.working_days_between(F.col("a").cast("date"), F.col("b").cast("date"))).collect()}
+    off = {1: {datetime.date(2001, 6, 20)}, 2: {datetime.date(2001, 6, 20), datetime.date(2001, 6, 21)}}
+    days = [datetime.date(2001, 6, k) for k in range(1, 31)]
+    for k in (1, 2):
+        for a, b in pairs:
+            x, y = datetime.date.fromisoformat(a), datetime.date.fromisoformat(b)
+            n = sum(cal.is_working(d, off[k]) and min(x, y) < d <= max(x, y) for d in days)
+            assert got[(k, a, b)] == (n if x <= y else -n)
