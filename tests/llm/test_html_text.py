@@ -61,3 +61,35 @@ def test_nulls_repeats_and_empty_tables(spark):
     got = sorted((str(r.page_id), r.text, r.n_chars) for r in html_text.extract(df).collect())
     assert got == [("1", "", 0), ("1", "a", 1), ("1", "a", 1), ("None", "", 0)]
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_nothing_is_lost_behind_broken_elements():
+    assert text("<main><p>Hello world text one</p><svg/><p>more text after</p></main>") == "Hello world text one more text after"
+    assert text('<main><p>One <object data="x"/> two</p><p>three</p></main>') == "One two three"
+    assert text("<article><p>One <button>Click<p>two</p><p>three <button>x</button> four</p></article>") == "One two three four"
+    assert text("<article><p>a<svg><text>icon</text></svg>b</p><noscript><p>no</p></noscript><p>c</p></article>") == "ab c"
+    assert text("<article><div><template><div>t</div><p>u</p></div><p>v</p></article><template></template>") == "v"
+    assert text("<article><p>x</p><textarea>never closed<p>y</p></article>") == "x never closed y"
+    assert text("<article><p>x</p><title>T</title><iframe>f</iframe><p>y</p></article>") == "x y"
+
+
+def test_attributes():
+    assert text("<article><p title=it's>one</p><p title='a>b' data-x=\"c>d\">two</p><p class=>three</p><p title=\"open>four</p></article>") == "one two three four"
+    assert text("<article><p>x</p><p class='promo-code'>y</p><h2 id=related>z</h2><p>w</p></article>") == "x w"
+    words = "plain words of a long paragraph that goes on and on " * 6
+    assert text(f"<article><p>{words}</p><p class='section-header'>{words}</p><p>{words}</p></article>") == " ".join((words * 3).split())
+    links = "<li><a href='/x'>one link</a></li>" * 5
+    assert text(f"<article><p>{words}</p><ul>{links}</ul><p>{words}</p></article>").count("one link") <= 2
+    assert text(f"<article><p>{words}</p><p><a href='/x'>one link</a></p><p>{words}</p></article>").count("one link") == 1
+
+
+def test_the_tree_uses_every_kind_of_feature():
+    used = set()
+
+    def walk(t):
+        if isinstance(t, dict):
+            used.add(html_text.FEATURES[t["by"]])
+            walk(t["low"]), walk(t["high"])
+    walk(TREE)
+    assert {"words", "link_density", "in_article", "in_other", "hinted"} <= used
+    assert used & {"words_before", "density_before"} and used & {"words_after", "density_after"}
