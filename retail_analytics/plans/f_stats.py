@@ -165,7 +165,7 @@ def margins(s):
     return v.groupBy("id_sucursal", F.greatest(F.lit(-2.0), F.least(F.lit(2.0), m)).alias("m")).agg(F.count(F.lit(1)).alias("w"))
 
 
-@query("f15_weighted_percentiles", f="p05 p50 p95", sql=MG + " SELECT id_sucursal, quantile_cont(m,0.05) p05, quantile_cont(m,0.5) p50, quantile_cont(m,0.95) p95 FROM ex GROUP BY 1")
+@query("f15_weighted_percentiles", f="p05:6 p50:6 p95:6", sql=MG + " SELECT id_sucursal, quantile_cont(m,0.05) p05, quantile_cont(m,0.5) p50, quantile_cont(m,0.95) p95 FROM ex GROUP BY 1")
 def _(s):
     return ordered.quantiles(shared(margins(s)), "m", {"p05": .05, "p50": .5, "p95": .95}, ["id_sucursal"], "w")
 
