@@ -1,11 +1,14 @@
 """C: coverage."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from retail_analytics.operators import coverage as cv, filters as fl, lookups
 from retail_analytics.functions.shape import slug, wide, yoy
 from retail_analytics.plans.registry import query
+from retail_analytics.sources import layout, sinks
 from retail_analytics.star import enrich
 from retail_analytics.plans.sqltext import COBL, JUNE, M0, M1, cov, names, wide as W
 
@@ -741,3 +744,13 @@ def _(s):
     lines = enrich(s.ventas.unionByName(more), s.articulo, s.sucursal, s.cliente, heavy=True)
     by_client = lines.groupBy("des_canal_mkt", "id_lista_precio", "id_cliente").agg(F.count(F.lit(1)).alias("lineas"), F.sum("cantidades_total").alias("volumen"))
     return by_client.groupBy("des_canal_mkt", "id_lista_precio").agg(F.count("id_cliente").alias("clientes"), F.sum("lineas").alias("lineas"), F.sum("volumen").alias("volumen"))
+
+
+@query("c7_stored_layout_coverage", f="volumen", sql="""pc AS (SELECT id_cliente, id_sucursal, generico, sum(cantidades_total) q FROM l WHERE strftime(fecha_comprobante,'%Y-%m') IN ('2001-05','2001-06') GROUP BY ALL HAVING sum(cantidades_total)>0)
+SELECT id_sucursal, generico, count(*) clientes, sum(q) volumen FROM pc GROUP BY 1,2""")
+def _(s):
+    """The lines are stored by month and client bucket first, then two months of them are read."""
+    name = f"lineas_{uuid.uuid4().hex}"
+    lines = s.lineas.select("id_cliente", "id_sucursal", "generico", "fecha_comprobante", "cantidades_total")
+    stored = layout.store_lines(lines, name, f"{sinks.shared_dir(s.spark)}/{name}")
+    return layout.buyers(stored, ["2001-05", "2001-06"], ["id_sucursal", "generico"])

@@ -199,3 +199,25 @@ def test_working_day_ranks(spark):
             x, y = datetime.date.fromisoformat(a), datetime.date.fromisoformat(b)
             n = sum(cal.is_working(d, off[k]) and min(x, y) < d <= max(x, y) for d in days)
             assert got[(k, a, b)] == (n if x <= y else -n)
+
+
+def test_stored_layout_needs_no_shuffle_on_the_client(spark, no_broadcast, tmp_path):
+    import uuid
+    from retail_analytics.sources import layout
+    rnd = random.Random(8)
+    rows = [(rnd.randint(0, 300), rnd.choice("ab"), datetime.date(2001, rnd.randint(1, 6), 3), float(rnd.randint(-2, 5))) for _ in range(5000)]
+    names = [f"t_{uuid.uuid4().hex}" for _ in range(2)]
+    lines = layout.store_lines(spark.createDataFrame(rows, "id_cliente long, generico string, fecha_comprobante date, cantidades_total double"), names[0], f"{tmp_path}/l", 8)
+    clients = layout.store_clients(spark.range(301).select(F.col("id").alias("id_cliente"), (F.col("id") % 5).alias("zona")), names[1], f"{tmp_path}/c", 8)
+    got = layout.buyers(lines, ["2001-02", "2001-03"], ["generico"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert " IN (2001-02,2001-03)" in plan.split("PartitionFilters: [")[1] and "hashpartitioning(id_cliente" not in plan and plan.count("Exchange hashpartitioning") == 1
+    want = {}
+    for c, g, d, q in rows:
+        if d.month in (2, 3):
+            want[(g, c)] = want.get((g, c), 0) + q
+    assert {(r.generico, r.clientes, r.volumen) for r in got.collect()} == {
+        (g, sum(k[0] == g and q > 0 for k, q in want.items()), sum(q for k, q in want.items() if k[0] == g and q > 0)) for g in "ab"}
+    joined = lines.join(clients, "id_cliente").select("id_cliente", "zona", "cantidades_total")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 5000
+    layout.drop(spark, *names)
