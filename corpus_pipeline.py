@@ -48,7 +48,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the perplexity bands reject go."""
+    """Documents that the base rules or the perplexity bands reject go.  A null or empty text has too few words and goes; a null
+    language has a band of its own; repeated rows share their fate; an empty table stays empty."""
     gone = quality(docs).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text"))
     return without(docs, gone)
 
@@ -67,7 +68,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The text becomes the words left, n_chars its length; no document goes."""
+    """The text becomes the words left, joined by one space, n_chars its length; no document goes.  A null or empty text becomes
+    empty; of equal windows the one in the smallest doc_id stays, null ids are later than all others, and rows that share an
+    id are judged by smaller ids and themselves; an empty table stays empty."""
     others = {f"other_{i}": c for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}       # names that can't clash
     out = substring_dedup(docs.select("doc_id", "text", *(docs[c].alias(k) for k, c in others.items())), keep=list(others))
     now = {"doc_id": F.col("doc_id"), "text": F.col("kept")} | {c: F.col(k) for k, c in others.items()}
@@ -77,13 +80,15 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of a benchmark item go."""
+    """Documents with a window of a benchmark item go, each row by its own text.  A null or empty text has no window and stays;
+    without benchmark items all stay; an empty table stays empty."""
     found = decontaminate(docs.select(row_key(docs).alias("key"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="key")
     return without(docs, found.where("n_hit > 0").select(F.col("doc_id").alias("gone_key")).distinct())
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the decoded bytes."""
+    """doc_id, n_tokens and the digests of the ids and of the decoded bytes, a row for each row.  A null or empty text has no
+    tokens and the digests of nothing; an empty table gives no rows."""
     import public_tokenizers
     return bpe.digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
