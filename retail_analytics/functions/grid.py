@@ -35,8 +35,16 @@ def shared(df: DataFrame) -> DataFrame:
     return df
 
 
+_DUE: list[DataFrame] = []
+
+
 def released(build: Callable[[], DataFrame]) -> DataFrame:
-    """The frame that ``build`` makes; what it shares leaves the storage when the caller lets go of the frame."""
+    """The frame that ``build`` makes.  What it shares leaves the storage when the next frame is built after the caller has let go
+    of this one: frames that the caller has derived from it in between still find it."""
+    while _DUE:
+        df = _DUE.pop()
+        if df.sparkSession.sparkContext._jsc is not None:           # its session may have ended
+            df.unpersist()
     token = _HELD.set([])
     try:
         out = build()
@@ -44,16 +52,10 @@ def released(build: Callable[[], DataFrame]) -> DataFrame:
     finally:
         _HELD.reset(token)
     if held:
-        weakref.finalize(out, _release, held).atexit = False
+        weakref.finalize(out, _DUE.extend, held).atexit = False
     return out
 
 
-def _release(held: list[DataFrame]) -> None:
-    for df in held:
-        if df.sparkSession.sparkContext._jsc is not None:           # the session may have ended first
-            df.unpersist()
-
-
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row aggregate to every row (uncorrelated scalar subquery, no join)."""
     packed = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()

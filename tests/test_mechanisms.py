@@ -221,3 +221,16 @@ def test_stored_layout_needs_no_shuffle_on_the_client(spark, no_broadcast, tmp_p
     joined = lines.join(clients, "id_cliente").select("id_cliente", "zona", "cantidades_total")
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 5000
     layout.drop(spark, *names)
+
+
+def test_shared_frames_leave_the_storage(spark):
+    import gc
+    from retail_analytics.plans import load_all
+    run, rdds = load_all()["f16_weighted_mad"].run, spark.sparkContext._jsc.getPersistentRDDs
+    gc.collect()
+    run(spark, "/root/testdata/sf0.001").select("mad").count()                    # the derived frame outlives the first one
+    assert len(rdds()) > 0
+    before = set(rdds())
+    gc.collect()
+    df = run(spark, "/root/testdata/sf0.001")
+    assert not before & set(rdds()) and df.count() == 25
