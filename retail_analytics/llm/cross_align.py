@@ -18,14 +18,45 @@ from .common import cut, pick, written
 from .token_count import byte_symbols
 
 MAX_BROADCAST_PAIRS = 1_000_000       # id pairs with their counts that are broadcast (about 40 bytes each); more are shuffled
-SEGMENT = 1 << 16                     # a longer text is cut at seams, for bounded memory; the ids stay the same
+SEGMENT = 1 << 16                     # a longer text is taken in parts cut at seams, for bounded memory
 BLOCK = 1 << 18                       # characters that are tokenised and aligned at a time
-SEAM = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")       # a token ends before such a space in both vocabularies
+UNITS = 1 << 19                       # aligned units that a worker remembers
 MEASURES = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
+def solid(c: str) -> bool:
+    """A character that no tokenizer takes for white space."""
+    return "!" <= c <= "~" or c.isalpha()
+
+
+def units_of(text: str) -> list[str]:
+    """The text cut at its seams, the seams' spaces left out.  A seam is a single space between two solid characters: a token of
+    either side ends before it, so units are tokenised and aligned each on its own."""
+    words = text.split(" ")
+    out, first = [], 0
+    for k in range(1, len(words)):
+        if words[k - 1] and words[k] and solid(words[k - 1][-1]) and solid(words[k][0]):
+            out.append(words[first] if first == k - 1 else " ".join(words[first:k]))
+            first = k
+    out.append(words[first] if first == len(words) - 1 else " ".join(words[first:]))
+    return out
+
+
+SEAM = re.compile(r"(?<=[!-~]) (?=[!-~])")
+
+
+def segments(text: str) -> list[str]:
+    """A long text cut at seams into parts of about ``SEGMENT`` characters."""
+    out, at = [], 0
+    while len(text) - at > SEGMENT and (seam := SEAM.search(text, at + SEGMENT)):
+        out.append(text[at:seam.start()])
+        at = seam.end()
+    return [*out, text[at:]]
+
+
 class Aligner:
-    """Both tokenizers and the bytes of their tokens.  ``json_text`` and ``model`` are the contents of the vocabulary files."""
+    """Both tokenizers, the bytes of their tokens and the units aligned so far.  ``json_text`` and ``model`` are the contents of the
+    vocabulary files."""
 
     def __init__(self, json_text: str, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,98 +74,85 @@ class Aligner:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.seams = not any("▁" in p.lstrip("▁") for p in pieces)       # else a piece of B may reach over a seam
-
-    def segments(self, text: str) -> list[str]:
-        """The text cut at seams into parts of ``SEGMENT`` characters or, where no seam is near, more; the space of a seam is left
-        out, as both sides put one before each part."""
-        if len(text) <= SEGMENT or not self.seams:
-            return [text]
-        out, at = [], 0
-        while len(text) - at > SEGMENT and (seam := SEAM.search(text, at + SEGMENT)):
-            out.append(text[at:seam.start()])
-            at = seam.end()
-        return [*out, text[at:]]
-
-    def block(self, segments: list[str], owner: list[int]):
-        """Tokens of the segments and which of the owners (texts, ascending) stay; an owner with a part that a side doesn't give
-        back goes.  Returns (ids of A, ids of B, owners of both, good owners)."""
-        spaced = [" " + s for s in segments]
-        of_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        of_b = self.b.encode(segments, num_threads=1)
-        bad = set()
-        for s, x, y, o in zip(spaced, of_a, of_b, owner):
-            want = s.encode()
-            if b"".join(map(self.bytes_a.__getitem__, x)) != want or b"".join(map(self.bytes_b.__getitem__, y)) != want:
-                bad.add(o)
-        keep = [k for k, o in enumerate(owner) if o not in bad]
-        own = np.array([owner[k] for k in keep], np.int64)
-        sides = []
-        for of in (of_a, of_b):
-            n = [len(of[k]) for k in keep]
-            sides.append((np.fromiter((i for k in keep for i in of[k]), np.int64, sum(n)), np.repeat(own, n)))
-        return sides[0], sides[1], bad
-
-    def aligned(self, a: np.ndarray, own_a: np.ndarray, b: np.ndarray, own_b: np.ndarray):
-        """(groups of A's tokens, of B's tokens, number of groups, links as index pairs) of tokens that cover the same bytes."""
+        self.forget()
+
+    def forget(self) -> None:
+        self.row: dict[str, int] = {}                   # unit -> its row in the lists, -1 if a side doesn't give it back
+        self.written: list[str] = []
+        self.sizes = np.zeros((0, 4), np.int64)
+        self.pairs, self.first = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def learn(self, units: list[str]) -> None:
+        """Tokenises and aligns new units."""
+        of_a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
+        of_b = self.b.encode(units, num_threads=1)
+        keep = []
+        for k, (u, x, y) in enumerate(zip(units, of_a, of_b)):
+            want = b" " + u.encode()
+            if b"".join([self.bytes_a[i] for i in x]) == want == b"".join([self.bytes_b[i] for i in y]):
+                self.row[u] = len(self.written) + len(keep)
+                keep.append(k)
+            else:
+                self.row[u] = -1
+        if not keep:
+            return
+        n_a, n_b = (np.array([len(of[k]) for k in keep], np.int64) for of in (of_a, of_b))
+        a, b = (np.array([i for k in keep for i in of[k]], np.int64) for of in (of_a, of_b))
+        group_a, group_b, left, right = self.aligned(a, b)
+        # the written form: tokens in the order (group, side), each behind its separator
+        side = np.repeat([0, 1], [len(a), len(b)])
+        place = np.concatenate([group_a, group_b]) * 2 + side
+        order = np.argsort(place, kind="stable")
+        place, ids = place[order], np.concatenate([a, b])[order].tolist()
+        step = np.zeros(len(place), np.int64)
+        step[1:] = np.where(place[1:] == place[:-1], 0, np.where(place[1:] // 2 == place[:-1] // 2, 1, 2))
+        parts = [x for z in zip([",|;"[k] for k in step], map(str, ids)) for x in z]
+        ends = np.cumsum(n_a + n_b).tolist()
+        self.written += ["".join(parts[2 * i + 1:2 * j]) for i, j in zip([0, *ends], ends)]
+        own_a = np.repeat(np.arange(len(keep)), n_a)
+        links = np.bincount(own_a[left], minlength=len(keep))
+        groups = np.bincount(own_a[np.diff(group_a, prepend=-1) > 0], minlength=len(keep))
+        self.sizes = np.concatenate([self.sizes, np.stack([n_a, n_b, groups, links], 1)])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(links)])
+        self.pairs = np.concatenate([self.pairs, a[left] << 32 | b[right]])
+
+    def aligned(self, a: np.ndarray, b: np.ndarray):
+        """(group of each token of A, of each of B, links as index pairs) of tokens that cover the same bytes."""
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         both = end_a[np.isin(end_a, end_b, assume_unique=True)]
         first = np.searchsorted(end_b, end_a - self.len_a[a], "right")
-        last = np.searchsorted(end_b - self.len_b[b], end_a, "left")
-        n = last - first
+        n = np.searchsorted(end_b - self.len_b[b], end_a, "left") - first
         left = np.repeat(np.arange(len(a)), n)
-        right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n - first, n)
-        return np.searchsorted(both, end_a), np.searchsorted(both, end_b), len(both), left, right
-
-
-def _counted(key: np.ndarray, pair: np.ndarray, n: np.ndarray | None = None):
-    """Distinct (key, pair) in order with how often they occur."""
-    order = np.lexsort((pair, key))
-    key, pair = key[order], pair[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])
-    at = np.flatnonzero(new)
-    occ = np.diff(np.append(at, len(key))) if n is None else np.add.reduceat(n[order], at) if len(at) else np.zeros(0, np.int64)
-    return key[at], pair[at], occ
+        return np.searchsorted(both, end_a), np.searchsorted(both, end_b), left, np.arange(len(left)) - np.repeat(np.cumsum(n) - n - first, n)
+
+    def add(self, parts: list[str], owner: list[int], texts: dict[int, _Text]) -> None:
+        """Aligns parts of texts and adds them to what is gathered of their owners."""
+        if len(self.row) > UNITS:
+            self.forget()
+        cut = [units_of(p) if self.seams else [p] for p in parts]
+        new = list(dict.fromkeys(u for units in cut for u in units if u not in self.row))
+        if new:
+            self.learn(new)
+        for units, o in zip(cut, owner):
+            rows = [self.row[u] for u in units]
+            t = texts[o]
+            if min(rows) < 0:
+                t.whole = False
+                continue
+            t.groups.append(";".join([self.written[r] for r in rows]))
+            at = np.array(rows)
+            t.sizes += self.sizes[at].sum(0)
+            n = self.sizes[at, 3]
+            t.pairs.append(self.pairs[np.arange(int(n.sum())) + np.repeat(self.first[at] - np.cumsum(n) + n, n)])
 
 
 class _Text:
-    """What is gathered of one text, block by block."""
+    """What is gathered of one text, part by part."""
 
     def __init__(self):
         self.sizes, self.groups, self.pairs, self.whole = np.zeros(4, np.int64), [], [], True
 
 
-def _gather(aligner: Aligner, segments: list[str], owner: list[int], texts: dict[int, _Text]) -> None:
-    (a, own_a), (b, own_b), bad = aligner.block(segments, owner)
-    for o in bad:
-        texts[o].whole = False
-    if not len(a):
-        return
-    group_a, group_b, n_groups, left, right = aligner.aligned(a, own_a, b, own_b)
-    # The written form: tokens in the order (group, side), each behind its separator.
-    side = np.repeat([0, 1], [len(a), len(b)])
-    place = np.concatenate([group_a, group_b]) * 2 + side
-    order = np.argsort(place, kind="stable")
-    place, own, ids = place[order], np.concatenate([own_a, own_b])[order], np.concatenate([a, b])[order].tolist()
-    step = np.zeros(len(place), np.int64)
-    step[1:] = np.where(place[1:] == place[:-1], 0, np.where(place[1:] // 2 == place[:-1] // 2, 1, 2))
-    signs = [",|;"[k] for k in step]
-    edges = np.flatnonzero(np.diff(own, prepend=-1, append=-1))
-    owner_of_group = np.zeros(n_groups, np.int64)
-    owner_of_group[group_a] = own_a
-    key, pair, occ = _counted(own_a[left], a[left] << 32 | b[right])
-    at = np.searchsorted(key, np.unique(own_a), "left").tolist() + [len(key)]
-    counts = {o: [int(np.searchsorted(x, o, "right") - np.searchsorted(x, o, "left")) for x in (own_a, own_b, owner_of_group)] for o in set(owner) - bad}
-    links = np.bincount(own_a[left] - own_a[0], minlength=1)
-    for k, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-        o = int(own[i])
-        t = texts[o]
-        signs[i] = ";" if t.groups else ""
-        t.groups.append("".join(x for z in zip(signs[i:j], map(str, ids[i:j])) for x in z))
-        t.sizes += [*counts[o], links[o - own_a[0]]]
-        t.pairs.append((pair[at[k]:at[k + 1]], occ[at[k]:at[k + 1]]))
-
-
 def aligned_texts(texts: DataFrame, vocabulary_a: str, model_b: str, digest: bool = False) -> DataFrame:
     """Rows (key, docs, text) to (key, docs, n_a, n_b, n_groups, n_links, groups, pairs, occ), as a written table.
 
@@ -151,9 +169,9 @@ def aligned_texts(texts: DataFrame, vocabulary_a: str, model_b: str, digest: boo
         for _, t in done:
             for column, value in zip(out, t.sizes.tolist()):
                 column.append(value)
-            whole = "".join(t.groups)
+            whole = ";".join(t.groups)
             out[4].append(hashlib.sha256(whole.encode()).hexdigest() if digest else whole)
-            _, pair, occ = _counted(np.zeros(sum(len(p) for p, _ in t.pairs), np.int64), *map(np.concatenate, zip(*t.pairs)))
+            pair, occ = np.unique(np.concatenate(t.pairs), return_counts=True)
             out[5].append(pair)
             out[6].append(occ)
         own = batch.take(pa.array([k for k, _ in done], pa.int64())).select(["key", "docs"])
@@ -165,20 +183,21 @@ def aligned_texts(texts: DataFrame, vocabulary_a: str, model_b: str, digest: boo
             state["aligner"] = Aligner(*state["files"])
         aligner = state["aligner"]
         for batch in batches:
-            column, waiting, segments, owner, size = batch.column("text"), {}, [], [], 0
+            column, waiting, parts, owner, size = batch.column("text"), {}, [], [], 0
             for k in range(batch.num_rows):
                 waiting[k] = _Text()
-                for s in aligner.segments(column[k].as_py()):
-                    segments.append(s)
+                text = column[k].as_py()
+                for s in segments(text) if aligner.seams else [text]:
+                    parts.append(s)
                     owner.append(k)
                     size += len(s)
                     if size >= BLOCK:
-                        _gather(aligner, segments, owner, waiting)
+                        aligner.add(parts, owner, waiting)
                         done = [(o, waiting.pop(o)) for o in list(waiting) if o != k]
                         yield rows(batch, [(o, t) for o, t in done if t.whole])
-                        segments, owner, size = [], [], 0
-            if segments:
-                _gather(aligner, segments, owner, waiting)
+                        parts, owner, size = [], [], 0
+            if parts:
+                aligner.add(parts, owner, waiting)
             yield rows(batch, [(o, t) for o, t in waiting.items() if t.whole])
 
     schema = "key binary, docs long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, occ array<int>"

@@ -140,11 +140,16 @@ def aligned(rows, tokens):
             while k < len(spans[1]) and spans[1][k][1] < e:
                 links.append((a, spans[1][k][0]))
                 k += 1
-        groups, last = [], 0
+        groups, at = [], [0, 0]
         for cut in sorted({x[2] for x in spans[0]} & {x[2] for x in spans[1]}):
-            groups.append("|".join(",".join(str(i) for i, s, _ in own if last <= s < cut) for own in spans))
-            last = cut
-        per.append((len(sides[0]), len(sides[1]), len(groups), links, ";".join(groups)))
+            sides = []
+            for k, own in enumerate(spans):
+                first = at[k]
+                while at[k] < len(own) and own[at[k]][2] <= cut:
+                    at[k] += 1
+                sides.append(",".join(str(i) for i, _, _ in own[first:at[k]]))
+            groups.append("|".join(sides))
+        per.append((len(spans[0]), len(spans[1]), len(groups), links, ";".join(groups)))
         count.update(set(links))
     highest = {}
     for (a, _), n in count.items():
