@@ -1,6 +1,10 @@
 """Shared helpers: column projection, checkpoints, hashed words and fixed-size filters."""
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+import inspect
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -54,6 +58,37 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def trim() -> None:
+    """Gives a worker's free memory back to the machine.  Spark keeps Python workers for later tasks, and what their allocators
+    hold of the last task would count besides what the next stage needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library
+        pass
+
+
+def trimmed(task):
+    """An Arrow function (iterator to iterator, or two tables to one) that trims its worker at its end."""
+    if inspect.isgeneratorfunction(task):
+        @functools.wraps(task)
+        def run(batches):
+            try:
+                yield from task(batches)
+            finally:
+                trim()
+        return run
+
+    @functools.wraps(task)
+    def whole(left, right):
+        try:
+            return task(left, right)
+        finally:
+            trim()
+    return whole
+
+
 def loose(df: DataFrame) -> DataFrame:
     """Forget how the rows are partitioned, so that a later join shuffles this side anew and AQE may split hot keys."""
     return df.coalesce(1 << 20)
@@ -271,7 +306,7 @@ def bitmap(blobs: DataFrame, least: int, bits: int = 26, levels: bool = False):
     driver.  With ``levels`` the pair (filter, sketch): the sketch has a byte for each of 2**21 ranges of hashes, the power of
     two of the number of values in it."""
     spark = blobs.sparkSession
-    rows = blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_fold(least, bits), "bucket int, blob binary, levels binary")
+    rows = blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(_fold(least, bits)), "bucket int, blob binary, levels binary")
     table = (rows if levels else rows.drop("levels")).toArrow()
     whole = np.zeros((256, 1 << (bits - 8 - 3)), np.uint8)
     sketch = np.zeros((256, 1 << (LEVELS - 8)), np.uint8)
@@ -300,7 +335,7 @@ def ids_filter(ids: DataFrame):
     """Broadcast filter of the long ids in the first column."""
     def emit(batches):
         yield from blob_batches(ids_hash(b.column(0).drop_null().to_numpy(zero_copy_only=False)) for b in batches)
-    return bitmap(ids.mapInArrow(emit, BLOB_SCHEMA), 1)
+    return bitmap(ids.mapInArrow(trimmed(emit), BLOB_SCHEMA), 1)
 
 
 def long_ids(df: DataFrame, name: str) -> DataFrame:

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import Words, cut, groups, pick
+from .common import Words, cut, groups, pick, trimmed
 
 ORDER = 4
 MIN_WORDS, MAX_REPEAT = 50, 50          # words; percent of words inside repeated 3-word windows
@@ -62,7 +62,7 @@ def gram_counts(docs: DataFrame, order: int) -> DataFrame:
             if words:
                 yield rows_of(lang, words)
 
-    return docs.select("lang", "text").mapInArrow(count, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+    return docs.select("lang", "text").mapInArrow(trimmed(count), "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
 def kneser_ney(top: DataFrame, order: int) -> DataFrame:
@@ -150,7 +150,7 @@ class Model:
                 value = np.where(slot % 2 == 1, gamma, logp).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(value)], ["slot", "key", "value"])
 
-        table = model.mapInArrow(keyed, "slot int, key long, value float").toArrow()
+        table = model.mapInArrow(trimmed(keyed), "slot int, key long, value float").toArrow()
         slot, keys, value = (table.column(c).to_numpy() for c in ("slot", "key", "value"))
         arrays = {}
         for kind in (0, 1):
@@ -277,11 +277,13 @@ def quality(docs: DataFrame, order: int = ORDER, width: float = WIDTH, least_wid
     shared = spark.sparkContext.broadcast(Model.pack(model, order)) if small else None
     kind = source.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"{c} long" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
-    scores = source.mapInArrow(_measure(shared, order), f"doc_id {kind}, lang string, t long, {counts}, logp double")
+    scores = source.mapInArrow(trimmed(_measure(shared, order)), f"doc_id {kind}, lang string, t long, {counts}, logp double")
     if not small:
         scores = _joined(source, scores, model, order)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     scores = cut(scores.withColumn("base_failed", failed).withColumn("log_ppl", F.when(F.col("n_words") > 0, -F.col("logp") / F.col("n_words"))))
+    if small:
+        shared.destroy()
     limits = bands(scores.where(~F.col("base_failed")), width, least_width).withColumnRenamed("lang", "l")
     if limits.count() <= 10_000:
         limits = F.broadcast(limits)

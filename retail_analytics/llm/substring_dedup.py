@@ -14,12 +14,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLOB_SCHEMA, Words, among, bitmap, blob_batches, cut, groups, loose, owners, pick, sliding_min
+from .common import BLOB_SCHEMA, Words, among, bitmap, blob_batches, cut, groups, loose, owners, pick, sliding_min, trimmed, written
 
 WINDOW = 20
 ANCHOR = 10                    # words of the runs that are counted first
 SEED = 4                       # words of the phrases in the automata
-SHARD_BYTES = 4 << 20          # text of one shard: bounds an automaton and a task, not the result
+SHARD_BYTES = 2 << 20          # text of one shard: bounds an automaton and a task, not the result
 
 
 def inside(h: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,7 +55,7 @@ def _anchors(window: int):
 
 
 def _candidates(shared, window: int):
-    """Arrow function: (w, doc_id), each distinct window of a document whose pick may recur."""
+    """Arrow function: (w, doc_id, shard), each distinct window of a document whose pick may recur."""
     def run(batches):
         tool = Words()
         for texts, rows, b in groups(batches):
@@ -69,18 +69,20 @@ def _candidates(shared, window: int):
             w, text = w[by], text[by]
             once = np.ones(len(w), bool)
             once[1:] = (w[1:] != w[:-1]) | (text[1:] != text[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(w[once].view(np.int64)), b.column("doc_id").take(pa.array(rows[text[once]]))], ["w", "doc_id"])
+            own = pa.array(rows[text[once]])
+            yield pa.RecordBatch.from_arrays([pa.array(w[once].view(np.int64)), b.column("doc_id").take(own), b.column("shard").take(own)], ["w", "doc_id", "shard"])
     return run
 
 
 def _passages(window: int, schema: pa.Schema):
-    """Cogroup function: the maximal runs of windows that a document holds first, as text with single spaces."""
+    """Cogroup function: the maximal runs of windows that a document holds first, as (its id, number of the run, text with single
+    spaces, windows)."""
     def run(docs: pa.Table, firsts: pa.Table) -> pa.Table:
         if not firsts.num_rows:
             return schema.empty_table()
         tool = Words()
         own = dict(zip(firsts.column("first").to_pylist(), firsts.column("windows").to_pylist()))
-        ids, out = [], []
+        ids, numbers, out, windows = [], [], [], []
         for doc, text in zip(docs.column("doc_id").to_pylist(), docs.column("text").cast(pa.binary()).to_pylist()):
             if doc not in own or not text:
                 continue
@@ -92,8 +94,11 @@ def _passages(window: int, schema: pa.Schema):
             for run_ in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
                 if len(run_):
                     ids.append(doc)
+                    numbers.append(len(numbers))
                     out.append(b" ".join(words[run_[0]:run_[-1] + window]))
-        return pa.Table.from_arrays([pa.array(ids, schema.field("first").type), pa.array(out, pa.binary())], schema=schema)
+                    windows.append(h[run_].view(np.int64))
+        return pa.Table.from_arrays([pa.array(ids, schema.field("first").type), pa.array(numbers, pa.int32()), pa.array(out, pa.binary()),
+                                     pa.array(windows, pa.list_(pa.int64()))], schema=schema)
     return run
 
 
@@ -200,29 +205,34 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     shards = max(1, math.ceil(size / shard_bytes))
 
     def shard(c: str):
-        return F.pmod(F.xxhash64(c), F.lit(shards)).cast("int").alias("shard")
+        return F.pmod(F.xxhash64(c), F.lit(shards)).cast("int")
 
-    slim = source.select("doc_id", "text")
-    shared = bitmap(slim.mapInArrow(_anchors(window), BLOB_SCHEMA), 2)
+    # documents without an id are later than all others, wherever they lie: they are dealt out by their text
+    own_shard = F.when(F.col("doc_id").isNull(), shard("text")).otherwise(shard("doc_id")).alias("shard")
+    dealt = source.select(own_shard, *source.columns)
+    slim = dealt.select("shard", "doc_id", "text")
+    shared = bitmap(slim.mapInArrow(trimmed(_anchors(window)), BLOB_SCHEMA), 2)
     kind = source.schema["doc_id"].dataType.simpleString()
-    seen = slim.mapInArrow(_candidates(shared, window), f"w long, doc_id {kind}")
+    seen = slim.mapInArrow(trimmed(_candidates(shared, window)), f"w long, doc_id {kind}, shard int")
     # confirm: windows of two documents or more, and the first of them
     firsts = cut(seen.groupBy("w").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("w", "first"))
-    # route: the documents of a shard need the passages of these first documents
-    routes = (seen.join(loose(firsts), "w").where("doc_id is null or doc_id > first").select(shard("doc_id"), "first").distinct())
-    by_doc = firsts.groupBy("first").agg(F.collect_list("w").alias("windows")).select(shard("first"), "first", "windows")
+    by_doc = firsts.groupBy("first").agg(F.collect_list("w").alias("windows")).select(shard("first").alias("shard"), "first", "windows")
     names = {f"keep_{i}": c for i, c in enumerate(keep)}
-    dealt = source.select(shard("doc_id"), *source.columns)
 
     spark = docs.sparkSession
     arrow_id = spark.createDataFrame([], f"first {kind}").toArrow().schema.field("first").type
-    passages = (dealt.groupBy("shard").cogroup(by_doc.groupBy("shard"))
-                .applyInArrow(_passages(window, pa.schema([("first", arrow_id), ("passage", pa.binary())])), f"first {kind}, passage binary"))
-    routed = loose(routes).join(passages, "first").select("shard", "first", "passage")
+    fields = pa.schema([("first", arrow_id), ("run", pa.int32()), ("passage", pa.binary()), ("windows", pa.list_(pa.int64()))])
+    passages = written(slim.groupBy("shard").cogroup(by_doc.groupBy("shard"))
+                       .applyInArrow(trimmed(_passages(window, fields)), f"first {kind}, run int, passage binary, windows array<long>"))
+    # route: a shard needs the passages that its later documents share, each once
+    places = passages.select(F.explode("windows").alias("w"), "first", "run")
+    routes = cut(seen.join(loose(places), "w").where("doc_id is null or doc_id > first").select("shard", "first", "run").distinct())
+    shared.destroy()
+    routed = loose(routes).join(passages, ["first", "run"]).select("shard", "first", "passage")
     extra = source.drop("doc_id", "text").schema
     out_schema = ", ".join([f"doc_id {kind}", *(f"{f.name} {f.dataType.simpleString()}" for f in extra), "n_words long, n_removed long, kept string"])
     empty = spark.createDataFrame([], out_schema).toArrow().schema
-    out = dealt.groupBy("shard").cogroup(routed.groupBy("shard")).applyInArrow(_locate(window, list(names), empty), out_schema)
+    out = dealt.groupBy("shard").cogroup(routed.groupBy("shard")).applyInArrow(trimmed(_locate(window, list(names), empty)), out_schema)
     return out.select("doc_id", *(F.col(k).alias(c) for k, c in names.items()), "n_words", "n_removed", "kept")
 
 
