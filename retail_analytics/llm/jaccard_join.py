@@ -6,7 +6,7 @@ ones, by a filter and a sketch of fixed size, and differ in the hash behind that
 
 Large groups never become all pairs: equal sets are one node; a first round links every node with one hub per prefix token;
 a second takes, for each prefix token, the pairs across the components that are left, which is exact, since a pair inside a
-component changes nothing.
+component changes nothing.  Parity bitmaps of the sets keep pairs out that differ in too many tokens.
 """
 from __future__ import annotations
 
@@ -14,10 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLOB_SCHEMA, Words, _mix, among, bitmap, blob_batches, cut, groups, ids_filter, ids_hash, level, loose, pick
+from .common import BLOB_SCHEMA, Words, _mix, among, bitmap, blob_batches, cut, groups, ids_filter, ids_hash, level, loose, pick, trimmed
 
 SHINGLE, PERCENT = 3, 90
 SEEDS = (0x51A3, 0xC0FFEE11)        # one global order each
+PARITY = 8                          # longs of a set's parity bitmap
 
 
 def sets_of(batches, k: int, column: str = "text"):
@@ -58,8 +59,18 @@ def prefix(tokens: np.ndarray, again: np.ndarray, levels: np.ndarray, seed: int,
     return own[first[np.argsort(rank[first])]], alone + np.arange(left)
 
 
+PARITY_COLUMNS = [f"b{i}" for i in range(PARITY)]
+
+
+def parity(tokens: np.ndarray) -> list[int]:
+    """A bitmap in which each token flips one bit.  Tokens that two sets share cancel out, so the bits in which their bitmaps differ
+    are at most the tokens that only one of them has: more of them than a link allows prove that there is none."""
+    flips = np.bincount((_mix(tokens ^ np.uint64(0x9A217)) & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _nodes(shared, k: int, percent: int):
-    """Arrow function: size and signature of each set, and its prefix tokens that may occur elsewhere, by order."""
+    """Arrow function: size, signature and parity bitmap of each set, and its prefix tokens that may occur elsewhere, by order."""
     def run(batches):
         mask, levels = shared.value
         ids, heads, tokens, places = [], [], [[] for _ in SEEDS], [[] for _ in SEEDS]
@@ -70,7 +81,7 @@ def _nodes(shared, k: int, percent: int):
         def flush():
             cols = [pa.concat_arrays(ids), *(pa.array(c, pa.int64()) for c in zip(*heads)), *map(lists, tokens), *map(lists, places)]
             ids.clear(), heads.clear(), [x.clear() for x in tokens + places]
-            return pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "s1", "s2", *(f"{c}{i}" for c in "tp" for i in range(len(SEEDS)))])
+            return pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "s1", "s2", *PARITY_COLUMNS, *(f"{c}{i}" for c in "tp" for i in range(len(SEEDS)))])
 
         for row, s, b in sets_of(batches, k):
             ids.append(b.column("doc_id").slice(row, 1))
@@ -79,7 +90,7 @@ def _nodes(shared, k: int, percent: int):
                 t, at = prefix(s, again, levels, seed, percent)
                 tokens[i].append(t.view(np.int64))
                 places[i].append(at)
-            heads.append((len(s), *(int(_mix(s ^ np.uint64(c)).sum().astype(np.uint64).view(np.int64)) for c in (0x5DEECE66D, 0xABCDEF123457))))
+            heads.append((len(s), *(int(_mix(s ^ np.uint64(c)).sum().astype(np.uint64).view(np.int64)) for c in (0x5DEECE66D, 0xABCDEF123457)), *parity(s)))
             if len(heads) >= 2000:
                 yield flush()
         if heads:
@@ -118,10 +129,12 @@ def verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
             b = b.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([b.column("x"), b.column("y")], ["x", "y"])
 
-    sets = docs.mapInArrow(build, "id long, s binary")
+    sets = docs.mapInArrow(trimmed(build), "id long, s binary")
     one = sets.select(F.col("id").alias("y"), F.col("s").alias("sy"))
     two = sets.select(F.col("id").alias("x"), F.col("s").alias("sx"))
-    return cut(loose(pairs).join(one, "y").join(two, "x").mapInArrow(compare, "x long, y long").distinct())
+    links = cut(loose(pairs).join(one, "y").join(two, "x").mapInArrow(trimmed(compare), "x long, y long").distinct())
+    wanted.destroy()
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -150,9 +163,10 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     count as one; rows without an id have the component of their set but name none.  An empty table gives an empty result; other columns are dropped.
     """
     source = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    shared = bitmap(source.mapInArrow(_all_blobs(shingle), BLOB_SCHEMA), 2, bits=28, levels=True)
+    shared = bitmap(source.mapInArrow(trimmed(_all_blobs(shingle)), BLOB_SCHEMA), 2, bits=28, levels=True)
     lists = ", ".join(f"{c}{i} array<long>" for c in "tp" for i in range(len(SEEDS)))
-    rows = cut(source.mapInArrow(_nodes(shared, shingle, percent), f"doc_id long, n long, s1 long, s2 long, {lists}"))
+    rows = cut(source.mapInArrow(trimmed(_nodes(shared, shingle, percent)), f"doc_id long, n long, s1 long, s2 long, {', '.join(f'{c} long' for c in PARITY_COLUMNS)}, {lists}"))
+    shared.destroy()
 
     full = rows.where("n > 0")
     classes = cut(full.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id")))
@@ -184,13 +198,21 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     sizes = placed.groupBy("order", "token", "label").agg(F.count("*").alias("k"))
     big = cut(sizes.groupBy("order", "token").agg(F.max(F.struct("k", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
               .select("order", "token", F.col("top.label").alias("top")))
-    mixed = cut(loose(placed).join(loose(big), ["order", "token"]))
-    few = mixed.where("label <> top").select("order", "token", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), F.col("label").alias("lx"))
-    many = mixed.select("order", "token", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"), F.col("label").alias("ly"), "top")
+    maps = one_each.select(F.col("doc_id").alias("map_id"), *PARITY_COLUMNS)
+    mixed = loose(placed).join(loose(big), ["order", "token"])
+    mixed = cut(loose(mixed).join(loose(maps), F.col("id") == F.col("map_id")).drop("map_id"))
+
+    def bits(side: str):
+        return [F.col(c).alias(f"{side}{c}") for c in PARITY_COLUMNS]
+
+    few = mixed.where("label <> top").select("order", "token", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), F.col("label").alias("lx"), *bits("x"))
+    many = mixed.select("order", "token", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"), F.col("label").alias("ly"), "top", *bits("y"))
     need = F.ceil(percent * (F.col("nx") + F.col("ny")) / F.lit(100 + percent))
     bound = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))      # at the first common token, which is enough
+    apart = sum((F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in PARITY_COLUMNS), F.lit(0))
     across = (loose(few).join(loose(many), ["order", "token"])
-              .where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("top")) | (F.col("x") < F.col("y"))) & fits("nx", "ny") & (bound >= need))
+              .where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("top")) | (F.col("x") < F.col("y"))) & fits("nx", "ny") & (bound >= need)
+                     & (apart <= F.col("nx") + F.col("ny") - 2 * need))
               .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "order"))
     more = verify(source, under_all(across), shingle, percent)
     label = components(links.union(more))

@@ -120,3 +120,27 @@ def test_queries_on_the_small_tables(spark):
     assert out.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
     assert {r.doc_id: (r.n_words, r.n_removed) for r in out.collect()} == {i: x[:2] for i, x in dedup(docs).items()}
     assert spark.range(1).select(F.sha2(F.lit(""), 256)).first()[0].startswith("e3b0c442")
+
+
+def test_parity_bitmaps_differ_in_no_more_bits_than_sets_in_tokens():
+    import numpy as np
+    rnd = np.random.default_rng(4)
+    for n, changed in ((1, 1), (60, 5), (300, 90), (4000, 2500)):
+        a = rnd.integers(1, 1 << 63, n, dtype=np.int64).astype(np.uint64)
+        b = np.concatenate([a[changed:], rnd.integers(1, 1 << 63, changed // 2, dtype=np.int64).astype(np.uint64)])
+        apart = sum(bin((x ^ y) & (1 << 64) - 1).count("1") for x, y in zip(jaccard_join.parity(np.unique(a)), jaccard_join.parity(np.unique(b))))
+        assert apart <= len(set(a.tolist()) ^ set(b.tolist())) and (n > 300 or apart > 0)
+
+
+def test_a_group_of_borderline_copies(spark):
+    """Near copies of one text of which many pairs are just below the limit: the links and no others."""
+    rnd = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rnd.randint(1, 5)):
+            w[rnd.randrange(len(w))] = f"x{rnd.randint(0, 10**6)}"
+        rows.append((i, " ".join(w)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(docs_of(spark, rows), 5, 80).collect()}
+    assert got == components(rows, 5, 80)
