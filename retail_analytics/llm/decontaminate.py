@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import pick
+from .common import cut, pick
 
 WINDOW, SHINGLE = 10, 3
 MAX_BROADCAST_WINDOWS = 200_000       # at most so many windows are broadcast (about 300 bytes each); more are shuffled
@@ -41,6 +41,20 @@ def item_windows(benchmark: DataFrame, window: int, id_col: str, text_col: str)
             .groupBy("win").agg(F.collect_set("item_id").alias("items")).withColumn("n", F.size("win")).withColumn("joined", F.array_join("win", " ")))
 
 
+def _shuffled_hits(source: DataFrame, windows: DataFrame, k: int) -> DataFrame:
+    """(doc_id, sha, start, n, items) of the windows' verified places, when there are too many windows to broadcast.  What is shuffled
+    for each shingle is its key, place and document; the words of a document with candidates travel once."""
+    row = F.struct("doc_id", "sha").alias("row")
+    start = F.col("at") - F.col("offset") + 1
+    near = (_shingles(source.withColumn("n_words", F.size("words")), "words", k, "doc_id", "sha", "n_words").join(windows, "key")
+            .where((start >= 1) & (start + F.col("n") - 1 <= F.col("n_words"))).select(row, start.alias("start"), "n", "joined", "items"))
+    near = cut(near)
+    texts = source.select(row, "words").join(near.select(F.col("row").alias("its")).distinct(), F.col("row") == F.col("its"), "left_semi").dropDuplicates(["row"])
+    place = F.translate(F.array_join(F.slice("words", F.col("start"), F.col("n")), " "), UPPER, LOWER)
+    return (near.join(texts.withColumnRenamed("row", "its"), F.col("row") == F.col("its")).where(place == F.col("joined"))
+            .select("row.doc_id", "row.sha", "start", "n", "items"))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, id_col: str = "doc_id",
                   text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
                   max_broadcast_windows: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
@@ -65,6 +79,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
                   .agg(F.count(F.lit(1)).alias("present"), F.min(F.struct("df", "at", "key")).alias("first"))
                   .where(F.col("present") == F.col("n") - (k - 1))
                   .select("joined", "n", "items", F.col("first.at").alias("offset"), F.col("first.key").alias("key")))
+        if sum(sizes.values()) > max_broadcast_windows:
+            found.append(_shuffled_hits(source, rarest, k))
+            continue
         # No lambda from the explode to the last select: they stay one compiled stage, where the array of words is a
         # reference and only the verified hits become rows.
         start = F.col("at") - F.col("offset") + 1

@@ -61,16 +61,20 @@ def resolve_revisits(records: DataFrame, id_col: str = "record_id", url_col: str
             .withColumn("piece", F.floor(F.col("us") / F.lit(bucket * 1_000_000))))
     full = F.when((F.col("kind") == "response") & F.col("us").isNotNull(), F.struct("us", "record_id", "headers"))
     earlier = Window.partitionBy("canon_url", "piece").orderBy("us").rangeBetween(Window.unboundedPreceding, -1)
-    inside = rows.withColumn("near", F.max(full).over(earlier)).where("kind = 'revisit'")
+    # rows without a url or a time are orphans by definition: they stay out of the windows, where they would be one group
+    placed = F.col("canon_url").isNotNull() & F.col("us").isNotNull()
+    lost = rows.where((F.col("kind") == "revisit") & ~placed)
+    inside = rows.where(placed).withColumn("near", F.max(full).over(earlier)).where("kind = 'revisit'")
     ends = rows.where("kind = 'response' and us is not null and canon_url is not null").groupBy("canon_url", "piece").agg(F.max(full).alias("last"))
     # A revisit needs the piece's own carry even if the piece has no response, so revisit pieces enter with a null
-    pieces = ends.unionByName(inside.where("canon_url is not null and us is not null").select("canon_url", "piece").distinct()
+    pieces = ends.unionByName(inside.select("canon_url", "piece").distinct()
                               .withColumn("last", F.lit(None).cast(ends.schema["last"].dataType)))
     before = Window.partitionBy("canon_url").orderBy("piece").rangeBetween(Window.unboundedPreceding, -1)
     carry = (pieces.groupBy("canon_url", "piece").agg(F.max("last").alias("last")).withColumn("carry", F.max("last").over(before))
              .select("canon_url", "piece", "carry"))
-    found = inside.join(carry, ["canon_url", "piece"], "left").withColumn("hit", F.when(F.col("canon_url").isNotNull() & F.col("us").isNotNull(),
-                                                                                       F.coalesce("near", "carry")))
+    own = ["record_id", "canon_url", "headers"]
+    found = inside.join(carry, ["canon_url", "piece"], "left").select(*own, F.coalesce("near", "carry").alias("hit"))
+    found = found.unionByName(lost.select(*own, F.lit(None).cast(found.schema["hit"].dataType).alias("hit")))
     stored = F.col("hit.headers")
     tag = [F.regexp_replace(header(h, "etag"), "^W/", "") for h in (F.col("headers"), stored)]
     date = [header(h, "last-modified") for h in (F.col("headers"), stored)]

@@ -204,14 +204,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, i
              label_id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
     """One row per document: doc_id, score (0 to 1), total (log of the sum of clause weights), clauses (log of their number).
 
-    Learns from at most ``train_rows`` rows of ``labels``; an id with several labels counts as toxic if one of them is, null
-    labels and ids don't count.  Null and empty texts have no clause and the score of such documents; repeated rows stay; an
+    Learns from at most ``train_rows`` rows of ``labels``; an id with several labels counts as toxic if one of them is, of an
+    id with several texts one is learned from, null labels and ids don't count.  Null and empty texts have no clause and the score of such documents; repeated rows stay; an
     empty table gives an empty result; without labels of both kinds the score is 1 - exp(-total).  Other columns are dropped.
     """
     source = pick(docs, doc_id=id_col, text=text_col)
     known = (pick(labels, doc_id=label_id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
-    train = source.join(F.broadcast(known), "doc_id").select("text", "toxic").persist()      # bounded by train_rows
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")                  # of rows that share an id, one text
+    train = source.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(one, F.max("toxic").alias("toxic")).select("text", "toxic").persist()
     lexicon = learn_lexicon(train)
     rows = train.mapInArrow(_features(lexicon, ["toxic"]), f"toxic int, {FEATURE_SCHEMA}").toPandas()
     train.unpersist()
