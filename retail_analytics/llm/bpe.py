@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .common import pick
+from .common import pick, trimmed
 
 CHUNK, OVERLAP = 1 << 16, 1 << 12     # characters
 SLICE = 1 << 21                       # bytes of text encoded at a time
@@ -42,15 +42,28 @@ def _slices(batches, column: str, size: int):
             i = j
 
 
-def _encode_with(shared, pattern: str, keep: list[str], text: str):
-    """Arrow function: the columns ``keep`` and the ids of the text column."""
+def raw_of(ids: pa.Array, token: dict[int, bytes]) -> pa.Array:
+    """The bytes of each row's ids, one after the other; a null row is empty, an unknown id fails."""
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+    flat, ends = ids.flatten().to_numpy(), np.cumsum(sizes)
+    return pa.array([b"".join(map(token.__getitem__, flat[e - n:e].tolist())) for n, e in zip(sizes, ends)], pa.binary())
+
+
+def _encode_with(shared, pattern: str, keep: list[str], text: str, decode: bool = False):
+    """Arrow function: the columns ``keep``, the ids of the text column and, with ``decode``, the bytes that the ids stand for."""
     def encode(batches):
         for b in _slices(batches, text, SLICE):
             coder = _coder(shared.value, pattern)
             rows = [np.array(coder.encode_ordinary(t or ""), np.int32) for t in b.column(text).to_pylist()]
             offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), ids], [*keep, "ids"])
+            raw = []
+            if decode:
+                own = shared.value
+                if "tokens" not in own:
+                    own["tokens"] = {i: t for t, i in own["ranks"].items()}
+                raw = [raw_of(ids, own["tokens"])]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), ids, *raw], [*keep, "ids", *["raw"] * decode])
     return encode
 
 
@@ -88,7 +101,7 @@ def cut_long(long: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFra
                                               pa.array(tails, pa.list_(pa.int32()))], ["key", "i", "head", "tail"])
 
     key = long.schema["key"].dataType.simpleString()
-    scans = chunks.mapInArrow(scan, f"key {key}, i int, head array<int>, tail array<int>")
+    scans = chunks.mapInArrow(trimmed(scan), f"key {key}, i int, head array<int>, tail array<int>")
     sides = (scans.select("key", F.explode(F.array(F.struct(F.col("i").alias("seam"), F.col("tail").alias("a"), F.lit(None).cast("array<int>").alias("b")),
                                                   F.struct((F.col("i") - 1).alias("seam"), F.lit(None).cast("array<int>").alias("a"),
                                                            F.col("head").alias("b")))).alias("s")).select("key", "s.*").where("seam >= 0"))
@@ -101,8 +114,9 @@ def cut_long(long: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFra
 
 
 def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK,
-               overlap: int = OVERLAP) -> DataFrame:
-    """One row per document: doc_id, ids (array of int): each match of ``pattern`` encoded separately by the ranks in the file
+               overlap: int = OVERLAP, decode: bool = False) -> DataFrame:
+    """One row per document: doc_id, ids (array of int) and, with ``decode``, raw (binary), the ids decoded again in the same pass:
+    each match of ``pattern`` encoded separately by the ranks in the file
     ``vocabulary`` (read by the driver), no special tokens.
 
     Texts of at most ``chunk`` characters are one chunk, encoded where they are.  Longer ones are cut into overlapping chunks
@@ -112,8 +126,9 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
     shared = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
     source = pick(docs, doc_id=id_col, text=text_col)
     kind = source.schema["doc_id"].dataType.simpleString()
+    out = "ids array<int>" + ", raw binary" * decode
     is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk
-    short = source.where(~is_long).mapInArrow(_encode_with(shared, pattern, ["doc_id"], "text"), f"doc_id {kind}, ids array<int>")
+    short = source.where(~is_long).mapInArrow(trimmed(_encode_with(shared, pattern, ["doc_id"], "text", decode)), f"doc_id {kind}, {out}")
 
     long = (source.where(is_long).groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
             .withColumn("key", F.struct("doc_id", F.sha2("text", 256).alias("sha"))))
@@ -124,9 +139,11 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
                   i.cast("int").alias("i"), F.expr("text").substr(F.get("at", i - 1) + 1, F.get("at", i) - F.get("at", i - 1)).alias("part")))).alias("p"))
               .select("key", "copies", "p.*").repartition("key", "i"))
     key = long.schema["key"].dataType.simpleString()
-    coded = pieces.mapInArrow(_encode_with(shared, pattern, ["key", "copies", "i"], "part"), f"key {key}, copies long, i int, ids array<int>")
-    joined = (coded.groupBy("key", "copies").agg(F.array_sort(F.collect_list(F.struct("i", "ids"))).alias("parts"))
-              .select("key.doc_id", F.flatten("parts.ids").alias("ids"), F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc_id", "ids"))
+    coded = pieces.mapInArrow(trimmed(_encode_with(shared, pattern, ["key", "copies", "i"], "part", decode)), f"key {key}, copies long, i int, {out}")
+    names = ["ids", *["raw"] * decode]
+    whole = [F.flatten("parts.ids").alias("ids"), *[F.aggregate("parts.raw", F.lit(b""), lambda a, x: F.concat(a, x)).alias("raw")] * decode]
+    joined = (coded.groupBy("key", "copies").agg(F.array_sort(F.collect_list(F.struct("i", *names))).alias("parts"))
+              .select("key.doc_id", *whole, F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc_id", *names))
     return short.unionByName(joined)
 
 
@@ -137,24 +154,19 @@ def bpe_decode(coded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_co
     source = pick(coded, doc_id=id_col, ids=ids_col)
 
     def decode(batches):
-        of = shared.value.__getitem__
         for whole in batches:
             for b in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
-                ids = b.column("ids")
-                sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
-                flat, ends = ids.flatten().to_numpy(), np.cumsum(sizes)
-                raw = [b"".join(map(of, flat[e - n:e].tolist())) for n, e in zip(sizes, ends)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, pa.array(raw, pa.binary())], ["doc_id", "ids", "raw"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), raw_of(b.column("ids"), shared.value)], ["doc_id", "ids", "raw"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return (source.mapInArrow(decode, f"doc_id {kind}, ids array<int>, raw binary")
+    return (source.mapInArrow(trimmed(decode), f"doc_id {kind}, ids array<int>, raw binary")
             .withColumn("ids", F.coalesce("ids", F.array().cast("array<int>"))).withColumn("n_tokens", F.size("ids").cast("long")))
 
 
 def digest(docs: DataFrame, vocabulary: str, pattern: str, **names: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by spaces), decoded_sha256 (of the decoded bytes)."""
-    out = bpe_decode(bpe_encode(docs, vocabulary, pattern, **names), vocabulary)
-    return out.select("doc_id", "n_tokens", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+    out = bpe_encode(docs, vocabulary, pattern, decode=True, **names)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                       F.sha2("raw", 256).alias("decoded_sha256"))
 
 
