@@ -94,6 +94,12 @@ def loose(df: DataFrame) -> DataFrame:
     return df.coalesce(1 << 20)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """A side of a join that is shuffled and merged at any size: dozens of small broadcasts would each be collected, hashed and kept
+    in the driver."""
+    return df.hint("merge")
+
+
 # ---- hashed words -------------------------------------------------------------------------------------------------
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -276,8 +282,9 @@ def _fold(least: int, bits: int):
         now, marked, counts, once = None, None, None, None
 
         def done():
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([marked.tobytes()], pa.binary()),
-                                               pa.array([np.log2(counts + 1.0).astype(np.uint8).tobytes()], pa.binary())], ["bucket", "blob", "levels"])
+            piece, sketch = (pa.compress(a.tobytes(), "zstd", asbytes=True) for a in (marked, np.log2(counts + 1.0).astype(np.uint8)))
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([piece], pa.binary()), pa.array([sketch], pa.binary())],
+                                              ["bucket", "blob", "levels"])
         for batch in batches:
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if bucket != now:
@@ -301,20 +308,32 @@ def _fold(least: int, bits: int):
     return one
 
 
+def _whole(pieces: dict[int, bytes], size: int) -> np.ndarray:
+    out = np.zeros((256, size), np.uint8)
+    for bucket, piece in pieces.items():
+        out[bucket] = np.frombuffer(pa.decompress(piece, size, "zstd"), np.uint8)
+    return out.reshape(-1)
+
+
+class Pieces:
+    """The compressed pieces of an array of 256 buckets.  The driver never puts them together; unpickled, in a task, they are the array."""
+
+    def __init__(self, buckets: pa.ChunkedArray, pieces: pa.ChunkedArray, size: int):
+        self.pieces, self.size = dict(zip(buckets.to_pylist(), pieces.to_pylist())), size
+
+    def __reduce__(self):
+        return _whole, (self.pieces, self.size)
+
+
 def bitmap(blobs: DataFrame, least: int, bits: int = 26, levels: bool = False):
-    """Broadcast filter of the hashes met at least ``least`` (1 or 2) times, from rows (bucket, blob); 2**bits bits pass the
-    driver.  With ``levels`` the pair (filter, sketch): the sketch has a byte for each of 2**21 ranges of hashes, the power of
-    two of the number of values in it."""
+    """Broadcast filter of the hashes met at least ``least`` (1 or 2) times, from rows (bucket, blob); at most 2**bits bits pass the
+    driver, compressed.  With ``levels`` the pair (filter, sketch): the sketch has a byte for each of 2**21 ranges of hashes, the
+    power of two of the number of values in it."""
     spark = blobs.sparkSession
     rows = blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(_fold(least, bits)), "bucket int, blob binary, levels binary")
     table = (rows if levels else rows.drop("levels")).toArrow()
-    whole = np.zeros((256, 1 << (bits - 8 - 3)), np.uint8)
-    sketch = np.zeros((256, 1 << (LEVELS - 8)), np.uint8)
-    for i, bucket in enumerate(table.column(0).to_pylist()):
-        whole[bucket] = np.frombuffer(table.column(1)[i].as_buffer(), np.uint8)
-        if levels:
-            sketch[bucket] = np.frombuffer(table.column(2)[i].as_buffer(), np.uint8)
-    return spark.sparkContext.broadcast((whole.reshape(-1), sketch.reshape(-1)) if levels else whole.reshape(-1))
+    mask = Pieces(table.column(0), table.column(1), 1 << (bits - 8 - 3))
+    return spark.sparkContext.broadcast((mask, Pieces(table.column(0), table.column(2), 1 << (LEVELS - 8))) if levels else mask)
 
 
 def among(mask: np.ndarray, values: np.ndarray) -> np.ndarray:

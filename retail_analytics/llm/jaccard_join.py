@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLOB_SCHEMA, Words, _mix, among, bitmap, blob_batches, cut, groups, ids_filter, ids_hash, level, loose, pick, trimmed
+from .common import BLOB_SCHEMA, Words, _mix, among, bitmap, blob_batches, cut, groups, ids_filter, ids_hash, level, loose, merged, pick, trimmed
 
 SHINGLE, PERCENT = 3, 90
 SEEDS = (0x51A3, 0xC0FFEE11)        # one global order each
@@ -132,7 +132,7 @@ def verify(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
     sets = docs.mapInArrow(trimmed(build), "id long, s binary")
     one = sets.select(F.col("id").alias("y"), F.col("s").alias("sy"))
     two = sets.select(F.col("id").alias("x"), F.col("s").alias("sx"))
-    links = cut(loose(pairs).join(one, "y").join(two, "x").mapInArrow(trimmed(compare), "x long, y long").distinct())
+    links = cut(loose(pairs).join(merged(one), "y").join(merged(two), "x").mapInArrow(trimmed(compare), "x long, y long").distinct())
     wanted.destroy()
     return links
 
@@ -143,10 +143,10 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut(links.select("x", "y").union(links.select(F.col("y"), F.col("x"))).distinct())
     labels = cut(edges.groupBy(F.col("x").alias("id")).agg(F.min(F.least("x", "y")).alias("label")))
     while True:
-        near = (loose(edges).join(loose(labels), F.col("x") == F.col("id")).groupBy(F.col("y").alias("id")).agg(F.min("label").alias("near")))
-        low = cut(labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label")))
+        near = (loose(edges).join(merged(loose(labels)), F.col("x") == F.col("id")).groupBy(F.col("y").alias("id")).agg(F.min("label").alias("near")))
+        low = cut(labels.join(merged(near), "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label")))
         of = low.select(F.col("id").alias("label"), F.col("label").alias("next"))
-        labels = cut(loose(low).join(loose(of), "label").select("id", "old", F.col("next").alias("label")))
+        labels = cut(loose(low).join(merged(loose(of)), "label").select("id", "old", F.col("next").alias("label")))
         changed = labels.where("old <> label").limit(1).count()
         labels = labels.drop("old")
         if not changed:
@@ -170,8 +170,8 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 
     full = rows.where("n > 0")
     classes = cut(full.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id")))
-    member = loose(full.select("doc_id", "n", "s1", "s2")).join(loose(classes), ["n", "s1", "s2"]).select("doc_id", "n", "class_id")
-    one_each = (full.join(classes.select(F.col("class_id").alias("doc_id"), "n", "s1", "s2"), ["doc_id", "n", "s1", "s2"], "left_semi")
+    member = loose(full.select("doc_id", "n", "s1", "s2")).join(merged(loose(classes)), ["n", "s1", "s2"]).select("doc_id", "n", "class_id")
+    one_each = (full.join(merged(classes.select(F.col("class_id").alias("doc_id"), "n", "s1", "s2")), ["doc_id", "n", "s1", "s2"], "left_semi")
                 .dropDuplicates(["doc_id", "n", "s1", "s2"]))
     def listed(i: int):
         return F.transform(F.arrays_zip(f"t{i}", f"p{i}"), lambda z: F.struct(F.lit(i).alias("order"), z[f"t{i}"].alias("token"), z[f"p{i}"].alias("place")))
@@ -188,19 +188,19 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     # first round: each node with the smallest node that has its token
     hubs = cut(tokens.groupBy("order", "token").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("k")).where("k > 1")
                .select("order", "token", "hub"))
-    near = (loose(tokens).join(loose(hubs), ["order", "token"]).where((F.col("id") != F.col("hub.id")) & fits("n", "hub.n"))
+    near = (loose(tokens).join(merged(loose(hubs)), ["order", "token"]).where((F.col("id") != F.col("hub.id")) & fits("n", "hub.n"))
             .select(F.col("id").alias("x"), F.col("hub.id").alias("y"), "order"))
     links = verify(source, under_all(near), shingle, percent)
     label = components(links)
 
     # second round: all pairs across components under a token; those with a member of the token's largest component once
-    placed = cut(tokens.join(label, "id", "left").withColumn("label", F.coalesce("label", "id")))
+    placed = cut(tokens.join(merged(label), "id", "left").withColumn("label", F.coalesce("label", "id")))
     sizes = placed.groupBy("order", "token", "label").agg(F.count("*").alias("k"))
     big = cut(sizes.groupBy("order", "token").agg(F.max(F.struct("k", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
               .select("order", "token", F.col("top.label").alias("top")))
     maps = one_each.select(F.col("doc_id").alias("map_id"), *PARITY_COLUMNS)
-    mixed = loose(placed).join(loose(big), ["order", "token"])
-    mixed = cut(loose(mixed).join(loose(maps), F.col("id") == F.col("map_id")).drop("map_id"))
+    mixed = loose(placed).join(merged(loose(big)), ["order", "token"])
+    mixed = cut(loose(mixed).join(merged(loose(maps)), F.col("id") == F.col("map_id")).drop("map_id"))
 
     def bits(side: str):
         return [F.col(c).alias(f"{side}{c}") for c in PARITY_COLUMNS]
@@ -210,14 +210,15 @@ def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     need = F.ceil(percent * (F.col("nx") + F.col("ny")) / F.lit(100 + percent))
     bound = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))      # at the first common token, which is enough
     apart = sum((F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in PARITY_COLUMNS), F.lit(0))
-    across = (loose(few).join(loose(many), ["order", "token"])
+    across = (loose(few).join(merged(loose(many)), ["order", "token"])
               .where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("top")) | (F.col("x") < F.col("y"))) & fits("nx", "ny") & (bound >= need)
                      & (apart <= F.col("nx") + F.col("ny") - 2 * need))
               .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "order"))
     more = verify(source, under_all(across), shingle, percent)
-    label = components(links.union(more))
+    if not more.isEmpty():                  # else the components of the first round are the result
+        label = components(links.union(more))
 
-    found = loose(member).join(loose(label).withColumnRenamed("id", "class_id"), "class_id", "left")
+    found = loose(member).join(merged(loose(label).withColumnRenamed("id", "class_id")), "class_id", "left")
     done = found.select("doc_id", F.col("n").alias("n_shingles"), "class_id", F.coalesce("label", "class_id").alias("component_id"))
     return done.union(rows.where("n = 0").select("doc_id", F.col("n"), F.col("doc_id"), F.col("doc_id")))
 

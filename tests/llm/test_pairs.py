@@ -144,3 +144,43 @@ def test_a_group_of_borderline_copies(spark):
         rows.append((i, " ".join(w)))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(docs_of(spark, rows), 5, 80).collect()}
     assert got == components(rows, 5, 80)
+
+
+def test_jaccard_join_broadcasts_no_table(spark, monkeypatch):
+    """Small sides of joins are merged too: every broadcast would be collected and hashed in the driver."""
+    plans, real = [], jaccard_join.cut
+
+    def seen(df):
+        out = real(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(jaccard_join, "cut", seen)
+    rows = copies()
+    found = jaccard_join.jaccard_join(docs_of(spark, rows))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()}
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert got == components(rows, 3, 90)
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_filter_passes_the_driver_compressed(spark):
+    """The driver holds the pieces of a filter, not its 2**28 bits; a task has the whole array, with each hash met twice."""
+    import os
+
+    import numpy as np
+    from retail_analytics.llm import common
+    values = common._mix(np.arange(1, 2001, dtype=np.uint64))
+    twice = values[:700]
+
+    def emit(batches):
+        for _ in batches:
+            yield from common.blob_batches(iter([np.concatenate([values, twice])]))
+    blobs = spark.range(1, numPartitions=1).mapInArrow(emit, common.BLOB_SCHEMA)
+    shared = common.bitmap(blobs, 2, bits=28, levels=True)
+    assert os.path.getsize(shared._path) < 1 << 20          # what the driver hands out
+    mask, levels = shared.value
+    want = np.zeros(1 << 25, np.uint8)
+    common._set(want, (twice >> np.uint64(36)).astype(np.int64))
+    assert (mask == want).all() and common.among(mask, twice).all() and common.among(mask, values).sum() == 700
+    assert len(levels) == 1 << 21 and (common.level(levels, values) > 0).all() and np.count_nonzero(levels) <= 2000
+    shared.destroy()
