@@ -282,9 +282,8 @@ def _fold(least: int, bits: int):
         now, marked, counts, once = None, None, None, None
 
         def done():
-            piece, sketch = (pa.compress(a.tobytes(), "zstd", asbytes=True) for a in (marked, np.log2(counts + 1.0).astype(np.uint8)))
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([piece], pa.binary()), pa.array([sketch], pa.binary())],
-                                              ["bucket", "blob", "levels"])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([marked.tobytes()], pa.binary()),
+                                               pa.array([np.log2(counts + 1.0).astype(np.uint8).tobytes()], pa.binary())], ["bucket", "blob", "levels"])
         for batch in batches:
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if bucket != now:
@@ -308,6 +307,15 @@ def _fold(least: int, bits: int):
     return one
 
 
+def _compressed(fold):
+    """The Arrow function ``fold`` with its bitmaps and counters compressed."""
+    def run(batches):
+        for b in fold(batches):
+            packed = [pa.array([pa.compress(x.as_buffer(), "zstd", asbytes=True) for x in c], pa.binary()) for c in b.columns[1:]]
+            yield pa.RecordBatch.from_arrays([b.column(0), *packed], b.schema.names)
+    return run
+
+
 def _whole(pieces: dict[int, bytes], size: int) -> np.ndarray:
     out = np.zeros((256, size), np.uint8)
     for bucket, piece in pieces.items():
@@ -330,7 +338,7 @@ def bitmap(blobs: DataFrame, least: int, bits: int = 26, levels: bool = False):
     driver, compressed.  With ``levels`` the pair (filter, sketch): the sketch has a byte for each of 2**21 ranges of hashes, the
     power of two of the number of values in it."""
     spark = blobs.sparkSession
-    rows = blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(_fold(least, bits)), "bucket int, blob binary, levels binary")
+    rows = blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(_compressed(_fold(least, bits))), "bucket int, blob binary, levels binary")
     table = (rows if levels else rows.drop("levels")).toArrow()
     mask = Pieces(table.column(0), table.column(1), 1 << (bits - 8 - 3))
     return spark.sparkContext.broadcast((mask, Pieces(table.column(0), table.column(2), 1 << (LEVELS - 8))) if levels else mask)
