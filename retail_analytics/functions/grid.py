@@ -21,6 +21,15 @@ def complete_grid(df: DataFrame, dim: DataFrame) -> DataFrame:
             .select(*[df[c] for c in df.columns], *[F.col(f"_m.{c}").alias(c) for c in dim.columns]))
 
 
+def cross_grid(df: DataFrame, dim: DataFrame) -> DataFrame:
+    """``complete_grid`` for a grid that is joined or filtered afterwards: the same rows, made by a join.
+
+    Spark takes an exploded frame to be as large as its input, and would broadcast the grid as if it were; a cross join is never
+    taken to be smaller than it is.  Filters on columns of ``dim`` reach it before the rows are made.
+    """
+    return df.crossJoin(F.broadcast(dim.distinct()))
+
+
 _HELD: ContextVar[list | None] = ContextVar("held", default=None)
 
 

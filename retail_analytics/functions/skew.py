@@ -33,7 +33,7 @@ def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], how: str = "l
     return left.filter(~is_heavy()).join(right, keys, how).unionByName(few)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark may broadcast a table by its size on disk; nothing is run."""
+def fits_broadcast(df: DataFrame, unpacked: int = 1) -> bool:
+    """Whether Spark may broadcast a table by its size on disk, taken ``unpacked`` times; nothing is run."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) * unpacked <= limit

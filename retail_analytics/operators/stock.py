@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from retail_analytics.functions.grid import with_scalars
+from retail_analytics.functions.joins import join_catalogue
 from retail_analytics.functions.ordered import running
 from retail_analytics.functions.shape import grouping_sets, ratio, slug, wide
 
@@ -28,7 +29,7 @@ def snapshot(stock: DataFrame, articulo: DataFrame, deposito: DataFrame, date: s
     s = stock.filter(F.col("date_stock") == F.lit(date).cast("date")) if date else latest(stock)
     s = (s.join(deposito.select("id_deposito", F.col("des_sucursal").alias("sucursal")), "id_deposito")
          .groupBy("id_articulo", "sucursal").agg(F.sum("cant_bultos").alias("cant_bultos"), F.sum("cantidad_total_htls").alias("cant_htls")))
-    return s.join(articulo.select("id_articulo", "des_articulo", "generico", "marca"), "id_articulo")
+    return join_catalogue(s, articulo.select("id_articulo", "des_articulo", "generico", "marca"), "id_articulo")
 
 
 def month_sales(ventas: DataFrame, sucursal: DataFrame, desde: str, hasta: str) -> DataFrame:

@@ -10,7 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retail_analytics.functions.grid import complete_grid
+from retail_analytics.functions.grid import complete_grid, cross_grid
 from retail_analytics.functions.skew import fits_broadcast, join_heavy
 
 
@@ -120,11 +120,10 @@ class Star:
     @cached_property
     def stock(self) -> DataFrame:
         """Two snapshots of SKU x depot; quantities by closed arithmetic so that zero and negatives occur."""
-        dep = self.deposito.select("id_deposito")
-        base = complete_grid(self.raw("part").select("p_partkey", "p_size"), dep)
         day = F.explode(F.array(F.lit("2001-06-15").cast("date"), F.lit("2001-06-30").cast("date")))
+        cells = self.deposito.select("id_deposito").withColumn("date_stock", day)
         qty = ((F.col("p_partkey") * 7 + F.col("id_deposito") * 13 + F.dayofmonth("date_stock")) % 50 - 2).cast("double")
-        return base.withColumn("date_stock", day).select(
+        return cross_grid(self.raw("part").select("p_partkey", "p_size"), cells).select(
             "date_stock", "id_deposito", F.col("p_partkey").alias("id_articulo"), qty.alias("cant_bultos"),
             F.when(F.col("p_partkey") % 29 != 0, qty * F.col("p_size") / 1000.0).alias("cantidad_total_htls"))
 
