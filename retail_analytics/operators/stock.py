@@ -191,8 +191,8 @@ def control_frames(snap: DataFrame, universe: DataFrame, excluded: list[str]) ->
 
 def listed_snapshot(stock: DataFrame, articles: DataFrame, depots: DataFrame, columns: list[str]) -> DataFrame:
     """Latest stock of a listed SKU set with one column per mapped depot; ``depots`` is (id_deposito, columna)."""
-    s = latest(stock).join(articles.select("id_articulo"), "id_articulo", "left_semi").join(depots, "id_deposito")
-    return wide(s, ["id_articulo"], "columna", columns, {"d": "cant_bultos"})
+    s = wide(latest(stock).join(F.broadcast(depots), "id_deposito"), ["id_articulo"], "columna", columns, {"d": "cant_bultos"})
+    return join_catalogue(s, articles.select("id_articulo"), "id_articulo", "left_semi")
 
 
 # -- supplier codes ------------------------------------------------------------------------------------------------
