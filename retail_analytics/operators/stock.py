@@ -217,7 +217,7 @@ def match_codes(supplier: DataFrame, articulo: DataFrame) -> DataFrame:
                                        .alias("id_articulo")) for n, p in CANDIDATE_SCHEMES]))
     c = supplier.withColumn("_t", tokens("desc")).withColumn("_c", ids).select("cod", "_t", "_c.*")
     a = articulo.select("id_articulo", "des_articulo", tokens("des_articulo").alias("_a"))
-    best = (c.join(a, "id_articulo").withColumn("_j", jaccard("_t", "_a")).groupBy("cod")
+    best = (join_catalogue(c, a, "id_articulo").withColumn("_j", jaccard("_t", "_a")).groupBy("cod")
             .agg(F.max(F.struct("_j", "id_articulo", "esquema", "des_articulo")).alias("_b")))
     ok = (F.col("_b._j") > 0) | F.upper("_b.des_articulo").contains(ALWAYS_ACCEPT)
     return supplier.join(best.filter(ok), "cod", "left").select(
