@@ -130,7 +130,7 @@ def reach_by(view: DataFrame, keys: list[str]) -> DataFrame:
 def valuation(snap: DataFrame, prices: DataFrame, excluded: list[str] | None = None) -> DataFrame:
     """Stock valued at two prices; a missing price counts 0, a missing category gets a label, only categories exclude."""
     s = snap.filter(F.coalesce(~_excluded(excluded), F.lit(True))) if excluded else snap
-    j = s.join(prices.select("id_articulo", "precio_base", "precio_final"), "id_articulo", "left")
+    j = join_catalogue(s, prices.select("id_articulo", "precio_base", "precio_final"), "id_articulo", "left")
     j = j.fillna(0, subset=["cant_bultos", "precio_base", "precio_final"]).fillna({"generico": UNCLASSIFIED, "marca": NO_BRAND})
     return j.drop("cant_htls").withColumn("valorizado", F.col("cant_bultos") * F.col("precio_base")) \
             .withColumn("valorizado_final", F.col("cant_bultos") * F.col("precio_final"))

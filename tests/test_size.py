@@ -51,7 +51,7 @@ def ran(spark, tables, name, limit) -> tuple[list, list[int]]:
         spark.conf.set(key, was)
 
 
-LARGE = ["e1_snapshot", "e14_all_articles_snapshot", "e15_closest_article"]
+LARGE = ["e1_snapshot", "e14_all_articles_snapshot", "e15_closest_article", "e9_valuation"]
 
 
 @pytest.mark.parametrize("name", LARGE)
