@@ -51,7 +51,7 @@ def ran(spark, tables, name, limit) -> tuple[list, list[int]]:
         spark.conf.set(key, was)
 
 
-LARGE = ["e1_snapshot", "e14_all_articles_snapshot", "e15_closest_article", "e9_valuation", "e10_article_valuation_matrix", "e10_category_valuation_matrix", "e11_branch_valuation", "e12_capital_abc", "e13_control_frames", "e3_snapshot_matrix"]
+LARGE = ["e1_snapshot", "e14_all_articles_snapshot", "e15_closest_article", "e9_valuation", "e10_article_valuation_matrix", "e10_category_valuation_matrix", "e11_branch_valuation", "e12_capital_abc", "e13_control_frames", "e3_snapshot_matrix", "e4_unmatched_sales"]
 
 
 @pytest.mark.parametrize("name", LARGE)
